@@ -66,3 +66,107 @@ def with_(*ctes: str) -> str:
 SQL: dict[str, str] = {}
 
 SQL["model1_matrix"] = with_(CLICK_LOG, ITEM_PROPS, LATEST) + MODEL1
+
+ACTIVE = """active{k} AS (SELECT visitorid, count(*) AS "count" FROM basket_log
+  GROUP BY visitorid HAVING count(*) > {k})"""
+
+
+def active(k: int) -> str:
+    return ACTIVE.format(k=k)
+
+
+def events_of_active(k: int) -> str:
+    return f"SELECT b.*, a.\"count\" FROM basket_log b JOIN active{k} a USING (visitorid)"
+
+
+def model2(k: int = 1) -> str:
+    return f"""SELECT visitorid, itemid, {weight()} AS rating
+FROM (SELECT DISTINCT * FROM ({events_of_active(k)}))"""
+
+
+M3 = f"m3 AS (SELECT DISTINCT * FROM ({model2(1)}))"
+M1 = f"m1 AS ({MODEL1})"
+HASH = "CAST(('0x' || substr(md5(concat_ws('|', {cols})), 1, 7)) AS BIGINT) % {b}"
+
+
+def hash_bucket(cols: str, buckets: int = 10) -> str:
+    return HASH.format(cols=cols, b=buckets)
+
+
+def split(cols: str) -> str:
+    return f"CASE WHEN {hash_bucket(cols)} < 8 THEN 'train' ELSE 'test' END"
+
+
+SQL.update({
+    "scan_events": with_(CLICK_LOG) + "SELECT * FROM click_log",
+    "clean_events": with_(CLICK_LOG) + "SELECT visitorid, event, itemid FROM click_log",
+    "preview_events": with_(CLICK_LOG) + """SELECT * FROM click_log
+ORDER BY "timestamp", visitorid, itemid, event, transactionid NULLS FIRST LIMIT 5""",
+    "load_rating_matrix": with_(BASKET_LOG, active(1), M3) + "SELECT * FROM m3",
+    "write_read_roundtrip": with_(BASKET_LOG, active(1), M3) + "SELECT * FROM m3",
+    "union_item_props": with_(ITEM_PROPS) + "SELECT * FROM item_props",
+    "filter_category_props": with_(ITEM_PROPS)
+    + "SELECT * FROM item_props WHERE property = 'categoryid'",
+    "latest_ts_per_item": with_(ITEM_PROPS, LATEST) + "SELECT * FROM m",
+    "latest_category_join": with_(ITEM_PROPS, LATEST) + "SELECT * FROM latest",
+    "latest_category_window": with_(ITEM_PROPS, LATEST) + "SELECT * FROM latest",
+    "latest_category_ties": with_(ITEM_PROPS_YEAR, LATEST) + "SELECT * FROM latest",
+    "events_with_category": with_(CLICK_LOG, ITEM_PROPS, LATEST) + """SELECT *
+FROM (SELECT visitorid, event, itemid FROM click_log) e JOIN latest USING (itemid)""",
+    "events_per_visitor": with_(BASKET_LOG)
+    + "SELECT visitorid, count(*) AS \"count\" FROM basket_log GROUP BY visitorid",
+    "active_visitors_gt1": with_(BASKET_LOG, active(1)) + "SELECT * FROM active1",
+    "active_visitors_gt2": with_(BASKET_LOG, active(2)) + "SELECT * FROM active2",
+    "events_of_active_gt1": with_(BASKET_LOG, active(1)) + events_of_active(1),
+    "events_of_active_gt2": with_(BASKET_LOG, active(2)) + events_of_active(2),
+    "events_of_active_window": with_(BASKET_LOG, active(1)) + events_of_active(1),
+    "events_of_active_semi": with_(BASKET_LOG, active(1))
+    + "SELECT * FROM basket_log WHERE visitorid IN (SELECT visitorid FROM active1)",
+    "distinct_events_gt1": with_(BASKET_LOG, active(1))
+    + f"SELECT DISTINCT * FROM ({events_of_active(1)})",
+    "distinct_events_gt2": with_(BASKET_LOG, active(2))
+    + f"SELECT DISTINCT * FROM ({events_of_active(2)})",
+    "weight_events": with_(BASKET_LOG) + f"SELECT *, {weight()} AS rating FROM basket_log",
+    "project_triple": with_(BASKET_LOG)
+    + f"SELECT visitorid, itemid, {weight()} AS rating FROM basket_log",
+    "model2_matrix": with_(BASKET_LOG, active(1)) + model2(1),
+    "model3_matrix": with_(BASKET_LOG, active(1), M3) + "SELECT * FROM m3",
+    "model4_matrix": with_(BASKET_LOG, active(2)) + f"SELECT DISTINCT * FROM ({model2(2)})",
+    "distinct_users": with_(BASKET_LOG, active(1), M3) + "SELECT DISTINCT visitorid FROM m3",
+    "distinct_products": with_(BASKET_LOG, active(1), M3) + "SELECT DISTINCT itemid FROM m3",
+    "ratings_per_user": with_(BASKET_LOG, active(1), M3)
+    + "SELECT visitorid, count(*) AS \"count\" FROM m3 GROUP BY visitorid",
+    "ratings_per_user_stats": with_(BASKET_LOG, active(1), M3) + """SELECT count(c) AS n,
+  round(avg(c), 6) AS mean, round(stddev_samp(c), 6) AS stddev, min(c) AS "min", max(c) AS "max"
+FROM (SELECT count(*) AS c FROM m3 GROUP BY visitorid)""",
+    "user_rating_crosstab": with_(BASKET_LOG, active(1), M3) + """SELECT visitorid,
+  count(*) FILTER (WHERE rating = 1.0) AS w1, count(*) FILTER (WHERE rating = 2.0) AS w2,
+  count(*) FILTER (WHERE rating = 3.0) AS w3
+FROM m3 GROUP BY visitorid""",
+    "matrix_profile": with_(BASKET_LOG, active(1), M3) + """SELECT n_ratings, n_users,
+  n_products, n_pairs, mean_rating, round(n_ratings / (n_users * n_products), 6) AS density
+FROM (SELECT count(*) AS n_ratings, count(DISTINCT visitorid) AS n_users,
+        count(DISTINCT itemid) AS n_products,
+        (SELECT count(*) FROM (SELECT DISTINCT visitorid, itemid FROM m3
+          WHERE visitorid IS NOT NULL AND itemid IS NOT NULL)) AS n_pairs,
+        round(avg(rating), 6) AS mean_rating FROM m3)""",
+    "stage_counts": with_(CLICK_LOG, ITEM_PROPS, LATEST, M1) + """
+SELECT 'events' AS stage, count(*) AS n FROM click_log
+UNION ALL SELECT 'item_props_part1', count(*) FROM lineitem WHERE l_linestatus = 'O'
+UNION ALL SELECT 'item_props_part2', count(*) FROM lineitem WHERE l_linestatus = 'F'
+UNION ALL SELECT 'item_props', count(*) FROM item_props
+UNION ALL SELECT 'category_rows', count(*) FROM cat
+UNION ALL SELECT 'latest_items', count(*) FROM m
+UNION ALL SELECT 'latest_rows', count(*) FROM latest
+UNION ALL SELECT 'events_with_category', count(*) FROM click_log JOIN latest USING (itemid)
+UNION ALL SELECT 'model1_matrix', count(*) FROM m1""",
+    "collapse_pairs": with_(CLICK_LOG) + f"""SELECT visitorid, itemid, count(*) AS n,
+  max(r) AS rating_max, round(sum(r), 6) AS rating_sum, round(avg(r), 6) AS rating_mean
+FROM (SELECT visitorid, itemid, {weight()} AS r FROM click_log) GROUP BY visitorid, itemid""",
+    "shift_ratings": with_(CLICK_LOG, ITEM_PROPS, LATEST, M1)
+    + "SELECT visitorid, categoryid, rating - 1.5 AS rating FROM m1",
+    "split_hash": with_(CLICK_LOG)
+    + f"SELECT *, {split('visitorid, itemid, event')} AS split FROM click_log",
+    "test_pairs": with_(CLICK_LOG, ITEM_PROPS, LATEST, M1)
+    + f"SELECT visitorid, categoryid FROM m1 WHERE {split('visitorid, categoryid')} = 'test'",
+})

@@ -39,3 +39,241 @@ def _model1(spark, sf):
 @query
 def model1_matrix(spark, sf):
     return _model1(spark, sf)
+
+
+def _click(spark, sf):
+    return src.click_log(spark, sf)
+
+
+def _basket(spark, sf):
+    return src.basket_log(spark, sf)
+
+
+def _model3(spark, sf):
+    return ops.visitor_matrix(_basket(spark, sf), 1, distinct_triples=True)
+
+
+# ---- 2.1 scans, sources, sinks -----------------------------------------------------
+
+@query
+def scan_events(spark, sf):
+    return _click(spark, sf)
+
+
+@query
+def clean_events(spark, sf):
+    return ops.clean_events(_click(spark, sf))
+
+
+@query
+def preview_events(spark, sf):
+    """The reference's ``show(5)``, made stable by a total order."""
+    ev = _click(spark, sf)
+    return ev.orderBy("timestamp", "visitorid", "itemid", "event",
+                      F.col("transactionid").asc_nulls_first()).limit(5)
+
+
+@query
+def load_rating_matrix(spark, sf):
+    """Model-3 matrix written as CSV part files (header in each) and read back typed."""
+    from .session import scratch_path
+    path = src.write_rating_matrix(_model3(spark, sf), scratch_path(spark, "matrix-csv"), "csv")
+    return src.load_rating_matrix(spark, path, "csv")
+
+
+@query
+def write_read_roundtrip(spark, sf):
+    from .session import scratch_path
+    path = src.write_rating_matrix(_model3(spark, sf), scratch_path(spark, "matrix-pq"), "parquet")
+    return src.load_rating_matrix(spark, path, "parquet")
+
+
+# ---- item properties and latest category --------------------------------------------
+
+@query
+def union_item_props(spark, sf):
+    return ops.union_parts(*src.item_props_parts(spark, sf))
+
+
+@query
+def filter_category_props(spark, sf):
+    return ops.filter_property(union_item_props(spark, sf), "categoryid")
+
+
+@query
+def latest_ts_per_item(spark, sf):
+    return ops.latest_ts_per_key(filter_category_props(spark, sf), "itemid", "timestamp")
+
+
+@query
+def latest_category_join(spark, sf):
+    return ops.latest_per_key(filter_category_props(spark, sf), "itemid", "timestamp", "join")
+
+
+@query
+def latest_category_window(spark, sf):
+    return ops.latest_per_key(filter_category_props(spark, sf), "itemid", "timestamp", "window")
+
+
+@query
+def latest_category_ties(spark, sf):
+    """Timestamps cut to the year: several categories tie at an item's latest time."""
+    cats = ops.filter_property(ops.union_parts(*src.item_props_parts(spark, sf, "year")))
+    return ops.latest_per_key(cats, "itemid", "timestamp", "join")
+
+
+@query
+def events_with_category(spark, sf):
+    return ops.events_with_category(ops.clean_events(_click(spark, sf)),
+                                    latest_category_join(spark, sf))
+
+
+# ---- visitor activity (basket log) ---------------------------------------------------
+
+@query
+def events_per_visitor(spark, sf):
+    return ops.events_per_visitor(_basket(spark, sf))
+
+
+@query
+def active_visitors_gt1(spark, sf):
+    return ops.active_visitors(_basket(spark, sf), 1)
+
+
+@query
+def active_visitors_gt2(spark, sf):
+    return ops.active_visitors(_basket(spark, sf), 2)
+
+
+@query
+def events_of_active_gt1(spark, sf):
+    return ops.events_of_active(_basket(spark, sf), 1, method="join")
+
+
+@query
+def events_of_active_gt2(spark, sf):
+    return ops.events_of_active(_basket(spark, sf), 2, method="join")
+
+
+@query
+def events_of_active_window(spark, sf):
+    return ops.events_of_active(_basket(spark, sf), 1, method="window")
+
+
+@query
+def events_of_active_semi(spark, sf):
+    return ops.events_of_active(_basket(spark, sf), 1, method="semi")
+
+
+@query
+def distinct_events_gt1(spark, sf):
+    return events_of_active_gt1(spark, sf).distinct()
+
+
+@query
+def distinct_events_gt2(spark, sf):
+    return events_of_active_gt2(spark, sf).distinct()
+
+
+@query
+def weight_events(spark, sf):
+    return ops.weight_events(_basket(spark, sf))
+
+
+@query
+def project_triple(spark, sf):
+    return ops.project_triple(ops.weight_events(_basket(spark, sf)))
+
+
+@query
+def model2_matrix(spark, sf):
+    return ops.visitor_matrix(_basket(spark, sf), 1, distinct_triples=False)
+
+
+@query
+def model3_matrix(spark, sf):
+    return _model3(spark, sf)
+
+
+@query
+def model4_matrix(spark, sf):
+    return ops.visitor_matrix(_basket(spark, sf), 2, distinct_triples=True)
+
+
+# ---- matrix profile (model 3) ---------------------------------------------------------
+
+@query
+def distinct_users(spark, sf):
+    return ops.distinct_ids(_model3(spark, sf), "visitorid")
+
+
+@query
+def distinct_products(spark, sf):
+    return ops.distinct_ids(_model3(spark, sf), "itemid")
+
+
+@query
+def ratings_per_user(spark, sf):
+    return ops.ratings_per_user(_model3(spark, sf))
+
+
+@query
+def ratings_per_user_stats(spark, sf):
+    return round_doubles(ops.ratings_per_user_stats(_model3(spark, sf)))
+
+
+@query
+def user_rating_crosstab(spark, sf):
+    return ops.user_rating_crosstab(_model3(spark, sf))
+
+
+@query
+def matrix_profile(spark, sf):
+    return round_doubles(ops.matrix_profile(_model3(spark, sf)))
+
+
+@query
+def stage_counts(spark, sf):
+    """Row count after each stage of the model-1 chain (the reference's audit trail)."""
+    p1, p2 = src.item_props_parts(spark, sf)
+    props = ops.union_parts(p1, p2)
+    cats = ops.filter_property(props)
+    latest = ops.latest_per_key(cats)
+    stages = [("events", _click(spark, sf)), ("item_props_part1", p1),
+              ("item_props_part2", p2), ("item_props", props), ("category_rows", cats),
+              ("latest_items", ops.latest_ts_per_key(cats)), ("latest_rows", latest),
+              ("events_with_category", ops.events_with_category(
+                  ops.clean_events(_click(spark, sf)), latest)),
+              ("model1_matrix", _model1(spark, sf))]
+    out = None
+    for name, df in stages:
+        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query
+def collapse_pairs(spark, sf):
+    """Click-log weights per (visitor, item), duplicates collapsed four ways."""
+    ev = ops.weight_events(_click(spark, sf))
+    return round_doubles(ops.collapse_pairs(ev, "visitorid", "itemid", "rating"))
+
+
+# ---- ratings, pairs, splits ------------------------------------------------------------
+
+@query
+def shift_ratings(spark, sf):
+    m = _model1(spark, sf)
+    return m.select("visitorid", "categoryid", (F.col("rating") - F.lit(1.5)).alias("rating"))
+
+
+@query
+def split_hash(spark, sf):
+    return ops.hash_split(_click(spark, sf), ["visitorid", "itemid", "event"])
+
+
+@query
+def test_pairs(spark, sf):
+    """(user, product) pairs of the test side of model 1's matrix; repeats kept."""
+    m = ops.hash_split(_model1(spark, sf), ["visitorid", "categoryid"])
+    return m.filter(F.col("split") == "test").select("visitorid", "categoryid")
