@@ -170,3 +170,77 @@ FROM (SELECT visitorid, itemid, {weight()} AS r FROM click_log) GROUP BY visitor
     "test_pairs": with_(CLICK_LOG, ITEM_PROPS, LATEST, M1)
     + f"SELECT visitorid, categoryid FROM m1 WHERE {split('visitorid, categoryid')} = 'test'",
 })
+
+CLICK_RATINGS = f"""r AS (SELECT DISTINCT visitorid AS "user", itemid AS product, {weight()} AS rating
+  FROM click_log),
+s AS (SELECT *, {split('"user", product')} AS split FROM r),
+train AS (SELECT "user", product, rating FROM s WHERE split = 'train'),
+test AS (SELECT "user", product, rating FROM s WHERE split = 'test'),
+um AS (SELECT "user", avg(rating) AS prediction FROM train GROUP BY "user"),
+pred AS (SELECT "user", product, prediction FROM test JOIN um USING ("user")),
+sl AS (SELECT "user", product, t.rating, p.prediction FROM test t JOIN pred p USING ("user", product)),
+pred_d AS (SELECT "user", product, max(prediction) AS prediction FROM pred GROUP BY "user", product),
+sl_d AS (SELECT "user", product, t.rating, p.prediction FROM test t JOIN pred_d p USING ("user", product))"""
+
+FACTORS = """uf AS (SELECT CAST(vec_id AS INT) AS id, CAST(embedding AS DOUBLE[]) AS features, label
+  FROM embeddings WHERE vec_id < 250),
+pf AS (SELECT CAST(vec_id - 250 AS INT) AS id, CAST(embedding AS DOUBLE[]) AS features, label
+  FROM embeddings WHERE vec_id >= 250)"""
+
+
+def topn_sql(q: str, c: str, qf: str, cf: str, n: int = 10) -> str:
+    return f"""sc_{q} AS (SELECT a.id AS "{q}", b.id AS "{c}",
+  list_inner_product(a.features, b.features) AS score FROM {qf} a, {cf} b),
+top_{q} AS (SELECT "{q}", CAST(row_number() OVER (PARTITION BY "{q}" ORDER BY score DESC, "{c}")
+  AS INT) AS rank, "{c}", score FROM sc_{q} QUALIFY rank <= {n})"""
+
+
+SQL.update({
+    "score_and_labels": with_(CLICK_LOG, CLICK_RATINGS)
+    + 'SELECT "user", product, rating, round(prediction, 6) AS prediction FROM sl',
+    "score_and_labels_dedup": with_(CLICK_LOG, CLICK_RATINGS)
+    + 'SELECT "user", product, rating, round(prediction, 6) AS prediction FROM sl_d',
+    "squared_errors": with_(CLICK_LOG, CLICK_RATINGS) + """SELECT "user", product, rating,
+  round(prediction, 6) AS prediction, round(pow(prediction - rating, 2), 6) AS sq_err FROM sl""",
+    "mse_holdout": with_(CLICK_LOG, CLICK_RATINGS)
+    + "SELECT round(avg(pow(prediction - rating, 2)), 6) AS mse FROM sl",
+    "rmse_holdout": with_(CLICK_LOG, CLICK_RATINGS)
+    + "SELECT round(sqrt(avg(pow(prediction - rating, 2))), 6) AS rmse FROM sl",
+    "regression_metrics": with_(CLICK_LOG, CLICK_RATINGS) + """SELECT count(*) AS n,
+  round(avg(pow(prediction - rating, 2)), 6) AS mse,
+  round(sqrt(avg(pow(prediction - rating, 2))), 6) AS rmse,
+  round(avg(abs(prediction - rating)), 6) AS mae,
+  round(CASE WHEN var_pop(rating) * count(*) > 0
+        THEN 1 - sum(pow(prediction - rating, 2)) / (var_pop(rating) * count(*)) END, 6) AS r2
+FROM sl""",
+    "predict_pairs_from_factors": with_(CLICK_LOG, CLICK_RATINGS, FACTORS) + """SELECT r."user",
+  r.product, round(list_inner_product(u.features, p.features), 6) AS prediction
+FROM r JOIN uf u ON r."user" = u.id JOIN pf p ON r.product = p.id""",
+    "factor_dims": with_(FACTORS) + """SELECT 'user' AS side, id, CAST(len(features) AS INT) AS dim,
+  round(features[1], 6) AS f0 FROM uf
+UNION ALL SELECT 'product', id, CAST(len(features) AS INT), round(features[1], 6) FROM pf""",
+    "topn_products_per_user": with_(FACTORS, topn_sql("user", "product", "uf", "pf"))
+    + 'SELECT "user", rank, product, round(score, 6) AS score FROM top_user',
+    "topn_users_per_product": with_(FACTORS, topn_sql("product", "user", "pf", "uf"))
+    + 'SELECT product, rank, "user", round(score, 6) AS score FROM top_product',
+    "ranking_metrics": with_(FACTORS, topn_sql("user", "product", "uf", "pf"), """hits AS (
+  SELECT t."user", t.rank, coalesce(CAST(p.label = u.label AS INT), 0) AS hit
+  FROM top_user t JOIN pf p ON t.product = p.id JOIN uf u ON t."user" = u.id),
+cum AS (SELECT *, sum(hit) OVER (PARTITION BY "user" ORDER BY rank
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM hits),
+per_user AS (SELECT "user", sum(CASE WHEN rank <= 10 THEN hit ELSE 0 END) AS hits_k,
+  sum(hit * cum / rank) AS ap_sum,
+  sum(CASE WHEN rank <= 10 THEN hit * cum / rank ELSE 0.0 END) AS apk_sum,
+  sum(CASE WHEN rank <= 10 THEN hit / ln(rank + 1) ELSE 0.0 END) AS dcg FROM cum GROUP BY "user"),
+rel AS (SELECT u.id AS "user", coalesce(c.n, 0) AS n_rel FROM uf u
+  LEFT JOIN (SELECT label, count(*) AS n FROM pf GROUP BY label) c ON u.label = c.label),
+scored AS (SELECT hits_k / 10 AS p,
+  CASE WHEN n_rel > 0 THEN hits_k / n_rel ELSE 0.0 END AS rec,
+  CASE WHEN n_rel > 0 THEN ap_sum / n_rel ELSE 0.0 END AS ap,
+  CASE WHEN n_rel > 0 THEN apk_sum / least(n_rel, 10) ELSE 0.0 END AS apk,
+  CASE WHEN n_rel > 0 THEN dcg / list_sum(list_transform(range(1, least(n_rel, 10) + 1),
+       lambda i: 1.0 / ln(i + 1))) ELSE 0.0 END AS ndcg
+  FROM per_user LEFT JOIN rel USING ("user"))""") + """SELECT count(*) AS users,
+  round(avg(ap), 6) AS map, round(avg(apk), 6) AS map_at_k, round(avg(p), 6) AS precision_at_k,
+  round(avg(rec), 6) AS recall_at_k, round(avg(ndcg), 6) AS ndcg_at_k FROM scored""",
+})

@@ -277,3 +277,111 @@ def test_pairs(spark, sf):
     """(user, product) pairs of the test side of model 1's matrix; repeats kept."""
     m = ops.hash_split(_model1(spark, sf), ["visitorid", "categoryid"])
     return m.filter(F.col("split") == "test").select("visitorid", "categoryid")
+
+
+# ---- scoring and regression metrics on a hold-out (fixed baseline predictor) -------------
+
+def _click_ratings(spark, sf):
+    """Distinct (user, product, rating) triples of the click log."""
+    ev = ops.weight_events(_click(spark, sf))
+    return ops.to_ratings(ev.select("visitorid", "itemid", "rating").distinct())
+
+
+def _holdout(spark, sf):
+    s = ops.hash_split(_click_ratings(spark, sf), ["user", "product"])
+    train = s.filter(F.col("split") == "train").drop("split")
+    test = s.filter(F.col("split") == "test").drop("split")
+    return train, test
+
+
+def _baseline_sl(spark, sf, dedupe=False):
+    from .plans import metrics as M
+    train, test = _holdout(spark, sf)
+    preds = M.mean_user_predictor(train, test.select("user", "product"))
+    return M.score_and_labels(test, preds, dedupe_pairs=dedupe)
+
+
+@query
+def score_and_labels(spark, sf):
+    return round_doubles(_baseline_sl(spark, sf))
+
+
+@query
+def score_and_labels_dedup(spark, sf):
+    return round_doubles(_baseline_sl(spark, sf, dedupe=True))
+
+
+@query
+def squared_errors(spark, sf):
+    from .plans import metrics as M
+    return round_doubles(M.squared_errors(_baseline_sl(spark, sf)))
+
+
+@query
+def mse_holdout(spark, sf):
+    from .plans import metrics as M
+    return round_doubles(M.mse(_baseline_sl(spark, sf)))
+
+
+@query
+def rmse_holdout(spark, sf):
+    from .plans import metrics as M
+    return round_doubles(M.rmse(_baseline_sl(spark, sf)))
+
+
+@query
+def regression_metrics(spark, sf):
+    from .plans import metrics as M
+    return round_doubles(M.regression_metrics(_baseline_sl(spark, sf)))
+
+
+# ---- factor tables: scoring, top-N both ways, ranking metrics -----------------------------
+
+@query
+def predict_pairs_from_factors(spark, sf):
+    from .plans.recommend import predict_pairs
+    pairs = _click_ratings(spark, sf).select("user", "product")
+    return round_doubles(predict_pairs(pairs, src.user_factors(spark, sf),
+                                       src.product_factors(spark, sf)))
+
+
+@query
+def factor_dims(spark, sf):
+    def dims(df, side):
+        return df.select(F.lit(side).alias("side"), "id", F.size("features").alias("dim"),
+                         F.col("features")[0].alias("f0"))
+    return round_doubles(dims(src.user_factors(spark, sf), "user")
+                         .unionByName(dims(src.product_factors(spark, sf), "product")))
+
+
+@query
+def topn_products_per_user(spark, sf):
+    from .plans.recommend import top_n
+    return round_doubles(top_n(src.user_factors(spark, sf), src.product_factors(spark, sf),
+                               10, "user", "product"))
+
+
+@query
+def topn_users_per_product(spark, sf):
+    from .plans.recommend import top_n
+    return round_doubles(top_n(src.product_factors(spark, sf), src.user_factors(spark, sf),
+                               10, "product", "user"))
+
+
+@query
+def ranking_metrics(spark, sf):
+    """Top-10 products per user; relevant = products sharing the user's label."""
+    from .plans.ranking import ranking_metrics as rank_metrics
+    from .plans.recommend import top_n
+    uf, pf = src.user_factors(spark, sf), src.product_factors(spark, sf)
+    top = top_n(uf, pf, 10, "user", "product")
+    plab = pf.select(F.col("id").alias("product"), F.col("label").alias("plabel"))
+    ulab = uf.select(F.col("id").alias("user"), F.col("label").alias("ulabel"))
+    hits = (top.join(plab, "product").join(ulab, "user")
+               .select("user", "rank",
+                       F.coalesce((F.col("plabel") == F.col("ulabel")).cast("int"),
+                                  F.lit(0)).alias("hit")))
+    per_label = pf.groupBy("label").agg(F.count(F.lit(1)).alias("n_rel"))
+    rel = (ulab.join(per_label, ulab["ulabel"] == per_label["label"], "left")
+               .select("user", F.coalesce("n_rel", F.lit(0)).alias("n_rel")))
+    return round_doubles(rank_metrics(hits, rel, 10))
