@@ -385,3 +385,89 @@ def ranking_metrics(spark, sf):
     rel = (ulab.join(per_label, ulab["ulabel"] == per_label["label"], "left")
                .select("user", F.coalesce("n_rel", F.lit(0)).alias("n_rel")))
     return round_doubles(rank_metrics(hits, rel, 10))
+
+
+# ---- ALS (trained models; checked by property tests, no SQL oracle) -----------------------
+
+def _model1_ratings(spark, sf):
+    return ops.to_ratings(_model1(spark, sf), "visitorid", "categoryid", "rating")
+
+
+def _split_pairs(ratings):
+    s = ops.hash_split(ratings, ["user", "product"])
+    return (s.filter(F.col("split") == "train").drop("split"),
+            s.filter(F.col("split") == "test").drop("split"))
+
+
+def _implicit_model(spark, sf):
+    from .plans.factorize import fit
+    train, test = _split_pairs(_model1_ratings(spark, sf))
+    return fit(train, implicit=True, rank=10, max_iter=10, alpha=0.01, reg_param=0.01), test
+
+
+@query
+def als_implicit_predict(spark, sf):
+    """Model 1: implicit ALS (rank 10, 10 iterations, alpha 0.01) scored on held-out pairs."""
+    from .plans.factorize import predict
+    model, test = _implicit_model(spark, sf)
+    return predict(model, test)
+
+
+@query
+def als_explicit_predict(spark, sf):
+    """Model 3: explicit ALS (rank 10, 10 iterations, lambda 0.01) on held-out pairs."""
+    from .plans.factorize import fit, predict
+    train, test = _split_pairs(ops.to_ratings(_model3(spark, sf)))
+    model = fit(train, implicit=False, rank=10, max_iter=10, reg_param=0.01)
+    return predict(model, test)
+
+
+@query
+def als_factors(spark, sf):
+    from .plans.factorize import factors
+    model, _ = _implicit_model(spark, sf)
+    return factors(model)
+
+
+@query
+def als_recommend_products(spark, sf):
+    from .plans.factorize import recommend
+    model, _ = _implicit_model(spark, sf)
+    return recommend(model, 10, for_users=True)
+
+
+@query
+def als_recommend_users(spark, sf):
+    from .plans.factorize import recommend
+    model, _ = _implicit_model(spark, sf)
+    return recommend(model, 10, for_users=False)
+
+
+@query
+def als_insample_metrics(spark, sf):
+    """Explicit ALS on weights shifted by -1.5, scored on its own training pairs
+    (ratings ⋈ predictions, fan-out kept), RMSE and R² — the reference's evaluation."""
+    from .plans import metrics as M
+    from .plans.factorize import fit, predict
+    r = _model1_ratings(spark, sf).withColumn("rating", F.col("rating") - F.lit(1.5))
+    model = fit(r, implicit=False, rank=10, max_iter=10, reg_param=0.01)
+    preds = predict(model, r.select("user", "product"))
+    return M.regression_metrics(M.score_and_labels(r, preds))
+
+
+@query
+def als_tuned(spark, sf):
+    """Implicit ALS, 8-setting grid, 3-fold CV on 80 %, best model's RMSE on 20 %."""
+    from .plans.tune import tune
+    train, test = _split_pairs(_model1_ratings(spark, sf))
+    _, summary = tune(train, test, implicit=True, method="cv", alpha=0.01)
+    return summary
+
+
+@query
+def als_tuned_tvs(spark, sf):
+    """Same grid with one seeded train/validation split (trainRatio 0.8)."""
+    from .plans.tune import tune
+    train, test = _split_pairs(_model1_ratings(spark, sf))
+    _, summary = tune(train, test, implicit=True, method="tvs", alpha=0.01)
+    return summary

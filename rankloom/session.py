@@ -23,6 +23,7 @@ def build_session(master: str | None = None, app: str = "rankloom",
     parts = shuffle_partitions or max(8, 2 * cpus)
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", driver_memory)
          .config("spark.sql.session.timeZone", "UTC")
          # Initial shuffle width; AQE coalesces small partitions and splits skewed ones
