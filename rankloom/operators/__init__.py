@@ -4,6 +4,7 @@ from .prep import (clean_events, union_parts, filter_property, latest_ts_per_key
 from .matrix import category_matrix, visitor_matrix, collapse_pairs, to_ratings
 from .profile import (distinct_ids, ratings_per_user, ratings_per_user_stats,
                       user_rating_crosstab, matrix_profile)
+from .joins import join_dimension, materialize
 from .split import hash_split, random_split, fold_column
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -11,25 +11,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import DEFAULT_MAX_BROADCAST_ROWS, join_dimension
 from .prep import (active_visitors, filter_property, latest_per_key, union_parts,
                    weight_events)
 
 
 def category_matrix(events: DataFrame, props_parts: list[DataFrame], on_unknown: str = "error",
-                    latest_method: str = "join") -> DataFrame:
+                    latest_method: str = "join",
+                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Model 1: distinct (visitorid, categoryid, rating) over each item's latest category.
 
-    Only (itemid, categoryid) of the latest rows reach the join, de-duplicated first
-    (tied duplicate rows would only fan the join out before the final distinct).
+    Only (itemid, categoryid) of the latest rows reach the events join, which is a
+    checked-broadcast dimension join: below the bound the events are never shuffled
+    by item (a hot item costs nothing extra); the one shuffle of the event side is the
+    final distinct, after a map-side partial distinct.
     """
     cats = filter_property(union_parts(*props_parts), "categoryid")
     latest = (latest_per_key(cats, "itemid", "timestamp", latest_method)
-              .select("itemid", F.col("value").cast("int").alias("categoryid"))
-              .distinct())
+              .select("itemid", F.col("value").cast("int").alias("categoryid")))
     ev = weight_events(events.select("visitorid", "itemid", "event"), on_unknown=on_unknown)
-    return (ev.join(latest, "itemid")
-              .select("visitorid", "categoryid", "rating")
-              .distinct())
+    return (join_dimension(ev, latest, "itemid", max_broadcast_rows=max_broadcast_rows)
+            .select("visitorid", "categoryid", "rating")
+            .distinct())
 
 
 def visitor_matrix(events: DataFrame, min_events_exclusive: int = 1, distinct_triples: bool = True,
