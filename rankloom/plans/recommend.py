@@ -50,6 +50,45 @@ def _topn_schema(q: str, c: str) -> T.StructType:
                          T.StructField(c, T.IntegerType()), T.StructField("score", T.DoubleType())])
 
 
+def _top_k_rows(s: np.ndarray, cand_ids: np.ndarray, k: int):
+    """Row-wise exact top-k of a score block, ordered by (score desc, candidate id asc).
+
+    Vectorised for rows without a tie at the k-th place; rows with one (rare) take the
+    exact per-row path.  Returns (row index, rank, candidate position, score) arrays.
+    """
+    part = np.argpartition(-s, k - 1, axis=1)[:, :k]
+    top = np.take_along_axis(s, part, axis=1)
+    kth = top.min(axis=1)
+    at_or_above = (s >= kth[:, None]).sum(axis=1)
+    clean = at_or_above == k
+    rows, pos = [], []
+    if clean.any():
+        ci = np.nonzero(clean)[0]
+        p = part[ci]
+        sc = top[ci]
+        # lexsort over each row: sort by id first, then stable by score desc
+        o1 = np.argsort(cand_ids[p], axis=1, kind="stable")
+        p = np.take_along_axis(p, o1, axis=1)
+        sc = np.take_along_axis(sc, o1, axis=1)
+        o2 = np.argsort(-sc, axis=1, kind="stable")
+        p = np.take_along_axis(p, o2, axis=1)
+        rows.append(np.repeat(ci, k))
+        pos.append(p.reshape(-1))
+    for i in np.nonzero(~clean)[0]:
+        idx = np.nonzero(s[i] >= kth[i])[0]
+        sel = idx[np.lexsort((cand_ids[idx], -s[i, idx]))[:k]]
+        rows.append(np.full(len(sel), i))
+        pos.append(sel)
+    r = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int64)
+    c = np.concatenate(pos) if pos else np.zeros(0, dtype=np.int64)
+    # restore per-row grouping and rank numbering
+    order = np.argsort(r, kind="stable")
+    r, c = r[order], c[order]
+    starts = np.searchsorted(r, r, side="left")
+    rank = np.arange(len(r)) - starts + 1
+    return r, rank, c, s[r, c]
+
+
 def _block_scorer(bc, n: int, q: str, c: str):
     def score(batches):
         cand_ids, cand = bc.value
@@ -61,24 +100,13 @@ def _block_scorer(bc, n: int, q: str, c: str):
                 continue
             qids = pdf["id"].to_numpy()
             qmat = np.stack(pdf["features"].to_numpy()).astype(np.float64)
-            out_q, out_r, out_c, out_s = [], [], [], []
             for lo in range(0, len(qids), step):
                 s = qmat[lo:lo + step] @ cand.T
-                # Exact top-k with ties broken by candidate id: keep every candidate at
-                # or above the k-th best score, then order by (score desc, id asc).
-                kth = -np.partition(-s, k - 1, axis=1)[:, k - 1]
-                for i in range(s.shape[0]):
-                    idx = np.nonzero(s[i] >= kth[i])[0]
-                    order = np.lexsort((cand_ids[idx], -s[i, idx]))[:k]
-                    sel = idx[order]
-                    out_q.append(np.full(len(sel), qids[lo + i]))
-                    out_r.append(np.arange(1, len(sel) + 1))
-                    out_c.append(cand_ids[sel])
-                    out_s.append(s[i, sel])
-            yield pd.DataFrame({q: np.concatenate(out_q).astype(np.int32),
-                                "rank": np.concatenate(out_r).astype(np.int32),
-                                c: np.concatenate(out_c).astype(np.int32),
-                                "score": np.concatenate(out_s).astype(np.float64)})
+                r, rank, pos, sc = _top_k_rows(s, cand_ids, k)
+                yield pd.DataFrame({q: qids[lo + r].astype(np.int32),
+                                    "rank": rank.astype(np.int32),
+                                    c: cand_ids[pos].astype(np.int32),
+                                    "score": sc.astype(np.float64)})
     return score
 
 

@@ -67,3 +67,27 @@ def test_registered_als_queries_run(spark):
                  "als_insample_metrics", "als_tuned_tvs"]:
         df = QUERIES[name](spark, SF01)
         assert df.count() > 0, name
+
+
+def test_top_k_rows_exact_with_ties():
+    from rankloom.plans.recommend import _top_k_rows
+    rng = np.random.default_rng(0)
+    for trial in range(200):
+        nq, nc = int(rng.integers(1, 20)), int(rng.integers(1, 30))
+        k = min(int(rng.integers(1, 12)), nc)
+        s = (rng.integers(0, 5, size=(nq, nc)).astype(float) if trial % 2
+             else rng.normal(size=(nq, nc)))
+        ids = rng.permutation(1000)[:nc]
+        r, rank, pos, _ = _top_k_rows(s, ids, k)
+        for i in range(nq):
+            expect = sorted(range(nc), key=lambda j: (-s[i, j], ids[j]))[:k]
+            assert list(pos[r == i]) == expect
+            assert list(rank[r == i]) == list(range(1, k + 1))
+
+
+def test_random_split_disjoint_and_complete(spark):
+    from rankloom.operators import random_split
+    df = _model1_ratings(spark, SF01)
+    a, b = random_split(df, (0.8, 0.2), seed=3)
+    assert a.count() + b.count() == df.count()
+    assert a.intersect(b).count() == 0
