@@ -1,0 +1,10 @@
+"""Structured Streaming ingestion of the event log.
+
+The reference is batch-only; this package only lets new event-log files flow through
+the same preparation operators (weighting, triple projection, distinct triples)
+incrementally, with checkpoints in the session's shared checkpoint folder.
+"""
+
+from .ingest import stream_distinct_triples, stream_rating_triples
+
+__all__ = ["stream_rating_triples", "stream_distinct_triples"]
