@@ -27,7 +27,7 @@ def category_matrix(events: DataFrame, props_parts: list[DataFrame], on_unknown:
     final distinct, after a map-side partial distinct.
     """
     cats = filter_property(union_parts(*props_parts), "categoryid")
-    latest = (latest_per_key(cats, "itemid", "timestamp", latest_method)
+    latest = (latest_per_key(cats, "itemid", "timestamp", latest_method, max_broadcast_rows)
               .select("itemid", F.col("value").cast("int").alias("categoryid")))
     ev = weight_events(events.select("visitorid", "itemid", "event"), on_unknown=on_unknown)
     return (join_dimension(ev, latest, "itemid", max_broadcast_rows=max_broadcast_rows)
@@ -37,13 +37,16 @@ def category_matrix(events: DataFrame, props_parts: list[DataFrame], on_unknown:
 
 def visitor_matrix(events: DataFrame, min_events_exclusive: int = 1, distinct_triples: bool = True,
                    user: str = "visitorid", item: str = "itemid",
-                   on_unknown: str = "error") -> DataFrame:
+                   on_unknown: str = "error",
+                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Models 2–4: events of visitors with more than k events as (user, item, rating).
 
     ``distinct_triples=False`` (model 2): full-row distinct of the events, then the
     projection keeps duplicate triples.  ``True`` (models 3, 4): distinct triples.
     Distinct runs before the activity filter: the filter depends on the visitor only,
     so the two commute, and the distinct's map-side pass shrinks the semi-join input.
+    The visitor set is broadcast behind a row-count check (then the distinct rows are
+    shuffled once); above the bound the semi join shuffles and AQE splits hot visitors.
     """
     keep = active_visitors(events, min_events_exclusive, user).select(user)
     if distinct_triples:
@@ -51,7 +54,8 @@ def visitor_matrix(events: DataFrame, min_events_exclusive: int = 1, distinct_tr
             .select(user, item, "rating").distinct()
     else:
         base = weight_events(events.distinct(), on_unknown=on_unknown)
-    return base.join(keep, user, "left_semi").select(user, item, "rating")
+    return (join_dimension(base, keep, user, "left_semi", max_broadcast_rows=max_broadcast_rows)
+            .select(user, item, "rating"))
 
 
 def collapse_pairs(ratings: DataFrame, user: str = "visitorid", item: str = "itemid",

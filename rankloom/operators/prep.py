@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.weights import weight_expr
+from .joins import DEFAULT_MAX_BROADCAST_ROWS, join_dimension
 
 
 def clean_events(events: DataFrame, drop=("timestamp", "transactionid")) -> DataFrame:
@@ -37,18 +38,21 @@ def latest_ts_per_key(df: DataFrame, key: str = "itemid", ts: str = "timestamp")
 
 
 def latest_per_key(df: DataFrame, key: str = "itemid", ts: str = "timestamp",
-                   method: str = "join") -> DataFrame:
+                   method: str = "join",
+                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Rows carrying their key's latest timestamp; ties are all kept.
 
-    ``join``  : max per key, then an equi-join back on (key, ts).  The max is
-                pre-aggregated map-side and the join-back is skew-split by AQE, so a
-                key holding a large share of rows never lands whole in one task.
+    ``join``  : max per key (pre-aggregated map-side: a hot key costs one row per task),
+                then a join back on (key, ts) as a checked-broadcast dimension join —
+                the rows are not shuffled at all under the bound; over it the join
+                hashes on (key, ts), spreading a hot key's rows over its timestamps.
     ``window``: ``rank() over (partition by key order by ts desc) = 1`` — one shuffle
                 instead of two, but each key's rows meet in one task; use it when keys
                 are known to be small.
     """
     if method == "join":
-        return df.join(latest_ts_per_key(df, key, ts), [key, ts]).select(*df.columns)
+        return join_dimension(df, latest_ts_per_key(df, key, ts), [key, ts],
+                              max_broadcast_rows=max_broadcast_rows).select(*df.columns)
     if method == "window":
         w = Window.partitionBy(key).orderBy(F.col(ts).desc())
         return (df.withColumn("_rk", F.rank().over(w)).filter(F.col("_rk") == 1)
@@ -56,14 +60,14 @@ def latest_per_key(df: DataFrame, key: str = "itemid", ts: str = "timestamp",
     raise ValueError(f"unknown method {method}")
 
 
-def events_with_category(events: DataFrame, latest: DataFrame, key: str = "itemid") -> DataFrame:
+def events_with_category(events: DataFrame, latest: DataFrame, key: str = "itemid",
+                         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Inner equi-join of events with the latest-category rows; uncategorised items drop.
 
-    No broadcast hint: the category side grows with the item count, so AQE decides
-    at runtime from its measured size (broadcast when small, skew-split sort-merge
-    otherwise).
+    The category side grows with the item count, so it is broadcast only behind a
+    row-count check (``join_dimension``); otherwise a shuffle join AQE skew-splits.
     """
-    return events.join(latest, key)
+    return join_dimension(events, latest, key, max_broadcast_rows=max_broadcast_rows)
 
 
 def events_per_visitor(events: DataFrame, key: str = "visitorid") -> DataFrame:
@@ -82,7 +86,8 @@ def events_of_active(events: DataFrame, min_events_exclusive: int = 1, key: str
 
     ``join``  : events ⋈ (visitor, count) — the reference's form, ``count`` carried along.
     ``window``: ``count(*) over (partition by visitor)`` + filter; same rows and columns.
-    ``semi``  : left-semi join, no ``count`` column; the form the matrices use.
+    ``semi``  : left-semi join (checked broadcast of the visitor set), no ``count``
+                column; the form the matrices use.
     """
     if method == "join":
         return events.join(active_visitors(events, min_events_exclusive, key), key)
@@ -94,8 +99,8 @@ def events_of_active(events: DataFrame, min_events_exclusive: int = 1, key: str
                       .filter(F.col("count") > min_events_exclusive)
                       .select(*cols, "count"))
     if method == "semi":
-        return events.join(active_visitors(events, min_events_exclusive, key).select(key),
-                           key, "left_semi")
+        return join_dimension(events, active_visitors(events, min_events_exclusive, key)
+                              .select(key), key, "left_semi")
     raise ValueError(f"unknown method {method}")
 
 
