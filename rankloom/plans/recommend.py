@@ -14,15 +14,21 @@
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vectors import dot_expr
 
+# The block scorer runs in Python workers that may not have this package installed
+# (cluster executors, or a driver started outside the repo): ship its code by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Candidate factors per block (x rank doubles each): the proven bound on what is shipped.
 DEFAULT_MAX_BLOCK_ROWS = 250_000
 # Score-matrix cells per numpy step inside a task (x 8 bytes).
