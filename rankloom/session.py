@@ -33,6 +33,9 @@ def build_session(master: str | None = None, app: str = "rankloom",
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+         # Checkpointed intermediates (checked-broadcast dimensions, ALS lineage cuts)
+         # are deleted once their data is no longer referenced.
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
     for k, v in (extra or {}).items():
