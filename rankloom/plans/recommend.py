@@ -143,15 +143,3 @@ def top_n(query_factors: DataFrame, cand_factors: DataFrame, n: int = 10, q: str
         out = (out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
                   .withColumn("rank", F.col("rank").cast("int")))
     return out
-
-
-def top_n_native(query_factors: DataFrame, cand_factors: DataFrame, n: int = 10, q: str = "user",
-                 c: str = "product") -> DataFrame:
-    """Reference implementation for tests: score all pairs with the native dot product and
-    keep ``row_number <= n``.  Emits every pair — small inputs only."""
-    qf = query_factors.select(F.col("id").alias(q), F.col("features").alias("_qf"))
-    cf = cand_factors.select(F.col("id").alias(c), F.col("features").alias("_cf"))
-    s = qf.crossJoin(cf).select(q, c, dot_expr("_qf", "_cf").alias("score"))
-    w = Window.partitionBy(q).orderBy(F.col("score").desc(), F.col(c).asc())
-    return (s.withColumn("rank", F.row_number().over(w).cast("int"))
-             .filter(F.col("rank") <= n).select(q, "rank", c, "score"))

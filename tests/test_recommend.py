@@ -6,10 +6,22 @@ from pyspark.sql import functions as F
 from conftest import SF01
 from rankloom import sources as src
 from rankloom.plans.factorize import factors, fit, recommend
-from rankloom.plans.recommend import predict_pairs, top_n, top_n_native
+from rankloom.functions import dot_expr
+from rankloom.plans.recommend import predict_pairs, top_n
 from rankloom.queries import QUERIES, _model1_ratings, _split_pairs
 
 
+def top_n_native(query_factors, cand_factors, n=10, q="user", c="product"):
+    """Brute force for tests only: score every pair natively, keep row_number <= n."""
+    from pyspark.sql import Window
+    qf = query_factors.select(F.col("id").alias(q), F.col("features").alias("_qf"))
+    cf = cand_factors.select(F.col("id").alias(c), F.col("features").alias("_cf"))
+    s = qf.crossJoin(cf).select(q, c, dot_expr("_qf", "_cf").alias("score"))
+    w = Window.partitionBy(q).orderBy(F.col("score").desc(), F.col(c).asc())
+    return (s.withColumn("rank", F.row_number().over(w).cast("int"))
+             .filter(F.col("rank") <= n).select(q, "rank", c, "score"))
+
+
 def _rows(df, cols):
     return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r)
                   for r in df.select(*cols).collect())
