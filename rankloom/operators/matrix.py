@@ -27,10 +27,16 @@ def category_matrix(events: DataFrame, props_parts: list[DataFrame], on_unknown:
     final distinct, after a map-side partial distinct.
     """
     cats = filter_property(union_parts(*props_parts), "categoryid")
-    latest = (latest_per_key(cats, "itemid", "timestamp", latest_method, max_broadcast_rows)
-              .select("itemid", F.col("value").cast("int").alias("categoryid")))
+    latest = latest_per_key(cats, "itemid", "timestamp", latest_method, max_broadcast_rows)
+    return category_matrix_from_latest(events, latest, on_unknown, max_broadcast_rows)
+
+
+def category_matrix_from_latest(events: DataFrame, latest: DataFrame, on_unknown: str = "error",
+                                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Model 1 from already computed latest-category rows (itemid, ..., value)."""
+    dim = latest.select("itemid", F.col("value").cast("int").alias("categoryid"))
     ev = weight_events(events.select("visitorid", "itemid", "event"), on_unknown=on_unknown)
-    return (join_dimension(ev, latest, "itemid", max_broadcast_rows=max_broadcast_rows)
+    return (join_dimension(ev, dim, "itemid", max_broadcast_rows=max_broadcast_rows)
             .select("visitorid", "categoryid", "rating")
             .distinct())
 

@@ -234,21 +234,30 @@ def matrix_profile(spark, sf):
 
 @query
 def stage_counts(spark, sf):
-    """Row count after each stage of the model-1 chain (the reference's audit trail)."""
+    """Row count after each stage of the model-1 chain (the reference's audit trail).
+
+    One tagged pass over the property log gives the four property-log counts; the
+    latest-category rows are materialised once (small, checkpointed) and reused by
+    the last four stages.
+    """
     p1, p2 = src.item_props_parts(spark, sf)
-    props = ops.union_parts(p1, p2)
-    cats = ops.filter_property(props)
-    latest = ops.latest_per_key(cats)
-    stages = [("events", _click(spark, sf)), ("item_props_part1", p1),
-              ("item_props_part2", p2), ("item_props", props), ("category_rows", cats),
-              ("latest_items", ops.latest_ts_per_key(cats)), ("latest_rows", latest),
-              ("events_with_category", ops.events_with_category(
-                  ops.clean_events(_click(spark, sf)), latest)),
-              ("model1_matrix", _model1(spark, sf))]
-    out = None
+    tagged = p1.withColumn("_part", F.lit(1)).unionByName(p2.withColumn("_part", F.lit(2)))
+    props_counts = tagged.agg(
+        F.count_if(F.col("_part") == 1).alias("p1"), F.count_if(F.col("_part") == 2).alias("p2"),
+        F.count(F.lit(1)).alias("props"),
+        F.count_if(F.col("property") == "categoryid").alias("cats")).select(
+        F.expr("stack(4, 'item_props_part1', p1, 'item_props_part2', p2, "
+               "'item_props', props, 'category_rows', cats) AS (stage, n)"))
+    latest = ops.materialize(ops.latest_per_key(ops.filter_property(ops.union_parts(p1, p2))))
+    click = _click(spark, sf)
+    stages = [("events", click),
+              ("latest_items", latest.select("itemid").distinct()), ("latest_rows", latest),
+              ("events_with_category", ops.events_with_category(ops.clean_events(click), latest)),
+              ("model1_matrix", ops.category_matrix_from_latest(click, latest))]
+    out = props_counts
     for name, df in stages:
-        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n")
-        out = one if out is None else out.unionByName(one)
+        out = out.unionByName(df.agg(F.count(F.lit(1)).alias("n"))
+                              .select(F.lit(name).alias("stage"), "n"))
     return out
 
 
