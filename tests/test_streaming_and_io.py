@@ -29,8 +29,6 @@ def test_stream_triples_equal_batch(spark):
 def test_stream_distinct_triples_equal_batch(spark):
     source = _click_files(spark)
     sink = scratch_path(spark, "click-distinct")
-    from rankloom.streaming.ingest import read_event_stream  # noqa: F401
-    spark.conf.set("spark.sql.streaming.schemaInference", "false")
     q = stream_distinct_triples(spark, source, sink)
     q.awaitTermination(120)
     got = spark.read.parquet(sink).select("visitorid", "itemid", "rating")
