@@ -454,14 +454,24 @@ def als_recommend_users(spark, sf):
 
 @query
 def als_insample_metrics(spark, sf):
-    """Explicit ALS on weights shifted by -1.5, scored on its own training pairs
-    (ratings ⋈ predictions, fan-out kept), RMSE and R² — the reference's evaluation."""
+    """For each of the four matrices: explicit ALS (rank 10, 10 iterations, lambda 0.01)
+    on weights shifted by -1.5, scored on its own training pairs (ratings ⋈ predictions,
+    fan-out kept), with RMSE and R² — the reference's per-model evaluation."""
     from .plans import metrics as M
     from .plans.factorize import fit, predict
-    r = _model1_ratings(spark, sf).withColumn("rating", F.col("rating") - F.lit(1.5))
-    model = fit(r, implicit=False, rank=10, max_iter=10, reg_param=0.01)
-    preds = predict(model, r.select("user", "product"))
-    return M.regression_metrics(M.score_and_labels(r, preds))
+    basket = _basket(spark, sf)
+    mats = {1: ops.to_ratings(_model1(spark, sf), "visitorid", "categoryid", "rating"),
+            2: ops.to_ratings(ops.visitor_matrix(basket, 1, distinct_triples=False)),
+            3: ops.to_ratings(ops.visitor_matrix(basket, 1, distinct_triples=True)),
+            4: ops.to_ratings(ops.visitor_matrix(basket, 2, distinct_triples=True))}
+    out = None
+    for m, ratings in mats.items():
+        r = ratings.withColumn("rating", F.col("rating") - F.lit(1.5))
+        model = fit(r, implicit=False, rank=10, max_iter=10, reg_param=0.01)
+        met = M.regression_metrics(M.score_and_labels(r, predict(model, r.select("user", "product"))))
+        met = met.select(F.lit(m).alias("model"), *met.columns)
+        out = met if out is None else out.unionByName(met)
+    return out
 
 
 @query
