@@ -403,7 +403,10 @@ def _model1_ratings(spark, sf):
 
 
 def _split_pairs(ratings):
-    s = ops.hash_split(ratings, ["user", "product"])
+    """Hash split on the pair.  The matrix is materialised first (reliable checkpoint):
+    ALS reads the train side, scoring reads the test side, and neither recomputes
+    the matrix pipeline; the iterations start from a short lineage."""
+    s = ops.hash_split(ops.materialize(ratings), ["user", "product"])
     return (s.filter(F.col("split") == "train").drop("split"),
             s.filter(F.col("split") == "test").drop("split"))
 
@@ -466,7 +469,7 @@ def als_insample_metrics(spark, sf):
             4: ops.to_ratings(ops.visitor_matrix(basket, 2, distinct_triples=True))}
     out = None
     for m, ratings in mats.items():
-        r = ratings.withColumn("rating", F.col("rating") - F.lit(1.5))
+        r = ops.materialize(ratings.withColumn("rating", F.col("rating") - F.lit(1.5)))
         model = fit(r, implicit=False, rank=10, max_iter=10, reg_param=0.01)
         met = M.regression_metrics(M.score_and_labels(r, predict(model, r.select("user", "product"))))
         met = met.select(F.lit(m).alias("model"), *met.columns)

@@ -45,7 +45,7 @@ def train_and_recommend(spark: SparkSession, matrix_path: str, model: int, out:
     implicit = (model == 1) if implicit is None else implicit
     item = MATRIX_ITEM_COL[model]
     m = load_rating_matrix(spark, matrix_path, fmt, item_col=item)
-    ratings = ops.to_ratings(m, "visitorid", item, "rating")
+    ratings = ops.materialize(ops.to_ratings(m, "visitorid", item, "rating"))
     s = ops.hash_split(ratings, ["user", "product"])
     train = s.filter(F.col("split") == "train").drop("split")
     test = s.filter(F.col("split") == "test").drop("split")
