@@ -46,12 +46,17 @@ def build_session(master: str | None = None, app: str = "rankloom",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder; a local one only when none is configured."""
+    """The session's shared checkpoint folder; a local one only when none is configured
+    and the master is local (tests).  On a cluster a machine-local folder would leave
+    "reliable" checkpoints on executor disks, so that is refused."""
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                                   "(checkpoints and scratch tables are written there)")
             root = tempfile.mkdtemp(prefix="rankloom-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

@@ -76,9 +76,12 @@ def test_more_iterations_do_not_worsen_in_sample_fit(spark):
 
 def test_registered_als_queries_run(spark):
     for name in ["als_implicit_predict", "als_factors", "als_recommend_users",
-                 "als_insample_metrics", "als_tuned_tvs"]:
+                 "als_insample_metrics", "als_tuned_tvs", "als_holdout_metrics"]:
         df = QUERIES[name](spark, SF01)
         assert df.count() > 0, name
+    per_model = QUERIES["als_holdout_metrics"](spark, SF01).collect()
+    assert sorted(r["model"] for r in per_model) == [1, 2, 3, 4]
+    assert all(r["n"] > 0 and r["rmse"] >= 0 for r in per_model)
 
 
 def test_top_k_rows_exact_with_ties():
