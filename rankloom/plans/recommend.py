@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vectors import dot_expr
+from ..operators.joins import join_dimension
 
 # The block scorer runs in Python workers that may not have this package installed
 # (cluster executors, or a driver started outside the repo): ship its code by value.
@@ -40,11 +41,14 @@ def predict_pairs(pairs: DataFrame, user_factors: DataFrame, item_factors: DataF
     """(user, product, prediction) for each input pair; repeated pairs stay repeated.
 
     ``cold_start='drop'`` removes pairs with an unknown id, ``'nan'`` keeps them as NaN.
+    Each factor table is a dimension joined with a checked broadcast: under the bound
+    the pairs are never shuffled (a user or product with a huge share of the pairs
+    costs nothing extra); over it, a shuffle join that AQE skew-splits.
     """
     uf = user_factors.select(F.col("id").alias(user), F.col("features").alias("_uf"))
     itf = item_factors.select(F.col("id").alias(item), F.col("features").alias("_if"))
     how = "inner" if cold_start == "drop" else "left"
-    joined = pairs.join(uf, user, how).join(itf, item, how)
+    joined = join_dimension(join_dimension(pairs, uf, user, how), itf, item, how)
     pred = dot_expr("_uf", "_if")
     if cold_start != "drop":
         pred = F.coalesce(pred, F.lit(float("nan")))
