@@ -37,6 +37,7 @@ HEADLINE = [
     "model3_matrix",
     "model4_matrix",
     "als_implicit_predict",     # implicit ALS train + predictAll
+    "als_factors",              # factor export (the reference collects them)
     "als_recommend_products",   # top-10 products for every user
     "als_recommend_users",      # top-10 users for every product
     "als_explicit_predict",     # explicit ALS train (model 3) + predict
