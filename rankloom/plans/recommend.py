@@ -120,19 +120,37 @@ def _block_scorer(bc, n: int, q: str, c: str):
     return score
 
 
+def _block_of(n_blocks: int):
+    return F.pmod(F.hash("id"), F.lit(n_blocks))
+
+
+def _block_count(cand: DataFrame, max_block_rows: int) -> int:
+    """Smallest power-of-two refinement of ceil(n / bound) hash blocks in which every
+    block holds at most ``max_block_rows`` candidates — counted before anything is
+    shipped, so the bound is proven, not expected."""
+    n_cand = cand.count()
+    n_blocks = max(1, math.ceil(n_cand / max_block_rows))
+    while n_blocks > 1:
+        largest = (cand.groupBy(_block_of(n_blocks).alias("b")).count()
+                   .agg(F.max("count")).first()[0])
+        if largest <= max_block_rows:
+            break
+        n_blocks *= 2
+    return n_blocks
+
+
 def top_n(query_factors: DataFrame, cand_factors: DataFrame, n: int = 10, q: str = "user",
           c: str = "product", max_block_rows: int = DEFAULT_MAX_BLOCK_ROWS) -> DataFrame:
     """(q, rank, c, score): the n best candidates of every query id, ties by lower id."""
     spark = query_factors.sparkSession
     sc = spark.sparkContext
     cand = cand_factors.select("id", "features")
-    n_cand = cand.count()  # the size check behind every broadcast below
-    n_blocks = max(1, math.ceil(1.25 * n_cand / max_block_rows)) if n_cand > max_block_rows else 1
+    n_blocks = _block_count(cand, max_block_rows)
     queries = query_factors.select("id", "features")
     schema = _topn_schema(q, c)
     parts = []
     for b in range(n_blocks):
-        block = cand if n_blocks == 1 else cand.filter(F.pmod(F.hash("id"), F.lit(n_blocks)) == b)
+        block = cand if n_blocks == 1 else cand.filter(_block_of(n_blocks) == b)
         pdf = block.toPandas()
         ids = pdf["id"].to_numpy().astype(np.int64)
         mat = (np.stack(pdf["features"].to_numpy()).astype(np.float64) if len(pdf)
