@@ -1,22 +1,60 @@
 """Fact ⋈ dimension joins with a checked broadcast.
 
-A dimension (one row per item, per category, ...) grows with the data, so it is
-broadcast only after its size is proven: it is first materialised into the session's
-shared checkpoint folder (reliable, survives executor loss, computed once), then its
-row count is compared to a bound.  Under the bound the fact side streams through a
-map-side hash join and is never shuffled for the join; over it, a shuffle join is
-planned and AQE splits skewed (hot-key) partitions at runtime.
+A dimension (one row per item, per category, per user factor, ...) grows with the data,
+so it is broadcast only after its size is proven: it is first materialised into the
+session's shared checkpoint folder (reliable, survives executor loss, computed once),
+then one aggregate over it measures rows and widths (string lengths, array lengths) and
+the estimated bytes are compared to a bound.  Under the bound the fact side streams
+through a map-side hash join and is never shuffled for the join; over it, a shuffle
+join is planned and AQE splits skewed (hot-key) partitions at runtime.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import checkpoint_root
 
-# Dimension rows allowed in a broadcast (narrow key/value rows: ~tens of MB).
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# Estimated in-memory bytes allowed in one broadcast.
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+ROW_OVERHEAD = 16
+
+
+def _fixed_width(dt: T.DataType) -> int | None:
+    if isinstance(dt, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
+        return 8
+    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(dt, (T.ShortType,)):
+        return 2
+    if isinstance(dt, (T.ByteType, T.BooleanType)):
+        return 1
+    if isinstance(dt, T.DecimalType):
+        return 16
+    return None
+
+
+def estimate_bytes(df: DataFrame) -> tuple[int, int]:
+    """(rows, estimated bytes) from one aggregate: fixed widths by type, strings by
+    average length, arrays by their longest length x element width."""
+    aggs, fixed = [F.count(F.lit(1)).alias("_n")], 0
+    for f in df.schema.fields:
+        w = _fixed_width(f.dataType)
+        if w is not None:
+            fixed += w
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            aggs.append(F.avg(F.length(F.col(f.name))).alias(f"_s_{f.name}"))
+        elif isinstance(f.dataType, T.ArrayType):
+            elem = _fixed_width(f.dataType.elementType) or 16
+            aggs.append((F.max(F.size(F.col(f.name))) * F.lit(elem)).alias(f"_a_{f.name}"))
+        else:
+            fixed += 64
+    row = df.agg(*aggs).first()
+    n = int(row["_n"])
+    width = fixed + ROW_OVERHEAD + sum(int(v or 0) for k, v in row.asDict().items() if k != "_n")
+    return n, n * width
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -26,8 +64,9 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                   max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     dim = materialize(dim)
-    if dim.count() <= max_broadcast_rows:
+    _, size = estimate_bytes(dim)
+    if size <= max_broadcast_bytes:
         return fact.join(F.broadcast(dim), on, how)
     return fact.join(dim, on, how)

@@ -11,14 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, join_dimension
+from .joins import DEFAULT_MAX_BROADCAST_BYTES, join_dimension
 from .prep import (active_visitors, filter_property, latest_per_key, union_parts,
                    weight_events)
 
 
 def category_matrix(events: DataFrame, props_parts: list[DataFrame], on_unknown: str = "error",
                     latest_method: str = "join",
-                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Model 1: distinct (visitorid, categoryid, rating) over each item's latest category.
 
     Only (itemid, categoryid) of the latest rows reach the events join, which is a
@@ -27,16 +27,16 @@ def category_matrix(events: DataFrame, props_parts: list[DataFrame], on_unknown:
     final distinct, after a map-side partial distinct.
     """
     cats = filter_property(union_parts(*props_parts), "categoryid")
-    latest = latest_per_key(cats, "itemid", "timestamp", latest_method, max_broadcast_rows)
-    return category_matrix_from_latest(events, latest, on_unknown, max_broadcast_rows)
+    latest = latest_per_key(cats, "itemid", "timestamp", latest_method, max_broadcast_bytes)
+    return category_matrix_from_latest(events, latest, on_unknown, max_broadcast_bytes)
 
 
 def category_matrix_from_latest(events: DataFrame, latest: DataFrame, on_unknown: str = "error",
-                                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                                max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Model 1 from already computed latest-category rows (itemid, ..., value)."""
     dim = latest.select("itemid", F.col("value").cast("int").alias("categoryid"))
     ev = weight_events(events.select("visitorid", "itemid", "event"), on_unknown=on_unknown)
-    return (join_dimension(ev, dim, "itemid", max_broadcast_rows=max_broadcast_rows)
+    return (join_dimension(ev, dim, "itemid", max_broadcast_bytes=max_broadcast_bytes)
             .select("visitorid", "categoryid", "rating")
             .distinct())
 
@@ -44,7 +44,7 @@ def category_matrix_from_latest(events: DataFrame, latest: DataFrame, on_unknown
 def visitor_matrix(events: DataFrame, min_events_exclusive: int = 1, distinct_triples: bool = True,
                    user: str = "visitorid", item: str = "itemid",
                    on_unknown: str = "error",
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                   max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Models 2–4: events of visitors with more than k events as (user, item, rating).
 
     ``distinct_triples=False`` (model 2): full-row distinct of the events, then the
@@ -60,7 +60,7 @@ def visitor_matrix(events: DataFrame, min_events_exclusive: int = 1, distinct_tr
             .select(user, item, "rating").distinct()
     else:
         base = weight_events(events.distinct(), on_unknown=on_unknown)
-    return (join_dimension(base, keep, user, "left_semi", max_broadcast_rows=max_broadcast_rows)
+    return (join_dimension(base, keep, user, "left_semi", max_broadcast_bytes=max_broadcast_bytes)
             .select(user, item, "rating"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.weights import weight_expr
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, join_dimension
+from .joins import DEFAULT_MAX_BROADCAST_BYTES, join_dimension
 
 
 def clean_events(events: DataFrame, drop=("timestamp", "transactionid")) -> DataFrame:
@@ -39,7 +39,7 @@ def latest_ts_per_key(df: DataFrame, key: str = "itemid", ts: str = "timestamp")
 
 def latest_per_key(df: DataFrame, key: str = "itemid", ts: str = "timestamp",
                    method: str = "join",
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                   max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Rows carrying their key's latest timestamp; ties are all kept.
 
     ``join``  : max per key (pre-aggregated map-side: a hot key costs one row per task),
@@ -52,7 +52,7 @@ def latest_per_key(df: DataFrame, key: str = "itemid", ts: str = "timestamp",
     """
     if method == "join":
         return join_dimension(df, latest_ts_per_key(df, key, ts), [key, ts],
-                              max_broadcast_rows=max_broadcast_rows).select(*df.columns)
+                              max_broadcast_bytes=max_broadcast_bytes).select(*df.columns)
     if method == "window":
         w = Window.partitionBy(key).orderBy(F.col(ts).desc())
         return (df.withColumn("_rk", F.rank().over(w)).filter(F.col("_rk") == 1)
@@ -61,13 +61,13 @@ def latest_per_key(df: DataFrame, key: str = "itemid", ts: str = "timestamp",
 
 
 def events_with_category(events: DataFrame, latest: DataFrame, key: str = "itemid",
-                         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                         max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Inner equi-join of events with the latest-category rows; uncategorised items drop.
 
     The category side grows with the item count, so it is broadcast only behind a
     row-count check (``join_dimension``); otherwise a shuffle join AQE skew-splits.
     """
-    return join_dimension(events, latest, key, max_broadcast_rows=max_broadcast_rows)
+    return join_dimension(events, latest, key, max_broadcast_bytes=max_broadcast_bytes)
 
 
 def events_per_visitor(events: DataFrame, key: str = "visitorid") -> DataFrame:

@@ -3,7 +3,7 @@
 * ``predict_pairs``: pairs ⋈ user factors ⋈ product factors, dot product as a native
   higher-order expression — no Python.
 * ``top_n``: every query id's N best candidates.  Candidates are cut into blocks of
-  at most ``max_block_rows`` (checked by counting them first); each block is shipped
+  at most ``max_block_bytes`` (checked by counting them first); each block is shipped
   once to the executors and the query factors are scored against it partition by
   partition with a dense matrix product (numpy, Arrow batches) — the same blocked
   GEMM MLlib's recommendForAll uses.  Only the N best per (query, block) leave a task,
@@ -30,8 +30,9 @@ from ..operators.joins import join_dimension
 # (cluster executors, or a driver started outside the repo): ship its code by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Candidate factors per block (x rank doubles each): the proven bound on what is shipped.
-DEFAULT_MAX_BLOCK_ROWS = 250_000
+# Bytes of candidate factors per shipped block (ids + float64 features): the proven
+# bound on what is broadcast; the row bound follows from the measured rank.
+DEFAULT_MAX_BLOCK_BYTES = 64 * 1024 * 1024
 # Score-matrix cells per numpy step inside a task (x 8 bytes).
 SCORE_CELLS = 4_000_000
 
@@ -124,11 +125,16 @@ def _block_of(n_blocks: int):
     return F.pmod(F.hash("id"), F.lit(n_blocks))
 
 
-def _block_count(cand: DataFrame, max_block_rows: int) -> int:
+def _block_count(cand: DataFrame, max_block_rows: int | None,
+                 max_block_bytes: int = DEFAULT_MAX_BLOCK_BYTES) -> int:
     """Smallest power-of-two refinement of ceil(n / bound) hash blocks in which every
-    block holds at most ``max_block_rows`` candidates — counted before anything is
-    shipped, so the bound is proven, not expected."""
-    n_cand = cand.count()
+    block holds at most the bound of candidates — counted before anything is shipped,
+    so the bound is proven, not expected.  Without an explicit row bound it is derived
+    from ``max_block_bytes`` and the longest factor vector."""
+    row = cand.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("rank")).first()
+    n_cand, rank = int(row["n"]), int(row["rank"] or 0)
+    if max_block_rows is None:
+        max_block_rows = max(1, max_block_bytes // (8 * rank + 16))
     n_blocks = max(1, math.ceil(n_cand / max_block_rows))
     while n_blocks > 1:
         largest = (cand.groupBy(_block_of(n_blocks).alias("b")).count()
@@ -140,12 +146,13 @@ def _block_count(cand: DataFrame, max_block_rows: int) -> int:
 
 
 def top_n(query_factors: DataFrame, cand_factors: DataFrame, n: int = 10, q: str = "user",
-          c: str = "product", max_block_rows: int = DEFAULT_MAX_BLOCK_ROWS) -> DataFrame:
+          c: str = "product", max_block_rows: int | None = None,
+          max_block_bytes: int = DEFAULT_MAX_BLOCK_BYTES) -> DataFrame:
     """(q, rank, c, score): the n best candidates of every query id, ties by lower id."""
     spark = query_factors.sparkSession
     sc = spark.sparkContext
     cand = cand_factors.select("id", "features")
-    n_blocks = _block_count(cand, max_block_rows)
+    n_blocks = _block_count(cand, max_block_rows, max_block_bytes)
     queries = query_factors.select("id", "features")
     schema = _topn_schema(q, c)
     parts = []

@@ -36,10 +36,10 @@ def test_visitor_matrices_shuffle_path_with_hot_visitor(spark, skew_conf):
     hot = ev.withColumn("visitorid", F.when(F.col("visitorid") % 3 == 0, F.lit(0))
                         .otherwise(F.col("visitorid")))
     for k, dt in [(1, False), (1, True), (2, True)]:
-        _same(ops.visitor_matrix(hot, k, dt), ops.visitor_matrix(hot, k, dt, max_broadcast_rows=0))
+        _same(ops.visitor_matrix(hot, k, dt), ops.visitor_matrix(hot, k, dt, max_broadcast_bytes=0))
     lit = (ops.weight_events(ops.events_of_active(hot, 1, method="join").distinct())
            .select("visitorid", "itemid", "rating").distinct())
-    _same(lit, ops.visitor_matrix(hot, 1, True, max_broadcast_rows=0))
+    _same(lit, ops.visitor_matrix(hot, 1, True, max_broadcast_bytes=0))
 
 
 def test_category_matrix_shuffle_path_with_hot_item(spark, skew_conf):
@@ -47,8 +47,8 @@ def test_category_matrix_shuffle_path_with_hot_item(spark, skew_conf):
     hot = click.withColumn("itemid", F.when(F.col("visitorid") % 3 == 0, F.lit(7))
                            .otherwise(F.col("itemid")))
     parts = list(src.item_props_parts(spark, SF01))
-    _same(ops.category_matrix(hot, parts), ops.category_matrix(hot, parts, max_broadcast_rows=0))
+    _same(ops.category_matrix(hot, parts), ops.category_matrix(hot, parts, max_broadcast_bytes=0))
     props = ops.filter_property(ops.union_parts(*parts))
-    _same(ops.latest_per_key(props), ops.latest_per_key(props, max_broadcast_rows=0))
+    _same(ops.latest_per_key(props), ops.latest_per_key(props, max_broadcast_bytes=0))
     _same(ops.events_of_active(src.basket_log(spark, SF01), 1, method="semi"),
           ops.events_of_active(src.basket_log(spark, SF01), 1, method="join").drop("count"))
