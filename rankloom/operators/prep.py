@@ -84,13 +84,14 @@ def events_of_active(events: DataFrame, min_events_exclusive: int = 1, key: str
                      method: str = "join") -> DataFrame:
     """Events of visitors with more than k events.
 
-    ``join``  : events ⋈ (visitor, count) — the reference's form, ``count`` carried along.
+    ``join``  : events ⋈ (visitor, count) — the reference's form, ``count`` carried along
+                (checked-broadcast dimension join).
     ``window``: ``count(*) over (partition by visitor)`` + filter; same rows and columns.
     ``semi``  : left-semi join (checked broadcast of the visitor set), no ``count``
                 column; the form the matrices use.
     """
     if method == "join":
-        return events.join(active_visitors(events, min_events_exclusive, key), key)
+        return join_dimension(events, active_visitors(events, min_events_exclusive, key), key)
     if method == "window":
         w = Window.partitionBy(key)
         cols = [key] + [c for c in events.columns if c != key]

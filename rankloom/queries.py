@@ -386,7 +386,7 @@ def ranking_metrics(spark, sf):
     top = top_n(uf, pf, 10, "user", "product")
     plab = pf.select(F.col("id").alias("product"), F.col("label").alias("plabel"))
     ulab = uf.select(F.col("id").alias("user"), F.col("label").alias("ulabel"))
-    hits = (top.join(plab, "product").join(ulab, "user")
+    hits = (ops.join_dimension(ops.join_dimension(top, plab, "product"), ulab, "user")
                .select("user", "rank",
                        F.coalesce((F.col("plabel") == F.col("ulabel")).cast("int"),
                                   F.lit(0)).alias("hit")))
