@@ -38,6 +38,11 @@ def _rows(cols, rows):
     return sorted(out, key=repr)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "array<double>": "DOUBLE[]",
+                 "array<float>": "FLOAT[]"}
+
+
 def compare(spark, name: str, sf_dir: str, con=None):
     from rankloom.queries import QUERIES
     from rankloom.oracle_sql import SQL
@@ -45,10 +50,15 @@ def compare(spark, name: str, sf_dir: str, con=None):
     s_cols = df.columns
     s_rows = [tuple(r) for r in df.collect()]
     con = con or duck(sf_dir)
+    rel = con.sql(SQL[name])
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     res = con.execute(SQL[name])
     d_cols = [d[0] for d in res.description]
     d_rows = res.fetchall()
     problems = []
+    s_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes}
+    if s_types != d_types:
+        problems.append(f"column types differ: spark={s_types} duckdb={d_types}")
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns differ: spark={s_cols} duckdb={d_cols}")
     if len(s_rows) != len(d_rows):
