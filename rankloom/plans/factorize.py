@@ -39,12 +39,17 @@ def fit(ratings: DataFrame, implicit: bool, **kw) -> ALSModel:
     return make_als(implicit, **kw).fit(ratings)
 
 
+# Upper bound on user/item blocks: every iteration exchanges data between block pairs,
+# so thousands of blocks per side would mean millions of shuffle blocks per iteration.
+MAX_BLOCKS = 200
+
+
 def default_blocks(ratings: DataFrame) -> int:
     """User/item block count: the input's partition count, capped by the cluster's
-    parallelism — big inputs spread over every core, small ones avoid the per-block
-    overhead (each block pair is a task in every iteration)."""
+    parallelism and MAX_BLOCKS — big inputs spread over many cores, small ones avoid
+    the per-block overhead (each block pair is a task in every iteration)."""
     sc = ratings.sparkSession.sparkContext
-    return max(1, min(sc.defaultParallelism, ratings.rdd.getNumPartitions()))
+    return max(1, min(sc.defaultParallelism, ratings.rdd.getNumPartitions(), MAX_BLOCKS))
 
 
 def factors(model: ALSModel) -> DataFrame:
