@@ -75,10 +75,11 @@ def preview_events(spark, sf):
 
 @query
 def load_rating_matrix(spark, sf):
-    """Model-3 matrix written as CSV part files (header in each) and read back typed."""
+    """Model-3 matrix written as CSV part files (header in each) and read back typed,
+    dropping every header-equal line as the reference's text load does."""
     from .session import scratch_path
     path = src.write_rating_matrix(_model3(spark, sf), scratch_path(spark, "matrix-csv"), "csv")
-    return src.load_rating_matrix(spark, path, "csv")
+    return src.load_rating_matrix(spark, path, "csv", header_lines="every")
 
 
 @query

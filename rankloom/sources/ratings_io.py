@@ -8,6 +8,7 @@ the read (FAILFAST), as ``int()`` / ``float()`` would.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EVENTS_SCHEMA = T.StructType([
@@ -54,9 +55,20 @@ def write_rating_matrix(df: DataFrame, path: str, fmt: str = "parquet") -> str:
 
 def load_rating_matrix(spark: SparkSession, path: str, fmt: str = "csv",
                        user_col="visitorid", item_col="itemid", rating_col="rating",
-                       id_type: T.DataType = T.LongType()) -> DataFrame:
-    """Read a saved matrix.  CSV: the header is dropped in every part file."""
+                       id_type: T.DataType = T.LongType(), header_lines: str = "first") -> DataFrame:
+    """Read a saved matrix.
+
+    CSV, ``header_lines='first'``: the CSV reader drops the header of every part file.
+    ``'every'``: every line equal to the header is dropped wherever it appears (the
+    reference's ``filter(line != header)``), then the lines are parsed natively with
+    ``from_csv``; a malformed line still fails the read.
+    """
     schema = matrix_schema(user_col, item_col, rating_col, id_type)
+    if fmt == "csv" and header_lines == "every":
+        header = ",".join(schema.fieldNames())
+        lines = spark.read.text(path).filter(F.col("value") != F.lit(header))
+        parsed = F.from_csv("value", schema.simpleString(), {"mode": "FAILFAST"})
+        return lines.select(parsed.alias("r")).select("r.*")
     if fmt == "csv":
         return (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
                 .csv(path))

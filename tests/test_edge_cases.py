@@ -108,3 +108,15 @@ def test_epoch_millis_ignores_session_time_zone(spark):
         assert df.select(epoch_millis("ts")).first()[0] == 1719835207179
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_header_line_in_the_middle_dropped_everywhere(spark, tmp_path):
+    d = tmp_path / "m"
+    d.mkdir()
+    (d / "part-0.csv").write_text("visitorid,itemid,rating\n1,2,1.0\nvisitorid,itemid,rating\n3,4,3.0\n")
+    (d / "part-1.csv").write_text("visitorid,itemid,rating\n5,6,2.0\n")
+    back = src.load_rating_matrix(spark, str(d), "csv", header_lines="every")
+    assert sorted(tuple(r) for r in back.collect()) == [(1, 2, 1.0), (3, 4, 3.0), (5, 6, 2.0)]
+    assert dict(back.dtypes) == {"visitorid": "bigint", "itemid": "bigint", "rating": "double"}
+    with pytest.raises(Exception):
+        src.load_rating_matrix(spark, str(d), "csv").collect()   # first-line-only reader fails fast
