@@ -33,6 +33,7 @@ def main(argv=None) -> None:
     b.add_argument("--alpha", type=float, default=0.01)
     b.add_argument("--n", type=int, default=10)
     b.add_argument("--implicit", choices=["yes", "no"], default=None)
+    b.add_argument("--collapse", choices=["none", "max", "sum", "mean"], default="none")
     args = ap.parse_args(argv)
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession() or build_session()
@@ -41,7 +42,8 @@ def main(argv=None) -> None:
     else:
         imp = None if args.implicit is None else args.implicit == "yes"
         res = train_and_recommend(spark, args.matrix, args.model, args.out, imp, args.rank,
-                                  args.iters, args.reg, args.alpha, args.n)
+                                  args.iters, args.reg, args.alpha, args.n,
+                                  collapse=args.collapse)
     print(json.dumps({str(k): v for k, v in res.items()}))
 
 

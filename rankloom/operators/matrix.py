@@ -78,9 +78,22 @@ def collapse_pairs(ratings: DataFrame, user: str = "visitorid", item: str = "ite
 INT_MIN, INT_MAX = -(2 ** 31), 2 ** 31 - 1
 
 
+COLLAPSE = ("none", "max", "sum", "mean")
+
+
 def to_ratings(df: DataFrame, user: str = "visitorid", item: str = "itemid",
-               rating: str = "rating") -> DataFrame:
-    """(user INT, product INT, rating DOUBLE) for ALS; ids outside INT raise a clear error."""
+               rating: str = "rating", collapse: str = "none") -> DataFrame:
+    """(user INT, product INT, rating DOUBLE) for ALS; ids outside INT raise a clear error.
+
+    ``collapse``: ``none`` keeps repeated (user, product) rows as separate observations
+    (what ALS does with them, and the reference's behaviour); ``max`` / ``sum`` /
+    ``mean`` fold each pair into one rating first (partial aggregation map-side).
+    """
+    if collapse not in COLLAPSE:
+        raise ValueError(f"collapse must be one of {COLLAPSE}")
+    if collapse != "none":
+        fold = {"max": F.max, "sum": F.sum, "mean": F.avg}[collapse]
+        df = df.groupBy(user, item).agg(fold(rating).alias(rating))
     def as_int(c: str):
         col = F.col(c)
         ok = col.isNull() | col.between(INT_MIN, INT_MAX)

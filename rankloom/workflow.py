@@ -40,12 +40,12 @@ def build_matrices(spark: SparkSession, events_csv: str, props_csvs: list[str],
 def train_and_recommend(spark: SparkSession, matrix_path: str, model: int, out: str,
                         implicit: bool | None = None, rank: int = 10, max_iter: int = 10,
                         reg_param: float = 0.01, alpha: float = 0.01, n: int = 10,
-                        seed: int = 42, fmt: str = "parquet") -> dict[str, str]:
+                        seed: int = 42, fmt: str = "parquet", collapse: str = "none") -> dict[str, str]:
     """Model 1 defaults to implicit ALS, models 2-4 to explicit, as in the reference."""
     implicit = (model == 1) if implicit is None else implicit
     item = MATRIX_ITEM_COL[model]
     m = load_rating_matrix(spark, matrix_path, fmt, item_col=item)
-    ratings = ops.materialize(ops.to_ratings(m, "visitorid", item, "rating"))
+    ratings = ops.materialize(ops.to_ratings(m, "visitorid", item, "rating", collapse))
     s = ops.hash_split(ratings, ["user", "product"])
     train = s.filter(F.col("split") == "train").drop("split")
     test = s.filter(F.col("split") == "test").drop("split")

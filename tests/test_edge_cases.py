@@ -120,3 +120,16 @@ def test_header_line_in_the_middle_dropped_everywhere(spark, tmp_path):
     assert dict(back.dtypes) == {"visitorid": "bigint", "itemid": "bigint", "rating": "double"}
     with pytest.raises(Exception):
         src.load_rating_matrix(spark, str(d), "csv").collect()   # first-line-only reader fails fast
+
+
+def test_collapse_repeated_pairs(spark):
+    df = spark.createDataFrame([(1, 1, 1.0), (1, 1, 3.0), (2, 1, 2.0)],
+                               "visitorid long, itemid long, rating double")
+    got = {c: sorted(tuple(r) for r in ops.to_ratings(df, collapse=c).collect())
+           for c in ("none", "max", "sum", "mean")}
+    assert got["none"] == [(1, 1, 1.0), (1, 1, 3.0), (2, 1, 2.0)]
+    assert got["max"] == [(1, 1, 3.0), (2, 1, 2.0)]
+    assert got["sum"] == [(1, 1, 4.0), (2, 1, 2.0)]
+    assert got["mean"] == [(1, 1, 2.0), (2, 1, 2.0)]
+    with pytest.raises(ValueError):
+        ops.to_ratings(df, collapse="first")
