@@ -406,7 +406,7 @@ def _model1_ratings(spark, sf):
 def _split_pairs(ratings):
     """Hash split on the pair.  The matrix is materialised first (reliable checkpoint):
     ALS reads the train side, scoring reads the test side, and neither recomputes
-    the matrix pipeline; the iterations start from a short lineage."""
+    the matrix chain; the iterations start from a short lineage."""
     s = ops.hash_split(ops.materialize(ratings), ["user", "product"])
     return (s.filter(F.col("split") == "train").drop("split"),
             s.filter(F.col("split") == "test").drop("split"))
