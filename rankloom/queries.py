@@ -282,6 +282,16 @@ def split_hash(spark, sf):
     return ops.hash_split(_click(spark, sf), ["visitorid", "itemid", "event"])
 
 
+@query
+def split_random(spark, sf):
+    """The reference's 80/20 ``randomSplit``, seeded; labelled rows of both sides.
+    Reproducible for a fixed input partitioning only, so no SQL oracle (rows-only);
+    ``split_hash`` is the engine-independent split."""
+    train, test = ops.random_split(_click(spark, sf), (0.8, 0.2), seed=42)
+    return (train.withColumn("split", F.lit("train"))
+                 .unionByName(test.withColumn("split", F.lit("test"))))
+
+
 @query
 def test_pairs(spark, sf):
     """(user, product) pairs of the test side of model 1's matrix; repeats kept."""

@@ -106,3 +106,11 @@ def test_random_split_disjoint_and_complete(spark):
     a, b = random_split(df, (0.8, 0.2), seed=3)
     assert a.count() + b.count() == df.count()
     assert a.intersect(b).count() == 0
+
+
+def test_registered_random_split_is_complete(spark):
+    from rankloom import sources as src
+    df = QUERIES["split_random"](spark, SF01)
+    assert df.count() == src.click_log(spark, SF01).count()
+    share = df.filter("split = 'train'").count() / df.count()
+    assert 0.7 < share < 0.9
