@@ -37,15 +37,23 @@ def user_rating_crosstab(df: DataFrame, user: str = "visitorid", rating: str = "
 
 
 def matrix_profile(df: DataFrame, user: str = "visitorid", item: str = "itemid",
-                   rating: str = "rating") -> DataFrame:
+                   rating: str = "rating", approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """One row: ratings, distinct users, products, (user, product) pairs, density.
 
-    Exact distinct counts; ``approx_count_distinct`` is the cheaper option at scale.
+    Exact distinct counts by default (Spark expands the rows once per distinct
+    aggregate, then pre-aggregates map-side).  ``approx=True`` uses HyperLogLog++
+    sketches (relative standard deviation ``rsd``): one pass, fixed-size partial
+    states, no expansion — the option for billions of users.
     """
-    prof = df.agg(F.count(F.lit(1)).alias("n_ratings"),
-                  F.countDistinct(user).alias("n_users"),
-                  F.countDistinct(item).alias("n_products"),
-                  F.countDistinct(user, item).alias("n_pairs"),
+    if approx:
+        distinct = [F.approx_count_distinct(user, rsd).alias("n_users"),
+                    F.approx_count_distinct(item, rsd).alias("n_products"),
+                    F.approx_count_distinct(F.struct(user, item), rsd).alias("n_pairs")]
+    else:
+        distinct = [F.countDistinct(user).alias("n_users"),
+                    F.countDistinct(item).alias("n_products"),
+                    F.countDistinct(user, item).alias("n_pairs")]
+    prof = df.agg(F.count(F.lit(1)).alias("n_ratings"), *distinct,
                   F.avg(rating).alias("mean_rating"))
     return prof.withColumn(
         "density", F.col("n_ratings") / (F.col("n_users") * F.col("n_products")))

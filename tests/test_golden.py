@@ -88,3 +88,12 @@ def test_literal_chain_equals_planned_matrices(spark):
             .distinct())
     m1 = ops.category_matrix(click, list(src.item_props_parts(spark, SF01)))
     assert lit1.exceptAll(m1).count() == 0 and m1.exceptAll(lit1).count() == 0
+
+
+def test_approximate_profile_close_to_exact(spark):
+    m3 = QUERIES["model3_matrix"](spark, SF01)
+    exact = ops.matrix_profile(m3).first()
+    approx = ops.matrix_profile(m3, approx=True).first()
+    for c in ("n_users", "n_products", "n_pairs"):
+        assert abs(approx[c] - exact[c]) <= 0.05 * exact[c], c
+    assert approx["n_ratings"] == exact["n_ratings"]
