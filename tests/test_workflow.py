@@ -27,3 +27,23 @@ def test_csv_inputs_to_matrices_and_recommendations(spark):
     assert top.groupBy("user").count().agg(F.max("count")).first()[0] <= 10
     met = spark.read.parquet(outs["holdout_metrics"]).first()
     assert met["n"] > 0 and met["rmse"] >= 0
+
+
+def test_cli_main(spark, capsys):
+    import json
+
+    from rankloom.__main__ import main
+    base = scratch_path(spark, "cli")
+    src.click_log(spark, SF001).write.option("header", True).csv(f"{base}/events")
+    p1, p2 = src.item_props_parts(spark, SF001)
+    p1.write.option("header", True).csv(f"{base}/p1")
+    p2.write.option("header", True).csv(f"{base}/p2")
+    main(["matrices", "--events", f"{base}/events", "--props", f"{base}/p1", f"{base}/p2",
+          "--out", f"{base}/m", "--models", "1", "3"])
+    paths = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert set(paths) == {"1", "3"}
+    assert spark.read.parquet(paths["1"]).count() == 238
+    main(["recommend", "--matrix", paths["1"], "--model", "1", "--out", f"{base}/r",
+          "--rank", "4", "--iters", "3", "--collapse", "max"])
+    outs = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert spark.read.parquet(outs["top_users"]).count() > 0
