@@ -31,6 +31,8 @@ def run(sf_dir: str, scratch: str) -> None:
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        # one task per shuffle partition, so task shares show the key distribution
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
     spark.sparkContext.setCheckpointDir(f"{scratch}/ckpt")
