@@ -151,9 +151,10 @@ def top_n(query_factors: DataFrame, cand_factors: DataFrame, n: int = 10, q: str
     """(q, rank, c, score): the n best candidates of every query id, ties by lower id."""
     spark = query_factors.sparkSession
     sc = spark.sparkContext
-    cand = cand_factors.select("id", "features")
+    # rows without a factor vector cannot be scored (and would break the dense stack)
+    cand = cand_factors.select("id", "features").filter(F.col("features").isNotNull())
     n_blocks = _block_count(cand, max_block_rows, max_block_bytes)
-    queries = query_factors.select("id", "features")
+    queries = query_factors.select("id", "features").filter(F.col("features").isNotNull())
     schema = _topn_schema(q, c)
     parts = []
     for b in range(n_blocks):
