@@ -2,6 +2,7 @@
 
   matrices  --events E.csv --props P1.csv P2.csv --out DIR [--models 1 2 3 4]
   recommend --matrix DIR/model1 --model 1 --out DIR [--rank 10 --iters 10 --n 10]
+  tune      --matrix DIR/model2 --model 2 --out DIR [--method cv|tvs]
 
 Uses the active cluster session when launched with spark-submit; locally it builds one.
 """
@@ -12,7 +13,7 @@ import argparse
 import json
 
 from .session import build_session
-from .workflow import build_matrices, train_and_recommend
+from .workflow import build_matrices, train_and_recommend, tune_model
 
 
 def main(argv=None) -> None:
@@ -34,11 +35,18 @@ def main(argv=None) -> None:
     b.add_argument("--n", type=int, default=10)
     b.add_argument("--implicit", choices=["yes", "no"], default=None)
     b.add_argument("--collapse", choices=["none", "max", "sum", "mean"], default="none")
+    c = sub.add_parser("tune")
+    c.add_argument("--matrix", required=True)
+    c.add_argument("--model", type=int, required=True)
+    c.add_argument("--out", required=True)
+    c.add_argument("--method", choices=["cv", "tvs"], default="cv")
     args = ap.parse_args(argv)
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession() or build_session()
     if args.cmd == "matrices":
         res = build_matrices(spark, args.events, args.props, args.out, args.models)
+    elif args.cmd == "tune":
+        res = tune_model(spark, args.matrix, args.model, args.out, args.method)
     else:
         imp = None if args.implicit is None else args.implicit == "yes"
         res = train_and_recommend(spark, args.matrix, args.model, args.out, imp, args.rank,

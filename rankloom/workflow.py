@@ -61,3 +61,23 @@ def train_and_recommend(spark: SparkSession, matrix_path: str, model: int, out:
         df.write.mode("overwrite").parquet(f"{o}/{name}")
         paths[name] = f"{o}/{name}"
     return paths
+
+
+def tune_model(spark: SparkSession, matrix_path: str, model: int, out: str,
+               method: str = "cv", implicit: bool = True, fmt: str = "parquet",
+               collapse: str = "none") -> dict[str, str]:
+    """The reference's tuning for one matrix: 80/20 hash split, 3-fold CV (or one
+    train/validation split) over the 8-setting grid, best model's hold-out RMSE."""
+    from .plans.tune import tune
+    item = MATRIX_ITEM_COL[model]
+    m = load_rating_matrix(spark, matrix_path, fmt, item_col=item)
+    ratings = ops.materialize(ops.to_ratings(m, "visitorid", item, "rating", collapse))
+    s = ops.hash_split(ratings, ["user", "product"])
+    train = s.filter(F.col("split") == "train").drop("split")
+    test = s.filter(F.col("split") == "test").drop("split")
+    best, summary = tune(train, test, implicit=implicit, method=method, alpha=0.01)
+    o = out.rstrip("/")
+    summary.select(F.lit(model).alias("model"), *summary.columns) \
+        .write.mode("overwrite").parquet(f"{o}/tuning")
+    factors(best).write.mode("overwrite").parquet(f"{o}/best_factors")
+    return {"tuning": f"{o}/tuning", "best_factors": f"{o}/best_factors"}

@@ -47,3 +47,7 @@ def test_cli_main(spark, capsys):
           "--rank", "4", "--iters", "3", "--collapse", "max"])
     outs = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert spark.read.parquet(outs["top_users"]).count() > 0
+    main(["tune", "--matrix", paths["1"], "--model", "1", "--out", f"{base}/t", "--method", "tvs"])
+    outs = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    row = spark.read.parquet(outs["tuning"]).first()
+    assert row["model"] == 1 and row["rank"] in (5, 10) and row["n"] > 0
