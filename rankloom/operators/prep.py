@@ -65,7 +65,7 @@ def events_with_category(events: DataFrame, latest: DataFrame, key: str = "itemi
     """Inner equi-join of events with the latest-category rows; uncategorised items drop.
 
     The category side grows with the item count, so it is broadcast only behind a
-    row-count check (``join_dimension``); otherwise a shuffle join AQE skew-splits.
+    measured size check (``join_dimension``); otherwise a shuffle join AQE skew-splits.
     """
     return join_dimension(events, latest, key, max_broadcast_bytes=max_broadcast_bytes)
 
@@ -86,7 +86,8 @@ def events_of_active(events: DataFrame, min_events_exclusive: int = 1, key: str
 
     ``join``  : events ⋈ (visitor, count) — the reference's form, ``count`` carried along
                 (checked-broadcast dimension join).
-    ``window``: ``count(*) over (partition by visitor)`` + filter; same rows and columns.
+    ``window``: ``count(*) over (partition by visitor)`` + filter; same rows and columns,
+                one shuffle, but each visitor's rows meet in one task — small keys only.
     ``semi``  : left-semi join (checked broadcast of the visitor set), no ``count``
                 column; the form the matrices use.
     """
