@@ -51,7 +51,7 @@ def visitor_matrix(events: DataFrame, min_events_exclusive: int = 1, distinct_tr
     projection keeps duplicate triples.  ``True`` (models 3, 4): distinct triples.
     Distinct runs before the activity filter: the filter depends on the visitor only,
     so the two commute, and the distinct's map-side pass shrinks the semi-join input.
-    The visitor set is broadcast behind a row-count check (then the distinct rows are
+    The visitor set is broadcast behind a measured size check (then the distinct rows are
     shuffled once); above the bound the semi join shuffles and AQE splits hot visitors.
     """
     keep = active_visitors(events, min_events_exclusive, user).select(user)
