@@ -85,6 +85,10 @@ def test_multi_part_csv_headers_do_not_leak(spark, tmp_path):
     back = src.load_rating_matrix(spark, path, "csv")
     assert back.count() == 50
     assert back.exceptAll(df).count() == 0
+    # ledger: text lines = rows + one header per part file
+    parts = glob.glob(f"{path}/part-*.csv")
+    assert spark.read.text(path).count() == 50 + len(parts)
+    assert src.load_rating_matrix(spark, path, "csv", header_lines="every").count() == 50
 
 
 def test_id_above_int_range_is_a_clear_error(spark):
