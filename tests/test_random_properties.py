@@ -55,15 +55,14 @@ def test_latest_per_key_keeps_ties(spark, rows):
 
 
 lists_st = st.lists(st.tuples(st.lists(st.integers(0, 9), min_size=1, max_size=8, unique=True),
-                              # non-empty: MLlib's wrapper infers a schema from the rows
-                              st.lists(st.integers(0, 9), min_size=1, max_size=6, unique=True)),
+                              st.lists(st.integers(0, 9), max_size=6, unique=True)),
                     min_size=1, max_size=10)
 
 
 @SETTINGS
 @given(data=lists_st, k=st.integers(1, 6))
-def test_ranking_metrics_equal_spark_rankingmetrics(spark, data, k):
-    from pyspark.mllib.evaluation import RankingMetrics
+def test_ranking_metrics_equal_spark_rankingevaluator(spark, data, k):
+    from pyspark.ml.evaluation import RankingEvaluator
     top, rel = [], []
     for u, (pred, labels) in enumerate(data):
         labels_set = set(labels)
@@ -71,10 +70,13 @@ def test_ranking_metrics_equal_spark_rankingmetrics(spark, data, k):
         rel.append((u, len(labels_set)))
     ours = ranking_metrics(spark.createDataFrame(top, "user int, rank int, hit int"),
                            spark.createDataFrame(rel, "user int, n_rel int"), k).first()
-    rm = RankingMetrics(spark.sparkContext.parallelize(
-        [([float(p) for p in pred], [float(x) for x in labels]) for pred, labels in data]))
-    assert abs(ours["map"] - rm.meanAveragePrecision) < 1e-9
-    assert abs(ours["map_at_k"] - rm.meanAveragePrecisionAt(k)) < 1e-9
-    assert abs(ours["precision_at_k"] - rm.precisionAt(k)) < 1e-9
-    assert abs(ours["recall_at_k"] - rm.recallAt(k)) < 1e-9
-    assert abs(ours["ndcg_at_k"] - rm.ndcgAt(k)) < 1e-9
+    lists = spark.createDataFrame([([float(p) for p in pred], [float(x) for x in labels])
+                                   for pred, labels in data],
+                                  "prediction array<double>, label array<double>")
+    def spark_metric(name):
+        return RankingEvaluator(metricName=name, k=k).evaluate(lists)
+    assert abs(ours["map"] - spark_metric("meanAveragePrecision")) < 1e-9
+    assert abs(ours["map_at_k"] - spark_metric("meanAveragePrecisionAtK")) < 1e-9
+    assert abs(ours["precision_at_k"] - spark_metric("precisionAtK")) < 1e-9
+    assert abs(ours["recall_at_k"] - spark_metric("recallAtK")) < 1e-9
+    assert abs(ours["ndcg_at_k"] - spark_metric("ndcgAtK")) < 1e-9
