@@ -77,7 +77,7 @@ def test_more_iterations_do_not_worsen_in_sample_fit(spark):
 def test_registered_als_queries_run(spark):
     for name in ["als_implicit_predict", "als_factors", "als_recommend_users",
                  "als_insample_metrics", "als_tuned_tvs", "als_holdout_metrics",
-                 "als_ranking_metrics"]:
+                 "als_ranking_metrics", "als_recommend_explicit"]:
         df = QUERIES[name](spark, SF01)
         assert df.count() > 0, name
     per_model = QUERIES["als_holdout_metrics"](spark, SF01).collect()
