@@ -137,3 +137,24 @@ def test_collapse_repeated_pairs(spark):
     assert got["mean"] == [(1, 1, 2.0), (2, 1, 2.0)]
     with pytest.raises(ValueError):
         ops.to_ratings(df, collapse="first")
+
+
+def test_cluster_without_shared_checkpoint_folder_is_refused():
+    from rankloom.session import checkpoint_root
+
+    class _Ctx:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Session:
+        sparkContext = _Ctx()
+        conf = _Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(_Session())
