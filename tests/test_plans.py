@@ -20,7 +20,8 @@ def static_plans(spark):
     spark.conf.set("spark.sql.adaptive.enabled", old)
 
 
-@pytest.mark.parametrize("name", ["model1_matrix", "model3_matrix", "model4_matrix"])
+@pytest.mark.parametrize("name", ["model1_matrix", "model2_matrix", "model3_matrix",
+                                  "model4_matrix"])
 def test_one_shuffle_of_the_event_side(spark, static_plans, name):
     plan = _plan(QUERIES[name](spark, SF01))
     # the dimension side is a broadcast (checked size); the only hash shuffle is the
@@ -39,3 +40,11 @@ def test_top_n_emits_no_pair_table(spark, static_plans):
     plan = _plan(QUERIES["topn_products_per_user"](spark, SF01))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "Exchange" not in plan          # scored in place, partition by partition
+
+
+@pytest.mark.parametrize("name", ["latest_category_join", "events_with_category",
+                                  "events_of_active_semi", "events_of_active_gt1"])
+def test_checked_dimension_joins_do_not_shuffle_the_fact_side(spark, static_plans, name):
+    plan = _plan(QUERIES[name](spark, SF01))
+    assert "Exchange hashpartitioning" not in plan, plan
+    assert "BroadcastHashJoin" in plan
