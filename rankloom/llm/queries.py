@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, merge_replay, token_files
+from . import chat_render, exact_dedup, merge_replay, template_leaks, token_files
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,11 +26,24 @@ def op1_token_orc(spark, sf_dir):
     return token_files.token_stream(_documents(spark, sf_dir))
 
 
+@query
+def op2_template_leaks(spark, sf_dir):
+    return template_leaks.find_leaks(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op4_merge_replay(spark, sf_dir):
     return merge_replay.token_digests(_documents(spark, sf_dir))
 
 
+@query
+def op6_chat_render(spark, sf_dir):
+    extra = spark.createDataFrame([(-1, t, r, "</s>[INST] ok [/INST]") for t, r in enumerate(("user", "assistant"))],
+                                  "conv_id long, turn long, role string, text string")
+    return chat_render.formatted_digests(
+        read_table(spark, sf_dir, "conversations").select(*extra.columns).unionByName(extra))
+
+
 @query
 def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.dedup_report(_documents(spark, sf_dir))
