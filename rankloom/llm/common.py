@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ..sources.tables import read_table
 
-__all__ = ["read_table", "scratch_path", "fresh_name", "stored", "map_batches", "texts_of",
+__all__ = ["read_table", "scratch_path", "fresh_name", "stored", "slices", "map_batches", "texts_of",
            "is_held_out", "ragged", "text_rows"]
 
 
@@ -33,11 +33,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterable[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``size`` bytes (a row at least), so that what a task
+    builds per slice stays small however long the texts of a batch are."""
+    for batch in batches:
+        n = batch.num_rows
+        step = max(1, n * size // max(batch.nbytes, 1))
+        for start in range(0, n, step):
+            yield batch.slice(start, step)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
-                schema: str) -> DataFrame:
-    """``fn`` over Arrow batches, one at a time."""
+                schema: str, size: int = 4 << 20) -> DataFrame:
+    """``fn`` over Arrow batches, a slice at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, size):
             out = fn(batch)
             if out is not None and out.num_rows:
                 yield out

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_render, exact_dedup, merge_replay, template_leaks, token_files
+from . import (chat_render, co_training, exact_dedup, language_id, merge_replay, template_leaks,
+               token_files)
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +37,11 @@ def op4_merge_replay(spark, sf_dir):
     return merge_replay.token_digests(_documents(spark, sf_dir))
 
 
+@query
+def op5_co_training(spark, sf_dir):
+    return co_training.quality(_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
 @query
 def op6_chat_render(spark, sf_dir):
     extra = spark.createDataFrame([(-1, t, r, "</s>[INST] ok [/INST]") for t, r in enumerate(("user", "assistant"))],
@@ -44,6 +50,11 @@ def op6_chat_render(spark, sf_dir):
         read_table(spark, sf_dir, "conversations").select(*extra.columns).unionByName(extra))
 
 
+@query
+def op7_language_id(spark, sf_dir):
+    return language_id.languages(_documents(spark, sf_dir))
+
+
 @query
 def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.dedup_report(_documents(spark, sf_dir))
