@@ -6,8 +6,8 @@ where it stands.  Ranks are taken in ascending order; each merge is applied at a
 positions at once and only the neighbours it touches get new index entries.  A piece thus
 sees its merges in the order a piece-by-piece encoder would apply them.
 
-Spark partitions the documents; a chunk is one Arrow batch of one partition, so memory is
-bounded by the batch and nothing is shuffled.  Pieces already replayed by the worker are
+Spark partitions the documents; a chunk is ``CHUNK`` bytes of one partition, so
+memory is bounded by the chunk and nothing is shuffled.  Pieces already replayed by the worker are
 remembered up to ``MEMORY`` pieces.
 """
 
@@ -28,7 +28,9 @@ from .pieces import split
 
 NO_RANK = np.int64(1) << 40
 #: Pieces a worker remembers between batches; beyond that it starts over.
-MEMORY = 400_000
+MEMORY = 300_000
+#: Bytes of text whose new pieces are replayed together.
+CHUNK = 8 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -232,23 +234,41 @@ def encode(docs: DataFrame, rank_file: str = "byte_bpe_multi_50k.tiktoken",
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())],
                                           names=["doc_id", "ids"])
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(rows, run, "doc_id long, ids binary")
+    return map_batches(rows, run, "doc_id long, ids binary", CHUNK)
+
+
+def _decoded(merges: Merges, ids: np.ndarray) -> bytes:
+    return b"".join(map(merges.tokens.__getitem__, ids.tolist()))
 
 
 def decode(tokens: DataFrame, rank_file: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
     """The input's (doc_id, ids) with ``decoded``: the bytes that the ids stand for."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        token = _encoder(public_tokenizers.path(rank_file)).merges.tokens
-        out = [b"".join(map(token.__getitem__, np.frombuffer(v.as_py(), "<u4").tolist()))
-               for v in batch.column(1)]
+        merges = _encoder(public_tokenizers.path(rank_file)).merges
+        out = [_decoded(merges, np.frombuffer(v.as_py(), "<u4")) for v in batch.column(1)]
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())],
                                           names=["doc_id", "ids", "decoded"])
     return map_batches(tokens.select("doc_id", "ids"), run, "doc_id long, ids binary, decoded binary")
 
 
+def round_trip(docs: DataFrame, rank_file: str = "byte_bpe_multi_50k.tiktoken",
+               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one pass: one Python worker a task holds the tables."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        enc = _encoder(public_tokenizers.path(rank_file))
+        ids, out = [], []
+        for x in enc.encode(texts_of(batch.column(1))):
+            ids.append(x.astype("<u4").tobytes())
+            out.append(_decoded(enc.merges, np.frombuffer(ids[-1], "<u4")))
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(ids, pa.binary()), pa.array(out, pa.binary())],
+            names=["doc_id", "ids", "decoded"])
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return map_batches(rows, run, "doc_id long, ids binary, decoded binary", CHUNK)
+
+
 def token_digests(docs: DataFrame, rank_file: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256 (after a round trip)."""
-    both = decode(encode(docs, rank_file), rank_file)
-    return both.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
-                       F.sha2("ids", 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+    return round_trip(docs, rank_file).select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
