@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from .common import fresh_name, scratch_path, stored
 
+#: Rows (id and digest, 48 bytes each) broadcast at most; beyond, a shuffle join.
+MAX_SHIPPED = 500_000
 WHITE_SPACE_RUN = r"[\x20\x09-\x0D]+"
 
 
@@ -127,17 +129,22 @@ def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, all columns kept (see ``dedup_report``).
 
-    The rows to drop are fewer than the rows, so they are what is joined: an anti-join on a
-    row tag.  ``docs`` must be read the same way twice (a stored table is)."""
-    tag = fresh_name(docs.columns, "row_no")
-    digest = fresh_name([*docs.columns, tag], "digest")
-    tagged = docs.withColumn(tag, F.monotonically_increasing_id())
-    rows = stored(tagged.select(F.col(id_col).cast("long").alias("doc_id"),
-                                text_digest(F.col(text_col)).alias("digest"),
-                                F.col(tag).alias("row_no")), "digests")
+    The ids and digests of the rows that go are joined against the rows; rows that repeat id
+    and text are told apart only if there are any."""
+    taken = docs.columns
+    own_id, own_digest = fresh_name(taken, "digest_id"), fresh_name(taken, "digest")
+    rows = digest_rows(docs, id_col, text_col)
     index = DigestIndex.open(docs.sparkSession)
     first = _first_rows(rows)
     index.add(first.select("digest", "keep_id"))
-    losers = (rows.join(first.filter("group_size > 1").select("digest", "keep_row"), "digest")
-              .filter("row_no <> keep_row").select(F.col("row_no").alias(tag)))
-    return tagged.join(losers, tag, "left_anti").select(*docs.columns)
+    shared = stored(rows.join(first.filter("group_size > 1"), "digest")
+                    .select("doc_id", "digest", "keep_id", "row_no", "keep_row"), "shared")
+    losers = (shared.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "digest").distinct())
+    repeats = (shared.filter(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("row_no") != F.col("keep_row"))))
+    digested = docs.withColumn(own_id, F.col(id_col).cast("long")).withColumn(own_digest, text_digest(F.col(text_col)))
+    on = F.col(own_id).eqNullSafe(losers["doc_id"]) & (F.col(own_digest) == losers["digest"])
+    small = losers.count() <= MAX_SHIPPED
+    kept = digested.join(F.broadcast(losers) if small else losers, on, "left_anti")
+    if not repeats.isEmpty():
+        kept = kept.dropDuplicates([own_id, own_digest])
+    return kept.select(*docs.columns)

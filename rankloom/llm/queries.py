@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chat_render, co_training, exact_dedup, language_id, merge_replay, template_leaks,
-               token_files)
+from . import (chat_render, co_training, deobfuscate, exact_dedup, jaccard_join, language_id,
+               merge_replay, template_leaks, token_files)
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,13 @@ def op7_language_id(spark, sf_dir):
 @query
 def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.dedup_report(_documents(spark, sf_dir))
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    return deobfuscate.toxicity(_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_jaccard_join(spark, sf_dir):
+    return jaccard_join.link_components(_documents(spark, sf_dir))

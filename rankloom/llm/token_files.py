@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import map_batches, ragged, scratch_path, text_rows, texts_of
+from .common import map_batches, ragged, scratch_path, slices, text_rows, texts_of
 from .pieces import split
 
 SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 ROWS_PER_INDEX = 1000
 STRIPE_BYTES = 64 << 20
 #: Pieces a worker remembers between batches; beyond that it starts over.
-MEMORY = 400_000
+MEMORY = 300_000
 
 
 class _Encoder:
@@ -106,7 +106,7 @@ def tokenised(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(public_tokenizers.path(tokenizer))
         part, done = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in slices(batches, 8 << 20):
             found = enc.encode(texts_of(batch.column(1)))
             lens = np.fromiter(map(len, found), np.int64, len(found)) + 1
             ends = np.cumsum(lens)
@@ -156,7 +156,7 @@ def stream_digests(spark: SparkSession, path: str) -> DataFrame:
     """Per document, from the files alone: doc_id, start, n_tokens, ids_crc32."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         lists = batch.column(3)
-        values = np.asarray(lists.values, dtype="<u4")
+        values = np.asarray(lists.values).astype("<u4", copy=False)
         at = np.asarray(lists.offsets)
         crc = [zlib.crc32(values[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
         return pa.RecordBatch.from_arrays(
