@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (chat_render, co_training, deobfuscate, exact_dedup, jaccard_join, language_id,
-               merge_replay, template_leaks, token_files)
+               merge_replay, suffix_dedup, template_leaks, token_files)
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,11 @@ def op2_template_leaks(spark, sf_dir):
     return template_leaks.find_leaks(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op3_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.removal_report(_documents(spark, sf_dir))
+
+
 @query
 def op4_merge_replay(spark, sf_dir):
     return merge_replay.token_digests(_documents(spark, sf_dir))
