@@ -139,10 +139,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     index.add(first.select("digest", "keep_id"))
     shared = stored(rows.join(first.filter("group_size > 1"), "digest")
                     .select("doc_id", "digest", "keep_id", "row_no", "keep_row"), "shared")
-    losers = (shared.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "digest").distinct())
+    losers = (shared.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")).distinct())
     repeats = (shared.filter(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("row_no") != F.col("keep_row"))))
     digested = docs.withColumn(own_id, F.col(id_col).cast("long")).withColumn(own_digest, text_digest(F.col(text_col)))
-    on = F.col(own_id).eqNullSafe(losers["doc_id"]) & (F.col(own_digest) == losers["digest"])
+    on = digested[own_id].eqNullSafe(losers["gone_id"]) & (digested[own_digest] == losers["gone_digest"])
     small = losers.count() <= MAX_SHIPPED
     kept = digested.join(F.broadcast(losers) if small else losers, on, "left_anti")
     if not repeats.isEmpty():

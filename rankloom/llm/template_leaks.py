@@ -36,6 +36,8 @@ MIN_SHARE = 0.4
 MIN_LITERALS = 3
 MAX_SHIPPED = 1_000_000
 MEMORY = 1_000_000
+#: Ids of contaminated documents broadcast at most (8 bytes each); beyond, a shuffle join.
+MAX_DROPPED = 2_000_000
 
 # Units that may follow a number.
 UNITS = frozenset("""% $ € £ kg g mg t lb lbs oz km m cm mm mi mile miles ft in l ml s ms min h hr
@@ -215,3 +217,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
             .withColumn("share", F.col("matched") / F.col("n_windows"))
             .filter(F.col("share") >= min_share)
             .select("doc_id", "item_id", "matched", "n_windows", "share", "reworded"))
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose document is not contaminated, all columns kept.  Rows that
+    repeat an id go together; rows without an id stay."""
+    leaks = stored(find_leaks(docs, benchmark, id_col, text_col).filter(F.col("doc_id").isNotNull())
+                   .select(F.col("doc_id").alias(id_col)).distinct(), "leaks")
+    small = leaks.count() <= MAX_DROPPED
+    return docs.join(F.broadcast(leaks) if small else leaks, id_col, "left_anti").select(*docs.columns)
