@@ -15,16 +15,14 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
-
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, ragged, texts_of
-from .pieces import split
+from .common import map_batches, ragged
+from .pieces import TextIds
 
 NO_RANK = np.int64(1) << 40
 #: Pieces a worker remembers between batches; beyond that it starts over.
@@ -168,49 +166,28 @@ def replay(merges: Merges, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]
 
 
 class CorpusEncoder:
-    """Encodes texts chunk by chunk; holds the ids of the pieces it has replayed."""
+    """Encodes texts chunk by chunk; the pieces that are new in a chunk are replayed together."""
 
     def __init__(self, path: str):
         self.merges = Merges(load_ranks(path))
-        self._forget()
-
-    def _forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids = np.zeros(0, np.int32)
-        self.starts = np.zeros(0, np.int64)
-        self.lens = np.zeros(0, np.int64)
+        self.texts = TextIds(self._replayed, MEMORY)
 
-    def _learn(self, new: list[str]) -> None:
-        flat, counts, raw = [], np.zeros(len(new), np.int64), [p.encode("utf-8", "replace") for p in new]
+    def _replayed(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         whole = [self.merges.ranks.get(p) for p in raw]  # a piece that is a token is that token
         rest = [k for k, w in enumerate(whole) if w is None]
+        known = [k for k, w in enumerate(whole) if w is not None]
         ids, lens = replay(self.merges, [raw[k] for k in rest])
-        counts[:] = 1
+        counts = np.ones(len(raw), np.int64)
         counts[rest] = lens
-        flat = np.zeros(int(counts.sum()), np.int32)
         starts = np.cumsum(counts) - counts
-        known = [k for k, w in enumerate(whole) if w is not None]
+        flat = np.zeros(int(counts.sum()), np.int32)
         flat[starts[known]] = [whole[k] for k in known]
         flat[ragged(starts[rest], lens)] = ids
-        self.starts = np.append(self.starts, starts + len(self.ids))
-        self.lens = np.append(self.lens, counts)
-        self.ids = np.append(self.ids, flat)
-
-    def encode(self, texts: Iterator[str]) -> Iterator[np.ndarray]:
-        """int32 ids of each text."""
-        if len(self.number) > MEMORY:
-            self._forget()
-        number, docs, new = self.number, [], []
-        for text in texts:
-            pieces = split(text)
-            for p in set(pieces).difference(number):
-                number[p] = len(number)
-                new.append(p)
-            docs.append(np.fromiter(map(number.__getitem__, pieces), np.int32, len(pieces)))
-        if new:
-            self._learn(new)
-        for at in docs:
-            yield self.ids[ragged(self.starts[at], self.lens[at])]
+        return flat, counts
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """int32 ids of each text of a string column; null is the empty text."""
+        return self.texts.of(texts)
 
 
 _ENCODERS: dict[str, CorpusEncoder] = {}
@@ -230,7 +207,7 @@ def encode(docs: DataFrame, rank_file: str = "byte_bpe_multi_50k.tiktoken",
     found on each executor."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         enc = _encoder(public_tokenizers.path(rank_file))
-        ids = [x.astype("<u4").tobytes() for x in enc.encode(texts_of(batch.column(1)))]
+        ids = [x.astype("<u4").tobytes() for x in enc.encode(batch.column(1))]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())],
                                           names=["doc_id", "ids"])
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -257,7 +234,7 @@ def round_trip(docs: DataFrame, rank_file: str = "byte_bpe_multi_50k.tiktoken",
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         enc = _encoder(public_tokenizers.path(rank_file))
         ids, out = [], []
-        for x in enc.encode(texts_of(batch.column(1))):
+        for x in enc.encode(batch.column(1)):
             ids.append(x.astype("<u4").tobytes())
             out.append(_decoded(enc.merges, np.frombuffer(ids[-1], "<u4")))
         return pa.RecordBatch.from_arrays(

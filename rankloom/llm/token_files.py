@@ -22,19 +22,21 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import map_batches, ragged, scratch_path, slices, text_rows, texts_of
-from .pieces import split
+from .common import map_batches, ragged, scratch_path, slices, text_rows
+from .pieces import TextIds
 
 SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 ROWS_PER_INDEX = 1000
 STRIPE_BYTES = 64 << 20
 #: Pieces a worker remembers between batches; beyond that it starts over.
 MEMORY = 300_000
+ASKED = 10_000  # pieces handed to the library at once
 
 
 class _Encoder:
@@ -52,43 +54,48 @@ class _Encoder:
         pre = spec.get("pre_tokenizer") or {}
         self.by_piece = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                          and not pre.get("add_prefix_space") and not spec.get("normalizer"))
+        vocabulary = self.tokenizer.get_vocab()
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.n_bytes[number] = len(token)  # byte-level: a character stands for a byte
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        self._forget()
-
-    def _forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids = np.zeros(0, np.int32)
-        self.starts = np.zeros(0, np.int64)
-        self.lens = np.zeros(0, np.int64)
+        self.texts = TextIds(self._asked, MEMORY)
+
+    def _asked(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces.  Those that open with a space are asked for as one text, since the
+        pre-tokenizer parts them there again; the bytes of the tokens tell them apart."""
+        opens = np.array([len(p) > 1 and p[0] == 32 and p[1] > 32 for p in new])
+        lens, flat = np.zeros(len(new), np.int64), []
+        at, rest = np.flatnonzero(opens), np.flatnonzero(~opens)
+        for start in range(0, len(at), ASKED):
+            part = at[start:start + ASKED]
+            pieces = [new[k] for k in part.tolist()]
+            ids = self._whole(b"".join(pieces).decode("utf-8", "surrogatepass"))
+            cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum(list(map(len, pieces)))) + 1
+            lens[part] = np.diff(np.append(0, cuts))
+            flat.append(ids)
+        for start in range(0, len(rest), ASKED):
+            part = rest[start:start + ASKED]
+            texts = [new[k].decode("utf-8", "surrogatepass") for k in part.tolist()]
+            for k, e in zip(part.tolist(), self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                ids = np.array(e.ids, np.int32)
+                lens[k] = len(ids)
+                flat.append(ids)
+        order = np.append(at, rest)
+        ids = np.zeros(int(lens.sum()), np.int32)
+        ids[ragged((np.cumsum(lens) - lens)[order], lens[order])] = np.concatenate(flat)
+        return ids, lens
 
     def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
-
-    def _learn(self, new: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        lens = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.int32, int(lens.sum()))
-        self.starts = np.append(self.starts, np.cumsum(lens) - lens + len(self.ids))
-        self.lens = np.append(self.lens, lens)
-        self.ids = np.append(self.ids, flat)
-
-    def encode(self, texts: Iterator[str]) -> list[np.ndarray]:
-        if len(self.number) > MEMORY:
-            self._forget()
-        number, new, docs = self.number, [], []
-        for text in texts:
-            if not self.by_piece or any(s in text for s in self.special):
-                docs.append((None, self._whole(text)))
-                continue
-            pieces = split(text)
-            for p in set(pieces).difference(number):
-                number[p] = len(number)
-                new.append(p)
-            docs.append((np.fromiter(map(number.__getitem__, pieces), np.int32, len(pieces)), None))
-        if new:
-            self._learn(new)
-        return [whole if at is None else self.ids[ragged(self.starts[at], self.lens[at])]
-                for at, whole in docs]
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """int32 ids of each text of a string column without nulls."""
+        whole = np.full(len(texts), not self.by_piece)
+        for mark in self.special:
+            whole |= np.asarray(pc.match_substring(texts, mark))
+        rest = iter(self.texts.of(texts.filter(pa.array(~whole))))
+        return [self._whole(texts[k].as_py()) if w else next(rest) for k, w in enumerate(whole.tolist())]
 
 
 _ENCODERS: dict[str, _Encoder] = {}
@@ -107,7 +114,7 @@ def tokenised(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int
         enc = _encoder(public_tokenizers.path(tokenizer))
         part, done = TaskContext.get().partitionId(), 0
         for batch in slices(batches, 8 << 20):
-            found = enc.encode(texts_of(batch.column(1)))
+            found = enc.encode(batch.column(1))
             lens = np.fromiter(map(len, found), np.int64, len(found)) + 1
             ends = np.cumsum(lens)
             flat = np.full(int(lens.sum()), end_id, np.int32)
