@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ..sources.tables import read_table
 
-__all__ = ["read_table", "scratch_path", "fresh_name", "stored", "slices", "map_batches", "texts_of",
+__all__ = ["read_table", "scratch_path", "fresh_name", "stored", "discard", "slices", "map_batches", "texts_of",
            "is_held_out", "ragged", "text_rows"]
 
 
@@ -25,12 +25,39 @@ def fresh_name(taken: Iterable[str], base: str) -> str:
     return base
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+FILE_BYTES = 32 << 20  # shuffled bytes behind one file of a stored table, at least
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read again: computed once, lineage
-    cut, readable by every executor after any loss."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    cut, readable by every executor after any loss.
+
+    The write's own shuffle files go when it is done, so disk holds one step's shuffles and
+    not those of all steps; and it is not cut into many small files."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = {k: spark.conf.get(k) for k in (CLEANUP, ADVISORY)}
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before[ADVISORY])
+    spark.conf.set(CLEANUP, "true")
+    spark.conf.set(ADVISORY, str(max(size, FILE_BYTES)))
+    try:
+        df.write.parquet(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of ``stored`` tables that no later step reads."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def slices(batches: Iterable[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
