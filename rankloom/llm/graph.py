@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -38,10 +38,11 @@ def components(links: DataFrame) -> DataFrame:
     Minima are aggregated before they are shuffled and joined back, so a node with very
     many links is folded map-side and its join partition can be split; each round is
     stored, which cuts the lineage.  A round or two more than the log of the longest path."""
-    edges = stored(links.select("u", "v").filter("u <> v").distinct(), "links")
+    edges = stored(links.select("u", "v").filter("u <> v").distinct(), "links", few=True)
     before = _mark(edges)
     while True:
-        edges = stored(_small_star(_large_star(edges)), "links")
+        last, edges = edges, stored(_small_star(_large_star(edges)), "links", few=True)
+        discard(last)
         now = _mark(edges)
         if now == before:
             return edges.select("u", F.col("v").alias("root"))

@@ -20,8 +20,8 @@ set that links with nothing.  Two documents link when their Jaccard similarity i
    of ``BLOCK`` members, two blocks a task.  Only pairs that can still join two components
    are verified; links inside a component change nothing and are not looked for.
 
-The suffix filter compares histograms of two sets over ``CELLS`` hash cells: the sum of the
-smaller counts bounds the intersection.  Buckets of frequent shingles are split into blocks
+The suffix filter compares histograms of two sets over ``CELLS`` hash cells (large sets over
+``FINE`` cells as well): the sum of the smaller counts bounds the intersection.  Buckets of frequent shingles are split into blocks
 from the start, so no task holds a hot bucket.
 """
 
@@ -31,61 +31,66 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import map_batches, slices, stored, text_rows, texts_of
+from .common import discard, map_batches, ragged, slices, stored, text_rows
 from .graph import components
 
 WORDS = 4
 PERCENT = 85
-CELLS = 64
+CELLS = 256
+#: Sets above FINE_FROM shingles are compared over FINE cells as well.
+FINE, FINE_FROM = 1024, 512
 BLOCK = 1024
 #: Buckets of at most so many members are joined with themselves, larger ones searched in blocks.
 SMALL = 32
+LISTED = 16
 #: Frequent shingles whose counts order the others: the most frequent of the corpus.
 FREQUENT = 1 << 18
 #: A slice of a task (about 4 MB of text) reports a shingle from this many documents on.
 REPORTED = 4
-MEMORY = 1_000_000  # words a worker remembers
 MAX_SHIPPED = 2_000_000  # ids broadcast at most (8 bytes each); beyond, a shuffle join
 
 
-class _Names:
-    """64-bit names of words, remembered."""
-
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > MEMORY:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-
-
-_NAMES = _Names()
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
-def shingles(text: str, names: _Names = _NAMES) -> np.ndarray:
-    """The sorted distinct names of a text's shingles (signed 64-bit)."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, np.int64)
-    w = names.of(words)
-    size = min(WORDS, len(w))
-    h = np.full(len(w) - size + 1, size, np.uint64)
-    for k in range(size):
-        h = (h ^ w[k:len(w) - size + 1 + k]) * _A
-        h ^= h >> np.uint64(32)
+def _word_names(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit name of every word of all texts, number of words of each text)."""
+    words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    coded = words.flatten().dictionary_encode()
+    distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+    names = np.fromiter(map(xxhash.xxh64_intdigest, distinct), np.uint64, len(distinct))
+    at, owner = np.asarray(coded.indices), np.repeat(np.arange(len(texts)), np.asarray(pc.list_value_length(words)))
+    solid = np.array([w != b"" for w in distinct], bool)[at] if len(at) else np.zeros(0, bool)
+    return names[at[solid]], np.bincount(owner[solid], minlength=len(texts))
+
+
+def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(the sorted distinct shingle names of every text one after the other, set sizes)."""
+    w, n = _word_names(texts)
+    size = np.minimum(n, WORDS)  # words of a text's shingles
+    many = np.where(n > 0, n - size + 1, 0)  # shingles of a text, repeats included
+    start = ragged(np.cumsum(n) - n, many)
+    owner_size = np.repeat(size, many)
+    h = owner_size.astype(np.uint64)
+    for k in range(WORDS):
+        there = owner_size > k if k else slice(None)
+        x = (h[there] ^ w[start[there] + k]) * _A
+        h[there] = x ^ x >> np.uint64(32)
     h *= _B
-    h ^= h >> np.uint64(29)
-    return np.unique(h.view(np.int64))
+    h = (h ^ h >> np.uint64(29)).view(np.int64)
+    ends = np.cumsum(many)
+    for a, b in zip((ends - many).tolist(), ends.tolist()):
+        h[a:b].sort()
+    keep = np.ones(len(h), bool)
+    keep[1:] = h[1:] != h[:-1]
+    keep[(ends - many)[many > 0]] = True
+    return h[keep], np.bincount(np.repeat(np.arange(len(n)), many)[keep], minlength=len(n))
 
 
 def least_overlap(n_u, n_v, percent: int = PERCENT):
@@ -98,27 +103,30 @@ def prefix_length(n, percent: int = PERCENT):
 
 
 def _sets(rows: DataFrame) -> DataFrame:
-    """One pass: (id, n, digest) of every document, and (token, seen) of frequent shingles
-    with a null digest."""
+    """One pass: (id, n, digest, cells) of every document, and (token, seen) of frequent
+    shingles with a null digest.  ``cells`` is the histogram of the suffix filter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["id", "n", "digest", "cells"]
         for batch in slices(batches):
-            found = [shingles(t) for t in texts_of(batch.column(1))]
-            n = [len(s) for s in found]
-            digest = [xxhash.xxh3_128_digest(s.tobytes()) for s in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary())],
-                                             names=["id", "n", "digest"])
-            token, seen = np.unique(np.concatenate(found), return_counts=True)
+            flat, n = shingle_sets(batch.column(1))
+            ends = np.cumsum(n)
+            digest = [xxhash.xxh3_128_digest(flat[a:b]) for a, b in zip((ends - n).tolist(), ends.tolist())]
+            cell = np.repeat(np.arange(len(n)), n) * CELLS + (flat & (CELLS - 1))
+            cells = np.bincount(cell, minlength=len(n) * CELLS).astype(np.int32)
+            cells = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * CELLS), pa.array(cells))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n.astype(np.int64)),
+                                              pa.array(digest, pa.binary()), cells], names=names)
+            token, seen = np.unique(flat, return_counts=True)
             often = seen >= REPORTED
             token, seen = token[often], seen[often]
-            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(seen), pa.nulls(len(token), pa.binary())],
-                                             names=["id", "n", "digest"])
-    return stored(rows.mapInArrow(run, "id long, n long, digest binary"), "sets")
+            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(seen), pa.nulls(len(token), pa.binary()),
+                                              pa.nulls(len(token), cells.type)], names=names)
+    return stored(rows.mapInArrow(run, "id long, n long, digest binary, cells array<int>"), "sets")
 
 
 def _only(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Semi- or anti-join on the one column of ``ids``, which are broadcast when their
     checked number is small."""
-    ids = stored(ids, "ids")
     small = ids.count() <= MAX_SHIPPED
     return rows.join(F.broadcast(ids) if small else ids, ids.columns[0], how)
 
@@ -126,25 +134,36 @@ def _only(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 def _prefixes(rows: DataFrame, token: np.ndarray, seen: np.ndarray, percent: int) -> DataFrame:
     """(token, parts, block, id, n, pos): the rare-first prefix of every set, the buckets of
     frequent shingles in several parts."""
+    may = np.zeros(1 << 22, bool)
+    may[token & (len(may) - 1)] = True
+
+    def counts(names: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(names), np.int64)
+        at = np.flatnonzero(may[names & (len(may) - 1)])
+        if len(at):
+            k = np.minimum(np.searchsorted(token, names[at]), len(token) - 1)
+            out[at] = np.where(token[k] == names[at], seen[k], 0)
+        return out
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        out, ids = [], batch.column(0).to_numpy()
-        for k, text in enumerate(texts_of(batch.column(1))):
-            s = shingles(text)
-            if not len(s):
-                continue
-            often = np.zeros(len(s), np.int64)
-            if len(token):
-                at = np.minimum(np.searchsorted(token, s), len(token) - 1)
-                often = np.where(token[at] == s, seen[at], 0)
-            first = np.lexsort((s, often))[:prefix_length(len(s), percent)]
-            # as many blocks as the shingle's count asks for, a document in one by its id
-            parts = often[first] // BLOCK + 1
-            block = (int(ids[k]) * 0x9E3779B1 >> 7 & 0x7FFFFFFF) % parts
-            out.append((s[first], parts, block, np.full(len(first), ids[k]), np.full(len(first), len(s)),
-                        np.arange(len(first))))
-        if not out:
+        flat, n = shingle_sets(batch.column(1))
+        often, ends, take = counts(flat), np.cumsum(n), []
+        for a, b, p in zip((ends - n).tolist(), ends.tolist(), prefix_length(n, percent).tolist()):
+            if a < b:
+                rare = np.flatnonzero(often[a:b] == 0)[:p]
+                if len(rare) < p:  # sets are sorted by name, so a stable sort by count is the order
+                    rare = np.argsort(often[a:b], kind="stable")[:p]
+                take.append(rare + a)
+        if not take:
             return None
-        cols = [np.concatenate(c) for c in zip(*out)]
+        size = np.array([len(t) for t in take])
+        at = np.concatenate(take)
+        ids, n = (np.repeat(x[n > 0], size) for x in (batch.column(0).to_numpy(), n))
+        pos = np.arange(len(at)) - np.repeat(np.cumsum(size) - size, size)
+        # as many blocks as the shingle's count asks for, a document in one by its id
+        parts = often[at] // BLOCK + 1
+        block = ((ids * 0x9E3779B1) >> 7 & 0x7FFFFFFF) % parts
+        cols = (flat[at], parts, block, ids, n, pos)
         kinds = (np.int64, np.int32, np.int32, np.int64, np.int32, np.int32)
         return pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(cols, kinds)],
                                           names=["token", "parts", "block", "id", "n", "pos"])
@@ -152,14 +171,16 @@ def _prefixes(rows: DataFrame, token: np.ndarray, seen: np.ndarray, percent: int
 
 
 def _set_rows(rows: DataFrame) -> DataFrame:
-    """(id, n, cells, set) of documents that share a bucket."""
+    """(id, n, fine, set) of some documents; ``fine`` is empty for small sets."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [shingles(t) for t in texts_of(batch.column(1))]
-        cells = [np.bincount(s & (CELLS - 1), minlength=CELLS).astype(np.int32) for s in found]
+        flat, n = shingle_sets(batch.column(1))
+        ends = np.append(0, np.cumsum(n)).astype(np.int32)
+        fine = [np.bincount(flat[a:b] & (FINE - 1), minlength=FINE).astype(np.int32) if b - a > FINE_FROM else []
+                for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(s) for s in found], pa.int32()), pa.array(cells, pa.list_(pa.int32())),
-             pa.array(found, pa.list_(pa.int64()))], names=["id", "n", "cells", "set"])
-    return map_batches(rows, run, "id long, n int, cells array<int>, set array<long>")
+            [batch.column(0), pa.array(n.astype(np.int32)), pa.array(fine, pa.list_(pa.int32())),
+             pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["id", "n", "fine", "set"])
+    return map_batches(rows, run, "id long, n int, fine array<int>, set array<long>")
 
 
 def _may_link(n_u: Column, pos_u: Column, n_v: Column, pos_v: Column, percent: int) -> Column:
@@ -169,18 +190,28 @@ def _may_link(n_u: Column, pos_u: Column, n_v: Column, pos_v: Column, percent: i
     return (100 * F.least(n_u, n_v) >= percent * F.greatest(n_u, n_v)) & (room >= least)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (u, v) of ``pairs`` that link: suffix filter first, then the sets themselves."""
-    slim = sets.select("id", "n", "cells")
+def _verified(pairs: DataFrame, cells: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The (u, v) of ``pairs`` that link, stored: suffix filter first, then the sets of the
+    documents that are left in some pair."""
     side = lambda df, s: df.select(*[F.col(c).alias({"id": s}.get(c, f"{c}_{s}")) for c in df.columns])
-    shared = F.aggregate(F.zip_with("cells_u", "cells_v", lambda a, b: F.least(a, b)), F.lit(0), lambda a, b: a + b)
-    # shared / (n_u + n_v - shared) >= percent / 100
-    near = (pairs.join(side(slim, "u"), "u").join(side(slim, "v"), "v")
-            .filter((100 + percent) * shared >= percent * (F.col("n_u") + F.col("n_v"))).select("u", "v"))
-    full = sets.select("id", "n", "set")
+    # common / (n_u + n_v - common) >= percent / 100
+    links = lambda common: (100 + percent) * common >= percent * (F.col("n_u") + F.col("n_v"))
+    shared = lambda c: F.aggregate(F.zip_with(f"{c}_u", f"{c}_v", lambda a, b: F.least(a, b)), F.lit(0),
+                                   lambda a, b: a + b)
+    near = stored(pairs.join(side(cells, "u"), "u").join(side(cells, "v"), "v").filter(links(shared("cells")))
+                  .select("u", "v"), "near", few=True)
+    ids = near.select(F.col("u").alias("id")).union(near.select("v")).distinct()
+    members = stored(_set_rows(_only(rows, ids, "left_semi")), "members")
+    fine = members.select("id", "n", "fine")
+    nearer = stored(near.join(side(fine, "u"), "u").join(side(fine, "v"), "v")
+                    .filter((F.size("fine_u") == 0) | (F.size("fine_v") == 0) | links(shared("fine")))
+                    .select("u", "v"), "nearer", few=True)
+    sets = members.select("id", "n", "set")
     common = F.size(F.array_intersect("set_u", "set_v"))
-    return (near.join(side(full, "u"), "u").join(side(full, "v"), "v")
-            .filter((100 + percent) * common >= percent * (F.col("n_u") + F.col("n_v"))).select("u", "v"))
+    found = stored(nearer.join(side(sets, "u"), "u").join(side(sets, "v"), "v").filter(links(common)).select("u", "v"),
+                   "links", few=True)
+    discard(near, nearer, members)
+    return found
 
 
 def _star_pairs(buckets: DataFrame, percent: int) -> DataFrame:
@@ -199,7 +230,7 @@ def _star_pairs(buckets: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("a.id", "b.id").alias("u"), F.greatest("a.id", "b.id").alias("v")).distinct()
 
 
-def _block_pairs(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _block_pairs(buckets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components in a bucket that pass the filters, found block against
     block inside the tasks.  ``buckets`` has the member's component as ``root``."""
     blocks = buckets.groupBy("token").agg(F.max("block").alias("last"))
@@ -207,12 +238,19 @@ def _block_pairs(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     rows = (buckets.join(blocks, "token").select("token", "block", "id", "n", "pos", "root", k.alias("k"))
             .select("token", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"),
                     "block", "id", "n", "pos", "root"))
-    rows = (rows.join(sets.select("id", "cells"), "id")
+    # Members that share many buckets meet in each; a pair is reported in the first bucket of
+    # those that both list (the LISTED smallest shingles of a member's buckets), or in every
+    # bucket if their lists have none in common.
+    order = F.row_number().over(W.partitionBy("id").orderBy("token"))
+    listed = (buckets.select("id", "token").distinct().withColumn("k", order).filter(F.col("k") <= LISTED)
+              .groupBy("id").agg(F.sort_array(F.collect_list("token")).alias("listed")))
+    rows = (rows.join(sizes.select("id", "cells"), "id").join(listed, "id")
             .repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-            .select("token", "i", "j", "block", "id", "n", "pos", "root", "cells"))
+            .select("token", "i", "j", "block", "id", "n", "pos", "root", "cells", "listed"))
 
     def search(key, cols) -> pa.RecordBatch | None:
-        block, ids, n, pos, root, cells = cols
+        block, ids, n, pos, root, cells, listed = cols
+        listed = [frozenset(v) for v in listed]
         right = np.flatnonzero(block == key[2])
         out = []
         for a in np.flatnonzero(block == key[1]):
@@ -223,6 +261,8 @@ def _block_pairs(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame
             room = np.minimum(pos[b], pos[a]) + np.minimum(n[b] - pos[b], n[a] - pos[a])
             b, need = b[room >= need], need[room >= need]
             b = b[np.minimum(cells[b], cells[a]).sum(1) >= need]
+            shared = [listed[a] & listed[k] for k in b.tolist()]
+            b = b[[not s or min(s) == key[0] for s in shared]] if len(b) else b
             out.append((np.minimum(ids[b], ids[a]), np.maximum(ids[b], ids[a])))
         if not out:
             return None
@@ -235,6 +275,8 @@ def _block_pairs(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame
             keys = np.column_stack([np.asarray(batch.column(c)).astype(np.int64) for c in range(3)])
             cols = [np.asarray(batch.column(c)).astype(np.int64) for c in range(3, 8)]
             cells = np.asarray(batch.column(8).flatten()).reshape(-1, CELLS)
+            listed = np.empty(batch.num_rows, object)
+            listed[:] = batch.column(9).to_pylist()
             cuts = np.append(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, len(keys))
             start = 0
             for stop in cuts:
@@ -247,7 +289,7 @@ def _block_pairs(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame
                         yield out
                     held = []
                 key = now
-                held.append([c[start:stop] for c in cols] + [cells[start:stop]])
+                held.append([c[start:stop] for c in cols] + [cells[start:stop], listed[start:stop]])
                 start = stop
         if held:
             out = search(key, [np.concatenate(c) for c in zip(*held)])
@@ -270,9 +312,11 @@ def _labelled(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     """Bucket rows with their component, of buckets that hold several components."""
     rows = (buckets.join(roots.withColumnRenamed("u", "id"), "id", "left")
             .withColumn("root", F.coalesce("root", "id")))
-    rows = stored(rows, "buckets")
+    rows = stored(rows, "labelled")
     mixed = rows.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
-    return stored(rows.join(mixed.select("token"), "token"), "buckets")
+    out = stored(rows.join(mixed.select("token"), "token"), "mixed")
+    discard(rows)
+    return out
 
 
 def link_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
@@ -294,7 +338,7 @@ def link_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     classes = (named.filter("n > 0").groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size")))
     copies = (named.filter("n > 0").join(classes.filter("size > 1"), "digest")
               .select("id", "rep").filter("id <> rep"))
-    copies = stored(copies, "copies")
+    copies = stored(copies, "copies", few=True)
     often = (found.filter(F.col("digest").isNull()).groupBy(F.col("id").alias("token"))
              .agg(F.sum("n").alias("seen")).orderBy(F.col("seen").desc(), "token").limit(FREQUENT)
              .toArrow().sort_by("token").combine_chunks())
@@ -305,14 +349,13 @@ def link_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     prefixes = _prefixes(reps, token, seen, percent).withColumn("size", size)
     # A block with one member matters only where its shingle has more blocks.
     buckets = stored(prefixes.filter("size > 1 or parts > 1"), "buckets")
-    sets = stored(_set_rows(_only(rows, buckets.select("id").distinct(), "left_semi")), "members")
-
-    links = stored(_verified(_star_pairs(buckets, percent), sets, percent), "links")
-    roots = components(links)
-    mixed = _labelled(buckets, roots)
+    cells = named.select("id", F.col("n").cast("int").alias("n"), "cells")
+    links = _verified(_star_pairs(buckets, percent), cells, rows, percent)
+    mixed = _labelled(buckets, components(links))
     small = F.expr(f"parts = 1 and size <= {SMALL}")
-    rest = _small_pairs(mixed.filter(small), percent).union(_block_pairs(mixed.filter(~small), sets, percent))
-    roots = components(links.union(_verified(rest.distinct(), sets, percent)))
+    rest = _small_pairs(mixed.filter(small), percent).union(_block_pairs(mixed.filter(~small), cells, percent))
+    roots = components(links.union(_verified(rest.distinct(), cells, rows, percent)))
+    discard(buckets, mixed)
 
     reached = (named.join(copies, "id", "left").withColumn("rep", F.coalesce("rep", "id"))
                .join(roots.withColumnRenamed("u", "rep"), "rep", "left")
