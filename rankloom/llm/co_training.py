@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh_name, map_batches
-from .linear import Logistic, bounded_sample, sigmoid
+from .linear import Logistic, bounded_sample, rows_of, sigmoid
 
 PER_CLASS = 1500
 POOL = 3000
@@ -175,7 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", learn: Colum
     chosen = {r["doc_id"]: r["stratum"] for r in bounded_sample(here, F.col("quality"), per_class).collect()}
     others = bounded_sample(rows.select("doc_id").join(known, "doc_id", "left_anti"), F.lit(0), pool).select("doc_id")
     wanted = docs.sparkSession.createDataFrame([(k,) for k in sorted(chosen)], "doc_id long").union(others)
-    ids, a, b = _features(rows.join(wanted, "doc_id", "left_semi"))
+    ids, a, b = _features(rows_of(rows, wanted))
     ids, first = np.unique(ids, return_index=True)  # rows that repeat an id count once
     a, b = a[first], b[first]
     labelled = np.array([i in chosen for i in ids.tolist()], bool)

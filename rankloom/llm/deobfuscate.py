@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import is_held_out, map_batches, stored, text_rows, texts_of
-from .linear import Logistic, bounded_sample, sigmoid
+from .linear import Logistic, bounded_sample, rows_of, sigmoid
 
 PER_CLASS = 3000
 STEM = 4
@@ -224,7 +224,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
     known = (labels.filter(F.col("toxic").isin(0, 1) & ~is_held_out("doc_id"))
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic")))
     chosen = bounded_sample(known, F.col("toxic"), per_class)
-    rows = text_rows(docs).join(chosen.withColumnRenamed("stratum", "toxic"), "doc_id")
+    rows = rows_of(text_rows(docs), chosen.withColumnRenamed("stratum", "toxic"), "inner")
     return rows.groupBy("text").agg(F.max("toxic").cast("int").alias("toxic"))
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import is_held_out, map_batches
-from .linear import bounded_sample
+from .linear import bounded_sample, rows_of
 
 BUCKETS = 1 << 15
 DIM = 16
@@ -91,7 +91,7 @@ def _sample(docs: DataFrame, per_lang: int) -> DataFrame:
              pa.array(out[3], pa.list_(pa.int32())), pa.array(out[4], pa.list_(pa.float32()))],
             names=["lang", "doc_id", "size", "at", "share"])
 
-    rows = docs.select("doc_id", "lang", "text").join(chosen, "doc_id", "left_semi")
+    rows = rows_of(docs.select("doc_id", "lang", "text"), chosen)
     return map_batches(rows, run, "lang string, doc_id long, size int, at array<int>, share array<float>")
 
 

@@ -6,6 +6,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
+#: Sampled ids broadcast at most.
+MAX_SHIPPED = 500_000
+
 
 def bounded_sample(ids: DataFrame, stratum: Column, per_stratum: int, id_col: str = "doc_id") -> DataFrame:
     """Ids of at most ``per_stratum`` rows of every stratum: ids are hashed into that many
@@ -19,6 +24,13 @@ def bounded_sample(ids: DataFrame, stratum: Column, per_stratum: int, id_col: st
             .agg(F.min_by(id_col, order).alias(id_col)).select(id_col, "stratum"))
 
 
+def rows_of(docs: DataFrame, chosen: DataFrame, how: str = "left_semi", id_col: str = "doc_id") -> DataFrame:
+    """``docs`` joined with a bounded sample of ids, broadcast once their number is checked."""
+    chosen = stored(chosen, "chosen")
+    small = chosen.count() <= MAX_SHIPPED
+    return docs.join(F.broadcast(chosen) if small else chosen, id_col, how)
+
+
 def sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
