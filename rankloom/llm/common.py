@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ..sources.tables import read_table
 
-__all__ = ["read_table", "scratch_path", "fresh_name", "stored", "discard", "slices", "map_batches", "texts_of",
+__all__ = ["read_table", "scratch_path", "fresh_name", "stored", "discard", "slices", "map_batches", "map_tasks", "texts_of",
            "is_held_out", "ragged", "text_rows"]
 
 
@@ -30,13 +30,16 @@ ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 FILE_BYTES = 32 << 20  # shuffled bytes behind one file of a stored table, at least
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, few: bool = False) -> DataFrame:
     """``df`` written to the shared scratch folder and read again: computed once, lineage
     cut, readable by every executor after any loss.
 
     The write's own shuffle files go when it is done, so disk holds one step's shuffles and
-    not those of all steps; and it is not cut into many small files."""
+    not those of all steps; and it is not cut into many small files.  ``few`` is for tables of
+    narrow rows, far smaller than the input: two files a core at most."""
     spark = df.sparkSession
+    if few:
+        df = df.coalesce(2 * spark.sparkContext.defaultParallelism)
     path = scratch_path(spark, name)
     before = {k: spark.conf.get(k) for k in (CLEANUP, ADVISORY)}
     size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before[ADVISORY])
@@ -81,6 +84,19 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(run, schema)
 
 
+def map_tasks(df: DataFrame, start: Callable[[], object], fn: Callable[[object, pa.RecordBatch], pa.RecordBatch | None],
+              schema: str, size: int = 4 << 20) -> DataFrame:
+    """``map_batches`` with what ``start`` makes for each task; it goes when the task ends, so
+    workers that Spark reuses for later steps hold nothing of it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = start()
+        for batch in slices(batches, size):
+            out = fn(state, batch)
+            if out is not None and out.num_rows:
+                yield out
+    return df.mapInArrow(run, schema)
+
+
 def texts_of(column: pa.Array) -> Iterator[str]:
     """Python strings of a string column, one at a time; null is the empty text."""
     for v in column:

@@ -7,7 +7,7 @@ positions at once and only the neighbours it touches get new index entries.  A p
 sees its merges in the order a piece-by-piece encoder would apply them.
 
 Spark partitions the documents; a chunk is ``CHUNK`` bytes of one partition, so
-memory is bounded by the chunk and nothing is shuffled.  Pieces already replayed by the worker are
+memory is bounded by the chunk and nothing is shuffled.  Pieces already replayed by the task are
 remembered up to ``MEMORY`` pieces.
 """
 
@@ -21,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, ragged
+from .common import map_tasks, ragged
 from .pieces import TextIds
 
 NO_RANK = np.int64(1) << 40
-#: Pieces a worker remembers between batches; beyond that it starts over.
+#: Pieces a task remembers between chunks.
 MEMORY = 300_000
 #: Bytes of text whose new pieces are replayed together.
 CHUNK = 8 << 20
@@ -190,13 +190,8 @@ class CorpusEncoder:
         return self.texts.of(texts)
 
 
-_ENCODERS: dict[str, CorpusEncoder] = {}
-
-
-def _encoder(path: str) -> CorpusEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = CorpusEncoder(path)
-    return _ENCODERS[path]
+def _encoder(rank_file: str):
+    return lambda: CorpusEncoder(public_tokenizers.path(rank_file))
 
 
 def encode(docs: DataFrame, rank_file: str = "byte_bpe_multi_50k.tiktoken",
@@ -205,13 +200,12 @@ def encode(docs: DataFrame, rank_file: str = "byte_bpe_multi_50k.tiktoken",
 
     Null and empty texts have no ids.  ``rank_file`` is a file of the public vocabularies,
     found on each executor."""
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        enc = _encoder(public_tokenizers.path(rank_file))
+    def run(enc: CorpusEncoder, batch: pa.RecordBatch) -> pa.RecordBatch:
         ids = [x.astype("<u4").tobytes() for x in enc.encode(batch.column(1))]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())],
                                           names=["doc_id", "ids"])
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(rows, run, "doc_id long, ids binary", CHUNK)
+    return map_tasks(rows, _encoder(rank_file), run, "doc_id long, ids binary", CHUNK)
 
 
 def _decoded(merges: Merges, ids: np.ndarray) -> bytes:
@@ -220,19 +214,17 @@ def _decoded(merges: Merges, ids: np.ndarray) -> bytes:
 
 def decode(tokens: DataFrame, rank_file: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
     """The input's (doc_id, ids) with ``decoded``: the bytes that the ids stand for."""
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        merges = _encoder(public_tokenizers.path(rank_file)).merges
-        out = [_decoded(merges, np.frombuffer(v.as_py(), "<u4")) for v in batch.column(1)]
+    def run(enc: CorpusEncoder, batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = [_decoded(enc.merges, np.frombuffer(v.as_py(), "<u4")) for v in batch.column(1)]
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())],
                                           names=["doc_id", "ids", "decoded"])
-    return map_batches(tokens.select("doc_id", "ids"), run, "doc_id long, ids binary, decoded binary")
+    return map_tasks(tokens.select("doc_id", "ids"), _encoder(rank_file), run, "doc_id long, ids binary, decoded binary")
 
 
 def round_trip(docs: DataFrame, rank_file: str = "byte_bpe_multi_50k.tiktoken",
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``decode(encode(docs))`` in one pass: one Python worker a task holds the tables."""
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        enc = _encoder(public_tokenizers.path(rank_file))
+    def run(enc: CorpusEncoder, batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, out = [], []
         for x in enc.encode(batch.column(1)):
             ids.append(x.astype("<u4").tobytes())
@@ -241,7 +233,7 @@ def round_trip(docs: DataFrame, rank_file: str = "byte_bpe_multi_50k.tiktoken",
             [batch.column(0), pa.array(ids, pa.binary()), pa.array(out, pa.binary())],
             names=["doc_id", "ids", "decoded"])
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(rows, run, "doc_id long, ids binary, decoded binary", CHUNK)
+    return map_tasks(rows, _encoder(rank_file), run, "doc_id long, ids binary, decoded binary", CHUNK)
 
 
 def token_digests(docs: DataFrame, rank_file: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:

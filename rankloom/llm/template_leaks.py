@@ -28,14 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, stored, text_rows, texts_of
+from .common import map_tasks, stored, text_rows, texts_of
 
 WINDOW = 5
 MIN_SHARE = 0.4
 #: A window needs this many words that are no placeholder (shorter items: half).
 MIN_LITERALS = 3
 MAX_SHIPPED = 1_000_000
-MEMORY = 1_000_000
+MEMORY = 300_000  # words a task remembers
 #: Ids of contaminated documents broadcast at most (8 bytes each); beyond, a shuffle join.
 MAX_DROPPED = 2_000_000
 
@@ -140,22 +140,19 @@ def _least(size: int) -> int:
     return MIN_LITERALS if size >= WINDOW else (size + 1) // 2
 
 
-_WORDS = Words()
-
-
 def window_rows(rows: DataFrame, sizes: list[int], wanted: np.ndarray | None = None) -> DataFrame:
     """(doc_id, window, size, pos, slots) of the windows of (doc_id, text) rows; only the
     wanted names when those are given."""
     schema = "doc_id long, window long, size int, pos int, slots array<string>"
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        at, doc = _WORDS.read(texts_of(batch.column(1)))
+    def run(words: Words, batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        at, doc = words.read(texts_of(batch.column(1)))
         begin = np.searchsorted(doc, np.arange(batch.num_rows))
         out: list[list] = [[], [], [], [], []]
         ids = batch.column(0).to_pylist()
-        value = _WORDS.value
+        value = words.value
         for size in sizes:
-            h, first, literals, _, slot = windows(_WORDS, at, doc, size)
+            h, first, literals, _, slot = windows(words, at, doc, size)
             keep = literals >= _least(size)
             h, first = h.view(np.int64)[keep], first[keep]
             if wanted is not None and len(h):
@@ -173,7 +170,7 @@ def window_rows(rows: DataFrame, sizes: list[int], wanted: np.ndarray | None = N
         kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()))
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds)],
                                           names=["doc_id", "window", "size", "pos", "slots"])
-    return map_batches(rows, run, schema)
+    return map_tasks(rows, Words, run, schema)
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:

@@ -34,7 +34,7 @@ from .pieces import TextIds
 SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 ROWS_PER_INDEX = 1000
 STRIPE_BYTES = 64 << 20
-#: Pieces a worker remembers between batches; beyond that it starts over.
+#: Pieces a worker remembers between batches.
 MEMORY = 300_000
 ASKED = 10_000  # pieces handed to the library at once
 
