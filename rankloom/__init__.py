@@ -5,7 +5,6 @@ Layers:
   functions/  column expressions (fixed event weights, epoch millis, hash buckets, dot products)
   operators/  DataFrame -> DataFrame building blocks (prep, matrices, profiles, splits)
   plans/      composed flows: ALS training, scoring, top-N, tuning, metrics
-  streaming/  Structured Streaming entry for the event-log preparation
 """
 
 __version__ = "0.1.0"

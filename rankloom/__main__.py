@@ -1,10 +1,10 @@
-"""Command line: ``python -m rankloom matrices|recommend ...``.
+"""Command line: ``python -m rankloom matrices|recommend|tune ...``.
 
-  matrices  --events E.csv --props P1.csv P2.csv --out DIR [--models 1 2 3 4]
+  matrices  --events E.csv --props P1.csv P2.csv --out DIR [--models 1 2 3 4] [--on-unknown drop]
   recommend --matrix DIR/model1 --model 1 --out DIR [--rank 10 --iters 10 --n 10]
   tune      --matrix DIR/model2 --model 2 --out DIR [--method cv|tvs]
 
-Uses the active cluster session when launched with spark-submit; locally it builds one.
+Under spark-submit (or PYSPARK_SUBMIT_ARGS) the launcher's master and settings hold.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ def main(argv=None) -> None:
     a.add_argument("--props", nargs="+", required=True)
     a.add_argument("--out", required=True)
     a.add_argument("--models", nargs="+", type=int, default=[1, 2, 3, 4])
+    a.add_argument("--on-unknown", choices=["error", "drop"], default="error")
     b = sub.add_parser("recommend")
     b.add_argument("--matrix", required=True)
     b.add_argument("--model", type=int, required=True)
@@ -44,7 +45,8 @@ def main(argv=None) -> None:
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession() or build_session()
     if args.cmd == "matrices":
-        res = build_matrices(spark, args.events, args.props, args.out, args.models)
+        res = build_matrices(spark, args.events, args.props, args.out, args.models,
+                             on_unknown=args.on_unknown)
     elif args.cmd == "tune":
         res = tune_model(spark, args.matrix, args.model, args.out, args.method)
     else:

@@ -29,3 +29,14 @@ def weight_expr(col: str | Column = "event", on_unknown: str = "error") -> Colum
         unknown = F.raise_error(F.concat(F.lit("unknown event label: "), c.cast("string")))
         expr = expr.when(c.isNull(), F.lit(None).cast("double")).otherwise(unknown.cast("double"))
     return expr.cast("double")
+
+
+def recode_expr(col: str | Column = "event") -> Column:
+    """The label's weight as text ('1', '2', '3'); an unknown label stays as it is, which is
+    what a dictionary replacement of the column does."""
+    c = F.col(col) if isinstance(col, str) else col
+    expr = None
+    for label, w in EVENT_WEIGHTS.items():
+        text = F.lit(str(int(w)))
+        expr = F.when(c == label, text) if expr is None else expr.when(c == label, text)
+    return expr.otherwise(c.cast("string"))

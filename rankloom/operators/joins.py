@@ -6,11 +6,15 @@ session's shared checkpoint folder (reliable, survives executor loss, computed o
 then one aggregate over it measures rows and widths (string lengths, array lengths) and
 the estimated bytes are compared to a bound.  Under the bound the fact side streams
 through a map-side hash join and is never shuffled for the join; over it, a shuffle
-join is planned and AQE splits skewed (hot-key) partitions at runtime.
+join is planned and AQE splits skewed (hot-key) partitions at runtime.  Both give the same
+rows.  Planning such a join runs the dimension's jobs; ``Dimension`` keeps the outcome, so
+a dimension that several joins use is computed and measured once.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,10 +67,32 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
+@dataclass
+class Dimension:
+    """A materialised, measured dimension; join it as often as needed, it is computed and
+    measured once.  ``size`` is its estimated bytes."""
+
+    df: DataFrame
+    rows: int
+    size: int
+
+    @classmethod
+    def of(cls, df: DataFrame | Dimension) -> Dimension:
+        """Materialise and measure ``df`` (three jobs); a Dimension is returned as it is."""
+        if isinstance(df, cls):
+            return df
+        df = materialize(df)
+        return cls(df, *estimate_bytes(df))
+
+    def select(self, *cols) -> Dimension:
+        """A projection; the size stays as an upper bound (casts to wider types aside)."""
+        return Dimension(self.df.select(*cols), self.rows, self.size)
+
+    def joined_to(self, fact: DataFrame, on, how: str = "inner",
+                  max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+        return fact.join(F.broadcast(self.df) if self.size <= max_broadcast_bytes else self.df, on, how)
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame | Dimension, on, how: str = "inner",
                    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    dim = materialize(dim)
-    _, size = estimate_bytes(dim)
-    if size <= max_broadcast_bytes:
-        return fact.join(F.broadcast(dim), on, how)
-    return fact.join(dim, on, how)
+    return Dimension.of(dim).joined_to(fact, on, how, max_broadcast_bytes)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import DEFAULT_MAX_BROADCAST_BYTES, join_dimension
+from .joins import DEFAULT_MAX_BROADCAST_BYTES, Dimension, join_dimension
 from .prep import (active_visitors, filter_property, latest_per_key, union_parts,
                    weight_events)
 
@@ -31,9 +31,10 @@ def category_matrix(events: DataFrame, props_parts: list[DataFrame], on_unknown:
     return category_matrix_from_latest(events, latest, on_unknown, max_broadcast_bytes)
 
 
-def category_matrix_from_latest(events: DataFrame, latest: DataFrame, on_unknown: str = "error",
+def category_matrix_from_latest(events: DataFrame, latest: DataFrame | Dimension, on_unknown: str = "error",
                                 max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Model 1 from already computed latest-category rows (itemid, ..., value)."""
+    """Model 1 from already computed latest-category rows (itemid, ..., value); a measured
+    ``Dimension`` is not computed or measured again."""
     dim = latest.select("itemid", F.col("value").cast("int").alias("categoryid"))
     ev = weight_events(events.select("visitorid", "itemid", "event"), on_unknown=on_unknown)
     return (join_dimension(ev, dim, "itemid", max_broadcast_bytes=max_broadcast_bytes)

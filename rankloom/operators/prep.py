@@ -1,7 +1,9 @@
 """Event-log and property-log preparation.
 
-Every function is DataFrame -> DataFrame and lazy.  Where the reference's literal
-formulation and a cheaper plan differ, both are offered and give the same rows.
+Every function is DataFrame -> DataFrame.  All are lazy but for the dimension joins
+(``latest_per_key``, ``events_with_category``, ``events_of_active``), which compute and
+measure their small side while the plan is built (see ``joins``).  Where the reference's
+literal formulation and a cheaper plan differ, both are offered and give the same rows.
 """
 
 from __future__ import annotations
@@ -9,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.weights import weight_expr
-from .joins import DEFAULT_MAX_BROADCAST_BYTES, join_dimension
+from ..functions.weights import recode_expr, weight_expr
+from .joins import DEFAULT_MAX_BROADCAST_BYTES, Dimension, join_dimension
 
 
 def clean_events(events: DataFrame, drop=("timestamp", "transactionid")) -> DataFrame:
@@ -60,7 +62,7 @@ def latest_per_key(df: DataFrame, key: str = "itemid", ts: str = "timestamp",
     raise ValueError(f"unknown method {method}")
 
 
-def events_with_category(events: DataFrame, latest: DataFrame, key: str = "itemid",
+def events_with_category(events: DataFrame, latest: DataFrame | Dimension, key: str = "itemid",
                          max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Inner equi-join of events with the latest-category rows; uncategorised items drop.
 
@@ -115,6 +117,11 @@ def weight_events(df: DataFrame, event_col: str = "event", out_col: str = "ratin
     return out
 
 
+def recode_events(df: DataFrame, event_col: str = "event") -> DataFrame:
+    """The event column recoded in place to '1', '2', '3'; unknown labels are kept."""
+    return df.withColumn(event_col, recode_expr(event_col))
+
+
 def project_triple(df: DataFrame, user: str = "visitorid", item: str = "itemid",
                    rating: str = "rating") -> DataFrame:
     """(user, item, rating) projection; duplicates kept."""

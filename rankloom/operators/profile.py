@@ -40,20 +40,28 @@ def matrix_profile(df: DataFrame, user: str = "visitorid", item: str = "itemid",
                    rating: str = "rating", approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """One row: ratings, distinct users, products, (user, product) pairs, density.
 
-    Exact distinct counts by default (Spark expands the rows once per distinct
-    aggregate, then pre-aggregates map-side).  ``approx=True`` uses HyperLogLog++
-    sketches (relative standard deviation ``rsd``): one pass, fixed-size partial
-    states, no expansion — the option for billions of users.
+    Exact: the ratings are folded to one row per pair (map-side first), users and products
+    are counted from the pairs.  ``approx=True`` uses HyperLogLog++ sketches (relative
+    standard deviation ``rsd``): one pass, fixed-size partial states, the option for
+    billions of users.  Null ids count as no user, product or pair.
     """
     if approx:
-        distinct = [F.approx_count_distinct(user, rsd).alias("n_users"),
-                    F.approx_count_distinct(item, rsd).alias("n_products"),
-                    F.approx_count_distinct(F.struct(user, item), rsd).alias("n_pairs")]
+        prof = df.agg(F.count(F.lit(1)).alias("n_ratings"),
+                      F.approx_count_distinct(user, rsd).alias("n_users"),
+                      F.approx_count_distinct(item, rsd).alias("n_products"),
+                      F.approx_count_distinct(F.struct(user, item), rsd).alias("n_pairs"),
+                      F.avg(rating).alias("mean_rating"))
     else:
-        distinct = [F.countDistinct(user).alias("n_users"),
-                    F.countDistinct(item).alias("n_products"),
-                    F.countDistinct(user, item).alias("n_pairs")]
-    prof = df.agg(F.count(F.lit(1)).alias("n_ratings"), *distinct,
-                  F.avg(rating).alias("mean_rating"))
+        pairs = df.groupBy(user, item).agg(F.count(F.lit(1)).alias("_n"), F.sum(rating).alias("_s"),
+                                           F.count(rating).alias("_k"))
+        users = pairs.groupBy(user).agg(F.sum("_n").alias("_n"), F.sum("_s").alias("_s"), F.sum("_k").alias("_k"),
+                                        F.count(F.when(F.col(user).isNotNull(), F.col(item))).alias("_p"))
+        totals = users.agg(F.sum("_n").alias("n_ratings"), F.count(user).alias("n_users"),
+                           F.sum("_p").alias("n_pairs"), (F.sum("_s") / F.sum("_k")).alias("mean_rating"))
+        # one row each, side by side
+        products = pairs.groupBy(item).agg(F.lit(1).alias("_one")).agg(F.count(item).alias("n_products"))
+        prof = (totals.withColumn("_k", F.lit(0)).join(products.withColumn("_k", F.lit(0)), "_k")
+                .select(F.coalesce("n_ratings", F.lit(0)).alias("n_ratings"), "n_users", "n_products",
+                        F.coalesce("n_pairs", F.lit(0)).alias("n_pairs"), "mean_rating"))
     return prof.withColumn(
-        "density", F.col("n_ratings") / (F.col("n_users") * F.col("n_products")))
+        "density", F.try_divide(F.col("n_ratings"), F.col("n_users") * F.col("n_products")))

@@ -11,10 +11,12 @@ from __future__ import annotations
 CLICK_LOG = """click_log AS (
   SELECT epoch_us(ts) // 1000 AS "timestamp", CAST(user_id AS INT) AS visitorid,
          CASE event_type WHEN 'view' THEN 'view' WHEN 'click' THEN 'addtocart'
-                         WHEN 'purchase' THEN 'transaction' END AS event,
+                         WHEN 'purchase' THEN 'transaction' ELSE event_type END AS event,
          CAST(json_extract_string(props, '$.k') AS INT) AS itemid,
          CASE WHEN event_type = 'purchase' THEN event_id END AS transactionid
-  FROM events WHERE event_type IN ('view', 'click', 'purchase'))"""
+  FROM events)"""
+
+KNOWN = "event IN ('view', 'addtocart', 'transaction')"
 
 BASKET_LOG = """basket_log AS (
   SELECT CAST(year(l_shipdate) AS BIGINT) AS "timestamp", l_orderkey AS visitorid,
@@ -56,7 +58,7 @@ m AS (SELECT itemid, max("timestamp") AS "timestamp" FROM cat GROUP BY itemid),
 latest AS (SELECT cat.* FROM cat JOIN m USING (itemid, "timestamp"))"""
 
 MODEL1 = f"""SELECT DISTINCT visitorid, CAST(value AS INT) AS categoryid, {weight()} AS rating
-FROM click_log JOIN latest USING (itemid)"""
+FROM click_log JOIN latest USING (itemid) WHERE {KNOWN}"""
 
 
 def with_(*ctes: str) -> str:
@@ -162,7 +164,7 @@ UNION ALL SELECT 'events_with_category', count(*) FROM click_log JOIN latest USI
 UNION ALL SELECT 'model1_matrix', count(*) FROM m1""",
     "collapse_pairs": with_(CLICK_LOG) + f"""SELECT visitorid, itemid, count(*) AS n,
   max(r) AS rating_max, round(sum(r), 6) AS rating_sum, round(avg(r), 6) AS rating_mean
-FROM (SELECT visitorid, itemid, {weight()} AS r FROM click_log) GROUP BY visitorid, itemid""",
+FROM (SELECT visitorid, itemid, {weight()} AS r FROM click_log WHERE {KNOWN}) GROUP BY visitorid, itemid""",
     "shift_ratings": with_(CLICK_LOG, ITEM_PROPS, LATEST, M1)
     + "SELECT visitorid, categoryid, rating - 1.5 AS rating FROM m1",
     "split_hash": with_(CLICK_LOG)
@@ -172,7 +174,7 @@ FROM (SELECT visitorid, itemid, {weight()} AS r FROM click_log) GROUP BY visitor
 })
 
 CLICK_RATINGS = f"""r AS (SELECT DISTINCT visitorid AS "user", itemid AS product, {weight()} AS rating
-  FROM click_log),
+  FROM click_log WHERE {KNOWN}),
 s AS (SELECT *, {split('"user", product')} AS split FROM r),
 train AS (SELECT "user", product, rating FROM s WHERE split = 'train'),
 test AS (SELECT "user", product, rating FROM s WHERE split = 'test'),
@@ -182,10 +184,27 @@ sl AS (SELECT "user", product, t.rating, p.prediction FROM test t JOIN pred p US
 pred_d AS (SELECT "user", product, max(prediction) AS prediction FROM pred GROUP BY "user", product),
 sl_d AS (SELECT "user", product, t.rating, p.prediction FROM test t JOIN pred_d p USING ("user", product))"""
 
-FACTORS = """uf AS (SELECT CAST(vec_id AS INT) AS id, CAST(embedding AS DOUBLE[]) AS features, label
-  FROM embeddings WHERE vec_id < 250),
-pf AS (SELECT CAST(vec_id - 250 AS INT) AS id, CAST(embedding AS DOUBLE[]) AS features, label
-  FROM embeddings WHERE vec_id >= 250)"""
+FACTORS = """uf AS (SELECT CAST(vec_id // 2 AS INT) AS id, CAST(embedding AS DOUBLE[]) AS features, label
+  FROM embeddings WHERE vec_id % 2 = 0),
+pf AS (SELECT CAST(vec_id // 2 AS INT) AS id, CAST(embedding AS DOUBLE[]) AS features, label
+  FROM embeddings WHERE vec_id % 2 = 1)"""
+
+
+REGRESSION = """SELECT count(*) AS n,
+  round(avg(pow(prediction - rating, 2)), 6) AS mse,
+  round(sqrt(avg(pow(prediction - rating, 2))), 6) AS rmse,
+  round(avg(abs(prediction - rating)), 6) AS mae,
+  round(CASE WHEN var_pop(rating) * count(*) > 0
+        THEN 1 - sum(pow(prediction - rating, 2)) / (var_pop(rating) * count(*)) END, 6) AS r2
+FROM sl"""
+
+# Split by row: a pair's ratings can be on both sides; predictions meet all of them.
+ROW_SPLIT = f"""r AS (SELECT DISTINCT visitorid AS "user", itemid AS product, {weight()} AS rating
+  FROM click_log WHERE {KNOWN}),
+s AS (SELECT *, {split("\"user\", product, CAST(rating AS DECIMAL(10, 1))")} AS split FROM r),
+um AS (SELECT "user", avg(rating) AS prediction FROM s WHERE split = 'train' GROUP BY "user"),
+pred AS (SELECT "user", product, prediction FROM s JOIN um USING ("user") WHERE split = 'test'),
+sl AS (SELECT "user", product, r.rating, p.prediction FROM r JOIN pred p USING ("user", product))"""
 
 
 def topn_sql(q: str, c: str, qf: str, cf: str, n: int = 10) -> str:
@@ -206,16 +225,17 @@ SQL.update({
     + "SELECT round(avg(pow(prediction - rating, 2)), 6) AS mse FROM sl",
     "rmse_holdout": with_(CLICK_LOG, CLICK_RATINGS)
     + "SELECT round(sqrt(avg(pow(prediction - rating, 2))), 6) AS rmse FROM sl",
-    "regression_metrics": with_(CLICK_LOG, CLICK_RATINGS) + """SELECT count(*) AS n,
-  round(avg(pow(prediction - rating, 2)), 6) AS mse,
-  round(sqrt(avg(pow(prediction - rating, 2))), 6) AS rmse,
-  round(avg(abs(prediction - rating)), 6) AS mae,
-  round(CASE WHEN var_pop(rating) * count(*) > 0
-        THEN 1 - sum(pow(prediction - rating, 2)) / (var_pop(rating) * count(*)) END, 6) AS r2
-FROM sl""",
+    "regression_metrics": with_(CLICK_LOG, CLICK_RATINGS) + REGRESSION,
+    "regression_metrics_weighted": with_(CLICK_LOG, CLICK_RATINGS) + REGRESSION,
+    "regression_metrics_all_ratings": with_(CLICK_LOG, ROW_SPLIT) + REGRESSION,
     "predict_pairs_from_factors": with_(CLICK_LOG, CLICK_RATINGS, FACTORS) + """SELECT r."user",
   r.product, round(list_inner_product(u.features, p.features), 6) AS prediction
 FROM r JOIN uf u ON r."user" = u.id JOIN pf p ON r.product = p.id""",
+    "predict_pairs_marked": with_(CLICK_LOG, CLICK_RATINGS, FACTORS) + """SELECT r."user",
+  r.product, CASE WHEN u.id IS NOT NULL AND p.id IS NOT NULL
+    THEN round(list_inner_product(u.features, p.features), 6) END AS prediction,
+  u.id IS NOT NULL AND p.id IS NOT NULL AS known
+FROM r LEFT JOIN uf u ON r."user" = u.id LEFT JOIN pf p ON r.product = p.id""",
     "factor_dims": with_(FACTORS) + """SELECT 'user' AS side, id, CAST(len(features) AS INT) AS dim,
   round(features[1], 6) AS f0 FROM uf
 UNION ALL SELECT 'product', id, CAST(len(features) AS INT), round(features[1], 6) FROM pf""",
@@ -244,3 +264,64 @@ scored AS (SELECT hits_k / 10 AS p,
   round(avg(ap), 6) AS map, round(avg(apk), 6) AS map_at_k, round(avg(p), 6) AS precision_at_k,
   round(avg(rec), 6) AS recall_at_k, round(avg(ndcg), 6) AS ndcg_at_k FROM scored""",
 })
+
+SQL.update({
+    "scan_events_csv": with_(CLICK_LOG) + "SELECT * FROM click_log",
+    "scan_item_props_csv": with_(ITEM_PROPS) + "SELECT * FROM item_props",
+    "recode_events_keep": with_(CLICK_LOG) + """SELECT "timestamp", visitorid, CASE event WHEN 'view' THEN '1'
+  WHEN 'addtocart' THEN '2' WHEN 'transaction' THEN '3' ELSE event END AS event, itemid, transactionid
+FROM click_log""",
+    "weight_events_drop": with_(CLICK_LOG) + f"SELECT *, {weight()} AS rating FROM click_log WHERE {KNOWN}",
+})
+
+
+# Exploration of models 1, 2 and 4, as of model 3 above.
+def _profiles(model: int, ctes: str, matrix: str, item: str) -> None:
+    head = ctes + f", mat AS MATERIALIZED ({matrix})\n"
+    SQL.update({
+        f"distinct_users_m{model}": head + "SELECT DISTINCT visitorid FROM mat",
+        f"distinct_products_m{model}": head + f"SELECT DISTINCT {item} FROM mat",
+        f"ratings_per_user_stats_m{model}": head + """SELECT count(c) AS n,
+  round(avg(c), 6) AS mean, round(stddev_samp(c), 6) AS stddev, min(c) AS "min", max(c) AS "max"
+FROM (SELECT count(*) AS c FROM mat GROUP BY visitorid)""",
+        f"user_rating_crosstab_m{model}": head + """SELECT visitorid,
+  count(*) FILTER (WHERE rating = 1.0) AS w1, count(*) FILTER (WHERE rating = 2.0) AS w2,
+  count(*) FILTER (WHERE rating = 3.0) AS w3 FROM mat GROUP BY visitorid""",
+        f"matrix_profile_m{model}": head + f"""SELECT n_ratings, n_users, n_products, n_pairs, mean_rating,
+  round(n_ratings / (n_users * n_products), 6) AS density
+FROM (SELECT count(*) AS n_ratings, count(DISTINCT visitorid) AS n_users, count(DISTINCT {item}) AS n_products,
+        (SELECT count(*) FROM (SELECT DISTINCT visitorid, {item} FROM mat
+          WHERE visitorid IS NOT NULL AND {item} IS NOT NULL)) AS n_pairs,
+        round(avg(rating), 6) AS mean_rating FROM mat)""",
+    })
+
+
+_profiles(1, with_(CLICK_LOG, ITEM_PROPS, LATEST), MODEL1, "categoryid")
+_profiles(2, with_(BASKET_LOG, active(1)), model2(1), "itemid")
+_profiles(4, with_(BASKET_LOG, active(2)), f"SELECT DISTINCT * FROM ({model2(2)})", "itemid")
+
+
+# Trained models: which rows they give is plain SQL over the hash split; the scores are not.
+def _trained(ctes: str, matrix: str, item: str) -> str:
+    return ctes + f""", mat AS MATERIALIZED (SELECT visitorid AS "user", CAST({item} AS INT) AS product, rating FROM ({matrix})),
+s AS (SELECT CAST("user" AS INT) AS "user", product, rating, {split('"user", product')} AS split FROM mat),
+train AS (SELECT * FROM s WHERE split = 'train'), test AS (SELECT * FROM s WHERE split = 'test'),
+users AS (SELECT DISTINCT "user" FROM train), products AS (SELECT DISTINCT product FROM train)
+"""
+
+
+_TRAINED1 = _trained(with_(CLICK_LOG, ITEM_PROPS, LATEST), MODEL1, "categoryid")
+_TRAINED3 = _trained(with_(BASKET_LOG, active(1), M3), "SELECT * FROM m3", "itemid")
+_SCORED = """SELECT "user", product, rating FROM test
+WHERE "user" IN (SELECT "user" FROM users) AND product IN (SELECT product FROM products)"""
+
+SQL.update({
+    "als_scored_pairs_m1": _TRAINED1 + _SCORED,
+    "als_scored_pairs_m3": _TRAINED3 + _SCORED,
+    "als_factor_index": _TRAINED1 + """SELECT 'user' AS side, "user" AS id, 10 AS dim FROM users
+UNION ALL SELECT 'product', product, 10 FROM products""",
+    "als_listed_products": _TRAINED1 + """SELECT "user", CAST(rank AS INT) AS rank FROM users,
+  (SELECT unnest(range(1, least(10, (SELECT count(*) FROM products)) + 1)) AS rank)""",
+    "als_listed_users": _TRAINED1 + """SELECT product, CAST(rank AS INT) AS rank FROM products,
+  (SELECT unnest(range(1, least(10, (SELECT count(*) FROM users)) + 1)) AS rank)""",
+})

@@ -14,16 +14,22 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_root
 
 
+# User and item blocks.  MLlib seeds the factors per block, so the block count is part of the
+# model: it is a parameter with a fixed default (the estimator's own) and depends neither on
+# cores nor on partitions nor on the number of ratings.  For large inputs raise it so that a
+# block's ratings and factors fit a task; comparisons between runs need the same count.
+DEFAULT_BLOCKS = 10
+
+
 def make_als(implicit: bool, rank: int = 10, max_iter: int = 10, reg_param: float = 0.01,
              alpha: float = 0.01, seed: int = 42, cold_start: str = "drop",
-             nonnegative: bool = False, blocks: int | None = None,
+             nonnegative: bool = False, blocks: int = DEFAULT_BLOCKS,
              checkpoint_interval: int = 10) -> ALS:
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg_param, alpha=alpha,
               implicitPrefs=implicit, userCol="user", itemCol="product", ratingCol="rating",
               coldStartStrategy=cold_start, seed=seed,
-              nonnegative=nonnegative, checkpointInterval=checkpoint_interval)
-    if blocks:
-        als = als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
+              nonnegative=nonnegative, checkpointInterval=checkpoint_interval,
+              numUserBlocks=blocks, numItemBlocks=blocks)
     return als
 
 
@@ -35,23 +41,9 @@ def fit(ratings: DataFrame, implicit: bool, **kw) -> ALSModel:
     lineages do not grow).
     """
     checkpoint_root(ratings.sparkSession)
-    kw.setdefault("blocks", default_blocks(ratings))
     return make_als(implicit, **kw).fit(ratings)
 
 
-# Upper bound on user/item blocks: every iteration exchanges data between block pairs,
-# so thousands of blocks per side would mean millions of shuffle blocks per iteration.
-MAX_BLOCKS = 200
-
-
-def default_blocks(ratings: DataFrame) -> int:
-    """User/item block count: the input's partition count, capped by the cluster's
-    parallelism and MAX_BLOCKS — big inputs spread over many cores, small ones avoid
-    the per-block overhead (each block pair is a task in every iteration)."""
-    sc = ratings.sparkSession.sparkContext
-    return max(1, min(sc.defaultParallelism, ratings.rdd.getNumPartitions(), MAX_BLOCKS))
-
-
 def factors(model: ALSModel) -> DataFrame:
     """(side, id, dim, features) for users and products — a table, never collected."""
     def side(df, name):
@@ -71,6 +63,14 @@ def recommend(model: ALSModel, n: int = 10, for_users: bool = True) -> DataFrame
                         F.col("rec.rating").cast("double").alias("score")))
 
 
+def recommend_for(model: ALSModel, users: DataFrame, n: int = 10) -> DataFrame:
+    """Top-N products of the given users only (a ``user`` column)."""
+    recs = model.recommendForUserSubset(users, n)
+    return (recs.select("user", F.posexplode("recommendations").alias("pos", "rec"))
+                .select("user", (F.col("pos") + 1).alias("rank"), F.col("rec.product").alias("product"),
+                        F.col("rec.rating").cast("double").alias("score")))
+
+
 def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
     """Score pairs; unknown ids follow the model's cold-start strategy."""
     return model.transform(pairs)

@@ -1,6 +1,7 @@
 """Ranking metrics of top-N lists against relevant-item sets, as DataFrame jobs.
 
-Per query user (then averaged over users, a user without relevant items scoring 0):
+Per user of ``relevant_counts`` (then averaged over them; a user without a list, or without
+relevant items, scores 0):
   precision@k = hits in the first k / k
   recall@k    = hits in the first k / n_relevant
   AP          = sum over hit ranks r of (hits up to r) / r, divided by n_relevant
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 def ranking_metrics(topn: DataFrame, relevant_counts: DataFrame, k: int = 10,
                     user: str = "user", hit: str = "hit") -> DataFrame:
-    """``topn``: (user, rank, hit 0/1); ``relevant_counts``: (user, n_rel).
+    """``topn``: (user, rank, hit 0/1); ``relevant_counts``: (user, n_rel), the users to judge.
 
     Lists have at most N rows per user, so the per-user window is bounded.
     """
@@ -25,13 +26,13 @@ def ranking_metrics(topn: DataFrame, relevant_counts: DataFrame, k: int = 10,
     r = F.col("rank")
     t = topn.withColumn("cum", F.sum(hit).over(w))
     in_k = r <= k
-    per_user = (t.groupBy(user).agg(
+    sums = t.groupBy(user).agg(
         F.sum(F.when(in_k, F.col(hit)).otherwise(0)).alias("hits_k"),
         F.sum(F.col(hit) * F.col("cum") / r).alias("ap_sum"),
         F.sum(F.when(in_k, F.col(hit) * F.col("cum") / r).otherwise(0.0)).alias("apk_sum"),
         F.sum(F.when(in_k, F.col(hit) / F.log(r + 1)).otherwise(0.0)).alias("dcg"))
-        .join(relevant_counts, user, "left")
-        .fillna(0, subset=["n_rel"]))
+    per_user = (relevant_counts.select(user, "n_rel").join(sums, user, "left")
+                .fillna(0, subset=["n_rel", "hits_k", "ap_sum", "apk_sum", "dcg"]))
     n_rel = F.col("n_rel")
     ideal = F.aggregate(F.sequence(F.lit(1), F.least(n_rel, F.lit(k))), F.lit(0.0),
                         lambda s, i: s + F.lit(1.0) / F.log(i + 1))

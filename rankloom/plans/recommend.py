@@ -2,37 +2,33 @@
 
 * ``predict_pairs``: pairs ⋈ user factors ⋈ product factors, dot product as a native
   higher-order expression — no Python.
-* ``top_n``: every query id's N best candidates.  Candidates are cut into blocks of
-  at most ``max_block_bytes`` (checked by counting them first); each block is shipped
-  once to the executors and the query factors are scored against it partition by
-  partition with a dense matrix product (numpy, Arrow batches) — the same blocked
-  GEMM MLlib's recommendForAll uses.  Only the N best per (query, block) leave a task,
-  never all pairs; with several blocks the partial lists (N x blocks per query) are
-  merged with a window limit.
+* ``top_n``: every query id's N best candidates.  Each task packs its rows of either side
+  into blocks (ids and one matrix) of at most ``max_block_rows``; query and candidate blocks
+  meet in a join on the numbers of both, one task per pair of blocks, which scores them with
+  a dense matrix product (numpy, Arrow batches).  Only the N best per (query, block) leave a
+  task; the partial lists (N x blocks per query) are merged by a window limit.  No factor
+  reaches the driver, nothing is broadcast, and no block is a hot key.
 """
 
 from __future__ import annotations
 
-import math
 import sys
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.vectors import dot_expr
-from ..operators.joins import join_dimension
+from ..operators.joins import join_dimension, materialize
 
 # The block scorer runs in Python workers that may not have this package installed
 # (cluster executors, or a driver started outside the repo): ship its code by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Bytes of candidate factors per shipped block (ids + float64 features): the proven
-# bound on what is broadcast; the row bound follows from the measured rank.
-DEFAULT_MAX_BLOCK_BYTES = 64 * 1024 * 1024
+# Rows of one block: 50,000 vectors of rank 10 are 4 MB, of rank 200 80 MB.
+DEFAULT_BLOCK_ROWS = 50_000
 # Score-matrix cells per numpy step inside a task (x 8 bytes).
 SCORE_CELLS = 4_000_000
 
@@ -41,135 +37,130 @@ def predict_pairs(pairs: DataFrame, user_factors: DataFrame, item_factors: DataF
                   user: str = "user", item: str = "product", cold_start: str = "drop") -> DataFrame:
     """(user, product, prediction) for each input pair; repeated pairs stay repeated.
 
-    ``cold_start='drop'`` removes pairs with an unknown id, ``'nan'`` keeps them as NaN.
-    Each factor table is a dimension joined with a checked broadcast: under the bound
-    the pairs are never shuffled (a user or product with a huge share of the pairs
-    costs nothing extra); over it, a shuffle join that AQE skew-splits.
+    ``cold_start='drop'`` removes pairs with an unknown id, ``'nan'`` keeps them as NaN,
+    ``'mark'`` keeps them with a NULL prediction and adds ``known``.  The factor tables are
+    first cut to the ids that the pairs name, then joined as checked-broadcast dimensions:
+    one pair reads two vectors, many pairs are never shuffled under the bound (a user with a
+    huge share of them costs nothing extra), and over it AQE skew-splits a shuffle join.
     """
-    uf = user_factors.select(F.col("id").alias(user), F.col("features").alias("_uf"))
-    itf = item_factors.select(F.col("id").alias(item), F.col("features").alias("_if"))
+    def side(factors, key, name):
+        wanted = pairs.select(F.col(key).alias("id")).distinct()
+        return (factors.join(wanted, "id", "left_semi")
+                .select(F.col("id").alias(key), F.col("features").alias(name)))
     how = "inner" if cold_start == "drop" else "left"
-    joined = join_dimension(join_dimension(pairs, uf, user, how), itf, item, how)
+    joined = join_dimension(join_dimension(pairs, side(user_factors, user, "_uf"), user, how),
+                            side(item_factors, item, "_if"), item, how)
     pred = dot_expr("_uf", "_if")
-    if cold_start != "drop":
+    if cold_start == "nan":
         pred = F.coalesce(pred, F.lit(float("nan")))
-    return joined.select(*pairs.columns, pred.alias("prediction"))
+    marks = [F.col("_uf").isNotNull().__and__(F.col("_if").isNotNull()).alias("known")] if cold_start == "mark" else []
+    return joined.select(*pairs.columns, pred.alias("prediction"), *marks)
 
 
-def _topn_schema(q: str, c: str) -> T.StructType:
-    return T.StructType([T.StructField(q, T.IntegerType()), T.StructField("rank", T.IntegerType()),
-                         T.StructField(c, T.IntegerType()), T.StructField("score", T.DoubleType())])
+def predict_one(user_id: int, item_id: int, user_factors: DataFrame, item_factors: DataFrame) -> float | None:
+    """The score of one pair, from its two factor rows; None if either is unknown."""
+    both = [f.filter(F.col("id") == i).select("features").limit(1).collect()
+            for f, i in ((user_factors, user_id), (item_factors, item_id))]
+    if not all(both):
+        return None
+    return float(np.dot(*(np.array(rows[0][0], float) for rows in both)))
 
 
 def _top_k_rows(s: np.ndarray, cand_ids: np.ndarray, k: int):
-    """Row-wise exact top-k of a score block, ordered by (score desc, candidate id asc).
+    """Row-wise exact top-k of a score block, ordered by (score desc, candidate id asc);
+    a NaN score comes after every number.
 
     Vectorised for rows without a tie at the k-th place; rows with one (rare) take the
     exact per-row path.  Returns (row index, rank, candidate position, score) arrays.
     """
-    part = np.argpartition(-s, k - 1, axis=1)[:, :k]
-    top = np.take_along_axis(s, part, axis=1)
-    kth = top.min(axis=1)
-    at_or_above = (s >= kth[:, None]).sum(axis=1)
-    clean = at_or_above == k
+    order_by = np.where(np.isnan(s), -np.inf, s)
+    part = np.argpartition(-order_by, k - 1, axis=1)[:, :k]
+    kth = np.take_along_axis(order_by, part, axis=1).min(axis=1)
+    clean = (order_by >= kth[:, None]).sum(axis=1) == k
     rows, pos = [], []
     if clean.any():
         ci = np.nonzero(clean)[0]
         p = part[ci]
-        sc = top[ci]
-        # lexsort over each row: sort by id first, then stable by score desc
-        o1 = np.argsort(cand_ids[p], axis=1, kind="stable")
-        p = np.take_along_axis(p, o1, axis=1)
-        sc = np.take_along_axis(sc, o1, axis=1)
-        o2 = np.argsort(-sc, axis=1, kind="stable")
-        p = np.take_along_axis(p, o2, axis=1)
+        by_id = np.argsort(cand_ids[p], axis=1, kind="stable")
+        p = np.take_along_axis(p, by_id, axis=1)
+        by_score = np.argsort(-np.take_along_axis(order_by[ci], p, axis=1), axis=1, kind="stable")
         rows.append(np.repeat(ci, k))
-        pos.append(p.reshape(-1))
+        pos.append(np.take_along_axis(p, by_score, axis=1).reshape(-1))
     for i in np.nonzero(~clean)[0]:
-        idx = np.nonzero(s[i] >= kth[i])[0]
-        sel = idx[np.lexsort((cand_ids[idx], -s[i, idx]))[:k]]
+        idx = np.nonzero(order_by[i] >= kth[i])[0]
+        sel = idx[np.lexsort((cand_ids[idx], -order_by[i, idx]))[:k]]
         rows.append(np.full(len(sel), i))
         pos.append(sel)
     r = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int64)
     c = np.concatenate(pos) if pos else np.zeros(0, dtype=np.int64)
-    # restore per-row grouping and rank numbering
     order = np.argsort(r, kind="stable")
     r, c = r[order], c[order]
-    starts = np.searchsorted(r, r, side="left")
-    rank = np.arange(len(r)) - starts + 1
+    rank = np.arange(len(r)) - np.searchsorted(r, r, side="left") + 1
     return r, rank, c, s[r, c]
 
 
-def _block_scorer(bc, n: int, q: str, c: str):
-    def score(batches):
-        cand_ids, cand = bc.value
-        nc = len(cand_ids)
-        k = min(n, nc)
-        step = max(1, SCORE_CELLS // max(nc, 1))
-        for pdf in batches:
-            if len(pdf) == 0 or nc == 0:
-                continue
-            qids = pdf["id"].to_numpy()
-            qmat = np.stack(pdf["features"].to_numpy()).astype(np.float64)
-            for lo in range(0, len(qids), step):
-                s = qmat[lo:lo + step] @ cand.T
-                r, rank, pos, sc = _top_k_rows(s, cand_ids, k)
-                yield pd.DataFrame({q: qids[lo + r].astype(np.int32),
-                                    "rank": rank.astype(np.int32),
-                                    c: cand_ids[pos].astype(np.int32),
-                                    "score": sc.astype(np.float64)})
-    return score
-
+def _packed(factors: DataFrame, block_rows: int, side: str) -> DataFrame:
+    """(block, ids, matrix, width) with blocks numbered from 0, materialised.
 
-def _block_of(n_blocks: int):
-    return F.pmod(F.hash("id"), F.lit(n_blocks))
+    Blocks are runs of a task's rows, so repeats of an id never make a block too large."""
+    def pack(batches):
+        part, count, held = TaskContext.get().partitionId(), 0, []
 
+        def block(rows):
+            ids = np.array([r[0] for r in rows], np.int64)
+            mat = np.stack([np.asarray(r[1], np.float64) for r in rows])
+            return pd.DataFrame({"key": [(part << 32) + count], "ids": [ids.tobytes()],
+                                 "matrix": [mat.tobytes()], "width": [mat.shape[1]]})
+        for pdf in batches:
+            held += list(zip(pdf["id"], pdf["features"]))
+            while len(held) >= block_rows:
+                yield block(held[:block_rows])
+                held, count = held[block_rows:], count + 1
+        if held:
+            yield block(held)
+
+    rows = (factors.select(F.col("id").cast("long").alias("id"), F.col("features").cast("array<double>").alias("features"))
+            .filter(F.col("features").isNotNull()))
+    blocks = materialize(rows.mapInPandas(pack, "key long, ids binary, matrix binary, width int"))
+    # Only the keys, one per block, are numbered together.
+    number = F.row_number().over(Window.orderBy("key")).cast("int") - 1
+    numbers = blocks.select("key").withColumn(f"{side}_block", number)
+    return (blocks.join(numbers, "key")
+            .select(f"{side}_block", *[F.col(c).alias(f"{side}_{c}") for c in ("ids", "matrix", "width")]))
+
+
+def _scorer(n: int, q: str, c: str):
+    def matrix(ids, data, width):
+        return np.frombuffer(ids, np.int64), np.frombuffer(data, np.float64).reshape(-1, width)
 
-def _block_count(cand: DataFrame, max_block_rows: int | None,
-                 max_block_bytes: int = DEFAULT_MAX_BLOCK_BYTES) -> int:
-    """Smallest power-of-two refinement of ceil(n / bound) hash blocks in which every
-    block holds at most the bound of candidates — counted before anything is shipped,
-    so the bound is proven, not expected.  Without an explicit row bound it is derived
-    from ``max_block_bytes`` and the longest factor vector."""
-    row = cand.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("rank")).first()
-    n_cand, rank = int(row["n"]), int(row["rank"] or 0)
-    if max_block_rows is None:
-        max_block_rows = max(1, max_block_bytes // (8 * rank + 16))
-    n_blocks = max(1, math.ceil(n_cand / max_block_rows))
-    while n_blocks > 1:
-        largest = (cand.groupBy(_block_of(n_blocks).alias("b")).count()
-                   .agg(F.max("count")).first()[0])
-        if largest <= max_block_rows:
-            break
-        n_blocks *= 2
-    return n_blocks
+    def score(batches):
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                qids, qmat = matrix(row.q_ids, row.q_matrix, row.q_width)
+                cids, cmat = matrix(row.c_ids, row.c_matrix, row.c_width)
+                step = max(1, SCORE_CELLS // len(cids))
+                for lo in range(0, len(qids), step):
+                    s = qmat[lo:lo + step] @ cmat.T
+                    r, rank, pos, sc = _top_k_rows(s, cids, min(n, len(cids)))
+                    yield pd.DataFrame({q: qids[lo + r].astype(np.int32), "rank": rank.astype(np.int32),
+                                        c: cids[pos].astype(np.int32), "score": sc})
+    return score
 
 
 def top_n(query_factors: DataFrame, cand_factors: DataFrame, n: int = 10, q: str = "user",
-          c: str = "product", max_block_rows: int | None = None,
-          max_block_bytes: int = DEFAULT_MAX_BLOCK_BYTES) -> DataFrame:
-    """(q, rank, c, score): the n best candidates of every query id, ties by lower id."""
-    spark = query_factors.sparkSession
-    sc = spark.sparkContext
-    # rows without a factor vector cannot be scored (and would break the dense stack)
-    cand = cand_factors.select("id", "features").filter(F.col("features").isNotNull())
-    n_blocks = _block_count(cand, max_block_rows, max_block_bytes)
-    queries = query_factors.select("id", "features").filter(F.col("features").isNotNull())
-    schema = _topn_schema(q, c)
-    parts = []
-    for b in range(n_blocks):
-        block = cand if n_blocks == 1 else cand.filter(_block_of(n_blocks) == b)
-        pdf = block.toPandas()
-        ids = pdf["id"].to_numpy().astype(np.int64)
-        mat = (np.stack(pdf["features"].to_numpy()).astype(np.float64) if len(pdf)
-               else np.zeros((0, 0)))
-        bc = sc.broadcast((ids, mat))
-        parts.append(queries.mapInPandas(_block_scorer(bc, n, q, c), schema))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    if n_blocks > 1:
-        w = Window.partitionBy(q).orderBy(F.col("score").desc(), F.col(c).asc())
-        out = (out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
-                  .withColumn("rank", F.col("rank").cast("int")))
-    return out
+          c: str = "product", max_block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """(q, rank, c, score): the n best candidates of every query id, ties by lower id.
+
+    Rows without a vector are left out.  A NaN score ranks after every number.  Every row of
+    a repeated candidate id is a candidate; a repeated query id gets one list of the best of
+    all its rows."""
+    queries, cands = _packed(query_factors, max_block_rows, "q"), _packed(cand_factors, max_block_rows, "c")
+    n_q, n_c = queries.count(), cands.count()
+    # Each block is sent to the tasks of its row or column of the block grid.
+    grid_q = queries.withColumn("c_block", F.explode(F.sequence(F.lit(0), F.lit(n_c - 1)))) if n_c else queries.limit(0).withColumn("c_block", F.lit(0))
+    grid_c = cands.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1)))) if n_q else cands.limit(0).withColumn("q_block", F.lit(0))
+    pairs = grid_q.join(grid_c, ["q_block", "c_block"])
+    out = pairs.mapInPandas(_scorer(n, q, c), f"{q} int, rank int, {c} int, score double")
+    w = Window.partitionBy(q).orderBy(F.isnan("score"), F.col("score").desc(), F.col(c))
+    return (out.withColumn("rank", F.row_number().over(w).cast("int")).filter(F.col("rank") <= n)
+               .select(q, "rank", c, "score"))

@@ -33,7 +33,8 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 # ---- shared inputs -----------------------------------------------------------------
 
 def _model1(spark, sf):
-    return ops.category_matrix(src.click_log(spark, sf), list(src.item_props_parts(spark, sf)))
+    """Events with a label that has no weight (error, signup) are no feedback: dropped."""
+    return ops.category_matrix(src.click_log(spark, sf), list(src.item_props_parts(spark, sf)), on_unknown="drop")
 
 
 @query
@@ -73,20 +74,45 @@ def preview_events(spark, sf):
                       F.col("transactionid").asc_nulls_first()).limit(5)
 
 
+def _through_scratch(spark, write, read):
+    """What ``read`` gives of the files that ``write`` made; the files go when it is done."""
+    from .session import remove_path, scratch_path
+    path = scratch_path(spark, "round-trip")
+    write(path)
+    out = ops.materialize(read(path))
+    remove_path(spark, path)
+    return out
+
+
 @query
 def load_rating_matrix(spark, sf):
     """Model-3 matrix written as CSV part files (header in each) and read back typed,
     dropping every header-equal line as the reference's text load does."""
-    from .session import scratch_path
-    path = src.write_rating_matrix(_model3(spark, sf), scratch_path(spark, "matrix-csv"), "csv")
-    return src.load_rating_matrix(spark, path, "csv", header_lines="every")
+    return _through_scratch(
+        spark, lambda path: src.write_rating_matrix(_model3(spark, sf), path, "csv"),
+        lambda path: src.load_rating_matrix(spark, path, "csv", header_lines="every"))
 
 
 @query
 def write_read_roundtrip(spark, sf):
-    from .session import scratch_path
-    path = src.write_rating_matrix(_model3(spark, sf), scratch_path(spark, "matrix-pq"), "parquet")
-    return src.load_rating_matrix(spark, path, "parquet")
+    return _through_scratch(
+        spark, lambda path: src.write_rating_matrix(_model3(spark, sf), path, "parquet"),
+        lambda path: src.load_rating_matrix(spark, path, "parquet"))
+
+
+@query
+def scan_events_csv(spark, sf):
+    """The click log as the reference finds it: CSV files with a header, typed on reading."""
+    def write(path):
+        _click(spark, sf).write.option("header", True).csv(path)
+    return _through_scratch(spark, write, lambda path: src.read_events_csv(spark, path))
+
+
+@query
+def scan_item_props_csv(spark, sf):
+    def write(path):
+        union_item_props(spark, sf).write.option("header", True).csv(path)
+    return _through_scratch(spark, write, lambda path: src.read_events_csv(spark, path, src.ITEM_PROPS_SCHEMA))
 
 
 # ---- item properties and latest category --------------------------------------------
@@ -181,6 +207,18 @@ def weight_events(spark, sf):
     return ops.weight_events(_basket(spark, sf))
 
 
+@query
+def recode_events_keep(spark, sf):
+    """The click log's labels recoded in place, unknown ones (error, signup) kept."""
+    return ops.recode_events(_click(spark, sf))
+
+
+@query
+def weight_events_drop(spark, sf):
+    """The click log's weights, events with an unknown label dropped."""
+    return ops.weight_events(_click(spark, sf), on_unknown="drop")
+
+
 @query
 def project_triple(spark, sf):
     return ops.project_triple(ops.weight_events(_basket(spark, sf)))
@@ -233,39 +271,79 @@ def matrix_profile(spark, sf):
     return round_doubles(ops.matrix_profile(_model3(spark, sf)))
 
 
+def _model2(spark, sf):
+    return ops.visitor_matrix(_basket(spark, sf), 1, distinct_triples=False)
+
+
+def _model4(spark, sf):
+    return ops.visitor_matrix(_basket(spark, sf), 2, distinct_triples=True)
+
+
+def _register_profiles(model, matrix, item):
+    """Exploration of the other three matrices, as of model 3 above."""
+    for name, fn in {
+        "distinct_users": lambda m: ops.distinct_ids(m, "visitorid"),
+        "distinct_products": lambda m: ops.distinct_ids(m, item),
+        "ratings_per_user_stats": lambda m: round_doubles(ops.ratings_per_user_stats(m)),
+        "user_rating_crosstab": lambda m: ops.user_rating_crosstab(m),
+        "matrix_profile": lambda m: round_doubles(ops.matrix_profile(m, item=item)),
+    }.items():
+        QUERIES[f"{name}_m{model}"] = lambda spark, sf, fn=fn: fn(matrix(spark, sf))
+
+
+_register_profiles(1, _model1, "categoryid")
+_register_profiles(2, _model2, "itemid")
+_register_profiles(4, _model4, "itemid")
+
+
 @query
 def stage_counts(spark, sf):
     """Row count after each stage of the model-1 chain (the reference's audit trail).
 
-    One tagged pass over the property log gives the four property-log counts; the
-    latest-category rows are materialised once (small, checkpointed) and reused by
-    the last four stages.
+    Each log is scanned once: the property log for its four counts and the latest-category
+    rows (tagged, grouped, stored), the click log for the last three counts; the latest rows
+    are one dimension, computed and measured once.
     """
     p1, p2 = src.item_props_parts(spark, sf)
-    tagged = p1.withColumn("_part", F.lit(1)).unionByName(p2.withColumn("_part", F.lit(2)))
+    tagged = ops.materialize(
+        p1.withColumn("_part", F.lit(1)).unionByName(p2.withColumn("_part", F.lit(2)))
+        .groupBy("_part", "property", F.when(F.col("property") == "categoryid",
+                                             F.struct("timestamp", "itemid", "value")).alias("row"))
+        .agg(F.count(F.lit(1)).alias("n")))  # one row per part and label, and the category rows
     props_counts = tagged.agg(
-        F.count_if(F.col("_part") == 1).alias("p1"), F.count_if(F.col("_part") == 2).alias("p2"),
-        F.count(F.lit(1)).alias("props"),
-        F.count_if(F.col("property") == "categoryid").alias("cats")).select(
+        F.sum(F.when(F.col("_part") == 1, F.col("n")).otherwise(0)).alias("p1"),
+        F.sum(F.when(F.col("_part") == 2, F.col("n")).otherwise(0)).alias("p2"), F.sum("n").alias("props"),
+        F.sum(F.when(F.col("property") == "categoryid", F.col("n")).otherwise(0)).alias("cats")).select(
         F.expr("stack(4, 'item_props_part1', p1, 'item_props_part2', p2, "
                "'item_props', props, 'category_rows', cats) AS (stage, n)"))
-    latest = ops.materialize(ops.latest_per_key(ops.filter_property(ops.union_parts(p1, p2))))
-    click = _click(spark, sf)
-    stages = [("events", click),
-              ("latest_items", latest.select("itemid").distinct()), ("latest_rows", latest),
-              ("events_with_category", ops.events_with_category(ops.clean_events(click), latest)),
-              ("model1_matrix", ops.category_matrix_from_latest(click, latest))]
+    cats = (tagged.filter(F.col("property") == "categoryid")
+            .select("row.timestamp", "row.itemid", "property", "row.value",
+                    F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("_k")).drop("_k"))
+    latest = ops.Dimension.of(ops.latest_per_key(cats))
+    latest_counts = latest.df.agg(F.count_distinct("itemid").alias("items"), F.count(F.lit(1)).alias("rows")).select(
+        F.expr("stack(2, 'latest_items', items, 'latest_rows', rows) AS (stage, n)"))
+    # Per distinct (visitor, item, event) of the click log: how many events, how many joined.
+    dim = latest.select("itemid", F.col("value").cast("int").alias("categoryid"))
+    events = (_click(spark, sf).groupBy("visitorid", "itemid", "event").agg(F.count(F.lit(1)).alias("n")))
+    joined = ops.materialize(ops.join_dimension(ops.weight_events(events, on_unknown="null"), dim, "itemid", "left")
+                             .select("visitorid", "itemid", "event", "n", "rating", "categoryid",
+                                     F.col("categoryid").isNotNull().alias("known")))
+    once = joined.groupBy("visitorid", "itemid", "event").agg(
+        F.first("n").alias("n"), F.sum(F.col("known").cast("long")).alias("k"))
+    click_counts = once.agg(F.sum("n").alias("events"), F.sum(F.col("n") * F.col("k")).alias("joined")).select(
+        F.expr("stack(2, 'events', events, 'events_with_category', joined) AS (stage, n)"))
+    matrix = (joined.filter("known and rating is not null").select("visitorid", "categoryid", "rating").distinct()
+              .agg(F.count(F.lit(1)).alias("n")).select(F.lit("model1_matrix").alias("stage"), "n"))
     out = props_counts
-    for name, df in stages:
-        out = out.unionByName(df.agg(F.count(F.lit(1)).alias("n"))
-                              .select(F.lit(name).alias("stage"), "n"))
+    for part in (latest_counts, click_counts, matrix):
+        out = out.unionByName(part)
     return out
 
 
 @query
 def collapse_pairs(spark, sf):
     """Click-log weights per (visitor, item), duplicates collapsed four ways."""
-    ev = ops.weight_events(_click(spark, sf))
+    ev = ops.weight_events(_click(spark, sf), on_unknown="drop")
     return round_doubles(ops.collapse_pairs(ev, "visitorid", "itemid", "rating"))
 
 
@@ -303,7 +381,7 @@ def test_pairs(spark, sf):
 
 def _click_ratings(spark, sf):
     """Distinct (user, product, rating) triples of the click log."""
-    ev = ops.weight_events(_click(spark, sf))
+    ev = ops.weight_events(_click(spark, sf), on_unknown="drop")
     return ops.to_ratings(ev.select("visitorid", "itemid", "rating").distinct())
 
 
@@ -355,6 +433,27 @@ def regression_metrics(spark, sf):
     return round_doubles(M.regression_metrics(_baseline_sl(spark, sf)))
 
 
+@query
+def regression_metrics_all_ratings(spark, sf):
+    """The reference's own join: predictions of the held-out pairs against ALL ratings of
+    those pairs, held out or not (the split is by row here, so pairs are on both sides)."""
+    from .plans import metrics as M
+    ratings = _click_ratings(spark, sf)
+    s = ops.hash_split(ratings, ["user", "product", "rating"])
+    train, test = (s.filter(F.col("split") == side).drop("split") for side in ("train", "test"))
+    preds = M.mean_user_predictor(train, test.select("user", "product"))
+    return round_doubles(M.regression_metrics(M.weighted_score_and_labels(ratings, preds), weight="weight"))
+
+
+@query
+def regression_metrics_weighted(spark, sf):
+    """``regression_metrics`` without the join's fan-out; same numbers."""
+    from .plans import metrics as M
+    train, test = _holdout(spark, sf)
+    preds = M.mean_user_predictor(train, test.select("user", "product"))
+    return round_doubles(M.regression_metrics(M.weighted_score_and_labels(test, preds), weight="weight"))
+
+
 # ---- factor tables: scoring, top-N both ways, ranking metrics -----------------------------
 
 @query
@@ -365,6 +464,15 @@ def predict_pairs_from_factors(spark, sf):
                                        src.product_factors(spark, sf)))
 
 
+@query
+def predict_pairs_marked(spark, sf):
+    """One row per input pair; a pair with an unknown id has no prediction and is marked."""
+    from .plans.recommend import predict_pairs
+    pairs = _click_ratings(spark, sf).select("user", "product")
+    return round_doubles(predict_pairs(pairs, src.user_factors(spark, sf), src.product_factors(spark, sf),
+                                       cold_start="mark"))
+
+
 @query
 def factor_dims(spark, sf):
     def dims(df, side):
@@ -466,34 +574,108 @@ def als_recommend_users(spark, sf):
     return recommend(model, 10, for_users=False)
 
 
+MODELS = {1: _model1, 2: _model2, 3: _model3, 4: _model4}
+
+
+def _ratings_of(spark, sf, model):
+    return ops.to_ratings(MODELS[model](spark, sf), "visitorid", "categoryid" if model == 1 else "itemid")
+
+
+def _basket_ratings(spark, sf):
+    """Ratings of models 2 to 4 from one pass over the basket log: the full-row distinct and
+    the visitors' counts are stored; model 3 is the distinct of model 2's triples, model 4
+    its part of visitors with more than two rows."""
+    basket = _basket(spark, sf)
+    active = ops.Dimension.of(ops.active_visitors(basket, 1))
+    m2 = ops.materialize(ops.join_dimension(ops.weight_events(basket.distinct()), active, "visitorid")
+                         .select("visitorid", "itemid", "rating", "count"))
+    m3 = ops.materialize(m2.distinct())
+    frames = {2: m2, 3: m3, 4: m3.filter("count > 2")}
+    return {m: ops.to_ratings(df) for m, df in frames.items()}
+
+
+def _explicit_model(spark, sf, model):
+    from .plans.factorize import fit
+    train, test = _split_pairs(_ratings_of(spark, sf, model))
+    return fit(train, implicit=False, rank=10, max_iter=10, reg_param=0.01), test
+
+
+def _register_explicit(model):
+    """Top-N both ways and the factor tables of the explicit models 2 to 4 (rank 10, 10
+    iterations, lambda 0.01 on the 80 % split)."""
+    from .plans.factorize import factors, recommend
+    QUERIES[f"als_recommend_products_m{model}"] = lambda spark, sf: recommend(
+        _explicit_model(spark, sf, model)[0], 10, for_users=True)
+    QUERIES[f"als_recommend_users_m{model}"] = lambda spark, sf: recommend(
+        _explicit_model(spark, sf, model)[0], 10, for_users=False)
+    QUERIES[f"als_factors_m{model}"] = lambda spark, sf: factors(_explicit_model(spark, sf, model)[0])
+
+
+for _m in (2, 3, 4):
+    _register_explicit(_m)
+
+
 @query
 def als_recommend_explicit(spark, sf):
-    """Top-10 products for every user from the explicit model of the model-3 matrix
-    (rank 10, 10 iterations, lambda 0.01), as the reference does for models 2-4."""
-    from .plans.factorize import fit, recommend
-    train, _ = _split_pairs(ops.to_ratings(_model3(spark, sf)))
-    model = fit(train, implicit=False, rank=10, max_iter=10, reg_param=0.01)
-    return recommend(model, 10, for_users=True)
+    """Top-10 products for every user from the explicit model of the model-3 matrix."""
+    return QUERIES["als_recommend_products_m3"](spark, sf)
+
+
+@query
+def als_implicit_rank5(spark, sf):
+    """Model 1 with rank 5 and 5 iterations (alpha 0.01), scored on held-out pairs."""
+    from .plans.factorize import fit, predict
+    train, test = _split_pairs(_model1_ratings(spark, sf))
+    return predict(fit(train, implicit=True, rank=5, max_iter=5, alpha=0.01, reg_param=0.01), test)
+
+
+# The part of a trained model's output that is exact: which rows there are, not their scores.
+
+@query
+def als_scored_pairs_m1(spark, sf):
+    """Held-out pairs that survive the cold start: user and product both occur in training."""
+    return als_implicit_predict(spark, sf).select("user", "product", "rating")
+
+
+@query
+def als_scored_pairs_m3(spark, sf):
+    return als_explicit_predict(spark, sf).select("user", "product", "rating")
+
+
+@query
+def als_factor_index(spark, sf):
+    """Which factor rows are exported, and their length."""
+    return als_factors(spark, sf).select("side", "id", "dim")
+
+
+@query
+def als_listed_products(spark, sf):
+    """Which (user, rank) the top-N lists have."""
+    return als_recommend_products(spark, sf).select("user", "rank")
+
+
+@query
+def als_listed_users(spark, sf):
+    return als_recommend_users(spark, sf).select("product", "rank")
+
+
+def _metrics_of(model, predictions, ratings):
+    from .plans import metrics as M
+    met = M.regression_metrics(M.weighted_score_and_labels(ratings, predictions), weight="weight")
+    return met.select(F.lit(model).alias("model"), *met.columns)
 
 
 @query
 def als_insample_metrics(spark, sf):
     """For each of the four matrices: explicit ALS (rank 10, 10 iterations, lambda 0.01)
     on weights shifted by -1.5, scored on its own training pairs (ratings ⋈ predictions,
-    fan-out kept), with RMSE and R² — the reference's per-model evaluation."""
-    from .plans import metrics as M
+    a row for every pair of a rating and a prediction), with RMSE and R²."""
     from .plans.factorize import fit, predict
-    basket = _basket(spark, sf)
-    mats = {1: ops.to_ratings(_model1(spark, sf), "visitorid", "categoryid", "rating"),
-            2: ops.to_ratings(ops.visitor_matrix(basket, 1, distinct_triples=False)),
-            3: ops.to_ratings(ops.visitor_matrix(basket, 1, distinct_triples=True)),
-            4: ops.to_ratings(ops.visitor_matrix(basket, 2, distinct_triples=True))}
     out = None
-    for m, ratings in mats.items():
+    for m, ratings in {1: _model1_ratings(spark, sf), **_basket_ratings(spark, sf)}.items():
         r = ops.materialize(ratings.withColumn("rating", F.col("rating") - F.lit(1.5)))
         model = fit(r, implicit=False, rank=10, max_iter=10, reg_param=0.01)
-        met = M.regression_metrics(M.score_and_labels(r, predict(model, r.select("user", "product"))))
-        met = met.select(F.lit(m).alias("model"), *met.columns)
+        met = _metrics_of(m, predict(model, r.select("user", "product")), r)
         out = met if out is None else out.unionByName(met)
     return out
 
@@ -504,20 +686,13 @@ def als_holdout_metrics(spark, sf):
     settings (model 1: implicit, alpha 0.01; models 2-4: explicit, lambda 0.01; rank 10,
     10 iterations): one row per model with MSE / RMSE / R² (implicit scores against the
     1-3 weights, as the reference reports them)."""
-    from .plans import metrics as M
     from .plans.factorize import fit, predict
-    basket = _basket(spark, sf)
-    mats = {1: _model1_ratings(spark, sf),
-            2: ops.to_ratings(ops.visitor_matrix(basket, 1, distinct_triples=False)),
-            3: ops.to_ratings(ops.visitor_matrix(basket, 1, distinct_triples=True)),
-            4: ops.to_ratings(ops.visitor_matrix(basket, 2, distinct_triples=True))}
     out = None
-    for m, ratings in mats.items():
+    for m, ratings in {1: _model1_ratings(spark, sf), **_basket_ratings(spark, sf)}.items():
         train, test = _split_pairs(ratings)
         model = fit(train, implicit=(m == 1), rank=10, max_iter=10, reg_param=0.01, alpha=0.01)
-        sl = M.score_and_labels(test, predict(model, test.select("user", "product")))
-        met = M.regression_metrics(sl)
-        met = met.select(F.lit(m).alias("model"), F.lit(m == 1).alias("implicit"), *met.columns)
+        met = _metrics_of(m, predict(model, test.select("user", "product")), test)
+        met = met.select("model", F.lit(m == 1).alias("implicit"), *met.columns[1:])
         out = met if out is None else out.unionByName(met)
     return out
 
@@ -526,13 +701,14 @@ def als_holdout_metrics(spark, sf):
 def als_ranking_metrics(spark, sf):
     """Ranking evaluation of ALS recommendations (the reference's stated last step):
     implicit ALS on model 1's 80 % split, top-10 categories per user, relevant = the
-    user's held-out categories; users with held-out items only."""
-    from .plans.factorize import recommend
+    user's held-out categories; over all users with held-out items (one whom training never
+    saw has no list and scores 0)."""
+    from .plans.factorize import recommend_for
     from .plans.ranking import ranking_metrics as rank_metrics
     model, test = _implicit_model(spark, sf)
     held = test.select("user", "product").distinct()
     rel = held.groupBy("user").agg(F.count(F.lit(1)).alias("n_rel"))
-    top = recommend(model, 10, for_users=True).join(rel.select("user"), "user", "left_semi")
+    top = recommend_for(model, rel.select("user"), 10)
     hits = (top.join(held.withColumn("hit", F.lit(1)), ["user", "product"], "left")
                .select("user", "rank", F.coalesce("hit", F.lit(0)).alias("hit")))
     return rank_metrics(hits, rel, 10)
@@ -543,7 +719,7 @@ def als_tuned(spark, sf):
     """Implicit ALS, 8-setting grid, 3-fold CV on 80 %, best model's RMSE on 20 %."""
     from .plans.tune import tune
     train, test = _split_pairs(_model1_ratings(spark, sf))
-    _, summary = tune(train, test, implicit=True, method="cv", alpha=0.01)
+    _, summary = tune(train, test, implicit=True, method="cv")
     return summary
 
 
@@ -552,5 +728,18 @@ def als_tuned_tvs(spark, sf):
     """Same grid with one seeded train/validation split (trainRatio 0.8)."""
     from .plans.tune import tune
     train, test = _split_pairs(_model1_ratings(spark, sf))
-    _, summary = tune(train, test, implicit=True, method="tvs", alpha=0.01)
+    _, summary = tune(train, test, implicit=True, method="tvs")
     return summary
+
+
+@query
+def als_tuned_tvs_baskets(spark, sf):
+    """The single-split search for models 2 to 4, one row each."""
+    from .plans.tune import tune
+    out = None
+    for m, ratings in _basket_ratings(spark, sf).items():
+        train, test = _split_pairs(ratings)
+        _, summary = tune(train, test, implicit=True, method="tvs")
+        summary = summary.select(F.lit(m).alias("model"), *summary.columns)
+        out = summary if out is None else out.unionByName(summary)
+    return out

@@ -5,14 +5,15 @@ time-stamped item-property log split over two files, and writes/reads rating mat
 and factor tables.  These functions build the same shapes from the driver's parquet
 tables, as plain projections and filters that Catalyst pushes into the scans:
 
-* ``click_log``  <- events: view/click/purchase become view/addtocart/transaction;
-  the item is ``props.k``; purchases carry their event id as transaction id.
+* ``click_log``  <- events: view/click/purchase become view/addtocart/transaction, any
+  other label (error, signup) stays as it is; the item is ``props.k``; purchases carry
+  their event id as transaction id.
 * ``basket_log`` <- lineitem: year-level timestamps, so full-row duplicates exist and
   the "more than k events" filter bites.
 * ``item_props`` <- lineitem: ``categoryid`` rows where returnflag R and quantity <= 5;
   split into two parts by linestatus (O = part 1, F = part 2).
-* factor tables <- embeddings: vec_id < 250 are users (id = vec_id), the rest are
-  products (id = vec_id - 250, so product ids start at 0 like the click-log items).
+* factor tables <- embeddings: even vec_ids are users, odd ones products, both with
+  id = vec_id div 2, so that either side grows with the table and starts at 0.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ from .tables import read_table
 # Fixed values of the fixture mapping.
 CLICK_EVENT_LABELS = {"view": "view", "click": "addtocart", "purchase": "transaction"}
 BASKET_EVENT_LABELS = {"N": "view", "R": "addtocart"}   # any other flag -> transaction
-USER_FACTOR_LIMIT = 250
 
 
 def click_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,8 +35,8 @@ def click_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     for src, dst in CLICK_EVENT_LABELS.items():
         cond = F.col("event_type") == src
         label = F.when(cond, F.lit(dst)) if label is None else label.when(cond, F.lit(dst))
-    return (ev.filter(F.col("event_type").isin(list(CLICK_EVENT_LABELS)))
-              .select(epoch_millis("ts").alias("timestamp"),
+    label = label.otherwise(F.col("event_type"))
+    return (ev.select(epoch_millis("ts").alias("timestamp"),
                       F.col("user_id").cast("int").alias("visitorid"),
                       label.alias("event"),
                       F.get_json_object("props", "$.k").cast("int").alias("itemid"),
@@ -80,15 +80,10 @@ def item_props_parts(spark: SparkSession, sf_dir: str, ts_grain: str = "ms"):
 
 def _factors(spark: SparkSession, sf_dir: str, users: bool) -> DataFrame:
     emb = read_table(spark, sf_dir, "embeddings")
-    if users:
-        emb = emb.filter(F.col("vec_id") < USER_FACTOR_LIMIT)
-        fid = F.col("vec_id")
-    else:
-        emb = emb.filter(F.col("vec_id") >= USER_FACTOR_LIMIT)
-        fid = F.col("vec_id") - USER_FACTOR_LIMIT
-    return emb.select(fid.cast("int").alias("id"),
-                      F.col("embedding").cast("array<double>").alias("features"),
-                      F.col("label"))
+    return (emb.filter(F.pmod("vec_id", F.lit(2)) == (0 if users else 1))
+               .select(F.expr("vec_id div 2").cast("int").alias("id"),
+                       F.col("embedding").cast("array<double>").alias("features"),
+                       F.col("label")))
 
 
 def user_factors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,18 +19,21 @@ from .sources.ratings_io import (EVENTS_SCHEMA, ITEM_PROPS_SCHEMA, load_rating_m
 MATRIX_ITEM_COL = {1: "categoryid", 2: "itemid", 3: "itemid", 4: "itemid"}
 
 
-def matrices(events: DataFrame, props_parts: list[DataFrame]) -> dict[int, DataFrame]:
-    return {1: ops.category_matrix(events, props_parts),
-            2: ops.visitor_matrix(events, 1, distinct_triples=False),
-            3: ops.visitor_matrix(events, 1, distinct_triples=True),
-            4: ops.visitor_matrix(events, 2, distinct_triples=True)}
+def matrices(events: DataFrame, props_parts: list[DataFrame],
+             on_unknown: str = "error") -> dict[int, DataFrame]:
+    """The four matrices; ``on_unknown`` is the policy for event labels without a weight."""
+    known = ops.weight_events(events, on_unknown="drop").drop("rating") if on_unknown == "drop" else events
+    return {1: ops.category_matrix(known, props_parts, on_unknown),
+            2: ops.visitor_matrix(known, 1, distinct_triples=False, on_unknown=on_unknown),
+            3: ops.visitor_matrix(known, 1, distinct_triples=True, on_unknown=on_unknown),
+            4: ops.visitor_matrix(known, 2, distinct_triples=True, on_unknown=on_unknown)}
 
 
 def build_matrices(spark: SparkSession, events_csv: str, props_csvs: list[str], out: str,
-                   models=(1, 2, 3, 4), fmt: str = "parquet") -> dict[int, str]:
+                   models=(1, 2, 3, 4), fmt: str = "parquet", on_unknown: str = "error") -> dict[int, str]:
     events = read_events_csv(spark, events_csv, EVENTS_SCHEMA)
     parts = [read_events_csv(spark, p, ITEM_PROPS_SCHEMA) for p in props_csvs]
-    built = matrices(events, parts)
+    built = matrices(events, parts, on_unknown)
     paths = {}
     for m in models:
         paths[m] = write_rating_matrix(built[m], f"{out.rstrip('/')}/model{m}", fmt)
@@ -54,8 +57,8 @@ def train_and_recommend(spark: SparkSession, matrix_path: str, model: int, out:
     o = out.rstrip("/")
     outputs = {"factors": factors(als), "top_products": recommend(als, n, True),
                "top_users": recommend(als, n, False),
-               "holdout_metrics": M.regression_metrics(
-                   M.score_and_labels(test, predict(als, test.select("user", "product"))))}
+               "holdout_metrics": M.regression_metrics(M.weighted_score_and_labels(
+                   test, predict(als, test.select("user", "product"))), weight="weight")}
     paths = {}
     for name, df in outputs.items():
         df.write.mode("overwrite").parquet(f"{o}/{name}")
@@ -75,7 +78,7 @@ def tune_model(spark: SparkSession, matrix_path: str, model: int, out: str,
     s = ops.hash_split(ratings, ["user", "product"])
     train = s.filter(F.col("split") == "train").drop("split")
     test = s.filter(F.col("split") == "test").drop("split")
-    best, summary = tune(train, test, implicit=implicit, method=method, alpha=0.01)
+    best, summary = tune(train, test, implicit=implicit, method=method)
     o = out.rstrip("/")
     summary.select(F.lit(model).alias("model"), *summary.columns) \
         .write.mode("overwrite").parquet(f"{o}/tuning")

@@ -32,6 +32,8 @@ def test_matches_oracle_sf0001(spark, cons, name):
 def test_every_query_has_oracle_or_is_trained():
     missing = [n for n in QUERIES if n not in SQL]
     assert all(n.startswith("als_") or n == "split_random" for n in missing), missing
+    assert {"als_scored_pairs_m1", "als_scored_pairs_m3", "als_factor_index", "als_listed_products",
+            "als_listed_users"} <= set(SQL)
 
 
 def test_entry_contract(spark):

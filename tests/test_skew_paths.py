@@ -47,7 +47,7 @@ def test_category_matrix_shuffle_path_with_hot_item(spark, skew_conf):
     hot = click.withColumn("itemid", F.when(F.col("visitorid") % 3 == 0, F.lit(7))
                            .otherwise(F.col("itemid")))
     parts = list(src.item_props_parts(spark, SF01))
-    _same(ops.category_matrix(hot, parts), ops.category_matrix(hot, parts, max_broadcast_bytes=0))
+    _same(ops.category_matrix(hot, parts, "drop"), ops.category_matrix(hot, parts, "drop", max_broadcast_bytes=0))
     props = ops.filter_property(ops.union_parts(*parts))
     _same(ops.latest_per_key(props), ops.latest_per_key(props, max_broadcast_bytes=0))
     _same(ops.events_of_active(src.basket_log(spark, SF01), 1, method="semi"),

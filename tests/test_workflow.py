@@ -16,7 +16,7 @@ def test_csv_inputs_to_matrices_and_recommendations(spark):
     p1.write.option("header", True).csv(f"{base}/props1")
     p2.write.option("header", True).csv(f"{base}/props2")
     paths = build_matrices(spark, f"{base}/events", [f"{base}/props1", f"{base}/props2"],
-                           f"{base}/out")
+                           f"{base}/out", on_unknown="drop")
     m1 = spark.read.parquet(paths[1])
     expect = QUERIES["model1_matrix"](spark, SF001)
     assert m1.count() == expect.count() and m1.exceptAll(expect).count() == 0
@@ -39,7 +39,7 @@ def test_cli_main(spark, capsys):
     p1.write.option("header", True).csv(f"{base}/p1")
     p2.write.option("header", True).csv(f"{base}/p2")
     main(["matrices", "--events", f"{base}/events", "--props", f"{base}/p1", f"{base}/p2",
-          "--out", f"{base}/m", "--models", "1", "3"])
+          "--out", f"{base}/m", "--models", "1", "3", "--on-unknown", "drop"])
     paths = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert set(paths) == {"1", "3"}
     assert spark.read.parquet(paths["1"]).count() == 238
