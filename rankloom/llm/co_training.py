@@ -22,14 +22,13 @@ them.  Classes are weighted to their true frequencies.  score is the probability
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_name, map_batches
-from .linear import Logistic, bounded_sample, rows_of, sigmoid
+from .common import map_batches, stored
+from .linear import MAX_SHIPPED, Logistic, bounded_sample, rows_of, sigmoid
 
 PER_CLASS = 1500
 POOL = 3000
@@ -201,21 +200,20 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, in one pass over them."""
+    """The rows of ``docs`` that the classifier accepts, all columns kept.
+
+    What is stored and joined is the rejected rows' ids and text hashes."""
     model = fit(docs, labels)
-    mark = fresh_name(docs.columns, "accepted")
-
-    @F.pandas_udf("boolean")
-    def keep(text, source, lang, n_chars):
-        batch = pa.RecordBatch.from_arrays(
-            [pa.nulls(len(text), pa.int64()), pa.array(text, pa.string()), pa.array(source, pa.string()),
-             pa.array(lang, pa.string()), pa.array(n_chars, pa.int64(), from_pandas=True)],
-            names=["doc_id", "text", "source", "lang", "n_chars"])
-        p = np.ones(batch.num_rows) if model is None else model.score(_views(batch))
-        return pd.Series((p >= 0.5) & (text != "").to_numpy())
 
-    have = {c.lower() for c in docs.columns}
-    opt = lambda c, t: (F.col(c) if c in have else F.lit(None)).cast(t)
-    judged = keep(F.coalesce(F.col("text").cast("string"), F.lit("")), opt("source", "string"),
-                  opt("lang", "string"), opt("n_chars", "long"))
-    return docs.withColumn(mark, judged).filter(F.col(mark)).drop(mark)
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        p = np.ones(batch.num_rows) if model is None else model.score(_views(batch))
+        empty = np.array([not t.as_py() for t in batch.column(1)], bool)
+        bad = pa.array((p < 0.5) | empty)
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(5)], names=["bad_id", "bad_text"]).filter(bad)
+
+    rows = _columns(docs, "doc_id").withColumn("tag", F.xxhash64("text"))
+    bad = stored(map_batches(rows, run, "bad_id long, bad_text long"), "rejected").distinct()
+    small = bad.count() <= MAX_SHIPPED
+    own_text = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    on = docs["doc_id"].cast("long").eqNullSafe(bad["bad_id"]) & (own_text == bad["bad_text"])
+    return docs.join(F.broadcast(bad) if small else bad, on, "left_anti")

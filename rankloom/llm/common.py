@@ -27,7 +27,9 @@ def fresh_name(taken: Iterable[str], base: str) -> str:
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-FILE_BYTES = 32 << 20  # shuffled bytes behind one file of a stored table, at least
+ARROW = "spark.sql.execution.arrow.maxBytesPerBatch"
+FILE_BYTES = 16 << 20  # shuffled bytes behind one file of a stored table, at least
+BATCH_BYTES = 8 << 20  # handed to Python at once, at most (a row at least)
 
 
 def stored(df: DataFrame, name: str, few: bool = False) -> DataFrame:
@@ -35,16 +37,18 @@ def stored(df: DataFrame, name: str, few: bool = False) -> DataFrame:
     cut, readable by every executor after any loss.
 
     The write's own shuffle files go when it is done, so disk holds one step's shuffles and
-    not those of all steps; and it is not cut into many small files.  ``few`` is for tables of
-    narrow rows, far smaller than the input: two files a core at most."""
+    not those of all steps; it is not cut into many small files; and Python gets its input in
+    small batches.  ``few`` is for tables of narrow rows, far smaller than the input: two
+    files a core at most."""
     spark = df.sparkSession
     if few:
         df = df.coalesce(2 * spark.sparkContext.defaultParallelism)
     path = scratch_path(spark, name)
-    before = {k: spark.conf.get(k) for k in (CLEANUP, ADVISORY)}
-    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before[ADVISORY])
+    before = {k: spark.conf.get(k) for k in (CLEANUP, ADVISORY, ARROW)}
+    in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
     spark.conf.set(CLEANUP, "true")
-    spark.conf.set(ADVISORY, str(max(size, FILE_BYTES)))
+    spark.conf.set(ADVISORY, str(max(in_bytes(before[ADVISORY]), FILE_BYTES)))
+    spark.conf.set(ARROW, str(min(in_bytes(before[ARROW]), BATCH_BYTES)))
     try:
         df.write.parquet(path)
     finally:
@@ -94,6 +98,8 @@ def map_tasks(df: DataFrame, start: Callable[[], object], fn: Callable[[object,
             out = fn(state, batch)
             if out is not None and out.num_rows:
                 yield out
+        del state
+        pa.default_memory_pool().release_unused()
     return df.mapInArrow(run, schema)
 
 

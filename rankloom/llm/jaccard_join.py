@@ -51,8 +51,9 @@ SMALL = 32
 LISTED = 16
 #: Frequent shingles whose counts order the others: the most frequent of the corpus.
 FREQUENT = 1 << 18
-#: A slice of a task (about 4 MB of text) reports a shingle from this many documents on.
+#: A slice of a task (SLICE bytes of text) reports a shingle from this many documents on.
 REPORTED = 4
+SLICE = 2 << 20
 MAX_SHIPPED = 2_000_000  # ids broadcast at most (8 bytes each); beyond, a shuffle join
 
 
@@ -107,7 +108,7 @@ def _sets(rows: DataFrame) -> DataFrame:
     shingles with a null digest.  ``cells`` is the histogram of the suffix filter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "n", "digest", "cells"]
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             flat, n = shingle_sets(batch.column(1))
             ends = np.cumsum(n)
             digest = [xxhash.xxh3_128_digest(flat[a:b]) for a, b in zip((ends - n).tolist(), ends.tolist())]
@@ -167,7 +168,7 @@ def _prefixes(rows: DataFrame, token: np.ndarray, seen: np.ndarray, percent: int
         kinds = (np.int64, np.int32, np.int32, np.int64, np.int32, np.int32)
         return pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(cols, kinds)],
                                           names=["token", "parts", "block", "id", "n", "pos"])
-    return map_batches(rows, run, "token long, parts int, block int, id long, n int, pos int")
+    return map_batches(rows, run, "token long, parts int, block int, id long, n int, pos int", SLICE)
 
 
 def _set_rows(rows: DataFrame) -> DataFrame:
@@ -180,7 +181,7 @@ def _set_rows(rows: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(n.astype(np.int32)), pa.array(fine, pa.list_(pa.int32())),
              pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["id", "n", "fine", "set"])
-    return map_batches(rows, run, "id long, n int, fine array<int>, set array<long>")
+    return map_batches(rows, run, "id long, n int, fine array<int>, set array<long>", SLICE)
 
 
 def _may_link(n_u: Column, pos_u: Column, n_v: Column, pos_v: Column, percent: int) -> Column:

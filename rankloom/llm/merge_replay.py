@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_tasks, ragged
+from .common import map_tasks, ragged, stored
 from .pieces import TextIds
 
 NO_RANK = np.int64(1) << 40
 #: Pieces a task remembers between chunks.
-MEMORY = 300_000
+MEMORY = 150_000
 #: Bytes of text whose new pieces are replayed together.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -237,7 +237,7 @@ def round_trip(docs: DataFrame, rank_file: str = "byte_bpe_multi_50k.tiktoken",
 
 
 def token_digests(docs: DataFrame, rank_file: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
-    """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256 (after a round trip)."""
-    return round_trip(docs, rank_file).select(
+    """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256 (after a round trip), stored."""
+    return stored(round_trip(docs, rank_file).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")), "token-digests")

@@ -35,7 +35,7 @@ MIN_SHARE = 0.4
 #: A window needs this many words that are no placeholder (shorter items: half).
 MIN_LITERALS = 3
 MAX_SHIPPED = 1_000_000
-MEMORY = 300_000  # words a task remembers
+MEMORY = 200_000  # words a task remembers
 #: Ids of contaminated documents broadcast at most (8 bytes each); beyond, a shuffle join.
 MAX_DROPPED = 2_000_000
 
