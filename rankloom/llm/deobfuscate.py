@@ -1,9 +1,9 @@
 """Toxicity by noisy-channel deobfuscation.
 
 Obfuscated words are restored before they are scored.  A suspicious span (letters mixed with
-digits or signs, letters spaced out, letters repeated) becomes a lattice of characters:
-every sign may stand for the letters it resembles, separators and repeats may be dropped,
-each at a cost.  A Viterbi search over the lattice under a character trigram model, whose
+digits or signs, letters spaced out, letters repeated), of any length, becomes a lattice of
+characters: every sign may stand for the letters it resembles, separators and repeats may be
+dropped, each at a cost, and spaced letters may be parted into words.  A Viterbi search over the lattice under a character trigram model, whose
 counts come from all documents, finds the best restorations.
 
 A document's features are its words and the stems of longer words, as written and as
@@ -42,18 +42,22 @@ LETTERS = 59  # boundary, a-z, the accented letters of Latin-1, any other letter
 LOOKS_LIKE = {"0": "o", "1": "il", "!": "il", "|": "li", "3": "e", "4": "a", "@": "a", "5": "s", "$": "s",
               "7": "t", "+": "t", "8": "b", "9": "g", "6": "g", "2": "z", "€": "e", "(": "c", "¡": "i"}
 HIDDEN = "*#"  # may stand for any vowel
+_LIKE_LETTERS = frozenset(c for c in [*LOOKS_LIKE, *HIDDEN] if not c.isdigit())
 SUBSTITUTED, HID, DROPPED, REPEATED = 1.0, 2.5, 0.7, 0.3
-BEAM, BEST, LONGEST = 16, 3, 48
+BEAM, BEST = 16, 3
+REMEMBERED = 64  # longer spans are decoded every time, so that what a worker remembers stays small
 
 _WORD = re.compile(r"[^\W\d_]+")
-_LETTER = r"[^\W\d_]"
-_SIGN = r"[0-9@$!|+€¡(*#._\-]"
-_MIXED = re.compile(rf"(?<!\w)[0-9@$!|+€¡(]{{0,2}}{_LETTER}+(?:{_SIGN}{{1,2}}{_LETTER}+)+(?:[0-9@$|+€])?(?!\w)"
-                    rf"|(?<!\w)[0-9@$!|+€¡]{{1,2}}{_LETTER}{{2,}}(?!\w)"
-                    rf"|(?<!\w){_LETTER}{{2,}}[0-9@$|+€]{{1,2}}(?!\w)")
-_SPACED = re.compile(rf"(?<![^\s])[^\s](?:[ \t]{{1,3}}[^\s]){{3,}}(?![^\s])")
+_SIGNS = r"@$!|+€¡(*#.\-"
+# A maximal run of letters, digits and signs that is more than letters.
+_MIXED = re.compile(rf"(?<![\w{_SIGNS}])[^\W\d_]*+[\d_{_SIGNS}][\w{_SIGNS}]*+")
+_SPACED = re.compile(r"(?<![^\s])[^\s](?:[ \t]{1,3}[^\s]){3,}(?![^\s])")
 _REPEATED = re.compile(r"(?<!\w)[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*(?!\w)")
-
+_SEPARATORS = "._-"
+_PARTED = re.compile(r"[._\-]+")
+_FAR = re.compile(r"[^\w]{3,}")
+_SIGN = re.compile(rf"[\d_{_SIGNS}]")
+_THRICE = re.compile(r"([^\W\d_])\1\1")
 
 def _code_table() -> np.ndarray:
     table = np.zeros(0x250, np.uint8)
@@ -112,8 +116,10 @@ def letter_model(counts: np.ndarray) -> np.ndarray:
 
 
 def lattice(span: str) -> list[list[tuple[str, float]]]:
-    """For each step the strings it may write, with their costs."""
-    steps, k, s = [], 0, span.lower()
+    """For each step the strings it may write, with their costs.  A span that begins with a
+    space is a phrase without its word boundaries: each of its letters may begin a word."""
+    phrase = span.startswith(" ")
+    steps, k, s = [], 0, span.lower().strip(" ")
     while k < len(s):
         c, run = s[k], 1
         while k + run < len(s) and s[k + run] == c:
@@ -134,6 +140,12 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
             steps.append([("", DROPPED)] + [(v, HID) for v in "aeiou"])
         else:
             steps.append([("", DROPPED if not c.isspace() else 0.0)])
+        if phrase:
+            if c.isalpha() and run > 1:
+                steps[-1] += [(f"{c} {c}", 0.0 if run == 2 else REPEATED)]
+                steps[-1] += [(f"{c * 2} {c}", REPEATED), (f"{c} {c * 2}", REPEATED)] if run > 2 else []
+            if k:
+                steps[-1] += [(" " + out, cost) for out, cost in steps[-1] if out]
         k += run
     return steps
 
@@ -145,7 +157,7 @@ def restore(span: str, model: np.ndarray) -> list[str]:
         return int(_CODES[o]) if o < 0x250 else LETTERS - 1
 
     paths = {(0, 0, ""): 0.0}  # the last two letters, the text so far
-    for ways in lattice(span[:LONGEST]):
+    for ways in lattice(span):
         grown: dict[tuple[int, int, str], float] = {}
         for (a, b, text), score in paths.items():
             for out, cost in ways:
@@ -162,33 +174,59 @@ def restore(span: str, model: np.ndarray) -> list[str]:
     return [t for _, t in ended[:BEST] if t]
 
 
+def _hides(span: str) -> bool:
+    """Letters together with signs, a letter three times, or signs alone that look like letters."""
+    if _WORD.search(span):
+        return len(span) > 1 and (_SIGN.search(span) or _THRICE.search(span)) is not None
+    return len(set(span)) > 1 and not {"@", "$"}.isdisjoint(span) and set(span) <= _LIKE_LETTERS
+
+
 def suspicious(text: str) -> list[str]:
-    """Spans that may hide words; spaced letters are one span."""
-    found = {m.group() for m in _MIXED.finditer(text)} | {m.group() for m in _REPEATED.finditer(text)}
+    """Spans that may hide words, however long.  Spaced letters are one span, and once more
+    with a space before it, as a phrase whose word boundaries are to be found."""
+    found = {m.group() for m in _REPEATED.finditer(text)}
+    for m in _MIXED.finditer(text):
+        span = m.group().strip(_SEPARATORS)
+        if not _hides(span):
+            continue
+        found.add(span)
+        found.update(v for v in (span.rstrip("!"), span.lstrip("("), span.strip("!(")) if _hides(v))
+        # Separators may also stand between words.
+        parts = _PARTED.split(span)
+        if len(parts) > 1:
+            found.update(filter(_hides, parts))
+            if len(parts) > 3 and max(map(len, parts)) == 1:
+                found.add(" " + "".join(parts))
+        if _FAR.search(span):
+            found.update(filter(_hides, (v.strip(_SEPARATORS) for v in _FAR.split(span))))
     for m in _SPACED.finditer(text):
         parts = re.split(r"([ \t]+)", m.group())
         if len(set(parts[::2])) > 1:  # wider gaps part words
             wide = max(map(len, parts[1::2])) > min(map(len, parts[1::2]))
-            word = parts[0]
+            words = [[parts[0]]]
             for gap, ch in zip(parts[1::2], parts[2::2]):
                 if wide and len(gap) > 1:
-                    found.add(word)
-                    word = ch
-                else:
-                    word += ch
-            found.add(word)
-    return [s for s in found if 2 <= len(s) <= LONGEST]
+                    words.append([])
+                words[-1].append(ch)
+            for word in map("".join, words):
+                found.add(word)
+                if len(word) > 3 and _WORD.search(word):
+                    found.add(" " + word)
+    return [s for s in found if len(s) >= 2]
 
 
 def features(text: str, model: np.ndarray, seen: dict) -> set[str]:
     """Words and stems of a text, as written and as restored.  ``seen`` remembers spans."""
     words = set(_WORD.findall(text.lower()))
     for span in suspicious(text):
-        if span not in seen:
-            if len(seen) > 200_000:
-                seen.clear()
-            seen[span] = restore(span, model)
-        words.update(seen[span])
+        read = seen.get(span)
+        if read is None:
+            read = [w for reading in restore(span, model) for w in reading.split()]
+            if len(span) <= REMEMBERED:
+                if len(seen) > 200_000:
+                    seen.clear()
+                seen[span] = read
+        words.update(read)
     return words | {w[:STEM] + "~" for w in words if len(w) > STEM}
 
 

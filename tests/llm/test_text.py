@@ -235,6 +235,31 @@ def test_lattice_reads():
     assert "idiot" in deobfuscate.restore("id*ot", model)
 
 
+def trained(*texts):
+    counts = np.ones((deobfuscate.LETTERS,) * 3) * 0.01
+    for t in texts * 50:
+        c = np.concatenate(([0, 0], deobfuscate.codes(t), [0]))
+        np.add.at(counts, (c[:-2], c[1:-1], c[2:]), 1)
+    return deobfuscate.letter_model(counts)
+
+
+@pytest.mark.parametrize("written, word", [
+    ("stu" + "u" * 60 + "pid", "stupid"), ("s" + "t" * 50 + "u" * 50 + "pid", "stupid"),  # longer than any limit
+    ("sh111t", "shit"), ("b1111tch", "bitch"), ("f***ing", "fing"), ("i...d...i...o...t", "idiot"),
+    ("1d1075", "idiots"), ("5h17", "shit"), ("sh1t!!!", "shit"), ("(un7", "cunt"), ("@$$", "ass"), ("id10**", "idio"),
+    ("off...sh1t", "shit"), ("off.5h17.now", "shit"),  # separators between words
+    ("y o u a r e a n i d i o t", "idiot"), ("y.o.u.a.r.e.a.n.1.d.i.0.t", "idiot"),
+    (" ".join("youareanidiot" * 8), "idiot"), ("y o u a r e  a n i d i o t", "idiot"),
+    ("y o u s t u u u u p i d", "stupid")])
+def test_hidden_words_are_read(written, word):
+    model = trained("you are an idiot", "idiots", "stupid you", "shit", "bitch", "fing", "cunt", "ass", "off now", "idio")
+    assert word in deobfuscate.features("well " + written + " then", model, {})
+
+
+def test_numbers_and_plain_words_are_not_spans():
+    assert set(deobfuscate.suspicious("In 2010, 1,000 people. Paid $100 (all) +44 1.5 -- yes! ok... a - b")) == {"(all", "yes!"}
+
+
 # ---- pipeline
 
 def test_pipeline_against_brute_force(spark):
