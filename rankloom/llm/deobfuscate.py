@@ -4,7 +4,7 @@ Obfuscated words are restored before they are scored.  A suspicious span (letter
 digits or signs, letters spaced out, letters repeated), of any length, becomes a lattice of
 characters: every sign may stand for the letters it resembles, separators and repeats may be
 dropped, each at a cost, and spaced letters may be parted into words.  A Viterbi search over the lattice under a character trigram model, whose
-counts come from all documents, finds the best restorations.
+counts come from all documents, finds the best restorations, exactly.
 
 A document's features are its words and the stems of longer words, as written and as
 restored.  A feature's weight is a lower confidence bound of its log-odds between toxic and
@@ -44,7 +44,8 @@ LOOKS_LIKE = {"0": "o", "1": "il", "!": "il", "|": "li", "3": "e", "4": "a", "@"
 HIDDEN = "*#"  # may stand for any vowel
 _LIKE_LETTERS = frozenset(c for c in [*LOOKS_LIKE, *HIDDEN] if not c.isdigit())
 SUBSTITUTED, HID, DROPPED, REPEATED = 1.0, 2.5, 0.7, 0.3
-BEAM, BEST = 16, 3
+BEST = 3
+_NAMES = (1 << 61) - 1
 REMEMBERED = 64  # longer spans are decoded every time, so that what a worker remembers stays small
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -151,27 +152,49 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
 
 
 def restore(span: str, model: np.ndarray) -> list[str]:
-    """The best readings of a span, best first (at most BEST)."""
+    """The best readings of a span, best first (at most BEST): an exact n-best Viterbi search.
+
+    A state is the last two letters written, and keeps its BEST readings that differ.  The
+    readings are linked backwards and told apart by a running hash, so the work grows with
+    the span and not with its square."""
     def code(ch: str) -> int:
         o = ord(ch)
         return int(_CODES[o]) if o < 0x250 else LETTERS - 1
 
-    paths = {(0, 0, ""): 0.0}  # the last two letters, the text so far
+    chance, known = model.reshape(-1).item, {}
+    states = {0: [(0.0, 0, None)]}  # last two letters -> (score, hash of the text, (what came before, last piece))
     for ways in lattice(span):
-        grown: dict[tuple[int, int, str], float] = {}
-        for (a, b, text), score in paths.items():
+        grown: dict[int, dict[int, tuple]] = {}
+        for state, readings in states.items():
             for out, cost in ways:
-                x, y, s = a, b, score - cost
+                to, gain = state, -cost
                 for ch in out:
-                    c = code(ch)
-                    s += float(model[x, y, c])
-                    x, y = y, c
-                key = (x, y, text + out)
-                if s > grown.get(key, -1e9):
-                    grown[key] = s
-        paths = dict(sorted(grown.items(), key=lambda kv: (-kv[1], kv[0]))[:BEAM])
-    ended = sorted(((s + float(model[a, b, 0]), t) for (a, b, t), s in paths.items()), key=lambda v: (-v[0], v[1]))
-    return [t for _, t in ended[:BEST] if t]
+                    c = known.get(ch)
+                    if c is None:
+                        c = known[ch] = code(ch)
+                    at = to * LETTERS + c
+                    gain += chance(at)
+                    to = at % (LETTERS * LETTERS)
+                into = grown.setdefault(to, {})
+                for score, name, text in readings:
+                    for ch in out:
+                        name = (name * 1_000_003 + ord(ch) + 1) % _NAMES
+                    old = into.get(name)
+                    if old is None or score + gain > old[0]:
+                        into[name] = (score + gain, name, (text, out) if out else text)
+        states = {to: sorted(into.values(), key=lambda r: (-r[0], r[1]))[:BEST] if len(into) > 1 else list(into.values())
+                  for to, into in grown.items()}
+    ended = sorted(((score + chance(state * LETTERS), name, text) for state, readings in states.items()
+                    for score, name, text in readings), key=lambda r: (-r[0], r[1]))
+    found = []
+    for _, _, text in ended[:BEST]:
+        pieces = []
+        while text is not None:
+            text, out = text
+            pieces.append(out)
+        if pieces:
+            found.append("".join(reversed(pieces)))
+    return found
 
 
 def _hides(span: str) -> bool:

@@ -1,6 +1,7 @@
 """Decontamination, chat rendering, the three classifiers and the pipeline."""
 
 import hashlib
+import itertools
 
 import numpy as np
 import pytest
@@ -256,6 +257,31 @@ def test_hidden_words_are_read(written, word):
     assert word in deobfuscate.features("well " + written + " then", model, {})
 
 
+def brute_readings(span, model):
+    """The best readings from all paths through the lattice."""
+    best = {}
+    for path in itertools.product(*deobfuscate.lattice(span)):
+        text, cost = "".join(out for out, _ in path), sum(cost for _, cost in path)
+        c = [0, 0, *(int(k) for k in deobfuscate.codes(text)), 0]
+        score = sum(float(model[x, y, z]) for x, y, z in zip(c, c[1:], c[2:])) - cost
+        best[text] = max(score, best.get(text, -1e9))
+    return [t for t, _ in sorted(best.items(), key=lambda kv: -kv[1])[:deobfuscate.BEST] if t]
+
+
+def test_best_readings_are_exact():
+    rng = np.random.default_rng(4)
+    model = deobfuscate.letter_model(rng.integers(0, 60, (deobfuscate.LETTERS,) * 3) ** 3 / 1e3)
+    for span in ["".join(rng.choice(list("a1*!e5#|"), 7)) for _ in range(20)] + [" a1*e!b", "a*1*#!*"]:
+        assert deobfuscate.restore(span, model) == brute_readings(span, model), span
+    flat = deobfuscate.letter_model(np.random.default_rng(4).integers(0, 60, (deobfuscate.LETTERS,) * 3))
+    hard = "|#75*7o7t||!1a"  # its best reading is not among the 16 best paths of every step
+    assert deobfuscate.restore(hard, flat) == brute_readings(hard, flat)
+
+
+def test_long_spans_are_decoded_in_linear_time():
+    assert len(deobfuscate.restore("ab1" * 20_000, trained("abi"))[0]) >= 40_000
+
+
 def test_numbers_and_plain_words_are_not_spans():
     assert set(deobfuscate.suspicious("In 2010, 1,000 people. Paid $100 (all) +44 1.5 -- yes! ok... a - b")) == {"(all", "yes!"}
 
