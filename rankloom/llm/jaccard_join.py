@@ -1,16 +1,16 @@
 """N-gram Jaccard join with rare-first prefix filtering.
 
-A document's set is its distinct four-word shingles (ASCII lower case, words parted by
+A document's set is its distinct shingles of ``words`` words (four by default; ASCII lower case, words parted by
 ``[\\x20\\x09-\\x0D]``), as 64-bit names; fewer words are one shingle, none make an empty
 set that links with nothing.  Two documents link when their Jaccard similarity is at least
-``threshold`` (0.85, compared in integers).
+``percent`` (85 by default, compared in integers).
 
 1. One pass names the sets.  Documents with equal sets are one class, of which the smallest
    is the representative; only representatives go on.  The pass also counts the frequent
    shingles.
 2. Shingles are ordered rarest first (uncounted ones before counted ones, then by name; any
    fixed order is right).  A representative of n shingles emits its first
-   n - ceil(threshold * n) + 1; two sets that link share one of these.
+   n - ceil(percent * n / 100) + 1; two sets that link share one of these.
 3. Buckets of one shingle are never expanded into all their pairs.  First each member is
    paired with its bucket's smallest member and with its neighbour in size: at most two
    pairs per row.  Pairs that pass the length, positional and suffix filters are verified
@@ -71,15 +71,15 @@ def _word_names(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return names[at[solid]], np.bincount(owner[solid], minlength=len(texts))
 
 
-def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """(the sorted distinct shingle names of every text one after the other, set sizes)."""
     w, n = _word_names(texts)
-    size = np.minimum(n, WORDS)  # words of a text's shingles
+    size = np.minimum(n, words)  # words of a text's shingles
     many = np.where(n > 0, n - size + 1, 0)  # shingles of a text, repeats included
     start = ragged(np.cumsum(n) - n, many)
     owner_size = np.repeat(size, many)
     h = owner_size.astype(np.uint64)
-    for k in range(WORDS):
+    for k in range(words):
         there = owner_size > k if k else slice(None)
         x = (h[there] ^ w[start[there] + k]) * _A
         h[there] = x ^ x >> np.uint64(32)
@@ -103,13 +103,13 @@ def prefix_length(n, percent: int = PERCENT):
     return n - (-(-percent * n // 100)) + 1
 
 
-def _sets(rows: DataFrame) -> DataFrame:
+def _sets(rows: DataFrame, words: int) -> DataFrame:
     """One pass: (id, n, digest, cells) of every document, and (token, seen) of frequent
     shingles with a null digest.  ``cells`` is the histogram of the suffix filter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "n", "digest", "cells"]
         for batch in slices(batches, SLICE):
-            flat, n = shingle_sets(batch.column(1))
+            flat, n = shingle_sets(batch.column(1), words)
             ends = np.cumsum(n)
             digest = [xxhash.xxh3_128_digest(flat[a:b]) for a, b in zip((ends - n).tolist(), ends.tolist())]
             cell = np.repeat(np.arange(len(n)), n) * CELLS + (flat & (CELLS - 1))
@@ -132,7 +132,7 @@ def _only(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return rows.join(F.broadcast(ids) if small else ids, ids.columns[0], how)
 
 
-def _prefixes(rows: DataFrame, token: np.ndarray, seen: np.ndarray, percent: int) -> DataFrame:
+def _prefixes(rows: DataFrame, token: np.ndarray, seen: np.ndarray, percent: int, words: int) -> DataFrame:
     """(token, parts, block, id, n, pos): the rare-first prefix of every set, the buckets of
     frequent shingles in several parts."""
     may = np.zeros(1 << 22, bool)
@@ -147,7 +147,7 @@ def _prefixes(rows: DataFrame, token: np.ndarray, seen: np.ndarray, percent: int
         return out
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        flat, n = shingle_sets(batch.column(1))
+        flat, n = shingle_sets(batch.column(1), words)
         often, ends, take = counts(flat), np.cumsum(n), []
         for a, b, p in zip((ends - n).tolist(), ends.tolist(), prefix_length(n, percent).tolist()):
             if a < b:
@@ -171,10 +171,10 @@ def _prefixes(rows: DataFrame, token: np.ndarray, seen: np.ndarray, percent: int
     return map_batches(rows, run, "token long, parts int, block int, id long, n int, pos int", SLICE)
 
 
-def _set_rows(rows: DataFrame) -> DataFrame:
+def _set_rows(rows: DataFrame, words: int) -> DataFrame:
     """(id, n, fine, set) of some documents; ``fine`` is empty for small sets."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        flat, n = shingle_sets(batch.column(1))
+        flat, n = shingle_sets(batch.column(1), words)
         ends = np.append(0, np.cumsum(n)).astype(np.int32)
         fine = [np.bincount(flat[a:b] & (FINE - 1), minlength=FINE).astype(np.int32) if b - a > FINE_FROM else []
                 for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
@@ -191,7 +191,7 @@ def _may_link(n_u: Column, pos_u: Column, n_v: Column, pos_v: Column, percent: i
     return (100 * F.least(n_u, n_v) >= percent * F.greatest(n_u, n_v)) & (room >= least)
 
 
-def _verified(pairs: DataFrame, cells: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, cells: DataFrame, rows: DataFrame, percent: int, words: int) -> DataFrame:
     """The (u, v) of ``pairs`` that link, stored: suffix filter first, then the sets of the
     documents that are left in some pair."""
     side = lambda df, s: df.select(*[F.col(c).alias({"id": s}.get(c, f"{c}_{s}")) for c in df.columns])
@@ -202,7 +202,7 @@ def _verified(pairs: DataFrame, cells: DataFrame, rows: DataFrame, percent: int)
     near = stored(pairs.join(side(cells, "u"), "u").join(side(cells, "v"), "v").filter(links(shared("cells")))
                   .select("u", "v"), "near", few=True)
     ids = near.select(F.col("u").alias("id")).union(near.select("v")).distinct()
-    members = stored(_set_rows(_only(rows, ids, "left_semi")), "members")
+    members = stored(_set_rows(_only(rows, ids, "left_semi"), words), "members")
     fine = members.select("id", "n", "fine")
     nearer = stored(near.join(side(fine, "u"), "u").join(side(fine, "v"), "v")
                     .filter((F.size("fine_u") == 0) | (F.size("fine_v") == 0) | links(shared("fine")))
@@ -321,7 +321,7 @@ def _labelled(buckets: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def link_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
+                    text_col: str = "text", words: int = WORDS) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (the smallest doc_id that its
     document reaches by links, itself included; null if it and they have none).
 
@@ -334,7 +334,7 @@ def link_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     if repeats:
         rows = rows.dropDuplicates(["id"])
 
-    found = _sets(rows)
+    found = _sets(rows, words)
     named = found.filter(F.col("digest").isNotNull())
     classes = (named.filter("n > 0").groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size")))
     copies = (named.filter("n > 0").join(classes.filter("size > 1"), "digest")
@@ -347,15 +347,15 @@ def link_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
 
     reps = _only(rows, copies.select("id"), "left_anti")
     size = F.count(F.lit(1)).over(W.partitionBy("token", "block"))
-    prefixes = _prefixes(reps, token, seen, percent).withColumn("size", size)
+    prefixes = _prefixes(reps, token, seen, percent, words).withColumn("size", size)
     # A block with one member matters only where its shingle has more blocks.
     buckets = stored(prefixes.filter("size > 1 or parts > 1"), "buckets")
     cells = named.select("id", F.col("n").cast("int").alias("n"), "cells")
-    links = _verified(_star_pairs(buckets, percent), cells, rows, percent)
+    links = _verified(_star_pairs(buckets, percent), cells, rows, percent, words)
     mixed = _labelled(buckets, components(links))
     small = F.expr(f"parts = 1 and size <= {SMALL}")
     rest = _small_pairs(mixed.filter(small), percent).union(_block_pairs(mixed.filter(~small), cells, percent))
-    roots = components(links.union(_verified(rest.distinct(), cells, rows, percent)))
+    roots = components(links.union(_verified(rest.distinct(), cells, rows, percent, words)))
     discard(buckets, mixed)
 
     reached = (named.join(copies, "id", "left").withColumn("rep", F.coalesce("rep", "id"))
@@ -368,9 +368,10 @@ def link_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     return own.join(least, "root").select("doc_id", "n_shingles", "component_id")
 
 
-def one_per_group(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id") -> DataFrame:
+def one_per_group(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
+                  words: int = WORDS) -> DataFrame:
     """The rows of ``docs`` of which each group of linked documents keeps one: that with the
     smallest id.  Rows without an id stay; rows that repeat an id stay or go together."""
-    linked = link_components(docs, percent, id_col)
+    linked = link_components(docs, percent, id_col, words=words)
     losers = linked.filter("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
     return _only(docs, losers, "left_anti").select(*docs.columns)

@@ -310,6 +310,40 @@ def test_pipeline_against_brute_force(spark):
     assert all(out[i]["decoded_sha256"] == digest(t) for i, t in kept.items())
 
 
+def five_word_groups(rows, words=5, percent=80):
+    """doc_id -> smallest doc_id reached over links of five-word shingles, all pairs compared."""
+    sets = {}
+    for i, t in rows:
+        w = t.lower().split()
+        sets[i] = {tuple(w[k:k + words]) for k in range(max(1, len(w) - words + 1))}
+    root = {i: i for i in sets}
+    for u, v in itertools.combinations(sorted(sets), 2):
+        common = len(sets[u] & sets[v])
+        if 100 * common >= percent * (len(sets[u]) + len(sets[v]) - common):
+            a, b = sorted((root[u], root[v]))
+            root = {i: a if x == b else x for i, x in root.items()}
+    return root
+
+
+def test_near_dedup_stage_takes_five_words_and_eighty_percent(spark):
+    import corpus_pipeline
+    rng = np.random.default_rng(9)
+    rows = []
+    for g in range(12):
+        base = [f"w{int(k)}" for k in rng.integers(0, 10**6, 200)]
+        rows.append((10 * g, " ".join(base)))
+        for c in range(1, 5):  # appended text, or single words changed
+            other = base + [f"x{int(k)}" for k in rng.integers(0, 10**6, int(rng.integers(20, 70)))] if c % 2 else [
+                f"y{int(rng.integers(10**6))}" if k in set(rng.integers(0, 200, 5).tolist()) else w for k, w in enumerate(base)]
+            rows.append((10 * g + c, " ".join(other)))
+    page = [f"p{k}" for k in range(1200)]
+    rows += [(500, " ".join(page[:1000])), (501, " ".join(page)), (502, "a b c d"), (503, "a b c d"), (504, "a b c")]
+    root = five_word_groups(rows)
+    assert root[501] == 500 and len(set(root.values())) < len(rows)
+    out = corpus_pipeline.near_copies(spark, docs_frame(spark, rows), SF)
+    assert sorted(r["doc_id"] for r in out.collect()) == sorted(set(root.values()))
+
+
 def test_stages_keep_columns(spark):
     import corpus_pipeline
     docs = docs_frame(spark, [*edge_rows(), *null_id_rows()], extra=True)
