@@ -5,10 +5,13 @@ Words are lower-cased and stripped of punctuation; numbers, units after a number
 Every five-word window of the resulting template is hashed and hash-joined with the windows
 of the benchmark.  Matches of one document and item on one alignment (document position
 minus item position) form an occurrence, and its slots must agree: one item value maps to
-one document value and back.  A question with other numbers or names keeps its template and
-maps consistently; chance matches of frequent templates do not.
+one document value.  A question with other numbers or names keeps its template and maps
+consistently.  Where an item value meets several document values, the most frequent one
+counts and the windows with the others do not; windows with the item's own values always
+count, and two item values may share a document value.  (``strict``, the default of
+``find_leaks`` alone, drops the whole occurrence for any value that does not map one to one.)
 
-A document is contaminated by an item when consistent occurrences cover at least
+A document is contaminated by an item when the windows that count cover at least
 ``MIN_SHARE`` of the item's windows.  Items shorter than a window are one window of their
 whole length and need an occurrence of that length.
 
@@ -187,9 +190,11 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               min_share: float = MIN_SHARE, max_shipped: int = MAX_SHIPPED) -> DataFrame:
+               min_share: float = MIN_SHARE, max_shipped: int = MAX_SHIPPED, strict: bool = True) -> DataFrame:
     """(doc_id, item_id, matched, n_windows, share, reworded): one row per contaminated
-    document and item; ``reworded`` says that some slot has another value than the item's."""
+    document and item; ``reworded`` says that some slot has another value than the item's.
+    ``strict``: an occurrence whose slots do not map one to one counts for nothing; otherwise
+    only its windows in conflict do not count (see above)."""
     bench = stored(benchmark_windows(benchmark), "benchmark-windows")
     names = bench.select("window").distinct()
     wanted = None
@@ -198,17 +203,34 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     sizes = sorted(r[0] for r in bench.select("size").distinct().collect()) or [WINDOW]
     hits = window_rows(text_rows(docs, id_col, text_col), sizes, wanted).withColumnRenamed("pos", "doc_pos")
     line = F.col("doc_pos") - F.col("item_pos")
+    pairs = F.array_distinct(F.arrays_zip("item_slots", "slots"))
     occurrences = (hits.join(bench.withColumnRenamed("pos", "item_pos"), ["window", "size"])
                    .groupBy("doc_id", "item_id", "n_windows", line.alias("line"))
-                   .agg(F.collect_set("item_pos").alias("at"), F.array_distinct(F.flatten(
-                       F.collect_set(F.arrays_zip("item_slots", "slots")))).alias("slots")))
+                   .agg(F.collect_set(F.struct("item_pos", pairs.alias("pairs"))).alias("found"))
+                   .withColumn("all_pairs", F.flatten("found.pairs"))
+                   .withColumn("slots", F.array_distinct("all_pairs")))
     theirs = F.transform("slots", lambda s: s["item_slots"])
     ours = F.transform("slots", lambda s: s["slots"])
-    agrees = ((F.size(F.array_distinct(theirs)) == F.size("slots"))
-              & (F.size(F.array_distinct(ours)) == F.size("slots")))
-    changed = F.exists("slots", lambda s: ~s["item_slots"].eqNullSafe(s["slots"]))
+    differs = lambda s: ~s["item_slots"].eqNullSafe(s["slots"])
+    changed = F.exists("slots", differs)
+    if strict:
+        occurrences = occurrences.filter((F.size(F.array_distinct(theirs)) == F.size("slots"))
+                                         & (F.size(F.array_distinct(ours)) == F.size("slots")))
+    else:
+        # Of the document values of an item value the one in most windows wins, then the item's
+        # own, then the greatest; the others are in conflict.
+        often = F.transform("slots", lambda s: F.struct(
+            s["item_slots"].alias("item"), F.struct(
+                F.size(F.filter("all_pairs", lambda q: q == s)).alias("n"), (~differs(s)).alias("own"),
+                s["slots"].alias("ours")).alias("vote")))
+        lost = F.filter("votes", lambda s: F.exists("votes", lambda q: (q["item"] == s["item"]) & (q["vote"] > s["vote"])))
+        lost = F.transform(lost, lambda s: F.struct(s["item"].alias("item_slots"), s["vote"]["ours"].alias("slots")))
+        stays = lambda w: ~F.exists(w["pairs"], differs) | ~F.arrays_overlap(w["pairs"], F.col("lost"))
+        occurrences = (occurrences.withColumn("votes", often).withColumn("lost", lost)
+                       .withColumn("found", F.filter("found", stays)).filter(F.size("found") > 0))
+    occurrences = occurrences.withColumn("at", F.col("found.item_pos"))
     matched = F.size(F.array_distinct(F.flatten(F.collect_set("at"))))
-    return (occurrences.filter(agrees).withColumn("changed", changed)
+    return (occurrences.withColumn("changed", changed)
             .groupBy("doc_id", "item_id", "n_windows")
             .agg(matched.cast("long").alias("matched"), F.max("changed").alias("reworded"))
             .withColumn("share", F.col("matched") / F.col("n_windows"))
@@ -219,7 +241,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose document is not contaminated, all columns kept.  Rows that
     repeat an id go together; rows without an id stay."""
-    leaks = stored(find_leaks(docs, benchmark, id_col, text_col).filter(F.col("doc_id").isNotNull())
+    leaks = stored(find_leaks(docs, benchmark, id_col, text_col, strict=False).filter(F.col("doc_id").isNotNull())
                    .select(F.col("doc_id").alias(id_col)).distinct(), "leaks")
     small = leaks.count() <= MAX_DROPPED
     return docs.join(F.broadcast(leaks) if small else leaks, id_col, "left_anti").select(*docs.columns)

@@ -36,6 +36,20 @@ def test_reparameterised_question(spark):
     assert (3, 1) not in got
 
 
+def test_conflicting_slots_cost_their_windows_alone(spark):
+    one = ITEM.replace("Alice bought", "Robert bought")  # one of two, the rest word for word
+    equal = ITEM.replace("12 apples", "7 apples").replace("3 kg", "7 kg").replace("40", "95")  # 12 and 3 both become 7
+    scattered = " ".join(f"{w} " + "zebra yonder" * (k % 3 == 2) for k, w in enumerate(ITEM.split()))
+    rows = [(1, one), (2, equal), (3, scattered), (4, ITEM)]
+    assert set(leaks(spark, rows)) == {(4, 1)}
+    got = leaks(spark, rows, strict=False)
+    assert set(got) == {(1, 1), (2, 1), (4, 1)}
+    assert got[1, 1]["matched"] == got[4, 1]["matched"] - 3 and got[1, 1]["reworded"]  # three windows hold Robert
+    assert got[2, 1]["matched"] == got[4, 1]["matched"] == got[4, 1]["n_windows"] and not got[4, 1]["reworded"]
+    b = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert {r["doc_id"] for r in template_leaks.without_leaks(docs_frame(spark, rows), b).collect()} == {3}
+
+
 def test_shuffle_path_gives_the_same(spark):
     rows = table(SF, "documents").project("doc_id, text").fetchall()
     bench = table(SF, "benchmark").project("item_id, text").fetchall()
