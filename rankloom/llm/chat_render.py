@@ -12,11 +12,17 @@ with the render of the prefix before:
 A text that cannot be located (the template drops it or writes it twice) has no span and
 is never under the loss mask.
 
-Conversations are cut into blocks of ``BLOCK_TURNS`` turn numbers, so a prefix is never
-longer than a block, rendering stays linear in the conversation, and a conversation with a
-third of all rows is spread over many tasks.  What the template writes for no messages is
-its opening and is written once, by the first block.  A template may look back within a
-block only; ``block_turns`` is a parameter.
+By default a conversation is rendered whole, every prefix from its first turn on, so any
+template is right at any length; a conversation is one task's work, and rendering grows with
+the square of its length.
+
+A template whose ``context_free`` attribute is true (``marked_turns``) writes each turn
+without regard to the others.  Conversations are then cut into blocks of ``BLOCK_TURNS`` turn
+numbers, so rendering stays linear in the conversation, and a conversation with a third of all
+rows is spread over many tasks.  What the template writes for no messages is its opening and
+is written once, by the first block.  A block's first turn is rendered after the last turn
+before it as well, so history rewritten across the border is counted.  ``block_turns`` given
+by a caller says that the template may be cut so.
 
 Order of turns: turn number, then role, then text; null turn numbers come first, null roles
 and texts count as empty.  Rows without a conv_id form one conversation.
@@ -30,6 +36,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -56,6 +63,12 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1\2\3", text)
 
 
+def context_free(render: Template) -> Template:
+    """Declares that a template writes each turn without regard to the others."""
+    render.context_free = True
+    return render
+
+
 def _role_line(role: str) -> str:
     return escape(role.replace("\\", "\\\\").replace("\n", "\\n"))
 
@@ -64,6 +77,7 @@ def _role_of(line: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescape(line))
 
 
+@context_free
 def marked_turns(messages: list[tuple[str, str]]) -> str:
     """The default template: every turn between a start mark with its role and an end mark."""
     return "".join(f"<|im_start|>{_role_line(role)}\n{escape(text)}<|im_end|>\n"
@@ -91,9 +105,12 @@ def _text_in(render: Template, before: list, role: str, text: str, after: list,
     return at, stop
 
 
-def render_block(render: Template, messages: list[tuple[str, str]]):
-    """(formatted, spans, rewrites) of one block; a span is (role, start, stop)."""
+def render_block(render: Template, messages: list[tuple[str, str]], before: tuple[str, str] | None = None):
+    """(formatted, spans, rewrites) of one block; a span is (role, start, stop).  ``before``
+    is the message before the block, written by another one."""
     spans, rewrites, out = [], 0, render([])
+    if before is not None and messages and not render([before, messages[0]]).startswith(render([before])):
+        rewrites += 1
     for k, (role, text) in enumerate(messages):
         now = render(messages[:k + 1])
         if not now.startswith(out):
@@ -107,42 +124,52 @@ def render_block(render: Template, messages: list[tuple[str, str]]):
 
 
 def format_conversations(rows: DataFrame, render: Template = marked_turns,
-                         block_turns: int = BLOCK_TURNS) -> DataFrame:
+                         block_turns: int | None = None) -> DataFrame:
     """One row per block (see SCHEMA): its text, the span of every located message text in
-    it, and at how many turns the template rewrote what it had written before."""
+    it, and at how many turns the template rewrote what it had written before.  Without
+    ``block_turns`` a conversation is one block, unless the template is context-free."""
+    if block_turns is None and getattr(render, "context_free", False):
+        block_turns = BLOCK_TURNS
+    block = F.floor(F.col("turn") / block_turns) if block_turns else F.lit(0)
     msgs = rows.select(F.col("conv_id").cast("long").alias("conv_id"),
-                       F.floor(F.col("turn") / block_turns).cast("long").alias("block"),
+                       block.cast("long").alias("block"),
+                       F.lit(False).alias("outside"),
                        F.col("turn").cast("long").alias("turn"),
                        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    # The conversation's first block alone has the opening.
-    first = msgs.groupBy("conv_id").agg(F.min(F.struct(F.col("block").isNotNull(), "block"))
-                                        .getField("block").alias("first_block"))
-    keyed = (msgs.join(first.withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c")))
-             .select("conv_id", "block", "turn", "role", "text",
-                     F.col("block").eqNullSafe(F.col("first_block")).alias("opens"))
-             .repartition("conv_id", "block")
-             .sortWithinPartitions("conv_id", "block", "turn", "role", "text"))
+    if block_turns:
+        # Every block but the conversation's first gets the last message before it.
+        last = msgs.groupBy("conv_id", "block").agg(F.max(F.struct("turn", "role", "text")).alias("m"))
+        ahead = last.withColumn("m", F.lag("m").over(W.partitionBy("conv_id").orderBy("block")))
+        msgs = msgs.union(ahead.filter(F.col("m").isNotNull())
+                          .select("conv_id", "block", F.lit(True).alias("outside"), "m.turn", "m.role", "m.text"))
+    keyed = (msgs.repartition("conv_id", "block")
+             .sortWithinPartitions("conv_id", "block", F.col("outside").desc(), "turn", "role", "text")
+             .select("conv_id", "block", "outside", "role", "text"))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        """(key, piece, opens, messages): runs of rows of one block, of block_turns at most."""
-        key, piece, opens, messages = None, 0, False, []
+        """(key, piece, message before, messages): runs of rows of one block, of block_turns at most."""
+        key, piece, before, messages = None, 0, None, []
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3, 4, 5))):
-                if messages and ((row[0], row[1]) != key or len(messages) == block_turns):
-                    yield key, piece, opens, messages
-                    piece, messages = (piece + 1 if (row[0], row[1]) == key else 0), []
-                key, opens = (row[0], row[1]), row[4] and piece == 0
-                messages.append((row[2], row[3]))
+            for row in zip(*(batch.column(k).to_pylist() for k in range(5))):
+                now = (row[0], row[1])
+                if messages and (now != key or len(messages) == block_turns):
+                    yield key, piece, before, messages
+                    piece, before, messages = (piece + 1, messages[-1], []) if now == key else (0, None, [])
+                key = now
+                if row[2]:
+                    before = (row[3], row[4])
+                else:
+                    messages.append((row[3], row[4]))
         if messages:
-            yield key, piece, opens, messages
+            yield key, piece, before, messages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opening = render([])
         kind = pa.list_(pa.struct([("role", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
-        for (conv_id, block), piece, opens, messages in blocks(batches):
-            text, spans, rewrites = render_block(render, messages)
-            cut = 0 if opens or not text.startswith(opening) else len(opening)
+        for (conv_id, block), piece, before, messages in blocks(batches):
+            text, spans, rewrites = render_block(render, messages, before)
+            cut = 0 if before is None or not text.startswith(opening) else len(opening)
             spans = [{"role": r, "start": a - cut, "stop": b - cut} for r, a, b in spans]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([conv_id], pa.int64()), pa.array([block], pa.int64()),

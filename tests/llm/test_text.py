@@ -142,6 +142,36 @@ def test_opening_is_written_once(spark):
     assert [r["formatted"][s["start"]:s["stop"]] for r in out for s in r["spans"]] == [f"t{k}" for k in range(10)]
 
 
+def numbering():
+    """A system prompt in the first turn, turn numbers, reasoning in the last answer alone."""
+    def render(messages):
+        return "".join(("[sys]" if k == 0 else "") + f"{k}:{r}:{t}" + ("(why)" if k == len(messages) - 1 else "") + ";"
+                       for k, (r, t) in enumerate(messages))
+    return render
+
+
+def test_long_conversations_are_rendered_whole(spark):
+    rows = [(c, k, "assistant", f"t{c}-{k}") for c in (1, 2) for k in range(150)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = {r["conv_id"]: r for r in chat_render.format_conversations(df, numbering()).collect()}
+    assert chat_render.format_conversations(df, numbering()).count() == 2
+    for c in (1, 2):
+        said = [t for i, _, _, t in rows if i == c]
+        assert out[c]["formatted"] == numbering()([("assistant", t) for t in said])
+        assert out[c]["n_turns"] == 150 and out[c]["n_rewrites"] == 149
+        assert [out[c]["formatted"][s["start"]:s["stop"]] for s in out[c]["spans"]] == said
+
+
+def test_rewrites_across_block_borders_are_counted(spark):
+    # turn numbers 0-7 and, after a gap, 20-23: blocks of four, and turn 7 has two rows
+    rows = [(1, k, "assistant", f"t{k}") for k in [*range(8), *range(20, 24)]] + [(1, 7, "user", "u")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = chat_render.format_conversations(df, numbering(), block_turns=4).collect()
+    assert sum(r["n_rewrites"] for r in out) == len(rows) - 1
+    marked = chat_render.format_conversations(df, block_turns=4).collect()
+    assert sum(r["n_turns"] for r in marked) == len(rows) and not any(r["n_rewrites"] for r in marked)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["user", "a\nb", "\\n", "</s>", ""]),
                           st.text(alphabet=st.sampled_from("<>[]/\\s|im_endSYINT \n"), max_size=30)), max_size=5))
