@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ..sources.tables import read_table
 
-__all__ = ["read_table", "scratch_path", "fresh_name", "stored", "discard", "slices", "map_batches", "map_tasks", "texts_of",
+__all__ = ["read_table", "scratch_path", "fresh_name", "stored", "discard", "slices", "give_back", "map_batches", "map_tasks", "texts_of",
            "is_held_out", "ragged", "text_rows"]
 
 
@@ -77,6 +78,18 @@ def slices(batches: Iterable[pa.RecordBatch], size: int = 4 << 20) -> Iterator[p
             yield batch.slice(start, step)
 
 
+def give_back() -> None:
+    """Return freed memory to the system.
+
+    Spark reuses its Python workers from step to step; what a task frees would otherwise stay
+    in the worker's C heap, and every later step would add its own on top."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: its heap shrinks by its own rules
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
                 schema: str, size: int = 4 << 20) -> DataFrame:
     """``fn`` over Arrow batches, a slice at a time."""
@@ -85,6 +98,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
             out = fn(batch)
             if out is not None and out.num_rows:
                 yield out
+        give_back()
     return df.mapInArrow(run, schema)
 
 
@@ -99,7 +113,7 @@ def map_tasks(df: DataFrame, start: Callable[[], object], fn: Callable[[object,
             if out is not None and out.num_rows:
                 yield out
         del state
-        pa.default_memory_pool().release_unused()
+        give_back()
     return df.mapInArrow(run, schema)
 
 
@@ -130,6 +144,33 @@ def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lens), lens) + np.arange(total)
 
 
+def byte_words(texts: pa.Array, inside: np.ndarray, lower: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The maximal runs of bytes that ``inside`` (a table of 256) marks, within each text of a
+    string column, with ``lower`` (another one) applied: (words, where each starts, the
+    texts' offsets, all bytes)."""
+    texts = texts.cast(pa.large_binary())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    b = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    rows = offsets - offsets[0]
+    word = inside[b]
+    start = word.copy()
+    start[1:] &= ~word[:-1]
+    first = rows[:-1][rows[:-1] < rows[1:]]
+    start[first] = word[first]
+    starts = np.flatnonzero(start)
+    # The word bytes alone, end to end; a word ends where the next one starts.
+    kept = np.append(0, np.cumsum(word))
+    ends = np.append(kept[starts], kept[-1]).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(lower[b[word]])])
+    return words, starts, rows, b
+
+
+#: A-Z become a-z, every other byte stays.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
 def name_hash(text: str) -> int:
     """A 64-bit name that is the same in every process."""
     b = text.encode("utf-8", "surrogatepass")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (chat_render, co_training, deobfuscate, exact_dedup, jaccard_join, language_id,
-               merge_replay, suffix_dedup, template_leaks, token_files)
+               merge_replay, phrase_streams, piece_agenda, suffix_dedup, template_leaks, term_trie, token_files)
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,18 @@ def op9_toxicity(spark, sf_dir):
 @query
 def op10_jaccard_join(spark, sf_dir):
     return jaccard_join.link_components(_documents(spark, sf_dir))
+
+
+@query
+def op11_term_trie(spark, sf_dir):
+    return term_trie.ranked(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_piece_agenda(spark, sf_dir):
+    return piece_agenda.piece_digests(_documents(spark, sf_dir))
+
+
+@query
+def op13_phrase_streams(spark, sf_dir):
+    return phrase_streams.collocations(_documents(spark, sf_dir))
