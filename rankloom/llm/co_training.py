@@ -6,34 +6,44 @@ Two views of a document have a classifier each:
 * page metadata: source, language, declared length and the layout (lines, their lengths,
   repeated lines).
 
-Both start from the same labelled documents.  For ``ROUNDS`` rounds each view labels the
-pool documents it is surest of, and hands them to the other view's training set (a document
-is handed over once, and only if the other view does not contradict it with confidence).
+Both start from the same labelled documents (at most ``PER_CLASS`` of each class, the only
+sample).  The features of every unlabelled document are computed once, by the tasks, and
+stored; texts never leave them.  In each of ``ROUNDS`` rounds all unlabelled documents are
+scored by both views, and each view hands every document that it is sure of, and that the
+other one does not contradict with confidence, to the other view's training set; both views
+are then fitted anew by Newton steps whose sums Spark adds up over the stored features.  So
+the pseudo-labels grow with the corpus, and nothing but those sums (one number per pair of
+features) reaches the driver.  The pseudo-labelled documents of a class weigh together
+``HANDED_OVER`` times what its labelled ones do.
+
 Each view is then calibrated on labelled documents that neither was trained on, the two
 calibrated views are combined there, and every document is scored with the combination.
-
-Everything is fitted on bounded samples (``PER_CLASS`` labelled documents of each class,
-``POOL`` unlabelled ones); features are computed by the tasks, whole texts never leave
-them.  Classes are weighted to their true frequencies.  score is the probability of label
-1; a document with score < 0.5 is rejected.  Null counts as the empty text, which is scored
-0; without labels of both classes every other document is scored 1.
+Classes are weighted to their true frequencies.  score is the probability of label 1; a
+document with score < 0.5 is rejected.  Null counts as the empty text, which is scored 0;
+without labels of both classes every other document is scored 1.  Every row gets its own
+score, rows that repeat an id or have none included; a labelled id that has several rows is
+learned from the first of them by text, rows without an id are unlabelled.  Missing columns
+count as null, extra ones are never read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, stored
-from .linear import MAX_SHIPPED, Logistic, bounded_sample, rows_of, sigmoid
+from .common import discard, give_back, map_batches, slices, stored
+from .linear import MAX_SHIPPED, Logistic, View, bounded_sample, newton_sums, rows_of, sigmoid
 
 PER_CLASS = 1500
-POOL = 3000
 ROUNDS = 4
-HANDED_OVER = 100
+#: Newton steps of a round (each starts where the round before ended).
+STEPS = 3
+HANDED_OVER = 1.0
 SURE = 0.95
 SOURCE_CELLS, LANG_CELLS = 32, 8
 N_TEXT = 128 + 9
@@ -95,15 +105,32 @@ def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return a, b
 
 
-def _features(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, text view, metadata view) of a bounded set of rows, ordered by id."""
+def _features(rows: DataFrame) -> DataFrame:
+    """(doc_id, x): both views of every row, as 32-bit floats."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        both = np.hstack(_views(batch)).astype(np.float32)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(both), pa.list_(pa.float32()))],
-                                          names=["doc_id", "x"])
-    found = map_batches(rows, run, "doc_id long, x array<float>").toArrow().sort_by("doc_id").combine_chunks()
-    x = np.array([v.values.to_numpy() for v in found["x"]], np.float64).reshape(found.num_rows, N_TEXT + N_META)
-    return found["doc_id"].to_numpy(), x[:, :N_TEXT], x[:, N_TEXT:]
+        both = np.hstack(_views(batch)).astype("<f4")
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in both], pa.binary())], names=["doc_id", "x"])
+    return map_batches(rows, run, "doc_id long, x binary")
+
+
+def _matrix(column: pa.Array) -> list[np.ndarray]:
+    """The two views of a column of packed features."""
+    x = np.array([np.frombuffer(v.as_py(), "<f4") for v in column], np.float64).reshape(len(column), N_TEXT + N_META)
+    return [x[:, :N_TEXT], x[:, N_TEXT:]]
+
+
+def _added(pool: DataFrame, sums: Callable[[list[np.ndarray]], np.ndarray]) -> np.ndarray:
+    """``sums`` of the rows of ``pool``, a flat array for every slice, added up by Spark."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in slices(batches):
+            found = sums(_matrix(batch.column(0)))
+            total = found if total is None else total + found
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], names=["k", "v"])
+        give_back()
+    found = pool.select("x").mapInArrow(run, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).toArrow().sort_by("k")
+    return found["v"].to_numpy()
 
 
 class Model:
@@ -122,33 +149,68 @@ def _platt(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, flo
     return float(m.w[1] / m.scale[0]), float(m.w[0] - m.w[1] * m.mean[0] / m.scale[0])
 
 
-def co_train(xs, y: np.ndarray, weight: np.ndarray, pool, rounds: int = ROUNDS) -> Model:
-    """``xs``: the two views of the labelled rows; ``pool``: those of the unlabelled ones."""
+def handed_over(p: list[np.ndarray], other: int, cls: int) -> np.ndarray:
+    """Rows that the view beside ``other`` labels ``cls`` with confidence, uncontradicted."""
+    own = 1 - other
+    sure, against = (p[own], 1 - p[other]) if cls else (1 - p[own], p[other])
+    return (sure >= SURE) & (against < SURE)
+
+
+def _exchange(views: list[View], at: list[np.ndarray]) -> Callable[[list[np.ndarray]], np.ndarray]:
+    """Newton sums of the rows that ``views`` hand each other, at the weights ``at``: for each
+    view and class the number of rows, gradient and curvature, laid end to end."""
+    def sums(xs: list[np.ndarray]) -> np.ndarray:
+        z = [v.design(x) for v, x in zip(views, xs)]
+        p = [sigmoid(a @ v.w) for v, a in zip(views, z)]
+        out = []
+        for k in (0, 1):
+            for cls in (0, 1):
+                rows = z[k][handed_over(p, k, cls)]
+                out += [np.array([float(len(rows))]), *newton_sums(rows, np.full(len(rows), float(cls)), np.ones(len(rows)), at[k])]
+        return np.concatenate([np.ravel(x) for x in out])
+    return sums
+
+
+def _moments(xs: list[np.ndarray]) -> np.ndarray:
+    x = np.hstack(xs)
+    return np.concatenate([[len(x)], x.sum(0), (x * x).sum(0)])
+
+
+def co_train(xs, y: np.ndarray, weight: np.ndarray, pool: DataFrame, rounds: int = ROUNDS) -> Model:
+    """``xs``: the two views of the labelled rows; ``pool``: a stored table of (x), those of
+    the unlabelled ones."""
     rng = np.random.default_rng(11)
     held = rng.random(len(y)) < 0.25
     for label in (0, 1):  # each side needs both classes
         at = np.flatnonzero(y == label)
         held[at[:1]], held[at[1:2]] = False, True
     fit = ~held if len(set(y[~held])) == 2 else np.ones(len(y), bool)
-    train = [[x[fit]] for x in xs]
-    label, share = [[y[fit]], [y[fit]]], [[weight[fit]], [weight[fit]]]
-    left = np.ones(len(pool[0]), bool)
-    for r in range(rounds + 1):
-        views = [Logistic(np.vstack(t), np.concatenate(a), np.concatenate(w))
-                 for t, a, w in zip(train, label, share)]
-        if r == rounds or not left.any():
-            break
-        p = [sigmoid(v.logit(x)) for v, x in zip(views, pool)]
-        for own, other in ((0, 1), (1, 0)):
-            for cls in (0, 1):
-                sure = p[own] if cls else 1 - p[own]
-                against = 1 - p[other] if cls else p[other]
-                may = np.flatnonzero(left & (sure >= SURE) & (against < SURE))
-                take = may[np.argsort(-sure[may], kind="stable")[:HANDED_OVER]]
-                left[take] = False
-                train[other].append(pool[other][take])
-                label[other].append(np.full(len(take), float(cls)))
-                share[other].append(np.full(len(take), weight.mean()))
+    moments = _moments([x[fit] for x in xs])
+    unlabelled = _added(pool, _moments)
+    moments = moments + unlabelled if len(unlabelled) else moments
+    n, total, squares = moments[0], moments[1:1 + N_TEXT + N_META], moments[1 + N_TEXT + N_META:]
+    mean, scale = total / n, np.sqrt(np.maximum(squares / n - (total / n) ** 2, 0)) + 1e-6
+    views = [View(mean[:N_TEXT], scale[:N_TEXT]), View(mean[N_TEXT:], scale[N_TEXT:])]
+    own = [v.design(x[fit]) for v, x in zip(views, xs)]
+    y_fit, share = y[fit], weight[fit]
+    for v, z in zip(views, own):
+        v.fit(lambda w, z=z: newton_sums(z, y_fit, share, w))
+    of_class = [HANDED_OVER * share[y_fit == cls].sum() for cls in (0, 1)]
+    for _ in range(rounds if len(unlabelled) else 0):
+        now = [v.w.copy() for v in views]
+        for _ in range(STEPS):
+            flat, k = _added(pool, _exchange(views, now)), 0
+            for view, z in enumerate(own):
+                grad, curve = newton_sums(z, y_fit, share, now[view])
+                d = len(now[view])
+                for cls in (0, 1):
+                    part = of_class[cls] / max(flat[k], 1.0)
+                    grad = grad + part * flat[k + 1:k + 1 + d]
+                    curve = curve + part * flat[k + 1 + d:k + 1 + d + d * d].reshape(d, d)
+                    k += 1 + d + d * d
+                now[view] = views[view].step(now[view], grad, curve)
+        for v, w in zip(views, now):
+            v.w = w
     on = held if len(set(y[held])) == 2 else fit
     z = [v.logit(x[on]) for v, x in zip(views, xs)]
     calibrated = [_platt(zk, y[on], weight[on]) for zk in z]
@@ -159,29 +221,32 @@ def co_train(xs, y: np.ndarray, weight: np.ndarray, pool, rounds: int = ROUNDS)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", learn: Column | None = None,
-        per_class: int = PER_CLASS, pool: int = POOL) -> Model | None:
-    """A model from (doc_id, quality) labels; ``learn`` restricts the rows that may be used."""
+        per_class: int = PER_CLASS, rounds: int = ROUNDS) -> Model | None:
+    """A model from (doc_id, quality) labels; ``learn`` restricts the labels that may be used
+    (other labelled documents are left out altogether)."""
     known = labels.filter(F.col("quality").isin(0, 1)).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    if learn is not None:
-        known = known.filter(learn)
-    rows = _columns(docs, id_col).filter(F.col("doc_id").isNotNull())
-    here = known.join(rows.select("doc_id").distinct(), "doc_id", "left_semi")
+    known = known.filter("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    rows = _columns(docs, id_col)
+    here = (known if learn is None else known.filter(learn)).join(rows.select("doc_id").distinct(), "doc_id", "left_semi")
     counts = {r["quality"]: r["count"] for r in here.groupBy("quality").count().collect()}
     if set(counts) != {0, 1}:
         return None
     chosen = {r["doc_id"]: r["stratum"] for r in bounded_sample(here, F.col("quality"), per_class).collect()}
-    others = bounded_sample(rows.select("doc_id").join(known, "doc_id", "left_anti"), F.lit(0), pool).select("doc_id")
-    wanted = docs.sparkSession.createDataFrame([(k,) for k in sorted(chosen)], "doc_id long").union(others)
-    ids, a, b = _features(rows_of(rows, wanted))
-    ids, first = np.unique(ids, return_index=True)  # rows that repeat an id count once
-    a, b = a[first], b[first]
-    labelled = np.array([i in chosen for i in ids.tolist()], bool)
-    y = np.array([chosen[i] for i in ids[labelled].tolist()], float)
+    wanted = docs.sparkSession.createDataFrame([(k,) for k in sorted(chosen)], "doc_id long")
+    one = rows_of(rows, wanted).groupBy("doc_id").agg(F.min(F.struct("text", "source", "lang", "n_chars")).alias("row"))
+    labelled = _features(one.select("doc_id", "row.*")).toArrow().sort_by("doc_id").combine_chunks()
+    xs = _matrix(labelled["x"])
+    y = np.array([chosen[i] for i in labelled["doc_id"].to_pylist()], float)
     total = sum(counts.values())
     weight = np.where(y == 1, counts[1] / total / max(1, (y == 1).sum()), counts[0] / total / max(1, (y == 0).sum()))
-    return co_train([a[labelled], b[labelled]], y, weight * len(y), [a[~labelled], b[~labelled]])
+    ids = stored(known.select("doc_id"), "labelled", few=True)
+    small = ids.count() <= MAX_SHIPPED
+    others = rows.join(F.broadcast(ids) if small else ids, "doc_id", "left_anti")
+    pool = stored(_features(others).select("x"), "unlabelled")
+    model = co_train(xs, y, weight * len(y), pool, rounds)
+    discard(pool, ids)
+    return model
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id") -> DataFrame:
