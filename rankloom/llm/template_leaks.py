@@ -8,12 +8,20 @@ minus item position) form an occurrence, and its slots must agree: one item valu
 one document value.  A question with other numbers or names keeps its template and maps
 consistently.  Where an item value meets several document values, the most frequent one
 counts and the windows with the others do not; windows with the item's own values always
-count, and two item values may share a document value.  (``strict``, the default of
-``find_leaks`` alone, drops the whole occurrence for any value that does not map one to one.)
+count, and two item values may share a document value.  (``strict`` drops the whole
+occurrence for any value that does not map one to one.)
+
+A window with fewer than ``MIN_LITERALS`` words that are no placeholder says little as a
+template; it is named by its words as written and has no slots.  An item with at least
+``MIN_TEMPLATES`` template windows is known by these; any other item, such as a row of
+numbers or names, by all its windows, and is found where it is copied.  A changed slot counts
+only in an occurrence of at least ``MIN_TEMPLATES`` windows.
 
 A document is contaminated by an item when the windows that count cover at least
 ``MIN_SHARE`` of the item's windows.  Items shorter than a window are one window of their
-whole length and need an occurrence of that length.
+whole length and need an occurrence of that length.  Every row is a document of its own, also
+where rows repeat an id or have none; items are told apart by their ids, rows that repeat one
+put their windows together.  Extra columns are never read, whatever their names.
 
 The benchmark's window hashes go to every task as a sorted array while there are at most
 ``MAX_SHIPPED`` of them (8 bytes each); beyond that, document windows are shuffled to the
@@ -35,8 +43,9 @@ from .common import map_tasks, stored, text_rows, texts_of
 
 WINDOW = 5
 MIN_SHARE = 0.4
-#: A window needs this many words that are no placeholder (shorter items: half).
+#: A template window has this many words that are no placeholder (shorter items: half).
 MIN_LITERALS = 3
+MIN_TEMPLATES = 2
 MAX_SHIPPED = 1_000_000
 MEMORY = 200_000  # words a task remembers
 #: Ids of contaminated documents broadcast at most (8 bytes each); beyond, a shuffle join.
@@ -58,7 +67,7 @@ def _name(text: str) -> int:
 
 
 _NUM, _UNIT, _PERSON = _name("<num>"), _name("<unit>"), _name("<name>")
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+_STEP, _RAW = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 class Words:
@@ -143,56 +152,71 @@ def _least(size: int) -> int:
     return MIN_LITERALS if size >= WINDOW else (size + 1) // 2
 
 
+def _as_written(words: Words, at: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
+    """Names of the windows at ``first`` by their words, placeholders or not."""
+    h = np.full(len(first), _RAW, np.uint64)
+    for k in range(size):
+        h = (h ^ (h >> np.uint64(29))) * _STEP + words.name[at[first + k]]
+    return h
+
+
 def window_rows(rows: DataFrame, sizes: list[int], wanted: np.ndarray | None = None) -> DataFrame:
-    """(doc_id, window, size, pos, slots) of the windows of (doc_id, text) rows; only the
-    wanted names when those are given."""
-    schema = "doc_id long, window long, size int, pos int, slots array<string>"
+    """(doc_id, row_no, window, size, pos, raw, slots) of the windows of (doc_id, text, row_no)
+    rows; only the wanted names when those are given.  ``raw`` windows are named as written."""
+    schema = "doc_id long, row_no long, window long, size int, pos int, raw boolean, slots array<string>"
 
     def run(words: Words, batch: pa.RecordBatch) -> pa.RecordBatch | None:
         at, doc = words.read(texts_of(batch.column(1)))
         begin = np.searchsorted(doc, np.arange(batch.num_rows))
-        out: list[list] = [[], [], [], [], []]
-        ids = batch.column(0).to_pylist()
+        out: list[list] = [[], [], [], [], [], [], []]
+        ids, numbers = batch.column(0).to_pylist(), batch.column(2).to_pylist()
         value = words.value
         for size in sizes:
             h, first, literals, _, slot = windows(words, at, doc, size)
-            keep = literals >= _least(size)
-            h, first = h.view(np.int64)[keep], first[keep]
+            raw = literals < _least(size)
+            h[raw] = _as_written(words, at, first[raw], size)
+            h = h.view(np.int64)
             if wanted is not None and len(h):
                 k = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
                 hit = wanted[k] == h if len(wanted) else np.zeros(len(h), bool)
-                h, first = h[hit], first[hit]
+                h, first, raw = h[hit], first[hit], raw[hit]
             owner = doc[first] if len(first) else first
             out[0] += [ids[d] for d in owner.tolist()]
-            out[1] += h.tolist()
-            out[2] += [size] * len(h)
-            out[3] += (first - begin[owner]).tolist() if len(first) else []
-            out[4] += [[value[at[p]] for p in range(f, f + size) if slot[p]] for f in first.tolist()]
+            out[1] += [numbers[d] for d in owner.tolist()]
+            out[2] += h.tolist()
+            out[3] += [size] * len(h)
+            out[4] += (first - begin[owner]).tolist() if len(first) else []
+            out[5] += raw.tolist()
+            out[6] += [[] if r else [value[at[p]] for p in range(f, f + size) if slot[p]] for f, r in zip(first.tolist(), raw.tolist())]
         if not out[0]:
             return None
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.string()))
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds)],
-                                          names=["doc_id", "window", "size", "pos", "slots"])
+                                          names=["doc_id", "row_no", "window", "size", "pos", "raw", "slots"])
     return map_tasks(rows, Words, run, schema)
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """(item_id, window, size, pos, slots, n_windows): five-word windows, or the whole of a
-    shorter item."""
-    items = text_rows(benchmark, id_col, text_col)
+    shorter item; the template windows, or all where those are too few."""
+    items = text_rows(benchmark, id_col, text_col).withColumn("row_no", F.lit(0).cast("long"))
     found = window_rows(items, list(range(1, WINDOW + 1)))
-    longest = found.groupBy("doc_id").agg(F.max("size").alias("size"))
-    counts = found.join(longest, ["doc_id", "size"]).groupBy("doc_id", "size").agg(
-        F.count(F.lit(1)).alias("n_windows"))
-    return (found.join(counts, ["doc_id", "size"])
+    sizes = found.groupBy(F.col("doc_id").alias("item"), "size").agg(
+        F.count(F.lit(1)).alias("n"), F.sum((~F.col("raw")).cast("long")).alias("templates"))
+    longest = (sizes.groupBy("item").agg(F.max(F.struct("size", "n", "templates")).alias("most")).select("item", "most.*")
+               .withColumn("known_by", F.least(F.lit(MIN_TEMPLATES), F.col("n")) <= F.col("templates"))
+               .withColumn("n_windows", F.when(F.col("known_by"), F.col("templates")).otherwise(F.col("n")))
+               .withColumnRenamed("size", "most_size"))
+    return (found.join(longest, F.col("doc_id").eqNullSafe(F.col("item")) & (F.col("size") == F.col("most_size")))
+            .filter(~(F.col("known_by") & F.col("raw")))
             .select(F.col("doc_id").alias("item_id"), "window", "size", "pos",
                     F.col("slots").alias("item_slots"), "n_windows"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               min_share: float = MIN_SHARE, max_shipped: int = MAX_SHIPPED, strict: bool = True) -> DataFrame:
+               min_share: float = MIN_SHARE, max_shipped: int = MAX_SHIPPED, strict: bool = False) -> DataFrame:
     """(doc_id, item_id, matched, n_windows, share, reworded): one row per contaminated
-    document and item; ``reworded`` says that some slot has another value than the item's.
+    row of ``docs`` and item; ``reworded`` says that some slot has another value than the item's.
     ``strict``: an occurrence whose slots do not map one to one counts for nothing; otherwise
     only its windows in conflict do not count (see above)."""
     bench = stored(benchmark_windows(benchmark), "benchmark-windows")
@@ -201,11 +225,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     if names.count() <= max_shipped:
         wanted = np.sort(np.array([r[0] for r in names.collect()], np.int64))
     sizes = sorted(r[0] for r in bench.select("size").distinct().collect()) or [WINDOW]
-    hits = window_rows(text_rows(docs, id_col, text_col), sizes, wanted).withColumnRenamed("pos", "doc_pos")
+    rows = text_rows(docs, id_col, text_col).withColumn("row_no", F.monotonically_increasing_id())
+    hits = window_rows(rows, sizes, wanted).withColumnRenamed("pos", "doc_pos").drop("raw")
     line = F.col("doc_pos") - F.col("item_pos")
     pairs = F.array_distinct(F.arrays_zip("item_slots", "slots"))
     occurrences = (hits.join(bench.withColumnRenamed("pos", "item_pos"), ["window", "size"])
-                   .groupBy("doc_id", "item_id", "n_windows", line.alias("line"))
+                   .groupBy("doc_id", "row_no", "item_id", "n_windows", line.alias("line"))
                    .agg(F.collect_set(F.struct("item_pos", pairs.alias("pairs"))).alias("found"))
                    .withColumn("all_pairs", F.flatten("found.pairs"))
                    .withColumn("slots", F.array_distinct("all_pairs")))
@@ -228,10 +253,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         stays = lambda w: ~F.exists(w["pairs"], differs) | ~F.arrays_overlap(w["pairs"], F.col("lost"))
         occurrences = (occurrences.withColumn("votes", often).withColumn("lost", lost)
                        .withColumn("found", F.filter("found", stays)).filter(F.size("found") > 0))
-    occurrences = occurrences.withColumn("at", F.col("found.item_pos"))
+    occurrences = (occurrences.withColumn("at", F.array_distinct("found.item_pos"))
+                   .filter(~F.exists(F.flatten("found.pairs"), differs) | (F.size("at") >= MIN_TEMPLATES)))
     matched = F.size(F.array_distinct(F.flatten(F.collect_set("at"))))
     return (occurrences.withColumn("changed", changed)
-            .groupBy("doc_id", "item_id", "n_windows")
+            .groupBy("doc_id", "row_no", "item_id", "n_windows")
             .agg(matched.cast("long").alias("matched"), F.max("changed").alias("reworded"))
             .withColumn("share", F.col("matched") / F.col("n_windows"))
             .filter(F.col("share") >= min_share)
@@ -241,7 +267,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose document is not contaminated, all columns kept.  Rows that
     repeat an id go together; rows without an id stay."""
-    leaks = stored(find_leaks(docs, benchmark, id_col, text_col, strict=False).filter(F.col("doc_id").isNotNull())
+    leaks = stored(find_leaks(docs, benchmark, id_col, text_col).filter(F.col("doc_id").isNotNull())
                    .select(F.col("doc_id").alias(id_col)).distinct(), "leaks")
     small = leaks.count() <= MAX_DROPPED
     return docs.join(F.broadcast(leaks) if small else leaks, id_col, "left_anti").select(*docs.columns)
