@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_held_out, map_batches, stored, text_rows, texts_of
+from .common import give_back, is_held_out, map_batches, map_tasks, stored, text_rows, texts_of
 from .linear import Logistic, bounded_sample, rows_of, sigmoid
 
 PER_CLASS = 3000
@@ -98,6 +98,7 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
         for k in range(0, len(at), 65536):
             yield pa.RecordBatch.from_arrays([pa.array(at[k:k + 65536].astype(np.int32)),
                                               pa.array(total[at[k:k + 65536]])], names=["cell", "n"])
+        give_back()
 
     found = (text_rows(docs).select("text").mapInArrow(run, "cell int, n long").groupBy("cell")
              .agg(F.sum("n").alias("n")).toArrow())
@@ -329,19 +330,16 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Score
     return scorer
 
 
-_SEEN: dict = {}  # restored spans of a worker; one model a job
-
-
 def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
     """doc_id, held_out, score, predicted of every row, from its text alone."""
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        z = np.array([scorer.evidence(t, _SEEN) for t in texts_of(batch.column(2))])
+    def run(seen: dict, batch: pa.RecordBatch) -> pa.RecordBatch:
+        z = np.array([scorer.evidence(t, seen) for t in texts_of(batch.column(2))])
         p = sigmoid(scorer.bias + scorer.slope * z)
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(p), pa.array((p >= 0.5).astype(np.int32))],
             names=["doc_id", "held_out", "score", "predicted"])
     rows = text_rows(docs).select("doc_id", is_held_out("doc_id").alias("held_out"), "text")
-    return map_batches(rows, run, "doc_id long, held_out boolean, score double, predicted int")
+    return map_tasks(rows, dict, run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

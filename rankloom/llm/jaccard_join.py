@@ -21,8 +21,10 @@ set that links with nothing.  Two documents link when their Jaccard similarity i
    are verified; links inside a component change nothing and are not looked for.
 
 The suffix filter compares histograms of two sets over ``CELLS`` hash cells (large sets over
-``FINE`` cells as well): the sum of the smaller counts bounds the intersection.  Buckets of frequent shingles are split into blocks
-from the start, so no task holds a hot bucket.
+``FINE`` cells as well): the sum of the smaller counts bounds the intersection.  The prefix rows of
+every shingle are counted, and a bucket of more than ``BLOCK`` rows is split into blocks from
+the start, so no task holds a hot bucket, however rare its shingle seemed when sets were named.
+Extra columns are never read, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import discard, map_batches, ragged, slices, stored, text_rows
+from .common import discard, give_back, map_batches, ragged, slices, stored, text_rows
 from .graph import components
 
 WORDS = 4
@@ -122,6 +124,7 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
             token, seen = token[often], seen[often]
             yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(seen), pa.nulls(len(token), pa.binary()),
                                               pa.nulls(len(token), cells.type)], names=names)
+        give_back()
     return stored(rows.mapInArrow(run, "id long, n long, digest binary, cells array<int>"), "sets")
 
 
@@ -133,8 +136,7 @@ def _only(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 
 
 def _prefixes(rows: DataFrame, token: np.ndarray, seen: np.ndarray, percent: int, words: int) -> DataFrame:
-    """(token, parts, block, id, n, pos): the rare-first prefix of every set, the buckets of
-    frequent shingles in several parts."""
+    """(token, id, n, pos): the rare-first prefix of every set."""
     may = np.zeros(1 << 22, bool)
     may[token & (len(may) - 1)] = True
 
@@ -161,14 +163,24 @@ def _prefixes(rows: DataFrame, token: np.ndarray, seen: np.ndarray, percent: int
         at = np.concatenate(take)
         ids, n = (np.repeat(x[n > 0], size) for x in (batch.column(0).to_numpy(), n))
         pos = np.arange(len(at)) - np.repeat(np.cumsum(size) - size, size)
-        # as many blocks as the shingle's count asks for, a document in one by its id
-        parts = often[at] // BLOCK + 1
-        block = ((ids * 0x9E3779B1) >> 7 & 0x7FFFFFFF) % parts
-        cols = (flat[at], parts, block, ids, n, pos)
-        kinds = (np.int64, np.int32, np.int32, np.int64, np.int32, np.int32)
-        return pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(cols, kinds)],
-                                          names=["token", "parts", "block", "id", "n", "pos"])
-    return map_batches(rows, run, "token long, parts int, block int, id long, n int, pos int", SLICE)
+        kinds = (np.int64, np.int64, np.int32, np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip((flat[at], ids, n, pos), kinds)],
+                                          names=["token", "id", "n", "pos"])
+    return map_batches(rows, run, "token long, id long, n int, pos int", SLICE)
+
+
+def _buckets(prefixes: DataFrame) -> DataFrame:
+    """(token, parts, block, id, n, pos, size): the prefix rows (stored) of shingles that
+    several sets list, in as many blocks as their counted rows ask for; a set is in one block
+    of a bucket by its id, ``size`` counts a block's rows."""
+    hot = stored(prefixes.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > BLOCK), "hot", few=True)
+    rows = prefixes.join(F.broadcast(hot) if hot.count() <= MAX_SHIPPED else hot, "token", "left")
+    parts = F.coalesce(F.floor(F.col("rows") / BLOCK) + 1, F.lit(1)).cast("int")
+    rows = rows.withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    size = F.count(F.lit(1)).over(W.partitionBy("token", "block"))
+    # A block with one member matters only where its shingle has more blocks.
+    return (rows.select("token", "parts", "block", "id", "n", "pos").withColumn("size", size)
+            .filter("size > 1 or parts > 1"))
 
 
 def _set_rows(rows: DataFrame, words: int) -> DataFrame:
@@ -296,6 +308,7 @@ def _block_pairs(buckets: DataFrame, sizes: DataFrame, percent: int) -> DataFram
             out = search(key, [np.concatenate(c) for c in zip(*held)])
             if out is not None and out.num_rows:
                 yield out
+        give_back()
 
     return rows.mapInArrow(run, "u long, v long").distinct()
 
@@ -346,10 +359,9 @@ def link_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     token, seen = often["token"].to_numpy(), often["seen"].to_numpy()
 
     reps = _only(rows, copies.select("id"), "left_anti")
-    size = F.count(F.lit(1)).over(W.partitionBy("token", "block"))
-    prefixes = _prefixes(reps, token, seen, percent, words).withColumn("size", size)
-    # A block with one member matters only where its shingle has more blocks.
-    buckets = stored(prefixes.filter("size > 1 or parts > 1"), "buckets")
+    prefixes = stored(_prefixes(reps, token, seen, percent, words), "prefixes")
+    buckets = stored(_buckets(prefixes), "buckets")
+    discard(prefixes)
     cells = named.select("id", F.col("n").cast("int").alias("n"), "cells")
     links = _verified(_star_pairs(buckets, percent), cells, rows, percent, words)
     mixed = _labelled(buckets, components(links))
