@@ -1,8 +1,12 @@
 """Digest index, byte-string removal and Jaccard join against brute force."""
 
+import collections
+import os
 import random
+import re
 
 import duckdb
+import numpy as np
 import pytest
 from helpers import SF, brute_components, brute_removal, docs_frame, edge_rows, null_id_rows, sf_docs
 from pyspark.sql import functions as F
@@ -47,24 +51,60 @@ def test_drop_copies_keeps_columns(spark):
     assert ids == sorted([1, 3, 5, 6, 7, 9, 10, 12, 13, None], key=repr)
 
 
+def test_rows_that_repeat_id_and_text_are_told_apart_alone(spark, monkeypatch):
+    df = docs_frame(spark, [(1, "a b"), (1, "a b"), (2, "a  b"), (3, "c"), (3, "d"), (None, None), (None, None)])
+    for shipped in (500_000, 0):
+        monkeypatch.setattr(exact_dedup, "MAX_SHIPPED", shipped)
+        assert sorted((r["doc_id"], r["text"]) for r in exact_dedup.drop_copies(df).filter("doc_id is not null").collect()) == [
+            (1, "a b"), (3, "c"), (3, "d")]
+        assert exact_dedup.drop_copies(df).filter("doc_id is null").count() == 1
+
+
 def test_index_persists(spark, tmp_path):
     path = str(tmp_path / "index")
     index = exact_dedup.DigestIndex.open(spark, path, buckets=4)
     first = exact_dedup.dedup_report(docs_frame(spark, [(5, "a b"), (6, "c")]), index=index)
     assert {(r["doc_id"], r["kept"]) for r in first.collect()} == {(5, True), (6, True)}
-    spark.sql(f"DROP TABLE {index.table}")  # a new session knows the path alone
-    again = exact_dedup.DigestIndex.open(spark, path, buckets=4)
+    again = exact_dedup.DigestIndex.open(spark, path)  # a new session knows the path alone
     second = exact_dedup.dedup_report(docs_frame(spark, [(1, "a  b"), (7, "d")]), index=again)
     assert {(r["doc_id"], r["keep_id"], r["kept"]) for r in second.collect()} == {(1, 5, False), (7, 7, True)}
     assert again.rows().count() == 3
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("digest_index")]
+    os.makedirs(f"{path}/_torn")  # a write that was cut off
+    assert exact_dedup.DigestIndex.open(spark, path).rows().count() == 3
+
+
+def digests_of(spark, texts):
+    return exact_dedup._first_rows(exact_dedup.digest_rows(docs_frame(spark, list(enumerate(texts))))).select("digest", "keep_id")
 
 
-def test_index_side_is_not_shuffled(spark):
+def test_index_side_is_neither_shuffled_nor_sorted(spark):
     index = exact_dedup.DigestIndex.open(spark, buckets=4)
-    new = exact_dedup._first_rows(exact_dedup.digest_rows(docs_frame(spark, edge_rows())))
-    plan = (new.select("digest", "keep_id").join(index.rows().select("digest").hint("merge"), "digest", "left_anti")
-            ._jdf.queryExecution().toString())
-    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    for k in range(3):  # three appends
+        index.add(digests_of(spark, [f"text {k} {n}" for n in range(50)]))
+    assert len(index.generations()) == 3 and index.rows().count() == 150
+    new = digests_of(spark, [f"text {k} {n}" for k in range(4) for n in range(30)])
+    with index.tables() as tables:
+        missing = index.missing(exact_dedup.stored(new, "batch"), tables)
+        plan = missing._jdf.queryExecution().executedPlan().toString()
+        assert missing.count() == 30
+    # Every scan of the index has a filter and then its merge join above it: the line before
+    # the filter is the end of the join's other side.
+    lines = plan.split("\n")
+    scans = [k for k, line in enumerate(lines) if "FileScan parquet" in line and "digest_index" in line]
+    assert plan.count("SortMergeJoin") == 3 and len(scans) == 3
+    assert plan.count("Sort [") == 1 and plan.count("Exchange") == 1, plan
+    for k in scans:
+        assert "Bucketed: true" in lines[k] and "Filter" in lines[k - 1] and "Scan" in lines[k - 2], plan
+
+
+def test_generations_are_merged(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "MAX_GENERATIONS", 2)
+    index = exact_dedup.DigestIndex.open(spark)
+    for k in range(5):
+        index.add(digests_of(spark, ["always", f"text {k}"]), batch=k)
+        index.add(digests_of(spark, ["always"]), batch=k)  # run again after a failure
+    assert len(index.generations()) <= 2 and index.rows().count() == 6
 
 
 # ---- removal of repeated byte strings
@@ -139,6 +179,22 @@ def test_join_matches_brute_force(spark):
     assert linked(docs_frame(spark, rows)) == brute_components(rows)
 
 
+def test_a_shingle_few_slices_report_is_split_all_the_same(spark, monkeypatch):
+    """Every document of its own slice: no slice sees a shingle often enough to report it."""
+    monkeypatch.setattr(jaccard_join, "SLICE", 1)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 8)
+    monkeypatch.setattr(jaccard_join, "SMALL", 4)
+    rows = near_group()
+    prefixes = jaccard_join._prefixes(docs_frame(spark, rows).selectExpr("doc_id id", "text"), np.zeros(1, np.int64), np.zeros(1, np.int64), 85, 4)
+    buckets = jaccard_join._buckets(jaccard_join.stored(prefixes, "p")).collect()
+    assert max(r["parts"] for r in buckets) > 1
+    held = collections.Counter((r["token"], r["block"]) for r in buckets)
+    rows_of = collections.Counter(r["token"] for r in buckets)
+    assert all(r["parts"] == rows_of[r["token"]] // 8 + 1 for r in buckets if rows_of[r["token"]] > 8)
+    assert max(held.values()) < max(rows_of.values())
+    assert linked(docs_frame(spark, rows)) == brute_components(rows)
+
+
 @pytest.mark.parametrize("block, small, reported", [(1024, 32, 4), (16, 4, 2)])
 def test_join_of_a_near_group(spark, monkeypatch, block, small, reported):
     monkeypatch.setattr(jaccard_join, "BLOCK", block)

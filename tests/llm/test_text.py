@@ -2,10 +2,11 @@
 
 import hashlib
 import itertools
+import re
 
 import numpy as np
 import pytest
-from helpers import SF, brute_components, docs_frame, edge_rows, null_id_rows, table
+from helpers import SF, docs_frame, edge_rows, null_id_rows, table
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ def test_reparameterised_question(spark):
     other = (ITEM.replace("Alice", "Robert").replace("12", "71").replace("3 kg", "8 lb").replace("40", "95"))
     mixed = ITEM.replace("Alice bought", "Robert bought").replace("12", "7")  # Alice stays elsewhere: no consistent map
     got = leaks(spark, [(1, "Some words before. " + ITEM + " And after."), (2, "Intro. " + other), (3, mixed),
-                        (4, "A clean text about apples and flour and the old baker by the bridge."), (5, None), (6, "")])
+                        (4, "A clean text about apples and flour and the old baker by the bridge."), (5, None), (6, "")], strict=True)
     assert (1, 1) in got and (2, 1) in got and (4, 1) not in got
     assert not got[1, 1]["reworded"] and got[2, 1]["reworded"]
     assert (3, 1) not in got
@@ -41,8 +42,8 @@ def test_conflicting_slots_cost_their_windows_alone(spark):
     equal = ITEM.replace("12 apples", "7 apples").replace("3 kg", "7 kg").replace("40", "95")  # 12 and 3 both become 7
     scattered = " ".join(f"{w} " + "zebra yonder" * (k % 3 == 2) for k, w in enumerate(ITEM.split()))
     rows = [(1, one), (2, equal), (3, scattered), (4, ITEM)]
-    assert set(leaks(spark, rows)) == {(4, 1)}
-    got = leaks(spark, rows, strict=False)
+    assert set(leaks(spark, rows, strict=True)) == {(4, 1)}
+    got = leaks(spark, rows)
     assert set(got) == {(1, 1), (2, 1), (4, 1)}
     assert got[1, 1]["matched"] == got[4, 1]["matched"] - 3 and got[1, 1]["reworded"]  # three windows hold Robert
     assert got[2, 1]["matched"] == got[4, 1]["matched"] == got[4, 1]["n_windows"] and not got[4, 1]["reworded"]
@@ -81,6 +82,100 @@ def test_leak_edges(spark):
     assert out.columns == df.columns and {r["doc_id"] for r in out.collect()} == {2, None}
 
 
+def test_items_of_numbers_and_names(spark):
+    """Too few literal words for a template: found where copied, and nowhere else."""
+    bench = [(1, "12 34 56 78"), (2, "What is 12 + 34 - 5 * 7?"), (3, "Anna met Bob Carl Dora Emil today.")]
+    rows = [(1, "before it 12 34 56 78 and after"), (2, "He asked: What is 12 + 34 - 5 * 7? Nobody knew."),
+            (3, "so I asked what is 2010 2011 in roman letters"), (4, "numbers 99 88 77 66 in a row"),
+            (5, "What is 99 + 88 - 7 * 6?"), (6, "It says that Anna met Bob Carl Dora Emil today.")]
+    assert set(leaks(spark, rows, bench)) == {(1, 1), (2, 2), (6, 3)}
+
+
+def test_rows_without_own_ids_stay_apart(spark):
+    words = ITEM.split()
+    half = [" ".join(words[:11]), " ".join(words[20:])]  # each well under 40 % of the item
+    assert leaks(spark, [(None, half[0]), (None, half[1]), (7, half[0]), (7, half[1])]) == {}
+    got = leaks(spark, [(None, ITEM), (7, ITEM), (7, half[0])])
+    assert set(got) == {(None, 1), (7, 1)}
+
+
+def brute_templates(text):
+    """Words of a text: (lower case, as written, placeholder or None)."""
+    out, before, opens = [], None, True
+    for word in text.split():
+        core = template_leaks._EDGES.sub("", word)
+        if not core:
+            continue
+        low, what = core.lower(), None
+        glued = template_leaks._GLUED.match(core)
+        number = bool(template_leaks._NUMBER.match(core) or (glued and glued[2].lower() in template_leaks.UNITS))
+        if number:
+            what = "number"
+        elif low in template_leaks.UNITS:
+            what = "unit" if before == "number" else None
+        elif len(core) > 1 and core[0].isupper() and not core.isupper() and not opens:
+            what = "name"
+        out.append((low, core, what))
+        before, opens = what, word.rstrip("\"')]}”’»")[-1:] in (".", "!", "?", ":")
+    return out
+
+
+def brute_windows(words, size):
+    least = template_leaks.MIN_LITERALS if size >= 5 else (size + 1) // 2
+    for k in range(len(words) - size + 1):
+        own = words[k:k + size]
+        raw = sum(w[2] is None for w in own) < least
+        key = ("raw", *[w[0] for w in own]) if raw else tuple((w[2], "") if w[2] else (None, w[0]) for w in own)
+        yield k, raw, key, () if raw else tuple(w[1] for w in own if w[2])
+
+
+def brute_leaks(rows, bench):
+    """All alignments and all slots of every document and item."""
+    out = {}
+    for item_id, text in bench:
+        item = brute_templates(text or "")
+        size = min(5, len(item))
+        own = list(brute_windows(item, size)) if size else []
+        templates = sum(not w[1] for w in own)
+        if templates >= min(2, len(own)):
+            own = [w for w in own if not w[1]]
+        for doc_id, doc in rows:
+            lines = {}
+            for pos, _, key, slots in brute_windows(brute_templates(doc or ""), size) if size else ():
+                for at, _, item_key, item_slots in own:
+                    if key == item_key:
+                        lines.setdefault(pos - at, []).append((at, tuple(dict.fromkeys(zip(item_slots, slots)))))
+            matched, reworded = set(), False
+            for found in lines.values():
+                every = [q for _, pairs in set(found) for q in pairs]
+                vote = {q: (every.count(q), q[0] == q[1], q[1].encode()) for q in every}
+                lost = {q for q in vote if any(o[0] == q[0] and vote[o] > vote[q] for o in vote)}
+                stay = [(at, pairs) for at, pairs in found if all(a == b for a, b in pairs) or not lost & set(pairs)]
+                at = {a for a, _ in stay}
+                if not at or (any(a != b for _, pairs in stay for a, b in pairs) and len(at) < 2):
+                    continue
+                matched |= at
+                reworded |= any(a != b for a, b in vote)
+            if own and len(matched) / len(own) >= template_leaks.MIN_SHARE:
+                out[doc_id, item_id] = (len(matched), len(own), reworded)
+    return out
+
+
+def test_leaks_match_brute_force(spark):
+    rows = table(SF, "documents").project("doc_id, text").fetchall()
+    bench = table(SF, "benchmark").project("item_id, text").fetchall()
+    other = ITEM.replace("Alice", "Robert").replace("12", "71").replace("3 kg", "8 lb").replace("40", "95")
+    bench += [(900, ITEM), (901, "12 34 56 78"), (902, "Pay 5 kg or 7 kg to Bob in Rome."), (903, None), (904, "of"), (905, "What is 3 4?")]
+    rows += [(5000, other), (5001, ITEM + " " + other), (5002, "x 12 34 56 78 y"), (5003, "Pay 9 kg or 9 kg to Ann in Bonn."),
+             (5004, ITEM.replace("Alice bought", "Robert bought")), (5005, "what is 3 4?"), (5006, "What is 5 6?"), (5007, "of all"),
+             (5008, " ".join(ITEM.split()[:14])), (5009, None)]
+    want = brute_leaks(rows, bench)
+    for how in ({}, {"max_shipped": 0}):
+        got = leaks(spark, rows, bench, **how)
+        assert {k: (r["matched"], r["n_windows"], r["reworded"]) for k, r in got.items()} == want
+    assert {(5000, 900), (5002, 901), (5004, 900), (5005, 905)} <= set(want)
+
+
 # ---- chat rendering
 
 def digest(text):
@@ -330,40 +425,72 @@ def test_numbers_and_plain_words_are_not_spans():
     assert set(deobfuscate.suspicious("In 2010, 1,000 people. Paid $100 (all) +44 1.5 -- yes! ok... a - b")) == {"(all", "yes!"}
 
 
+def test_co_training_learns_from_every_unlabelled_document(spark):
+    """A source that no label names, one in a hundred of the unlabelled rows: its content is
+    junk, and the metadata view learns that from the content view."""
+    rng = np.random.default_rng(4)
+    prose = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(400)]
+
+    def good():
+        return " ".join(rng.choice(prose, 60)) + "."
+
+    def junk():
+        return "click here now " * 20
+
+    rows = [(k, good() if k % 2 else junk(), "en", "web" if k % 2 else "spam", None) for k in range(200)]
+    rows += [(1000 + k, junk() if k % 100 == 0 else good(), "en", "rare" if k % 100 == 0 else "web", None) for k in range(5000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(200)], "doc_id long, quality int")
+    view = lambda m, source: float(m.views[1].logit(co_training.metadata_view(source, "en", None, good())[None, :])[0])
+    alone, taught = co_training.fit(docs, labels, rounds=0), co_training.fit(docs, labels)
+    assert view(taught, "web") - view(taught, "rare") > 1 + abs(view(alone, "web") - view(alone, "rare"))
+    # the same without the broadcast of the labelled ids
+    import rankloom.llm.co_training as module
+    was, module.MAX_SHIPPED = module.MAX_SHIPPED, -1
+    try:
+        again = co_training.fit(docs, labels)
+    finally:
+        module.MAX_SHIPPED = was
+    assert np.allclose(again.views[0].w, taught.views[0].w)
+
+
 # ---- pipeline
 
 def test_pipeline_against_brute_force(spark):
     import corpus_pipeline
     from rankloom.llm.common import read_table
-    docs = read_table(spark, SF, "documents")
-    judged = {r["doc_id"] for r in co_training.quality(docs, read_table(spark, SF, "labels")).filter("accepted").collect()}
-    rows = [(i, t) for i, t in table(SF, "documents").project("doc_id, text").fetchall() if i in judged]
+    docs = read_table(spark, SF01, "documents")
+    judged = {r["doc_id"] for r in co_training.quality(docs, read_table(spark, SF01, "labels")).filter("accepted").collect()}
+    rows = [(i, t) for i, t in table(SF01, "documents").project("doc_id, text").fetchall() if i in judged]
     seen, kept = set(), []
     for i, t in sorted(rows):
-        key = " ".join(t.replace("\t", " ").split()) if t else ""
+        key = re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
         if key not in seen:
             seen.add(key)
             kept.append((i, t))
-    near = brute_components(kept)
-    kept = [(i, t) for i, t in kept if near[i][1] == i]
-    bench = table(SF, "benchmark").project("item_id, text").fetchall()
-    bad = {i for i, _ in leaks(spark, kept, bench)}
+    near = five_word_groups(kept)
+    kept = [(i, t) for i, t in kept if near[i] == i]
+    bad = {i for i, _ in brute_leaks(kept, table(SF01, "benchmark").project("item_id, text").fetchall())}
     kept = {i: t for i, t in kept if i not in bad}
-    out = {r["doc_id"]: r for r in corpus_pipeline.run(spark, SF).collect()}
-    assert set(out) == set(kept)
+    out = {r["doc_id"]: r for r in corpus_pipeline.run(spark, SF01).collect()}
+    assert set(out) == set(kept) and bad
     assert all(out[i]["decoded_sha256"] == digest(t) for i, t in kept.items())
 
 
 def five_word_groups(rows, words=5, percent=80):
-    """doc_id -> smallest doc_id reached over links of five-word shingles, all pairs compared."""
-    sets = {}
+    """doc_id -> smallest doc_id reached over links of five-word shingles; all pairs that share
+    a shingle are compared."""
+    sets, holders = {}, {}
     for i, t in rows:
-        w = t.lower().split()
-        sets[i] = {tuple(w[k:k + words]) for k in range(max(1, len(w) - words + 1))}
+        w = t.encode().lower().split()
+        sets[i] = {tuple(w[k:k + words]) for k in range(max(1, len(w) - words + 1))} if w else set()
+        for x in sets[i]:
+            holders.setdefault(x, []).append(i)
     root = {i: i for i in sets}
-    for u, v in itertools.combinations(sorted(sets), 2):
+    pairs = {p for ids in holders.values() for p in itertools.combinations(sorted(ids), 2)}
+    for u, v in sorted(pairs):
         common = len(sets[u] & sets[v])
-        if 100 * common >= percent * (len(sets[u]) + len(sets[v]) - common):
+        if root[u] != root[v] and 100 * common >= percent * (len(sets[u]) + len(sets[v]) - common):
             a, b = sorted((root[u], root[v]))
             root = {i: a if x == b else x for i, x in root.items()}
     return root
