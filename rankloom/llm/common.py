@@ -33,13 +33,13 @@ FILE_BYTES = 16 << 20  # shuffled bytes behind one file of a stored table, at le
 BATCH_BYTES = 8 << 20  # handed to Python at once, at most (a row at least)
 
 
-def stored(df: DataFrame, name: str, few: bool = False) -> DataFrame:
+def stored(df: DataFrame, name: str, few: bool = False, batch: int = BATCH_BYTES) -> DataFrame:
     """``df`` written to the shared scratch folder and read again: computed once, lineage
     cut, readable by every executor after any loss.
 
     The write's own shuffle files go when it is done, so disk holds one step's shuffles and
     not those of all steps; it is not cut into many small files; and Python gets its input in
-    small batches.  ``few`` is for tables of narrow rows, far smaller than the input: two
+    small batches (of ``batch`` bytes).  ``few`` is for tables of narrow rows, far smaller than the input: two
     files a core at most."""
     spark = df.sparkSession
     if few:
@@ -49,7 +49,7 @@ def stored(df: DataFrame, name: str, few: bool = False) -> DataFrame:
     in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
     spark.conf.set(CLEANUP, "true")
     spark.conf.set(ADVISORY, str(max(in_bytes(before[ADVISORY]), FILE_BYTES)))
-    spark.conf.set(ARROW, str(min(in_bytes(before[ARROW]), BATCH_BYTES)))
+    spark.conf.set(ARROW, str(min(in_bytes(before[ARROW]), batch)))
     try:
         df.write.parquet(path)
     finally:

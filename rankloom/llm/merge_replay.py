@@ -26,9 +26,9 @@ from .pieces import TextIds
 
 NO_RANK = np.int64(1) << 40
 #: Pieces a task remembers between chunks.
-MEMORY = 150_000
+MEMORY = 100_000
 #: Bytes of text whose new pieces are replayed together.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -240,4 +240,4 @@ def token_digests(docs: DataFrame, rank_file: str = "byte_bpe_multi_50k.tiktoken
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256 (after a round trip), stored."""
     return stored(round_trip(docs, rank_file).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")), "token-digests")
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")), "token-digests", batch=2 * CHUNK)

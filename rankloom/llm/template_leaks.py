@@ -47,7 +47,8 @@ MIN_SHARE = 0.4
 MIN_LITERALS = 3
 MIN_TEMPLATES = 2
 MAX_SHIPPED = 1_000_000
-MEMORY = 200_000  # words a task remembers
+MEMORY = 100_000  # words a task remembers
+SLICE = 2 << 20  # bytes of text handled together
 #: Ids of contaminated documents broadcast at most (8 bytes each); beyond, a shuffle join.
 MAX_DROPPED = 2_000_000
 
@@ -193,7 +194,7 @@ def window_rows(rows: DataFrame, sizes: list[int], wanted: np.ndarray | None = N
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.string()))
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds)],
                                           names=["doc_id", "row_no", "window", "size", "pos", "raw", "slots"])
-    return map_tasks(rows, Words, run, schema)
+    return map_tasks(rows, Words, run, schema, SLICE)
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -268,6 +269,6 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """The rows of ``docs`` whose document is not contaminated, all columns kept.  Rows that
     repeat an id go together; rows without an id stay."""
     leaks = stored(find_leaks(docs, benchmark, id_col, text_col).filter(F.col("doc_id").isNotNull())
-                   .select(F.col("doc_id").alias(id_col)).distinct(), "leaks")
+                   .select(F.col("doc_id").alias(id_col)).distinct(), "leaks", batch=SLICE)
     small = leaks.count() <= MAX_DROPPED
     return docs.join(F.broadcast(leaks) if small else leaks, id_col, "left_anti").select(*docs.columns)
