@@ -12,6 +12,10 @@ def hash_bucket(cols: list[str], buckets: int = 10, sep: str = "|") -> Column:
     md5 is used (not Spark's murmur ``hash``) so any other engine can recompute the
     same split; 7 hex digits fit in a BIGINT without sign issues.
     """
-    key = F.concat_ws(sep, *[F.col(c).cast("string") for c in cols])
-    head = F.substring(F.md5(key), 1, 7)
+    return hash_bucket_of([F.col(c).cast("string") for c in cols], buckets, sep)
+
+
+def hash_bucket_of(parts: list[Column], buckets: int = 10, sep: str = "|") -> Column:
+    """The same from string columns."""
+    head = F.substring(F.md5(F.concat_ws(sep, *parts)), 1, 7)
     return (F.conv(head, 16, 10).cast("bigint") % F.lit(buckets)).cast("int")

@@ -3,8 +3,9 @@ from .prep import (clean_events, union_parts, filter_property, latest_ts_per_key
                    active_visitors, events_of_active, recode_events, weight_events, project_triple)
 from .matrix import category_matrix, category_matrix_from_latest, visitor_matrix, collapse_pairs, to_ratings
 from .profile import (distinct_ids, ratings_per_user, ratings_per_user_stats,
-                      user_rating_crosstab, matrix_profile)
+                      user_rating_crosstab, matrix_profile, contingency)
 from .joins import Dimension, join_dimension, materialize
-from .split import hash_split, random_split, fold_column
+from .ids import IdDictionary, RatingIds, numbered
+from .split import hash_split, random_split, row_split, fold_column
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -102,3 +102,47 @@ class IdDictionary:
     def load(cls, spark: SparkSession, path: str) -> IdDictionary:
         table = spark.read.parquet(path)
         return cls(table, table.count())
+
+
+@dataclass
+class RatingIds:
+    """The user and product dictionaries of a rating matrix whose ids are of any type."""
+
+    users: IdDictionary
+    products: IdDictionary
+
+    @classmethod
+    def of(cls, matrix: DataFrame, user: str = "visitorid", item: str = "itemid") -> RatingIds:
+        return cls(IdDictionary.of(matrix.select(user)), IdDictionary.of(matrix.select(item)))
+
+    def extend(self, matrix: DataFrame, user: str = "visitorid", item: str = "itemid") -> RatingIds:
+        """Ids for a later matrix too; those already given stay."""
+        return RatingIds(self.users.extend(matrix.select(user)), self.products.extend(matrix.select(item)))
+
+    def ratings(self, matrix: DataFrame, user: str = "visitorid", item: str = "itemid", rating: str = "rating") -> DataFrame:
+        """(user INT, product INT, rating DOUBLE) for the factor models; rows with a null or
+        unknown id go."""
+        rows = matrix.select(F.col(user).alias("user"), F.col(item).alias("product"), F.col(rating).cast("double").alias("rating"))
+        return self.products.encode(self.users.encode(rows, "user"), "product")
+
+    def decode(self, df: DataFrame) -> DataFrame:
+        """The raw ids in the columns ``user`` and ``product``, whichever are there."""
+        for column, ids in (("user", self.users), ("product", self.products)):
+            if column in df.columns:
+                df = ids.decode(df, column)
+        return df
+
+    def decode_factors(self, factors: DataFrame) -> DataFrame:
+        """Factor tables (side, id, ...) with raw ids, as strings where the sides differ in type."""
+        parts = [ids.decode(factors.filter(F.col("side") == side), "id") for side, ids in (("user", self.users), ("product", self.products))]
+        if parts[0].schema["id"].dataType != parts[1].schema["id"].dataType:
+            parts = [p.withColumn("id", F.col("id").cast("string")) for p in parts]
+        return parts[0].unionByName(parts[1])
+
+    def save(self, path: str) -> None:
+        self.users.save(f"{path}/user")
+        self.products.save(f"{path}/product")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> RatingIds:
+        return cls(IdDictionary.load(spark, f"{path}/user"), IdDictionary.load(spark, f"{path}/product"))

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.weights import EVENT_WEIGHTS
+from .ids import numbered
+from .joins import join_dimension, materialize
+
+#: Levels of the second column up to which a contingency table has one array a row.
+MAX_LEVELS = 1_000
 
 
 def distinct_ids(df: DataFrame, col: str) -> DataFrame:
@@ -36,6 +43,43 @@ def user_rating_crosstab(df: DataFrame, user: str = "visitorid", rating: str = "
     return df.groupBy(user).agg(*aggs)
 
 
+@dataclass
+class Contingency:
+    """A contingency table of two columns.  ``levels`` holds (level, place), the second
+    column's values in order.  ``wide``: ``table`` has one row per value of the first column
+    with ``counts``, an array in the order of the places (0 where a pair is absent).
+    Otherwise ``table`` is the long form (first, second, n) of the pairs that occur."""
+
+    table: DataFrame
+    levels: DataFrame
+    n_levels: int
+    wide: bool
+
+
+def contingency(df: DataFrame, first: str, second: str, max_levels: int = MAX_LEVELS) -> Contingency:
+    """How often each value of ``first`` meets each value of ``second``, for any two columns.
+
+    The pairs are counted once (map-side first) and kept.  Levels are numbered by ranges, no
+    list of them is made on the driver; their checked count decides the form.  In the wide
+    form a row gathers at most ``max_levels`` counts.  Null is a value like any other: first
+    in the order of levels, a row of its own."""
+    pairs = materialize(df.groupBy(F.col(first).alias("first"), F.col(second).alias("second")).agg(F.count(F.lit(1)).alias("n")))
+    levels = numbered(pairs.select(F.col("second").alias("level")).distinct(), ["level"], "place")
+    n_levels = levels.count()
+    if n_levels > max_levels:
+        return Contingency(pairs.select(F.col("first").alias(first), F.col("second").alias(second), "n"), levels, n_levels, False)
+    placed = levels.select(F.coalesce(F.col("level").cast("string"), F.lit("")).alias("_level"),
+                           F.col("level").isNull().alias("_null"), "place")
+    keyed = pairs.withColumn("_level", F.coalesce(F.col("second").cast("string"), F.lit(""))).withColumn("_null", F.col("second").isNull())
+    rows = join_dimension(keyed, placed, ["_level", "_null"])
+    held = F.map_from_entries(F.collect_list(F.struct("place", "n")))
+    places = F.sequence(F.lit(0).cast("long"), F.lit(n_levels - 1).cast("long"))
+    table = rows.groupBy("first").agg(held.alias("held")).select(
+        F.col("first").alias(first), 
+        F.transform(places, lambda p: F.coalesce(F.try_element_at("held", p), F.lit(0))).alias("counts"))
+    return Contingency(table, levels, n_levels, True)
+
+
 def matrix_profile(df: DataFrame, user: str = "visitorid", item: str = "itemid",
                    rating: str = "rating", approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """One row: ratings, distinct users, products, (user, product) pairs, density.
