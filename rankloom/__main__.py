@@ -2,6 +2,7 @@
 
   matrices  --events E.csv --props P1.csv P2.csv --out DIR [--models 1 2 3 4] [--on-unknown drop]
   recommend --matrix DIR/model1 --model 1 --out DIR [--rank 10 --iters 10 --n 10]
+            [--ids dictionary --id-type string] [--models DIR] [--unseen]
   tune      --matrix DIR/model2 --model 2 --out DIR [--method cv|tvs]
 
 Under spark-submit (or PYSPARK_SUBMIT_ARGS) the launcher's master and settings hold.
@@ -36,6 +37,10 @@ def main(argv=None) -> None:
     b.add_argument("--n", type=int, default=10)
     b.add_argument("--implicit", choices=["yes", "no"], default=None)
     b.add_argument("--collapse", choices=["none", "max", "sum", "mean"], default="none")
+    b.add_argument("--ids", choices=["int", "dictionary"], default="int")
+    b.add_argument("--id-type", choices=["long", "string"], default="long")
+    b.add_argument("--models")
+    b.add_argument("--unseen", action="store_true")
     c = sub.add_parser("tune")
     c.add_argument("--matrix", required=True)
     c.add_argument("--model", type=int, required=True)
@@ -53,7 +58,8 @@ def main(argv=None) -> None:
         imp = None if args.implicit is None else args.implicit == "yes"
         res = train_and_recommend(spark, args.matrix, args.model, args.out, imp, args.rank,
                                   args.iters, args.reg, args.alpha, args.n,
-                                  collapse=args.collapse)
+                                  collapse=args.collapse, ids=args.ids, id_type=args.id_type,
+                                  models=args.models, unseen=args.unseen)
     print(json.dumps({str(k): v for k, v in res.items()}))
 
 

@@ -325,3 +325,51 @@ UNION ALL SELECT 'product', product, 10 FROM products""",
     "als_listed_users": _TRAINED1 + """SELECT product, CAST(rank AS INT) AS rank FROM products,
   (SELECT unnest(range(1, least(10, (SELECT count(*) FROM users)) + 1)) AS rank)""",
 })
+
+
+# ---- pruned and filtered top-N, row-level split, contingency tables, id dictionaries
+
+_UNSEEN = with_(CLICK_LOG, CLICK_RATINGS, FACTORS, """sc AS (SELECT a.id AS "user", b.id AS product,
+  list_inner_product(a.features, b.features) AS score FROM uf a, pf b),
+lists AS (SELECT "user", CAST(row_number() OVER (PARTITION BY "user" ORDER BY score DESC, product) AS INT) AS rank, product, score
+  FROM sc ANTI JOIN train USING ("user", product) QUALIFY rank <= 10)""")
+
+_CONTENT = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in ('"timestamp"', "visitorid", "event", "itemid", "transactionid"))
+
+_STRINGS = """SELECT 'visitor-' || CAST(visitorid AS VARCHAR) AS "user", 'sku-' || CAST({item} AS VARCHAR) AS product, rating FROM {m}
+WHERE visitorid IS NOT NULL AND {item} IS NOT NULL"""
+
+SQL.update({
+    "topn_products_pruned": SQL["topn_products_per_user"],
+    "topn_users_pruned": SQL["topn_users_per_product"],
+    "topn_products_unseen": _UNSEEN + 'SELECT "user", rank, product, round(score, 6) AS score FROM lists',
+    "ranking_metrics_unseen": _UNSEEN + """, held AS (SELECT DISTINCT "user", product FROM test),
+hits AS (SELECT "user", rank, CAST(h.product IS NOT NULL AS INT) AS hit FROM lists l LEFT JOIN held h USING ("user", product)),
+cum AS (SELECT *, sum(hit) OVER (PARTITION BY "user" ORDER BY rank) AS cum FROM hits),
+sums AS (SELECT "user", sum(hit) AS n_hits, sum(hit * cum / rank) AS ap, sum(hit / ln(rank + 1)) AS dcg FROM cum GROUP BY "user"),
+rel AS (SELECT "user", count(*) AS n_rel FROM held GROUP BY "user"),
+scored AS (SELECT coalesce(n_hits, 0) / 10 AS p, coalesce(n_hits, 0) / n_rel AS rec, coalesce(ap, 0) / n_rel AS ap,
+  coalesce(ap, 0) / least(n_rel, 10) AS apk,
+  coalesce(dcg, 0) / list_sum(list_transform(range(1, least(n_rel, 10) + 1), lambda i: 1.0 / ln(i + 1))) AS ndcg
+  FROM rel LEFT JOIN sums USING ("user"))
+SELECT count(*) AS users, round(avg(ap), 6) AS map, round(avg(apk), 6) AS map_at_k, round(avg(p), 6) AS precision_at_k,
+  round(avg(rec), 6) AS recall_at_k, round(avg(ndcg), 6) AS ndcg_at_k FROM scored""",
+    "split_rows": with_(CLICK_LOG, """o AS (SELECT *, row_number() OVER (PARTITION BY "timestamp", visitorid, event, itemid, transactionid) - 1
+  AS ordinal FROM click_log)""") + f"""SELECT "timestamp", visitorid, event, itemid, transactionid,
+  {split(_CONTENT + ", CAST(ordinal AS VARCHAR)")} AS split FROM o""",
+    "contingency_levels": with_(CLICK_LOG) + """SELECT event AS level,
+  row_number() OVER (ORDER BY event NULLS FIRST) - 1 AS place FROM (SELECT DISTINCT event FROM click_log)""",
+    "contingency_wide": with_(CLICK_LOG) + """SELECT itemid, string_agg(CAST(n AS VARCHAR), ',' ORDER BY event NULLS FIRST) AS counts
+FROM (SELECT i.itemid, l.event, count(c.event) AS n FROM (SELECT DISTINCT itemid FROM click_log) i
+  CROSS JOIN (SELECT DISTINCT event FROM click_log) l
+  LEFT JOIN click_log c ON c.itemid IS NOT DISTINCT FROM i.itemid AND c.event = l.event GROUP BY ALL) GROUP BY itemid""",
+    "contingency_long": with_(BASKET_LOG) + "SELECT itemid, visitorid, count(*) AS n FROM basket_log GROUP BY ALL",
+    "id_round_trip": with_(BASKET_LOG, active(1), M3) + _STRINGS.format(item="itemid", m="m3"),
+    "id_dictionary": with_(BASKET_LOG, active(1), M3) + """SELECT side, count(*) AS n, 0 AS lowest, CAST(count(*) - 1 AS INTEGER) AS highest,
+  count(*) AS n_ids, count(*) AS n_keys FROM (SELECT DISTINCT 'user' AS side, visitorid AS k FROM m3 WHERE visitorid IS NOT NULL
+  UNION ALL SELECT DISTINCT 'product', itemid FROM m3 WHERE itemid IS NOT NULL) GROUP BY side""",
+    "als_string_ids_predict": with_(CLICK_LOG, ITEM_PROPS, LATEST, M1) + _STRINGS.format(item="categoryid", m="m1"),
+    "als_string_ids_listed": with_(CLICK_LOG, ITEM_PROPS, LATEST, M1) + f"""SELECT "user", CAST(rank AS INT) AS rank
+FROM (SELECT DISTINCT "user" FROM ({_STRINGS.format(item="categoryid", m="m1")})),
+  (SELECT unnest(range(1, least(10, (SELECT count(DISTINCT categoryid) FROM m1)) + 1)) AS rank)""",
+})

@@ -266,6 +266,53 @@ def user_rating_crosstab(spark, sf):
     return ops.user_rating_crosstab(_model3(spark, sf))
 
 
+@query
+def contingency_wide(spark, sf):
+    """Items by event label, the labels found in the data; counts in the order of the labels."""
+    table = ops.contingency(_click(spark, sf), "itemid", "event")
+    return table.table.select("itemid", F.array_join(F.transform("counts", lambda n: n.cast("string")), ",").alias("counts"))
+
+
+@query
+def contingency_levels(spark, sf):
+    return ops.contingency(_click(spark, sf), "itemid", "event").levels
+
+
+@query
+def contingency_long(spark, sf):
+    """Items by visitor: too many levels for a row each, so the pairs that occur."""
+    table = ops.contingency(_basket(spark, sf), "itemid", "visitorid", max_levels=100)
+    assert not table.wide
+    return table.table
+
+
+def _string_ids(matrix, item="itemid"):
+    """A matrix whose ids are strings, as of a shop that has no INT ids."""
+    return matrix.select(F.concat(F.lit("visitor-"), F.col("visitorid").cast("string")).alias("visitorid"),
+                         F.concat(F.lit("sku-"), F.col(item).cast("string")).alias("itemid"), "rating")
+
+
+@query
+def id_round_trip(spark, sf):
+    """String ids through the dictionaries and back; the dictionaries of the first half of the
+    matrix are extended by the second."""
+    m = _string_ids(_model3(spark, sf))
+    half = F.pmod(F.xxhash64("visitorid"), F.lit(2)) == 0
+    ids = ops.RatingIds.of(m.filter(half)).extend(m.filter(~half))
+    return ids.decode(ids.ratings(m))
+
+
+@query
+def id_dictionary(spark, sf):
+    """One row a side: ids are dense and each is given once."""
+    ids = ops.RatingIds.of(_string_ids(_model3(spark, sf)))
+
+    def side(name, found):
+        return found.table.agg(F.lit(name).alias("side"), F.count(F.lit(1)).alias("n"), F.min("id").alias("lowest"),
+                               F.max("id").alias("highest"), F.countDistinct("id").alias("n_ids"), F.countDistinct("raw").alias("n_keys"))
+    return side("user", ids.users).unionByName(side("product", ids.products))
+
+
 @query
 def matrix_profile(spark, sf):
     return round_doubles(ops.matrix_profile(_model3(spark, sf)))
@@ -360,6 +407,12 @@ def split_hash(spark, sf):
     return ops.hash_split(_click(spark, sf), ["visitorid", "itemid", "event"])
 
 
+@query
+def split_rows(spark, sf):
+    """Row by row: copies of a row can be on both sides."""
+    return ops.row_split(_click(spark, sf))
+
+
 @query
 def split_random(spark, sf):
     """The reference's 80/20 ``randomSplit``, seeded; labelled rows of both sides.
@@ -496,6 +549,46 @@ def topn_users_per_product(spark, sf):
                                10, "product", "user"))
 
 
+@query
+def topn_products_pruned(spark, sf):
+    """The same lists, blocks that no query can need left out."""
+    from .plans.pruned import pruned_top_n
+    return round_doubles(pruned_top_n(src.user_factors(spark, sf), src.product_factors(spark, sf), 10, "user", "product",
+                                      cand_block_rows=1_000).lists)
+
+
+@query
+def topn_users_pruned(spark, sf):
+    from .plans.pruned import pruned_top_n
+    return round_doubles(pruned_top_n(src.product_factors(spark, sf), src.user_factors(spark, sf), 10, "product", "user",
+                                      cand_block_rows=1_000).lists)
+
+
+def _unseen(spark, sf, n=10):
+    """Top-N lists without the products a user has in training, and the held-out pairs."""
+    from .plans.pruned import pruned_top_n
+    train, test = _holdout(spark, sf)
+    lists = pruned_top_n(src.user_factors(spark, sf), src.product_factors(spark, sf), n, "user", "product",
+                         exclude=train.select("user", "product")).lists
+    return lists, test.select("user", "product").distinct()
+
+
+@query
+def topn_products_unseen(spark, sf):
+    return round_doubles(_unseen(spark, sf)[0])
+
+
+@query
+def ranking_metrics_unseen(spark, sf):
+    """Ranking metrics of lists that leave training items out, so that they cannot take the
+    places of held-out ones; judged on every user with held-out products."""
+    from .plans.ranking import ranking_metrics as rank_metrics
+    lists, held = _unseen(spark, sf)
+    hits = (lists.join(held.withColumn("hit", F.lit(1)), ["user", "product"], "left")
+            .select("user", "rank", F.coalesce("hit", F.lit(0)).alias("hit")))
+    return round_doubles(rank_metrics(hits, held.groupBy("user").agg(F.count(F.lit(1)).alias("n_rel")), 10))
+
+
 @query
 def ranking_metrics(spark, sf):
     """Top-10 products per user; relevant = products sharing the user's label."""
@@ -531,9 +624,10 @@ def _split_pairs(ratings):
 
 
 def _implicit_model(spark, sf):
-    from .plans.factorize import fit
+    """Model 1's implicit model, fitted once: every query that uses it loads the same one."""
+    from .plans.store import ModelStore
     train, test = _split_pairs(_model1_ratings(spark, sf))
-    return fit(train, implicit=True, rank=10, max_iter=10, alpha=0.01, reg_param=0.01), test
+    return ModelStore(spark).fit_once(train, implicit=True, rank=10, max_iter=10, alpha=0.01, reg_param=0.01), test
 
 
 @query
@@ -659,6 +753,30 @@ def als_listed_users(spark, sf):
     return als_recommend_users(spark, sf).select("product", "rank")
 
 
+@query
+def als_string_ids_listed(spark, sf):
+    """String ids through fit and top-N: which (user, rank) the lists have, ids decoded."""
+    from .plans.factorize import recommend
+    from .plans.store import ModelStore
+    m = ops.materialize(_string_ids(_model1(spark, sf), "categoryid"))
+    ids = ops.RatingIds.of(m)
+    model = ModelStore(spark).fit_once(ops.materialize(ids.ratings(m)), implicit=True, rank=5, max_iter=3, alpha=0.01)
+    return ids.decode(recommend(model, 10, for_users=True)).select("user", "rank")
+
+
+@query
+def als_string_ids_predict(spark, sf):
+    """The same through prediction: the pairs that get a score."""
+    from .plans.factorize import predict
+    from .plans.store import ModelStore
+    m = ops.materialize(_string_ids(_model1(spark, sf), "categoryid"))
+    ids = ops.RatingIds.of(m)
+    ratings = ops.materialize(ids.ratings(m))
+    model = ModelStore(spark).fit_once(ratings, implicit=True, rank=5, max_iter=3, alpha=0.01)
+    scored = predict(model, ratings).filter(F.col("prediction").isNotNull() & ~F.isnan("prediction"))
+    return ids.decode(scored).select("user", "product", "rating")
+
+
 def _metrics_of(model, predictions, ratings):
     from .plans import metrics as M
     met = M.regression_metrics(M.weighted_score_and_labels(ratings, predictions), weight="weight")
