@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.weights import recode_expr, weight_expr
 from .joins import DEFAULT_MAX_BROADCAST_BYTES, Dimension, join_dimension
+from .latest import latest_candidates, latest_rows
 
 
 def clean_events(events: DataFrame, drop=("timestamp", "transactionid")) -> DataFrame:
@@ -48,17 +49,22 @@ def latest_per_key(df: DataFrame, key: str = "itemid", ts: str = "timestamp",
                 then a join back on (key, ts) as a checked-broadcast dimension join —
                 the rows are not shuffled at all under the bound; over it the join
                 hashes on (key, ts), spreading a hot key's rows over its timestamps.
-    ``window``: ``rank() over (partition by key order by ts desc) = 1`` — one shuffle
-                instead of two, but each key's rows meet in one task; use it when keys
-                are known to be small.
+    ``window``: ``rank() over (partition by key order by ts desc) = 1`` over what is left
+                when each task has let go of the rows that a later one of its own beats
+                (``latest_candidates``): of a hot key one group of tied rows per task
+                meets in the window.  Use it when few rows tie.
+    ``onepass``: the same candidates, stored and picked by a join (``latest_rows``); ties of
+                a key may be any number.
     """
     if method == "join":
         return join_dimension(df, latest_ts_per_key(df, key, ts), [key, ts],
                               max_broadcast_bytes=max_broadcast_bytes).select(*df.columns)
     if method == "window":
         w = Window.partitionBy(key).orderBy(F.col(ts).desc())
-        return (df.withColumn("_rk", F.rank().over(w)).filter(F.col("_rk") == 1)
+        return (latest_candidates(df, key, ts).withColumn("_rk", F.rank().over(w)).filter(F.col("_rk") == 1)
                   .drop("_rk"))
+    if method == "onepass":
+        return latest_rows(df, key, ts, max_broadcast_bytes=max_broadcast_bytes)
     raise ValueError(f"unknown method {method}")
 
 

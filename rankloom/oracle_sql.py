@@ -373,3 +373,14 @@ FROM (SELECT i.itemid, l.event, count(c.event) AS n FROM (SELECT DISTINCT itemid
 FROM (SELECT DISTINCT "user" FROM ({_STRINGS.format(item="categoryid", m="m1")})),
   (SELECT unnest(range(1, least(10, (SELECT count(DISTINCT categoryid) FROM m1)) + 1)) AS rank)""",
 })
+
+# One-pass latest rows, the bucketed matrix store and merged sketches.
+for _name, _same in {"latest_category_onepass": "latest_category_join", "latest_category_onepass_ties": "latest_category_ties",
+                     "bucketed_ratings_per_user": "ratings_per_user", "bucketed_user_stats": "ratings_per_user_stats",
+                     "bucketed_crosstab": "user_rating_crosstab", "bucketed_score_and_labels": "score_and_labels"}.items():
+    SQL[_name] = SQL[_same]
+
+SQL["sketched_distincts"] = with_(BASKET_LOG) + """SELECT part, count(*) AS n_rows, count(DISTINCT visitorid) AS visitors,
+  count(DISTINCT itemid) AS items, true AS visitors_close, true AS items_close
+FROM (SELECT CAST("timestamp" AS VARCHAR) AS part, visitorid, itemid FROM basket_log
+      UNION ALL SELECT 'all', visitorid, itemid FROM basket_log) GROUP BY part"""

@@ -149,6 +149,17 @@ def latest_category_ties(spark, sf):
     return ops.latest_per_key(cats, "itemid", "timestamp", "join")
 
 
+@query
+def latest_category_onepass(spark, sf):
+    return ops.latest_per_key(filter_category_props(spark, sf), "itemid", "timestamp", "onepass")
+
+
+@query
+def latest_category_onepass_ties(spark, sf):
+    cats = ops.filter_property(ops.union_parts(*src.item_props_parts(spark, sf, "year")))
+    return ops.latest_per_key(cats, "itemid", "timestamp", "onepass")
+
+
 @query
 def events_with_category(spark, sf):
     return ops.events_with_category(ops.clean_events(_click(spark, sf)),
@@ -343,6 +354,63 @@ _register_profiles(2, _model2, "itemid")
 _register_profiles(4, _model4, "itemid")
 
 
+# ---- model 3's matrix stored in buckets of its users; sketches of the basket log -----------
+
+def _bucketed3(spark, sf):
+    return src.BucketedMatrix.write(_model3(spark, sf)).rows()
+
+
+@query
+def bucketed_ratings_per_user(spark, sf):
+    return ops.ratings_per_user(_bucketed3(spark, sf))
+
+
+@query
+def bucketed_user_stats(spark, sf):
+    return round_doubles(ops.ratings_per_user_stats(_bucketed3(spark, sf)))
+
+
+@query
+def bucketed_crosstab(spark, sf):
+    return ops.user_rating_crosstab(_bucketed3(spark, sf))
+
+
+@query
+def bucketed_score_and_labels(spark, sf):
+    """``score_and_labels`` of two tables stored by user: neither is shuffled for the join."""
+    from .plans import metrics as M
+    train, test = _holdout(spark, sf)
+    preds = M.mean_user_predictor(train, test.select("user", "product"))
+    labels = src.BucketedMatrix.write(test, "user")
+    scored = src.BucketedMatrix.write(preds, "user", buckets=labels.buckets)
+    return round_doubles(src.joined_in_place(labels.rows(), scored.rows(), ["user", "product"])
+                         .select("user", "product", "rating", "prediction"))
+
+
+@query
+def sketched_distincts(spark, sf):
+    """Rows, visitors and items of each year of the basket log and of all years, from sketches
+    added in three loads (one of them again); beside the exact counts, whether the merged
+    estimates lie within four standard errors."""
+    log = _basket(spark, sf).select(F.col("timestamp").cast("string").alias("year"), "visitorid", "itemid")
+    ids = ["visitorid", "itemid"]
+    store = ops.SketchStore.open(spark, ids)
+    early = log.filter(F.col("year") < "1995")
+    for load in (early, log.filter(F.col("year") >= "1995"), early.filter(F.col("year") == "1994")):
+        store.add(load, "year")
+    told = (store.estimates(["part"]).select("part", "n_rows", "n_visitorid", "n_itemid")
+            .unionByName(store.estimates().select(F.lit("all").alias("part"), "n_rows", "n_visitorid", "n_itemid")))
+    parts = log.withColumn("part", F.explode(F.array("year", F.lit("all"))))
+    exact = parts.groupBy("part").agg(F.count_distinct("visitorid").alias("visitors"), F.count_distinct("itemid").alias("items"))
+    bound = 4 * ops.relative_error()
+
+    def close(estimate, n):
+        return F.abs(F.col(estimate) - F.col(n)) <= F.greatest(F.col(n) * bound, F.lit(1.0))
+    return told.join(exact, "part").select(
+        "part", "n_rows", "visitors", "items", close("n_visitorid", "visitors").alias("visitors_close"),
+        close("n_itemid", "items").alias("items_close"))
+
+
 @query
 def stage_counts(spark, sf):
     """Row count after each stage of the model-1 chain (the reference's audit trail).
