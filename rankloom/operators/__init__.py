@@ -6,6 +6,7 @@ from .profile import (distinct_ids, ratings_per_user, ratings_per_user_stats,
                       user_rating_crosstab, matrix_profile, contingency)
 from .joins import Dimension, join_dimension, materialize
 from .ids import IdDictionary, RatingIds, numbered
+from .audit import StageCounts, audited_category_matrix
 from .latest import latest_candidates, latest_rows
 from .sketches import SketchStore, part_sketches, relative_error
 from .split import hash_split, random_split, row_split, fold_column

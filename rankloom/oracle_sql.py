@@ -377,7 +377,7 @@ FROM (SELECT DISTINCT "user" FROM ({_STRINGS.format(item="categoryid", m="m1")})
 # One-pass latest rows, the bucketed matrix store and merged sketches.
 for _name, _same in {"latest_category_onepass": "latest_category_join", "latest_category_onepass_ties": "latest_category_ties",
                      "bucketed_ratings_per_user": "ratings_per_user", "bucketed_user_stats": "ratings_per_user_stats",
-                     "bucketed_crosstab": "user_rating_crosstab", "bucketed_score_and_labels": "score_and_labels"}.items():
+                     "bucketed_crosstab": "user_rating_crosstab", "stage_counts_observed": "stage_counts", "bucketed_score_and_labels": "score_and_labels"}.items():
     SQL[_name] = SQL[_same]
 
 SQL["sketched_distincts"] = with_(BASKET_LOG) + """SELECT part, count(*) AS n_rows, count(DISTINCT visitorid) AS visitors,

@@ -455,6 +455,13 @@ def stage_counts(spark, sf):
     return out
 
 
+@query
+def stage_counts_observed(spark, sf):
+    """``stage_counts`` as by-products of one run of the model-1 chain."""
+    _, n = ops.audited_category_matrix(_click(spark, sf), list(src.item_props_parts(spark, sf)), on_unknown="drop")
+    return spark.createDataFrame(list(n.items()), "stage string, n bigint")
+
+
 @query
 def collapse_pairs(spark, sf):
     """Click-log weights per (visitor, item), duplicates collapsed four ways."""

@@ -1,7 +1,9 @@
-"""One-pass latest rows, the bucketed matrix store, mergeable distinct counts."""
+"""One-pass latest rows, the bucketed matrix store, mergeable distinct counts, observed counts."""
 
 import datetime
 import os
+import subprocess
+import sys
 
 import pyarrow as pa
 import pytest
@@ -158,3 +160,63 @@ def test_parts_merge_within_the_error_bound(spark):
 def test_names_of_the_store_are_refused(spark):
     with pytest.raises(ValueError):
         ops.SketchStore.open(spark, ["part"])
+
+
+# ---- counts of a run's stages
+
+
+def inputs(spark, props, events):
+    schema = "timestamp bigint, itemid int, property string, value string"
+    return (spark.createDataFrame(events, "timestamp bigint, visitorid int, event string, itemid int, transactionid bigint"),
+            [spark.createDataFrame(p, schema) for p in props])
+
+
+PROPS = [[(1, 1, "categoryid", "7"), (2, 1, "categoryid", "8"), (2, 1, "categoryid", "9"), (1, 2, "size", "x")],
+         [(5, 2, "categoryid", "7"), (None, 3, "categoryid", "1")]]
+EVENTS = [(1, 10, "view", 1, None), (2, 10, "view", 1, None), (3, None, "transaction", 2, 5), (4, 11, "error", 2, None), (5, 11, "view", 4, None)]
+COUNTED = {"item_props_part1": 4, "item_props_part2": 2, "item_props": 6, "category_rows": 5, "latest_items": 3, "latest_rows": 3,
+           "events": 5, "events_with_category": 6, "model1_matrix": 3}
+
+
+@pytest.mark.parametrize("bound", [1 << 28, 0])
+def test_counts_and_matrix_of_one_run(spark, bound):
+    events, parts = inputs(spark, PROPS, EVENTS)
+    matrix, n = ops.audited_category_matrix(events, parts, "drop", max_broadcast_bytes=bound)
+    assert n == COUNTED
+    assert sorted(map(repr, map(tuple, matrix.collect()))) == sorted(map(repr, map(tuple, ops.category_matrix(events, parts, "drop").collect())))
+
+
+@pytest.mark.parametrize("props, events", [([[], PROPS[1]], EVENTS), ([[], []], EVENTS), (PROPS, []), ([[], []], [])])
+def test_counts_of_empty_inputs(spark, props, events):
+    frame, parts = inputs(spark, props, events)
+    matrix, n = ops.audited_category_matrix(frame, parts, "drop")
+    assert n["item_props"] == sum(map(len, props)) and n["events"] == len(events)
+    assert n["model1_matrix"] == matrix.count() == ops.category_matrix(frame, parts, "drop").count()
+
+
+RETRIED = """
+import sys
+from pyspark import TaskContext
+from pyspark.sql import SparkSession
+from rankloom.operators.audit import StageCounts
+spark = (SparkSession.builder.master("local[4,3]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", sys.argv[1]).getOrCreate())
+spark.sparkContext.setLogLevel("OFF")
+
+def flaky(batches):
+    yield from batches
+    if TaskContext.get().attemptNumber() == 0 and TaskContext.get().partitionId() % 2:
+        raise RuntimeError("lost")
+
+counts = StageCounts()
+df = counts.watch(spark.range(0, 1000, 1, 4), "read")
+counts.write(counts.watch(df.mapInArrow(flaky, "id long"), "mapped"))
+print(counts.n)
+"""
+
+
+def test_tasks_that_are_run_again_count_once(tmp_path):
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", RETRIED, str(tmp_path)], cwd=repo, env={**os.environ, "PYTHONPATH": repo},
+                          capture_output=True, text=True, timeout=180)
+    assert "{'read': 1000, 'mapped': 1000}" in done.stdout, done.stderr[-2000:]
