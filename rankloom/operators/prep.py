@@ -88,14 +88,20 @@ def active_visitors(events: DataFrame, min_events_exclusive: int = 1,
     return events_per_visitor(events, key).filter(F.col("count") > min_events_exclusive)
 
 
+#: Rows of a key that may meet in one window task.
+WINDOW_ROWS = 100_000
+
+
 def events_of_active(events: DataFrame, min_events_exclusive: int = 1, key: str = "visitorid",
-                     method: str = "join") -> DataFrame:
+                     method: str = "join", max_window_rows: int = WINDOW_ROWS) -> DataFrame:
     """Events of visitors with more than k events.
 
     ``join``  : events ⋈ (visitor, count) — the reference's form, ``count`` carried along
                 (checked-broadcast dimension join).
-    ``window``: ``count(*) over (partition by visitor)`` + filter; same rows and columns,
-                one shuffle, but each visitor's rows meet in one task — small keys only.
+    ``window``: ``count(*) over (partition by visitor)`` + filter; same rows and columns.
+                Visitors with more than ``max_window_rows`` events (counted first; there are
+                at most a ``max_window_rows``-th as many as events) get their count by the
+                join instead, so that no task sorts more rows of one visitor.
     ``semi``  : left-semi join (checked broadcast of the visitor set), no ``count``
                 column; the form the matrices use.
     """
@@ -104,10 +110,13 @@ def events_of_active(events: DataFrame, min_events_exclusive: int = 1, key: str
     if method == "window":
         w = Window.partitionBy(key)
         cols = [key] + [c for c in events.columns if c != key]
-        return (events.filter(F.col(key).isNotNull())
-                      .withColumn("count", F.count(F.lit(1)).over(w))
-                      .filter(F.col("count") > min_events_exclusive)
-                      .select(*cols, "count"))
+        known = events.filter(F.col(key).isNotNull())
+        hot = Dimension.of(active_visitors(known, max_window_rows, key))
+        rest = hot.joined_to(known, key, "left_anti") if hot.rows else known
+        out = rest.withColumn("count", F.count(F.lit(1)).over(w)).select(*cols, "count")
+        if hot.rows:
+            out = out.unionByName(hot.joined_to(known, key).select(*cols, "count"))
+        return out.filter(F.col("count") > min_events_exclusive)
     if method == "semi":
         return join_dimension(events, active_visitors(events, min_events_exclusive, key)
                               .select(key), key, "left_semi")

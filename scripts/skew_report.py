@@ -43,7 +43,7 @@ def run(sf_dir: str, scratch: str) -> None:
     sc.setJobGroup("matrix", "skew-safe model-3 matrix, shuffle branch")
     ops.visitor_matrix(hot, 1, True, max_broadcast_bytes=0).write.format("noop").mode("overwrite").save()
     sc.setJobGroup("window", "count over (partition by visitor)")
-    ops.events_of_active(hot, 1, method="window").write.format("noop").mode("overwrite").save()
+    ops.events_of_active(hot, 1, method="window", max_window_rows=1 << 40).write.format("noop").mode("overwrite").save()
     spark.stop()
 
 

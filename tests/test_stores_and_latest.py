@@ -70,6 +70,21 @@ def test_the_forms_agree_for_other_types_and_clashing_columns(spark, method):
     assert ops.latest_per_key(df.limit(0), "item", "at", method).count() == 0
 
 
+# ---- events of active visitors, window form
+
+
+@pytest.mark.parametrize("least", [0, 1, 50, 5_000])
+def test_visitors_beyond_a_window_are_joined(spark, least):
+    ids = spark.range(0, 3_000, 1, 4)
+    events = ids.select((F.when(F.col("id") < 1_000, 7).when(F.col("id") < 1_100, 8).when(F.col("id") < 2_990, F.col("id"))).alias("visitorid"),
+                        (F.col("id") % 3).alias("itemid"))
+    joined = ops.events_of_active(events, least)
+    got = ops.events_of_active(events, least, method="window", max_window_rows=60)
+    assert got.columns == joined.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, joined.collect()))
+    assert "Window" in plan(got) and "LeftAnti" in plan(got)  # 7 and 8 meet in no window
+
+
 # ---- bucketed matrix
 
 
