@@ -11,7 +11,7 @@ import pytest
 from helpers import SF, brute_components, brute_removal, docs_frame, edge_rows, null_id_rows, sf_docs
 from pyspark.sql import functions as F
 
-from rankloom.llm import exact_dedup, graph, jaccard_join, oracle_sql, queries, suffix_dedup
+from rankloom.llm import exact_dedup, graph, jaccard_join, oracle_sql, prefix_doubling, queries, suffix_dedup
 
 
 def rows_of(df):
@@ -132,6 +132,38 @@ def test_removal_on_overlaps(spark):
     assert removal(docs_frame(spark, rows)) == brute_removal(rows)
 
 
+def overlapping_rows(seed=5):
+    rng = random.Random(seed)
+    pool = ["".join(rng.choice("ab cd") for _ in range(n)) for n in (50, 51, 64, 90, 130, 300)]
+    rows = [(i, "".join(rng.choice(pool)[rng.randrange(20):] for _ in range(rng.randrange(5)))) for i in range(30)]
+    return rows + [(100, "x" * 200), (101, "x" * 60), (102, "x" * 50 + "y" + "x" * 50), (103, "é" * 40), (104, "é" * 40 + "z")]
+
+
+@pytest.mark.parametrize("rows", [sf_docs()[:150], overlapping_rows(),
+                                  [r for r in edge_rows() if r != (2, edge_rows()[1][1])]], ids=["given", "overlaps", "edges"])
+def test_prefix_doubling_matches_brute_force(spark, monkeypatch, rows):
+    monkeypatch.setattr(prefix_doubling, "PART", 4096)
+    df = suffix_dedup.removal_report(docs_frame(spark, rows, extra=True), find=prefix_doubling.repeated_spans)
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in df.collect()} == brute_removal(rows)
+
+
+def test_prefix_doubling_ranks_are_those_of_sorted_strings(spark):
+    rows = [(i, t.encode()) for i, t in overlapping_rows(seed=8)]
+    holders = collections.defaultdict(set)
+    for i, raw in rows:
+        for p in range(len(raw) - 39):
+            holders[raw[p:p + 40]].add(i)
+    order = {s: k for k, s in enumerate(sorted(s for s, d in holders.items() if len(d) > 1))}
+    want = {(i, p, order[raw[p:p + 40]], min(holders[raw[p:p + 40]])) for i, raw in rows
+            for p in range(len(raw) - 39) if raw[p:p + 40] in order}
+    texts = spark.createDataFrame(rows, "doc long, raw binary")
+    assert {tuple(r) for r in prefix_doubling.ranked_positions(texts, 40).collect()} == want
+    nothing = spark.createDataFrame([(1, None), (2, b""), (3, b"z" * 39)], "doc long, raw binary")
+    assert prefix_doubling.repeated_spans(nothing, 40).collect() == []
+    with pytest.raises(ValueError):
+        prefix_doubling.offsets(15)
+
+
 def test_removal_in_blocks_and_hot_names(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BLOCK", 64)
     rows = sf_docs()[:60]
