@@ -25,7 +25,8 @@ before it as well, so history rewritten across the border is counted.  ``block_t
 by a caller says that the template may be cut so.
 
 Order of turns: turn number, then role, then text; null turn numbers come first, null roles
-and texts count as empty.  Rows without a conv_id form one conversation.
+and texts count as empty.  Rows without a conv_id form one conversation; a row that repeats
+another is a turn of its own.
 """
 
 from __future__ import annotations

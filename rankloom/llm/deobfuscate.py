@@ -14,7 +14,9 @@ the weights that it is scored with.
 
 Labels are learned from rows that are not held out, at most ``PER_CLASS`` of each class;
 the character model counts every document.  Null counts as empty; an empty text, which has
-no feature, gets the score of a document without toxic features.
+no feature, gets the score of a document without toxic features.  Every row is scored by
+itself, rows that repeat an id too; a row without an id counts as held out.  Columns other than the id
+and the text are not read.
 """
 
 from __future__ import annotations

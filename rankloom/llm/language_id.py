@@ -13,7 +13,9 @@ rejection threshold: the smallest score above which at least ``TRUST`` of the pr
 are right.  ``rejected`` marks scores below it; the prediction itself stands.
 
 Texts that are null or have no letter get ``und`` and score 0, as does every text when no
-labelled row exists.
+labelled row exists.  Every row is predicted by itself, rows that repeat an id too; a row
+without an id counts as held out.  Columns other than the id, the text and, to learn from, the language are
+not read.
 """
 
 from __future__ import annotations

@@ -9,6 +9,9 @@ sees its merges in the order a piece-by-piece encoder would apply them.
 Spark partitions the documents; a chunk is ``CHUNK`` bytes of one partition, so
 memory is bounded by the chunk and nothing is shuffled.  Pieces already replayed by the task are
 remembered up to ``MEMORY`` pieces.
+
+Every row is encoded by itself, rows that repeat or have no id too; a null or empty text has
+no ids and decodes to no bytes.  Columns other than the id and the text are not read.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ splits files by stripe and skips stripes and row groups that cannot hold an id.
   totals of the earlier parts; no task sees more than its own part.
 
 Texts are ranged by (doc_id, hash of the text), so even many rows of one id are spread.
-Null text counts as empty and gets the end id alone; a null doc_id comes first.
+Null text counts as empty and gets the end id alone; a null doc_id comes first, and rows that
+repeat an id each have their own.  Columns other than the id and the text are not read.
 """
 
 from __future__ import annotations
