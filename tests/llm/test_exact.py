@@ -260,3 +260,10 @@ def test_components_of_a_long_path(spark):
     got = {r["u"]: r["root"] for r in graph.components(edges).collect()}
     assert got == {**{k: 0 for k in range(1, 41)}, 101: 100}
     assert graph.components(edges.limit(0)).count() == 0
+
+
+def test_drop_copies_goes_by_the_index(spark):
+    index = exact_dedup.DigestIndex.open(spark)
+    exact_dedup.drop_copies(spark.createDataFrame([(1, "old text"), (2, "gone")], "doc_id long, text string"), index=index)
+    later = spark.createDataFrame([(5, "old  text"), (6, "new"), (7, "new"), (1, "old text")], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in exact_dedup.drop_copies(later, index=index).collect()) == [1, 6]
