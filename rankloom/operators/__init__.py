@@ -4,7 +4,7 @@ from .prep import (clean_events, union_parts, filter_property, latest_ts_per_key
 from .matrix import category_matrix, category_matrix_from_latest, visitor_matrix, collapse_pairs, to_ratings
 from .profile import (distinct_ids, ratings_per_user, ratings_per_user_stats,
                       user_rating_crosstab, matrix_profile, contingency)
-from .joins import Dimension, join_dimension, materialize
+from .joins import Dimension, collect_garbage, discard, join_dimension, materialize, stored
 from .ids import IdDictionary, RatingIds, numbered
 from .audit import StageCounts, audited_category_matrix
 from .latest import latest_candidates, latest_rows
