@@ -1,15 +1,16 @@
 """Exact top-N by maximum inner product, with blocks that cannot matter left out.
 
-Candidates are ranged by vector norm and packed into blocks, greatest norms first.  No score
+Candidates are ranged by vector norm and cut into blocks, greatest norms first.  No score
 can exceed |q| |c|, so a query whose n-th best score so far is above |q| times the greatest
 norm of a block needs neither that block nor any later one.  Blocks are taken in rounds of
-growing width (1, 1, 2, 4, ...): each round scores, for every query block, the candidate
-blocks that some of its queries still need, and in them only those queries; then the n best
-per query are merged and give the next round's thresholds.  Block pairs that nobody needs are
-neither shuffled nor scored.
+growing width (1, 1, 2, 4, ...): in each, every packed query block that still needs some is
+one task, to which the rows of the candidate blocks that some of its queries need are sent.
+They stream past the block, which scores them for those queries only and keeps one list per
+query; the n best per query are then merged and give the next round's thresholds.  A round
+sends a query once, and candidates that nobody needs are neither shuffled nor scored.
 
-``exclude`` takes pairs that must not be listed (a user's training items): they reach the one
-cell of the block grid that holds both ids and are struck out there.
+``exclude`` takes pairs that must not be listed (a user's training items): they reach the
+task that scores them and are struck out there.
 
 Worst case: candidates of equal norm (unit vectors), or queries whose n-th score is not
 positive, need every block, and the whole grid is scored, as ``recommend.top_n`` does.  The
@@ -28,11 +29,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import materialize
-from .recommend import DEFAULT_BLOCK_ROWS, SCORE_CELLS, _top_k_rows
+from .recommend import DEFAULT_BLOCK_ROWS, _Lists, rows_of_block
 
 # The block scorer runs in Python workers that may not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: monotonically_increasing_id() holds the partition above this many bits.
+PART_BITS = 33
 #: Room for rounding in products and norms.
 SLACK = 1e-9
 
@@ -46,87 +49,136 @@ class TopN:
     rounds: int
 
 
-def _blocks(factors: DataFrame, block_rows: int, by_norm: bool) -> DataFrame:
-    """(block, ids, matrix, width, norms), materialised; with ``by_norm`` in descending order
-    of norm over all blocks.  Rows without a vector are left out; a norm that is not a number
+def _normed(factors: DataFrame) -> DataFrame:
+    """(id, features, norm); rows without a vector are left out, a norm that is not a number
     counts as infinite."""
     vector = F.col("features").cast("array<double>")
-    rows = (factors.select(F.col("id").cast("long").alias("id"), vector.alias("features")).filter(F.col("features").isNotNull())
+    return (factors.select(F.col("id").cast("long").alias("id"), vector.alias("features")).filter(F.col("features").isNotNull())
             .withColumn("norm", F.sqrt(F.aggregate("features", F.lit(0.0), lambda s, x: s + x * x)))
             .withColumn("norm", F.when(F.isnan("norm"), F.lit(float("inf"))).otherwise(F.col("norm"))))
-    if by_norm:
-        parts = max(1, -(-rows.count() // block_rows))
-        rows = rows.repartitionByRange(parts, F.col("norm").desc(), "id").sortWithinPartitions(F.col("norm").desc(), "id")
 
+
+def _query_blocks(factors: DataFrame, block_rows: int | None) -> DataFrame:
+    """(q_block, q_ids, q_matrix, q_norms), materialised, blocks numbered from 0."""
     def pack(batches):
         part, count, held = TaskContext.get().partitionId(), 0, []
 
         def block(some):
-            return pd.DataFrame({"key": [(part << 32) + count], "ids": [np.array([r[0] for r in some], np.int64).tobytes()],
-                                 "matrix": [np.stack([np.asarray(r[1], np.float64) for r in some]).tobytes()],
-                                 "width": [len(some[0][1])], "norms": [np.array([r[2] for r in some], float).tobytes()],
-                                 "top": [max(r[2] for r in some)]})
+            return pd.DataFrame({"key": [(part << 32) + count], "q_ids": [np.array([r[0] for r in some], np.int64).tobytes()],
+                                 "q_matrix": [np.stack([np.asarray(r[1], np.float64) for r in some]).tobytes()],
+                                 "q_norms": [np.array([r[2] for r in some], float).tobytes()]})
         for pdf in batches:
             held += list(zip(pdf["id"], pdf["features"], pdf["norm"]))
-            while len(held) >= block_rows:
-                yield block(held[:block_rows])
-                held, count = held[block_rows:], count + 1
+            most = block_rows or (rows_of_block(len(held[0][1])) if held else 1)
+            while len(held) >= most:
+                yield block(held[:most])
+                held, count = held[most:], count + 1
         if held:
             yield block(held)
 
-    packed = materialize(rows.mapInPandas(pack, "key long, ids binary, matrix binary, width int, norms binary, top double"))
-    # Only the keys, one per block, are numbered together; a range's blocks ascend in key.
+    rows = _normed(factors).repartition(factors.sparkSession.sparkContext.defaultParallelism)
+    packed = materialize(rows.mapInPandas(pack, "key long, q_ids binary, q_matrix binary, q_norms binary"))
+    # Only the keys, one per block, are numbered together.
     number = F.row_number().over(Window.orderBy("key")).cast("int") - 1
-    return packed.join(packed.select("key").withColumn("block", number), "key").drop("key")
+    return packed.join(packed.select("key").withColumn("q_block", number), "key").drop("key")
+
+
+def _cand_blocks(factors: DataFrame, block_rows: int) -> tuple[DataFrame, np.ndarray]:
+    """(c_block, c_id, c_vector, c_norm), materialised, blocks of ``block_rows`` in descending
+    order of norm over all rows; and the greatest norm from each block on."""
+    rows = _normed(factors)
+    parts = max(1, -(-rows.count() // block_rows))
+    rows = (rows.repartitionByRange(parts, F.col("norm").desc(), "id").sortWithinPartitions(F.col("norm").desc(), "id")
+            .withColumn("at", F.monotonically_increasing_id()))
+    # A range's rows are numbered from its start; its blocks ascend.
+    place = F.col("at").bitwiseAND(F.lit((1 << PART_BITS) - 1))
+    rows = materialize(rows.withColumn("key", F.col("at") - place + F.floor(place / block_rows)).drop("at"))
+    heads = rows.groupBy("key").agg(F.max("norm").alias("top")).orderBy("key").collect()
+    tops = np.array([r["top"] for r in heads], float)
+    numbers = rows.sparkSession.createDataFrame([(r["key"], k) for k, r in enumerate(heads)], "key long, c_block int")
+    tops = np.maximum.accumulate(tops[::-1])[::-1] if len(tops) else tops
+    return rows.join(F.broadcast(numbers), "key").select("c_block", F.col("id").alias("c_id"), F.col("features").alias("c_vector"),
+                                                         F.col("norm").alias("c_norm")), tops
+
+
+class _Struck:
+    """Pairs that must not be listed; ``most``: at most so many per query id."""
+
+    def __init__(self, q: np.ndarray, c: np.ndarray):
+        self.q, q_at = np.unique(q, return_inverse=True)
+        self.c, c_at = np.unique(c, return_inverse=True)
+        self.pairs = np.unique(q_at * len(self.c) + c_at)
+        self.most = int(np.bincount(self.pairs // len(self.c)).max())
+
+    def has(self, q: np.ndarray, c: np.ndarray) -> np.ndarray:
+        i, j = np.searchsorted(self.q, q).clip(max=len(self.q) - 1), np.searchsorted(self.c, c).clip(max=len(self.c) - 1)
+        pair = i * len(self.c) + j
+        at = np.searchsorted(self.pairs, pair).clip(max=len(self.pairs) - 1)
+        return (self.q[i] == q) & (self.c[j] == c) & (self.pairs[at] == pair)
+
+
+#: What comes first in a task: the query block, then its struck pairs, then candidates.
+BLOCK, PAIRS = -2, -1
+SENT = """q_block int, c_block int, q_ids binary, q_matrix binary, q_norms binary, kth array<double>,
+          q_id long, c_id long, c_vector array<double>, c_norm double"""
 
 
 def _scorer(n: int):
     def score(batches):
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                qids, qnorm = np.frombuffer(row.q_ids, np.int64), np.frombuffer(row.q_norms, float)
-                qmat = np.frombuffer(row.q_matrix, np.float64).reshape(len(qids), -1)
-                cids, cmat = np.frombuffer(row.c_ids, np.int64), np.frombuffer(row.c_matrix, np.float64).reshape(-1, row.c_width)
-                kth = np.full(len(qids), -np.inf)
-                if row.kth is not None:
-                    kth = np.array([np.nan if v is None else v for v in row.kth], float)
-                with np.errstate(invalid="ignore"):
-                    need = np.flatnonzero(~(qnorm * row.c_top * (1 + SLACK) + SLACK < kth))
-                struck: dict[int, list[int]] = {}
-                for pair in () if row.struck is None else row.struck:
-                    struck.setdefault(int(pair["q_id"]), []).append(int(pair["c_id"]))
-                extra = max(map(len, struck.values()), default=0)
-                step, cells = max(1, SCORE_CELLS // len(cids)), 0
-                for lo in range(0, len(need), step):
-                    rows = need[lo:lo + step]
-                    s = qmat[rows] @ cmat.T
-                    cells += s.size
-                    r, rank, pos, sc = _top_k_rows(s, cids, min(n + extra, len(cids)))
-                    if struck:
-                        keep = np.array([c not in struck.get(q, ()) for q, c in zip(qids[rows[r]].tolist(), cids[pos].tolist())], bool)
-                        r, pos, sc = r[keep], pos[keep], sc[keep]
-                        rank = np.arange(len(r)) - np.searchsorted(r, r, side="left") + 1
-                    first = rank <= n
-                    r, pos, sc = r[first], pos[first], sc[first]
-                    yield pd.DataFrame({"q_block": np.full(len(r), row.q_block, np.int32), "q_row": rows[r].astype(np.int32),
-                                        "q": qids[rows[r]], "c": cids[pos], "score": sc, "cells": np.zeros(len(r), np.int64)})
-                yield pd.DataFrame({"q_block": [np.int32(row.q_block)], "q_row": [np.int32(-1)], "q": [0], "c": [0],
+        block, lists, norms, cells, pairs = None, None, None, 0, []
+
+        def done():
+            for r, _, cand, sc in lists.listed() if lists is not None else ():
+                yield pd.DataFrame({"q_block": np.full(len(r), block, np.int32), "q_row": r.astype(np.int32), "q": lists.ids[r],
+                                    "c": cand, "score": sc, "cells": np.zeros(len(r), np.int64)})
+            if lists is not None:
+                yield pd.DataFrame({"q_block": [np.int32(block)], "q_row": [np.int32(-1)], "q": [0], "c": [0],
                                     "score": [0.0], "cells": [cells]})
+
+        for pdf in batches:
+            kinds, owners = pdf["c_block"].to_numpy(), pdf["q_block"].to_numpy()
+            cuts = np.flatnonzero(np.append(True, (kinds[1:] != kinds[:-1]) | (owners[1:] != owners[:-1])))
+            for lo, hi in zip(cuts, np.append(cuts[1:], len(pdf))):
+                some = pdf.iloc[lo:hi]
+                if kinds[lo] == BLOCK:
+                    yield from done()
+                    row = some.iloc[0]
+                    ids, norms = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["q_norms"], float)
+                    kth = None if row["kth"] is None else np.asarray(row["kth"], float)
+                    lists = _Lists(ids, np.frombuffer(row["q_matrix"], np.float64).reshape(len(ids), -1), n, kth)
+                    block, cells, pairs = owners[lo], 0, []
+                elif kinds[lo] == PAIRS:
+                    pairs.append(some[["q_id", "c_id"]].to_numpy(np.int64))
+                else:
+                    if pairs:
+                        lists.struck, pairs = _Struck(*np.concatenate(pairs).T), []
+                    top = some["c_norm"].max()
+                    with np.errstate(invalid="ignore"):
+                        need = np.flatnonzero(~(norms * top * (1 + SLACK) + SLACK < lists.kth))
+                    if len(need):
+                        cells += lists.take(some["c_id"].to_numpy(np.int64), np.stack(some["c_vector"].to_list()).astype(np.float64), need)
+        yield from done()
     return score
 
 
+def _sent(df: DataFrame, kind) -> DataFrame:
+    """``df`` with all the columns of ``SENT``; ids 0 where it has none."""
+    of = dict(f.strip().split(" ", 1) for f in SENT.split(","))
+    kind = F.col("c_block") if kind is None else F.lit(kind)
+    return df.select(*[kind.cast("int").alias(c) if c == "c_block" else F.col(c) if c in df.columns
+                       else (F.lit(0) if t == "long" else F.lit(None)).cast(t).alias(c) for c, t in of.items()])
+
+
 def _struck(exclude: DataFrame, queries: DataFrame, cands: DataFrame, q: str, c: str) -> DataFrame:
-    """(q_block, c_block, struck): the excluded pairs of every cell of the grid."""
-    def ids(blocks, side):
-        def unpack(batches):
-            for pdf in batches:
-                for row in pdf.itertuples(index=False):
-                    own = np.unique(np.frombuffer(row.ids, np.int64))
-                    yield pd.DataFrame({f"{side}_id": own, f"{side}_block": np.full(len(own), row.block, np.int32)})
-        return blocks.select("ids", "block").mapInPandas(unpack, f"{side}_id long, {side}_block int")
+    """(q_block, c_block, q_id, c_id): the excluded pairs and the blocks that hold their ids."""
+    def unpack(batches):
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                own = np.unique(np.frombuffer(row.q_ids, np.int64))
+                yield pd.DataFrame({"q_id": own, "q_block": np.full(len(own), row.q_block, np.int32)})
     pairs = exclude.select(F.col(q).cast("long").alias("q_id"), F.col(c).cast("long").alias("c_id")).distinct()
-    return materialize(pairs.join(ids(queries, "q"), "q_id").join(ids(cands, "c"), "c_id")
-                       .groupBy("q_block", "c_block").agg(F.collect_list(F.struct("q_id", "c_id")).alias("struck")))
+    own = queries.select("q_ids", "q_block").mapInPandas(unpack, "q_id long, q_block int")
+    return materialize(pairs.join(own, "q_id").join(cands.select("c_id", "c_block").distinct(), "c_id"))
 
 
 def _best(rows: DataFrame, key: list[str], n: int) -> DataFrame:
@@ -135,7 +187,7 @@ def _best(rows: DataFrame, key: list[str], n: int) -> DataFrame:
 
 
 def pruned_top_n(query_factors: DataFrame, cand_factors: DataFrame, n: int = 10, q: str = "user", c: str = "product",
-                 block_rows: int = DEFAULT_BLOCK_ROWS, cand_block_rows: int | None = None,
+                 block_rows: int | None = None, cand_block_rows: int | None = None,
                  exclude: DataFrame | None = None) -> TopN:
     """The n best candidates of every query id, ties by lower id; the same rows as
     ``recommend.top_n``, without the pairs in ``exclude`` (columns ``q``, ``c``).
@@ -143,17 +195,10 @@ def pruned_top_n(query_factors: DataFrame, cand_factors: DataFrame, n: int = 10,
     A NaN score ranks after every number; a repeated candidate id is a candidate with each of
     its rows, a repeated query id gets one list of the best of all its rows.  Runs its rounds
     while it is called; the last merge is lazy."""
-    queries, cands = _blocks(query_factors, block_rows, False), _blocks(cand_factors, cand_block_rows or block_rows, True)
-    tops = [r["top"] for r in cands.select("block", "top").orderBy("block").collect()]
-    # As in the blocks' numbers: the greatest norm from a block on.
-    tops = np.maximum.accumulate(np.array(tops[::-1], float))[::-1] if tops else np.zeros(0)
-    left = queries.select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"),
-                          F.col("norms").alias("q_norms"))
-    right = cands.select(F.col("block").alias("c_block"), F.col("ids").alias("c_ids"), F.col("matrix").alias("c_matrix"),
-                         F.col("width").alias("c_width"), F.col("top").alias("c_top"))
-    spark = query_factors.sparkSession
-    struck = _struck(exclude, queries, cands, q, c) if exclude is not None else spark.createDataFrame(
-        [], "q_block int, c_block int, struck array<struct<q_id: bigint, c_id: bigint>>")
+    left = _query_blocks(query_factors, block_rows)
+    right, tops = _cand_blocks(cand_factors, cand_block_rows or block_rows or DEFAULT_BLOCK_ROWS)
+    spark, n_blocks = query_factors.sparkSession, max(1, left.count())
+    struck = _struck(exclude, left, right, q, c) if exclude is not None else None
     schema = "q_block int, q_row int, q long, c long, score double, cells long"
     state, thresholds, cells, rounds, lo = None, None, 0, 0, 0
     while lo < len(tops):
@@ -162,11 +207,16 @@ def pruned_top_n(query_factors: DataFrame, cand_factors: DataFrame, n: int = 10,
             side = left.withColumn("kth", F.lit(None).cast("array<double>")).withColumn("reach", F.lit(len(tops)))
         else:
             side = left.join(thresholds, "q_block")
-        # The blocks of this round that some query of a query block needs.
-        side = side.filter(F.col("reach") > lo).withColumn(
-            "c_block", F.explode(F.sequence(F.lit(lo), F.least(F.lit(hi), F.col("reach")) - 1)))
-        grid = (side.join(right, "c_block").join(struck, ["q_block", "c_block"], "left").repartition("q_block", "c_block"))
-        found = materialize(grid.mapInPandas(_scorer(n), schema))
+        side = side.filter(F.col("reach") > lo)
+        # The blocks of this round that some query of a query block needs, as rows.
+        need = side.select("q_block", F.explode(F.sequence(F.lit(lo), F.least(F.lit(hi), F.col("reach")) - 1)).alias("c_block"))
+        sent = _sent(side, BLOCK).unionByName(_sent(right.join(need, "c_block"), None))
+        if struck is not None:
+            sent = sent.unionByName(_sent(struck.filter(F.col("c_block").between(lo, hi - 1)).join(side.select("q_block"), "q_block")
+                                          .select("q_block", "q_id", "c_id").distinct(), PAIRS))
+        # A query block is a partition; it is sorted before what is sent to it.
+        sent = sent.repartitionById(n_blocks, F.col("q_block")).sortWithinPartitions("q_block", "c_block")
+        found = materialize(sent.mapInPandas(_scorer(n), schema))
         cells += found.agg(F.coalesce(F.sum("cells"), F.lit(0))).first()[0]
         rounds += 1
         found = found.filter("q_row >= 0").drop("cells")
