@@ -105,3 +105,43 @@ def test_split_pairs_are_stored_once(spark):
     assert table.count() == 5 and train.count() + test.count() == 900
     ops.discard(table)
     assert table._stored_at.rsplit("/", 1)[1] not in _kept(spark)
+
+
+@pytest.mark.parametrize("kind", ["plain", "like", "ties", "long", "short", "zero", "wide"])
+def test_lists_score_a_part_and_keep_the_best(kind):
+    """Candidates out of a group's reach are not scored, and the lists are those of all scores."""
+    rng = np.random.default_rng(9)
+    d = 20 if kind == "wide" else 5
+    q, c = rng.normal(size=(400, d)), rng.normal(size=(3000, d))
+    if kind == "like":
+        q, c = 3 + 1e-5 * q, c[0] + 1e-6 * c
+    elif kind == "ties":
+        q, c = q.round(), c.round()
+    elif kind in ("long", "short"):
+        q, c = (x * (1e18 if kind == "long" else 1e-25) for x in (q, c))
+    elif kind == "zero":
+        q[::7], c[::3] = 0, 0
+    ids, cands = rng.permutation(400), rng.permutation(3000)
+    lists = recommend._Lists(ids, q, 6)
+    for lo in range(0, 3000, 1000):
+        assert lists.take(cands[lo:lo + 1000], c[lo:lo + 1000]) == 400_000
+    s = sum(q[:, j, None] * c[None, :, j] for j in range(d))
+    for i in range(400):
+        best = sorted(range(3000), key=lambda j: (-s[i, j], cands[j]))[:6]
+        assert list(lists.cand[i]) == [cands[j] for j in best]
+        assert np.allclose(lists.score[i], s[i, best], rtol=1e-12 if kind == "long" else 0, atol=0)
+
+
+def test_candidates_out_of_reach_are_left_out(monkeypatch):
+    rng = np.random.default_rng(10)
+    q, c = rng.normal(size=(4000, 4)), rng.normal(size=(20_000, 4))
+    seen, plain = [], np.matmul
+    monkeypatch.setattr(recommend.np, "matmul", lambda a, b, out: seen.append(len(a) * b.shape[1]) or plain(a, b, out=out))
+    recommend._Lists(np.arange(4000), q, 10).take(np.arange(20_000), c)
+    assert 0 < sum(seen) < 4000 * 20_000 // 4
+
+
+def test_lists_of_held_model_rows_are_not_merged(spark):
+    model = fit(_ratings(spark), implicit=False, rank=4, max_iter=2)
+    plan = lambda for_users: listed_by_model(model, 5, for_users)._jdf.queryExecution().executedPlan().toString()
+    assert "windowspecdefinition(user" not in plan(True) and "windowspecdefinition(product" in plan(False)
