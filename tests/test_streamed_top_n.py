@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankloom import operators as ops
-from rankloom.plans import pruned, recommend
+from rankloom.plans import pruned, recommend, tune
 from rankloom.plans.factorize import fit, make_als
 from rankloom.plans.factorize import recommend as listed_by_model
 from rankloom.queries import QUERIES, _split_pairs
@@ -145,3 +145,24 @@ def test_lists_of_held_model_rows_are_not_merged(spark):
     model = fit(_ratings(spark), implicit=False, rank=4, max_iter=2)
     plan = lambda for_users: listed_by_model(model, 5, for_users)._jdf.queryExecution().executedPlan().toString()
     assert "windowspecdefinition(user" not in plan(True) and "windowspecdefinition(product" in plan(False)
+
+
+def test_a_search_may_hold_one_fit_at_a_time(spark, monkeypatch):
+    """Every fit, the best one's again too, begins with the files of the one before deleted."""
+    calls, together = [], []
+    monkeypatch.setattr(tune, "collect_garbage", lambda s: calls.append(1))
+    split = tune.TrainValidationSplit
+    monkeypatch.setattr(tune, "TrainValidationSplit", lambda **kw: together.append(kw["parallelism"]) or split(**kw))
+    train, test = _split_pairs(_ratings(spark))
+    settings = tune.grid(make_als(True), ranks=[3], iters=[2], regs=[0.1, 1.0])
+    one, four = (tune.tune(train, test, method="tvs", param_grid=settings, parallelism=p)[1].collect() for p in (1, 4))
+    assert one == four and len(calls) == 3 and together == [1, 4]
+
+
+def test_the_basket_search_holds_one_fit_at_a_time(spark, monkeypatch):
+    from rankloom import queries
+    seen = []
+    monkeypatch.setattr(queries, "_basket_ratings", lambda *a: iter([(2, _ratings(spark))]))
+    monkeypatch.setattr(tune, "tune", lambda train, test, **kw: seen.append(kw["parallelism"]) or (None, spark.range(1)))
+    queries.QUERIES["als_tuned_tvs_baskets"](spark, "")
+    assert seen == [1]
