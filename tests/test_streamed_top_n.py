@@ -107,6 +107,19 @@ def test_split_pairs_are_stored_once(spark):
     assert table._stored_at.rsplit("/", 1)[1] not in _kept(spark)
 
 
+def test_a_pair_is_hashed_once(spark):
+    """A row's side is stored with it: neither the fit nor the scoring hashes the pairs again."""
+    rows = [(u, p, float(1 + (u + p) % 3)) for u in range(30) for p in range(10)] + [(1, 1, 1.0), (None, 2, 1.0), (3, None, 2.0)]
+    ratings = spark.createDataFrame(rows, "user int, product int, rating double")
+    sides = _split_pairs(ratings)
+    plain = ops.hash_split(ratings, ["user", "product"])
+    for side, name in zip(sides, ("train", "test")):
+        assert "md5" not in side._jdf.queryExecution().optimizedPlan().toString()
+        wanted = plain.filter(F.col("split") == name).drop("split")
+        assert side.dtypes == ratings.dtypes
+        assert sorted(map(repr, side.collect())) == sorted(map(repr, wanted.collect()))
+
+
 @pytest.mark.parametrize("kind", ["plain", "like", "ties", "long", "short", "zero", "wide"])
 def test_lists_score_a_part_and_keep_the_best(kind):
     """Candidates out of a group's reach are not scored, and the lists are those of all scores."""
