@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import discard, give_back, map_batches, ragged, slices, stored, text_rows
+from .common import discard, give_back, map_batches, measured_joins, ragged, slices, stored, text_rows
 from .graph import components
 
 WORDS = 4
@@ -333,20 +333,9 @@ def _labelled(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     return out
 
 
-def link_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
-                    text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id (the smallest doc_id that its
-    document reaches by links, itself included; null if it and they have none).
-
-    Documents are told apart by doc_id; where ids repeat or are null, by id and text."""
-    base = text_rows(docs, id_col, text_col)
-    ids = base.select("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("k")).first()
-    repeats = ids["n"] != ids["k"] or not base.groupBy("doc_id").count().filter("count > 1").isEmpty()
-    key = F.xxhash64("doc_id", "text") if repeats else F.col("doc_id")
-    rows = base.select(key.alias("id"), "text")
-    if repeats:
-        rows = rows.dropDuplicates(["id"])
-
+def _reached(rows: DataFrame, percent: int, words: int) -> DataFrame:
+    """(id, n_shingles, root) of every row of (id, text), stored: the smallest id that it reaches
+    by links, null without any."""
     found = _sets(rows, words)
     named = found.filter(F.col("digest").isNotNull())
     classes = (named.filter("n > 0").groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size")))
@@ -370,9 +359,29 @@ def link_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     roots = components(links.union(_verified(rest.distinct(), cells, rows, percent, words)))
     discard(buckets, mixed)
 
-    reached = (named.join(copies, "id", "left").withColumn("rep", F.coalesce("rep", "id"))
-               .join(roots.withColumnRenamed("u", "rep"), "rep", "left")
-               .select("id", F.col("n").alias("n_shingles"), F.coalesce("root", "rep").alias("root")))
+    reached = stored(named.join(copies, "id", "left").withColumn("rep", F.coalesce("rep", "id"))
+                     .join(roots.withColumnRenamed("u", "rep"), "rep", "left")
+                     .select("id", F.col("n").alias("n_shingles"), F.coalesce("root", "rep").alias("root")), "reached", few=True)
+    discard(found, copies)
+    return reached
+
+
+def link_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
+                    text_col: str = "text", words: int = WORDS) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id (the smallest doc_id that its
+    document reaches by links, itself included; null if it and they have none).
+
+    Documents are told apart by doc_id; where ids repeat or are null, by id and text."""
+    base = text_rows(docs, id_col, text_col)
+    ids = base.select("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("k")).first()
+    repeats = ids["n"] != ids["k"] or not base.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    key = F.xxhash64("doc_id", "text") if repeats else F.col("doc_id")
+    rows = base.select(key.alias("id"), "text")
+    if repeats:
+        rows = rows.dropDuplicates(["id"])
+
+    with measured_joins(docs.sparkSession):
+        reached = _reached(rows, percent, words)
     if not repeats:
         return reached.select(F.col("id").alias("doc_id"), "n_shingles", F.col("root").alias("component_id"))
     own = base.select("doc_id", key.alias("id")).join(reached, "id")

@@ -255,6 +255,25 @@ def test_one_per_group(spark):
     assert {r["doc_id"] for r in out.collect()} == want | {None}
 
 
+def test_histograms_are_not_broadcast_by_their_files_size(spark, monkeypatch):
+    """Packed, they are a small part of what the driver would hold: 1,080 bytes a document."""
+    plans, limits = {}, []
+    limit = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+
+    def stored(df, name, *a, write=jaccard_join.stored, **kw):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        limits.append([spark.conf.get(k, None) for k in limit])
+        return write(df, name, *a, **kw)
+
+    before, held = [spark.conf.get(k, None) for k in limit], spark.conf.get(limit[0])
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    rows = near_group(8, 60)
+    assert linked(docs_frame(spark, rows)) == brute_components(rows)
+    assert "SortMergeJoin" in plans["near"] and "BroadcastHashJoin" not in plans["near"]
+    assert all(x == ["-1", held] for x in limits)  # what is measured has the session's limit
+    assert [spark.conf.get(k, None) for k in limit] == before
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (101, 101)], "u long, v long")
     got = {r["u"]: r["root"] for r in graph.components(edges).collect()}
