@@ -188,6 +188,40 @@ def test_removal_edges(spark):
     assert out == sorted([(1, 0), (1, len(text)), (None, len(text))], key=repr)
 
 
+def test_removal_holds_one_steps_shuffles(spark, monkeypatch):
+    """All anchors are shuffled in a step of their own, and what follows goes in passes by name."""
+    rng = random.Random(5)
+    shared = ["".join(rng.choices("abcdefgh ", k=90)) for _ in range(12)]
+    rows = [(i, "".join(rng.choices("ijklmnop ", k=40)) + rng.choice(shared)[rng.randrange(20):] + str(i) * 9 + rng.choice(shared))
+            for i in range(40)]
+    rows.append((50, rows[0][1]))
+    plans, there, most = [], set(), []
+
+    def stored(df, name, *a, write=suffix_dedup.stored, **kw):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        out = write(df, name, *a, **kw)
+        there.add(name)
+        most.append(("digests" in there) + 0)
+        return out
+
+    def discard(*tables, drop=suffix_dedup.discard):
+        for df in tables:
+            there.discard(os.path.basename(df._stored_at).rsplit("-", 1)[0])
+        drop(*tables)
+
+    monkeypatch.setattr(suffix_dedup, "stored", stored)
+    monkeypatch.setattr(suffix_dedup, "discard", discard)
+    monkeypatch.setattr(suffix_dedup, "PASS_ROWS", 1)
+    monkeypatch.setattr(suffix_dedup, "MAX_PASSES", 3)
+    got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.removal_report(docs_frame(spark, rows)).collect()}
+    want = brute_removal(rows)
+    assert got == {i: v[1] for i, v in want.items()} and sum(got.values()) > 0
+    names = [name for name, _ in plans]
+    assert names.count("firsts") == names.count("placed") == names.count("windows") == 3
+    assert not any("MapInArrow" in plan for name, plan in plans if name == "contexts")
+    assert sum(most) == 2  # the digests are there until the copies are known
+
+
 # ---- Jaccard join
 
 def linked(df):
